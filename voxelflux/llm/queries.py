@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxelflux.llm import langid, mixing, quality, tokencounts, tokenfile, urlfilter
+from voxelflux.llm import decontam, langid, minmax, mixing, quality, tokencounts, tokenfile, urlfilter
 from voxelflux.session import shared_dir, ship
 
 #: Where the public tokenizer files lie; the path is a parameter of the operators.
@@ -69,6 +69,10 @@ def op4_token_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollup.totals()
 
 
+def op5_benchmark_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     uri = scratch(spark, "tokens")
     shards = tokenfile.write(table(spark, sf_dir, "documents"), uri, tokenizer())
@@ -82,12 +86,16 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model).select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minmax.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(table(spark, sf_dir, "documents"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality")
 
 
-QUERIES = {f.__name__: f for f in (op1_url_rules, op3_mix_sources, op4_token_rollups, op6_token_files, op7_language, op9_quality)}
+QUERIES = {f.__name__: f for f in (op1_url_rules, op3_mix_sources, op4_token_rollups, op5_benchmark_overlaps, op6_token_files, op7_language, op8_near_duplicates, op9_quality)}
 
 ORACLES = {
     "op4_token_rollups": r"""
