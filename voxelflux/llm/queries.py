@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxelflux.llm import decontam, langid, minmax, mixing, quality, tokencounts, tokenfile, urlfilter
+from voxelflux.llm import cdc, decontam, langid, minmax, mixing, quality, tokencounts, tokenfile, urlfilter
 from voxelflux.session import shared_dir, ship
 
 #: Where the public tokenizer files lie; the path is a parameter of the operators.
@@ -95,7 +95,11 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality")
 
 
-QUERIES = {f.__name__: f for f in (op1_url_rules, op3_mix_sources, op4_token_rollups, op5_benchmark_overlaps, op6_token_files, op7_language, op8_near_duplicates, op9_quality)}
+def op10_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cdc.repeated_spans(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_url_rules, op3_mix_sources, op4_token_rollups, op5_benchmark_overlaps, op6_token_files, op7_language, op8_near_duplicates, op9_quality, op10_repeated_spans)}
 
 ORACLES = {
     "op4_token_rollups": r"""
