@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxelflux.llm import cdc, decontam, langid, minmax, mixing, quality, tokencounts, tokenfile, urlfilter
+from voxelflux.llm import cdc, decontam, langid, minmax, mixing, quality, suffixes, tokencounts, tokenfile, urlfilter
 from voxelflux.session import shared_dir, ship
 
 #: Where the public tokenizer files lie; the path is a parameter of the operators.
@@ -42,6 +42,10 @@ def op1_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(pages, labelled)
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.dedup(table(spark, sf_dir, "documents"))
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -99,7 +103,7 @@ def op10_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cdc.repeated_spans(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_rules, op3_mix_sources, op4_token_rollups, op5_benchmark_overlaps, op6_token_files, op7_language, op8_near_duplicates, op9_quality, op10_repeated_spans)}
+QUERIES = {f.__name__: f for f in (op1_url_rules, op2_suffix_dedup, op3_mix_sources, op4_token_rollups, op5_benchmark_overlaps, op6_token_files, op7_language, op8_near_duplicates, op9_quality, op10_repeated_spans)}
 
 ORACLES = {
     "op4_token_rollups": r"""
