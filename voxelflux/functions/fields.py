@@ -95,7 +95,7 @@ def sigma_tag(sigma: float) -> str:
 
 
 def scientific(v: Column, missing: str = "undefined") -> Column:
-    return F.coalesce(F.format_string("%.6e", v), F.lit(missing))
+    return F.when(v.isNull(), F.lit(missing)).otherwise(F.format_string("%.6e", v))
 
 
 def dot(left: Sequence[Column], right: Sequence[Column]) -> Column:

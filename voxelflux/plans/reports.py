@@ -89,4 +89,4 @@ def snapshot_statistics(points: DataFrame, fields: list[str]) -> DataFrame:
     for x in v:
         good &= x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))
     n = F.count(F.lit(1)) * len(fields)
-    return points.groupBy("time_index").agg(n.alias("n"), F.min(F.least(*v)).alias("minimum"), F.max(F.greatest(*v)).alias("maximum"), (F.sum(total) / n).alias("mean"), F.sqrt(F.sum(squares) / n).alias("rms"), F.bool_and(good).alias("all_finite"))
+    return points.groupBy("time_index").agg(n.alias("n"), F.min(F.array_min(F.array(*v))).alias("minimum"), F.max(F.array_max(F.array(*v))).alias("maximum"), (F.sum(total) / n).alias("mean"), F.sqrt(F.sum(squares) / n).alias("rms"), F.bool_and(good).alias("all_finite"))

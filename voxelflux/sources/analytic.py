@@ -41,9 +41,9 @@ def triad(n: int) -> dict[str, Column]:
     x, y, z = t["x"], t["y"], t["z"]
     wave = y + z + 0.3, x + y + z + 0.9, x + y + z + 0.2, y + z + 0.4
     return {
-        "ux": -0.3 * F.sin(wave[3]) + 0.5 * F.sin(wave[2]),
-        "uy": -0.5 * F.sin(wave[0]) - 0.4 * F.sin(wave[1]) + 0.8 * F.sin(x + 0.7),
-        "uz": -0.6 * F.sin(x + 1.1) - 0.5 * F.sin(wave[2]) + 0.5 * F.sin(wave[0]) + 0.4 * F.sin(wave[1]),
+        "ux": 0.3 * F.cos(wave[3]) + 0.5 * F.sin(wave[2]),
+        "uy": -0.5 * F.sin(wave[0]) + 0.4 * F.cos(wave[1]) + 0.8 * F.sin(x + 0.7),
+        "uz": 0.6 * F.cos(x + 1.1) - 0.5 * F.sin(wave[2]) + 0.5 * F.sin(wave[0]) - 0.4 * F.cos(wave[1]),
     }
 
 

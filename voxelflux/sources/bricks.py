@@ -29,7 +29,8 @@ def read(spark: SparkSession, path: str, brick: int = 128, z: tuple[int, int] |
     points = spark.read.parquet(path)
     if z is not None:
         points = points.where(F.col("zb").between(z[0] // brick, (z[1] - 1) // brick) & (F.col("z") >= z[0]) & (F.col("z") < z[1]))
-    return points.drop("zb")
+    kept = ["time_index", *(c for c in points.columns if c not in ("time_index", "zb"))]
+    return points.select(*kept)
 
 
 def checksums(points: DataFrame, block: int, fields: list[str] = COMPONENTS) -> DataFrame:
