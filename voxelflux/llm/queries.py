@@ -24,8 +24,15 @@ def tokenizer(name: str = "byte_bpe_50k.json") -> str:
         return os.path.join(TOKENIZERS, name)
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def prepare(spark: SparkSession) -> None:
+    """Code to the executors, and smaller Arrow batches than Spark's 10,000 rows, as texts are long."""
     ship(spark)
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -64,7 +64,7 @@ class Rollup:
         """Commit a batch; False if it was there already."""
         if self.committed(batch_id):
             return False
-        signed(batch).coalesce(1).write.mode("overwrite").parquet(f"{self.root}/batch={batch_id}")
+        signed(batch).write.mode("overwrite").parquet(f"{self.root}/batch={batch_id}")
         return True
 
     def totals(self) -> DataFrame:
@@ -78,5 +78,5 @@ class Rollup:
         """The totals so far as the only batch of a new root; the old root stays until the caller drops it."""
         out = Rollup(self.spark, to)
         if not out.committed(batch_id):
-            self.totals().coalesce(1).write.mode("overwrite").parquet(f"{out.root}/batch={batch_id}")
+            self.totals().write.mode("overwrite").parquet(f"{out.root}/batch={batch_id}")
         return out
