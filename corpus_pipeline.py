@@ -5,20 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from voxelflux.llm import decontam, langid, minmax, mixing, tokenfile
-from voxelflux.llm.queries import scratch, table, tokenizer
+from voxelflux.llm.queries import prepare, scratch, table, tokenizer
 from voxelflux.llm.store import settle
-from voxelflux.session import ship
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose language is recognised; the model is learnt from a bounded sample of the rows with a language."""
-    ship(spark)
+    prepare(spark)
     return langid.identified(docs, langid.train(docs))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: five-word shingles, similarity of 0.8 or more."""
-    ship(spark)
+    prepare(spark)
     return minmax.one_of_each(docs, k=5, percent=80)
 
 
@@ -34,7 +33,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token files of the mix, and what they hold of each document."""
-    ship(spark)
+    prepare(spark)
     uri = scratch(spark, "mix")
     return tokenfile.read(tokenfile.write(docs, uri, tokenizer()), uri)
 
