@@ -7,10 +7,11 @@ documents into buckets. All links are confirmed on whole shingle sets.
  1. Rows with equal sets (a 128-bit set hash) become one class, so copies cost one row however many they are.
  2. A bucket of classes is searched from hubs: every class is compared with the one of its bucket that shares most
     buckets with others, so rows grow with classes and not with their pairs. Links give components.
- 3. Only classes of a bucket that are not in its hub's component are left. After `hub_rounds` such rounds, each of
-    those is compared with all classes of its bucket that are in another component and can still be similar: by
-    set size, and by the triangle inequality of the Jaccard distance to the bucket's first hub. So within buckets
-    no link between components is missed, and links inside a component change nothing.
+ 3. Only classes of a bucket that are not in its hub's component are left (strays). After `hub_rounds` such rounds
+    they meet the rest of their bucket by what sets them apart from the first hub: if a stray is linked with another
+    class, the two differ from the hub in common shingles, at least as many as the link and their sizes call for. So
+    only the rarest of those shingles are joined (a prefix filter), and a crowd of loosely similar texts makes few
+    pairs. No link between components is missed within a bucket, and links inside a component change nothing.
 
 Words are [^\\x20\\x09-\\x0D]+ with A-Z in lower case. Defined cases: documents without words (null, empty) are
 linked with nothing and kept; fewer than k words are one shingle; rows that share a doc_id are one node; rows
@@ -23,7 +24,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from voxelflux.llm import textnum as tn
@@ -62,53 +64,75 @@ def _features(k: int, perms: int):
                 size = np.diff(at)
                 full = np.flatnonzero(size)
                 bands = np.zeros((len(size), perms // BAND), np.uint64)
-                key = np.zeros((len(size), 2), np.uint64)
                 if len(full):
-                    first = at[:-1][full]
-                    key[full, 0] = np.add.reduceat(tn.mix(h), first)
-                    key[full, 1] = np.add.reduceat(tn.mix(h ^ np.uint64(tn.BASE)), first)
                     values = signatures(h, at, perms).reshape(len(full), perms // BAND, 2 * BAND)
                     for j in range(values.shape[2]):
                         bands[full] = tn.mix(bands[full] + values[:, :, j])
                 lists = pa.FixedSizeListArray.from_arrays(pa.array(bands.view(np.int64).reshape(-1)), perms // BAND).cast(pa.list_(pa.int64()))
-                names = tn.binary(key.reshape(-1), np.arange(len(size) + 1) * 2)
+                names = tn.binary(_keys(h, at).reshape(-1), np.arange(len(size) + 1) * 2)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(size.astype(np.int64)), names, lists], names=["doc_id", "n", "set_key", "bands"])
 
     return run
 
 
+def _keys(h: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """A 128-bit key of each row's set, whatever its order."""
+    key = np.zeros((len(at) - 1, 2), np.uint64)
+    full = np.flatnonzero(np.diff(at))
+    if len(full):
+        key[full, 0] = np.add.reduceat(tn.mix(h), at[:-1][full])
+        key[full, 1] = np.add.reduceat(tn.mix(h ^ np.uint64(tn.BASE)), at[:-1][full])
+    return key
+
+
 def _sets(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in tn.slices(batch):
                 h, at = shingle_sets(part.column("text"), k)
-                yield pa.RecordBatch.from_arrays([part.column("c"), tn.binary(h, at)], names=["c", "shingles"])
+                names = tn.binary(_keys(h, at).reshape(-1), np.arange(len(at)) * 2)
+                own = pc.equal(names, part.column("set_key"))  # another text under the same doc_id has another key
+                yield pa.RecordBatch.from_arrays([part.column("c"), tn.binary(h, at)], names=["c", "shingles"]).filter(own)
 
     return run
 
 
 def _common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Shared shingles of left and right, and those in one of them only."""
     for batch in batches:
         left, right = batch.column("left"), batch.column("right")
-        found = np.zeros(batch.num_rows, np.int64)
+        found, apart = np.zeros(batch.num_rows, np.int64), []
         for i in range(batch.num_rows):
             a, b = (np.frombuffer(x[i].as_buffer(), np.uint64) for x in (left, right))
-            if len(a) > len(b):
-                a, b = b, a
-            if len(b):
-                found[i] = np.count_nonzero(b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a)
-        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(found)], names=["a", "b", "common"])
+            in_b = b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a if len(b) else np.zeros(len(a), bool)
+            in_a = a[np.minimum(np.searchsorted(a, b), len(a) - 1)] == b if len(a) else np.zeros(len(b), bool)
+            found[i] = np.count_nonzero(in_b)
+            apart.append(np.concatenate([a[~in_b], b[~in_a]]).tobytes())
+        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(found), pa.array(apart, pa.binary())], names=["a", "b", "common", "apart"])
+
+
+def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        data, offsets = tn.raw(batch.column("apart"))
+        lists = pa.ListArray.from_arrays(pa.array((offsets // 8).astype(np.int32)), pa.array(np.frombuffer(data.tobytes(), np.int64)))
+        yield pa.RecordBatch.from_arrays([batch.column("hub"), batch.column("c"), lists], names=["hub", "c", "apart"])
 
 
-def _compared(pairs: DataFrame, sets: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
-    """(a, b, common, total, linked) for pairs (a, b) of classes whose sizes allow a link."""
+def _compared(pairs: DataFrame, sets: DataFrame, sizes: DataFrame, percent: int, whole: bool = False) -> DataFrame:
+    """(a, b, n_a, n_b, linked, apart) for pairs (a, b) of classes.
+
+    Unless whole is set, pairs whose sizes rule a link out are left out and apart (shingles of one side only) is empty.
+    """
     na, nb = sizes.select(F.col("c").alias("a"), F.col("n").alias("n_a")), sizes.select(F.col("c").alias("b"), F.col("n").alias("n_b"))
-    near = pairs.join(na, "a").join(nb, "b").where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
+    near = pairs.join(na, "a").join(nb, "b")
+    if not whole:
+        near = near.where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
     held = near.join(sets.select(F.col("c").alias("b"), F.col("shingles").alias("right")), "b")
     held = held.join(sets.select(F.col("c").alias("a"), F.col("shingles").alias("left")), "a")
-    common = held.select("a", "b", "left", "right").mapInArrow(_common, "a long, b long, common long")
-    out = near.join(common, ["a", "b"]).withColumn("total", F.col("n_a") + F.col("n_b") - F.col("common"))
-    return settle(out.withColumn("linked", F.col("common") * 100 >= F.col("total") * percent).select("a", "b", "common", "total", "linked"), "compared")
+    common = held.select("a", "b", "left", "right").mapInArrow(_common, "a long, b long, common long, apart binary")
+    total = F.col("n_a") + F.col("n_b") - F.col("common")
+    out = near.join(common, ["a", "b"]).withColumn("linked", F.col("common") * 100 >= total * percent)
+    return settle(out.select("a", "b", "n_a", "n_b", "linked", (F.col("apart") if whole else F.lit(b"")).alias("apart")), "compared")
 
 
 def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 85, perms: int = PERMS, hub_rounds: int = 2) -> DataFrame:
@@ -126,33 +150,37 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 85, perms: int =
     members = settle(crowded.join(weight, "c").select("band", "h", "c", "weight"), "members")
 
     wanted = weight.join(classes, "c").select("c", "doc_id", "set_key", "n")
-    texts = slim.join(wanted.select("c", "doc_id"), "doc_id").select("c", "text")
+    texts = slim.join(wanted.select("c", "doc_id", "set_key"), "doc_id").select("c", "set_key", "text")
     sizes = settle(wanted.select("c", "n"), "sizes")
     sets = settle(texts.mapInArrow(_sets(k), "c long, shingles binary"), "sets")
-    if _shared_ids(classes):  # two texts under one doc_id: keep the set that belongs to the class
-        sets = settle(sets.join(sizes, "c").where(F.length("shingles") == F.col("n") * 8).dropDuplicates(["c"]).select("c", "shingles"), "sets")
+    if sets.count() > sizes.count():  # repeated rows
+        sets = settle(sets.dropDuplicates(["c"]), "sets")
 
-    links, roots, left, distances = None, None, members, None
+    links, roots, left = None, None, members
     for turn in range(hub_rounds):
+        if turn and left.isEmpty():
+            break
         hubs = left.groupBy("band", "h").agg(F.max(F.struct("weight", (-F.col("c")).alias("c"))).alias("top")).select("band", "h", (-F.col("top.c")).alias("hub"))
-        searched = members if turn == 0 else left
-        pairs = searched.join(hubs, ["band", "h"]).where("c <> hub").select(F.least("c", "hub").alias("a"), F.greatest("c", "hub").alias("b")).distinct()
-        compared = _compared(pairs, sets, sizes, percent)
+        pairs = left.join(hubs, ["band", "h"]).where("c <> hub").select(F.col("hub").alias("a"), F.col("c").alias("b")).distinct()
+        compared = _compared(pairs, sets, sizes, percent, whole=turn == 0)
         if turn == 0:
             first_hubs, first = settle(hubs, "hubs"), compared
         linked = compared.where("linked").select("a", "b")
         links = linked if links is None else links.unionByName(linked)
         roots = settle(components(links), "roots")
         left = settle(_strays(members, first_hubs, roots), "strays")
-    rest = _across(left, members, first_hubs, first, roots, sizes, percent)
-    links = links.unionByName(_compared(rest, sets, sizes, percent).where("linked").select("a", "b"))
-    roots = components(links)
+    if not left.isEmpty():
+        rest = settle(_across(first, roots, percent), "across")
+        links = links.unionByName(_compared(rest, sets, sizes, percent).where("linked").select("a", "b"))
+        roots = settle(components(links), "roots")
 
     ids = classes.join(roots.withColumnRenamed("node", "c"), "c", "left").select("set_key", "doc_id", "c", F.coalesce("root", "c").alias("root"))
-    if _shared_ids(classes):  # classes that share a doc_id are one node
-        same = ids.groupBy("doc_id").agg(F.min("root").alias("b"))
-        more = ids.join(same, "doc_id").select(F.col("root").alias("a"), "b").where("a <> b")
-        over = components(more)
+    full = features.where("n > 0").select("doc_id", "set_key")
+    shared = full.groupBy("doc_id").agg(F.min("set_key").alias("lo"), F.max("set_key").alias("hi")).where("lo <> hi").select("doc_id")
+    if not shared.isEmpty():  # texts that share a doc_id are one node
+        held = full.join(shared, "doc_id").distinct().join(ids.select("set_key", "root"), "set_key")
+        same = held.groupBy("doc_id").agg(F.min("root").alias("b"))
+        over = components(held.join(same, "doc_id").select(F.col("root").alias("a"), "b").where("a <> b"))
         ids = ids.join(over.select(F.col("node").alias("root"), F.col("root").alias("top")), "root", "left").select("set_key", "doc_id", F.coalesce("top", "root").alias("root"))
     lowest = ids.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     named = ids.join(lowest, "root").select("set_key", "component_id")
@@ -161,10 +189,6 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 85, perms: int =
     return out.select(real("doc_id"), "n_shingles", real("component_id"), (F.col("doc_id") == F.col("component_id")).alias("kept"))
 
 
-def _shared_ids(classes: DataFrame) -> bool:
-    return not classes.groupBy("doc_id").count().where("count > 1").isEmpty()
-
-
 def _strays(members: DataFrame, hubs: DataFrame, roots: DataFrame) -> DataFrame:
     """Members of buckets that are not in the component of the bucket's hub."""
     own = roots.select(F.col("node").alias("c"), F.col("root").alias("root_c"))
@@ -173,27 +197,35 @@ def _strays(members: DataFrame, hubs: DataFrame, roots: DataFrame) -> DataFrame:
     return joined.where(F.coalesce("root_c", "c") != F.coalesce("root_h", "hub")).select("band", "h", "c", "weight")
 
 
-def _across(strays: DataFrame, members: DataFrame, hubs: DataFrame, first: DataFrame, roots: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of a stray and a member of its bucket in other components that may be linked.
+def _across(first: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of a stray and another class of the same hub, in different components, that may be linked.
 
-    The Jaccard distance is a metric: if the distances of two sets to a third differ by more than 1 - percent / 100,
-    the two can't be linked. Pairs with a hub whose sizes ruled a link out have no distance and pass.
+    Let D be the shingles that tell a set from its hub, n its size, and r = (100 - percent) / (100 + percent). Linked
+    sets u and m differ in at most r * (n_u + n_m) shingles, and in |D_u| + |D_m| - 2 * |common part of D_u and D_m|,
+    so the common part has at least half of |D_u| + |D_m| - r * (n_u + n_m). A stray has |D| > r * (n + n_hub), which
+    bounds that from below for each set alone; it is never less than one shingle. Of sets with so much in common, the
+    rarest |D| - least + 1 shingles of both, in the same order, have one in common. Each set's own bound says which of
+    its shingles are joined; the bound of the pair, which is tighter, then holds for the ranks on both sides.
     """
-    both = first.select("a", "b", (1 - F.col("common") / F.col("total")).alias("d"))
-    dist = both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b"), "d")).select(F.col("a").alias("c"), F.col("b").alias("hub"), "d")
-    own = roots.select(F.col("node").alias("c"), F.col("root").alias("root"))
-
-    def told(rows: DataFrame) -> DataFrame:
-        rows = rows.join(hubs, ["band", "h"]).join(dist, ["c", "hub"], "left").join(own, "c", "left").join(sizes, "c")
-        return rows.select("band", "h", "c", "n", F.when(F.col("c") == F.col("hub"), 0.0).otherwise(F.col("d")).alias("d"), F.coalesce("root", "c").alias("root"))
-
-    buckets = strays.select("band", "h").distinct()
-    x = told(strays)
-    y = told(members.join(buckets, ["band", "h"], "left_semi")).select("band", "h", *(F.col(c).alias(f"{c}2") for c in ("c", "n", "d", "root")))
-    slack = 1 - percent / 100 + 1e-9
+    r = (100 - percent) / (100 + percent)
+    own = roots.select(F.col("node").alias("b"), F.col("root").alias("root_c"))
+    hub = roots.select(F.col("node").alias("a"), F.col("root").alias("root_h"))
+    told = first.join(own, "b", "left").join(hub, "a", "left")
+    told = told.select(F.col("a").alias("hub"), F.col("b").alias("c"), F.col("n_a").alias("n_hub"), F.col("n_b").alias("n"), F.coalesce("root_c", "b").alias("root"), F.coalesce("root_h", "a").alias("root_h"), "apart")
+    told = told.withColumn("stray", F.col("root") != F.col("root_h")).withColumn("size", F.octet_length("apart") / 8)
+    told = told.join(told.where("stray").select("hub").distinct(), "hub", "left_semi")
+    least = F.when(F.col("stray"), (F.col("size") - r * F.col("n") * (1 + 100 / percent)) / 2).otherwise((F.col("size") + r * (F.col("n_hub") - F.col("n"))) / 2)
+    marked = settle(told.withColumn("take", F.col("size") + 1 - F.greatest(F.ceil(least - 1e-9), F.lit(1))), "told")
+    each = marked.select("hub", "c", "apart").mapInArrow(_listed, "hub long, c long, apart array<long>").select("hub", "c", F.explode("apart").alias("e"))
+    seen = each.groupBy("hub", "e").agg(F.count(F.lit(1)).alias("seen"))
+    ranked = each.join(seen, ["hub", "e"]).withColumn("rank", F.row_number().over(Window.partitionBy("hub", "c").orderBy("seen", "e"))).where("seen > 1")
+    kept = ranked.join(marked.select("hub", "c", "n", "size", "root", "stray", "take"), ["hub", "c"]).where("rank <= take")
+    kept = settle(kept.select("hub", "e", "c", "n", "size", "rank", "root", "stray"), "prefixes")
+    other = kept.select("hub", "e", *(F.col(c).alias(f"{c}2") for c in ("c", "n", "size", "rank", "root")))
+    pair = F.greatest(F.ceil((F.col("size") + F.col("size2") - r * (F.col("n") + F.col("n2"))) / 2 - 1e-9), F.lit(1))
     able = (F.col("c") != F.col("c2")) & (F.col("root") != F.col("root2")) & (F.least("n", "n2") * 100 >= F.greatest("n", "n2") * percent)
-    able &= F.coalesce(F.abs(F.col("d") - F.col("d2")) <= slack, F.lit(True))
-    return x.join(y, ["band", "h"]).where(able).select(F.least("c", "c2").alias("a"), F.greatest("c", "c2").alias("b")).distinct()
+    able &= (F.col("rank") + pair <= F.col("size") + 1) & (F.col("rank2") + pair <= F.col("size2") + 1)
+    return kept.where("stray").join(other, ["hub", "e"]).where(able).select(F.least("c", "c2").alias("a"), F.greatest("c", "c2").alias("b")).distinct()
 
 
 def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
