@@ -42,3 +42,16 @@ def progress(states: DataFrame, group: list[str], status: Column) -> DataFrame:
 def orphans(child: DataFrame, parent: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of child whose keys no parent row has."""
     return child.join(parent.select(*keys), keys, "left_anti")
+
+
+def snapshots(events: DataFrame) -> DataFrame:
+    """(dataset, time_index, status, manifest_hash, created, updated) of events (dataset, time_index, seq, status,
+    manifest_hash): the last status and the last hash that is not null, so planning again keeps both."""
+    said = lambda c: F.max_by(F.when(F.col(c).isNotNull(), F.col(c)), F.when(F.col(c).isNotNull(), F.col("seq")))
+    return events.groupBy("dataset", "time_index").agg(said("status").alias("status"), said("manifest_hash").alias("manifest_hash"), F.min("seq").alias("created"), F.max("seq").alias("updated"))
+
+
+def with_progress(snapshot_rows: DataFrame, tile_states: DataFrame, keys: list[str], done: str = "verified") -> DataFrame:
+    """Snapshots with the number of their tiles and of those done; snapshots without tiles have 0 of both."""
+    counts = tile_states.groupBy(*keys).agg(F.count(F.lit(1)).alias("tiles"), F.count_if(F.col("status") == done).alias("done"))
+    return snapshot_rows.join(counts, keys, "left").fillna(0, ["tiles", "done"])

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from voxelflux.functions import fields as fx
 from voxelflux.operators import aggregates, grid, ledger, spectral
-from voxelflux.plans import energy, reports
+from voxelflux.plans import energy, reports, views
 from voxelflux.session import ship
 from voxelflux.sources import analytic, bricks
 
@@ -422,3 +422,32 @@ def coordinates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tile_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Size and finite values of each 2 * 2 * 2 tile; the byte digest beside them has no SQL form and stays in tests."""
     return bricks.checksums(cubes(spark, sf_dir), 2).drop("sha256")
+
+
+@query("""
+SELECT user_id AS time_index, arg_max(event_type, event_id) AS status, arg_max(props, event_id) FILTER (value > 400) AS manifest_hash, min(event_id) AS created, max(event_id) AS updated,
+count(*)::BIGINT AS tiles, count(*) FILTER (value > 100)::BIGINT AS done FROM events GROUP BY user_id
+""")
+def snapshot_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users stand for snapshots and their events for tiles; props counts as a hash where the value is high."""
+    ev = table(spark, sf_dir, "events")
+    said = ev.select(F.lit("events").alias("dataset"), F.col("user_id").alias("time_index"), F.col("event_id").alias("seq"), F.col("event_type").alias("status"), F.when(F.col("value") > 400, F.col("props")).alias("manifest_hash"))
+    tiles = ev.select(F.col("user_id").alias("time_index"), F.when(F.col("value") > 100, "verified").otherwise("planned").alias("status"))
+    return ledger.with_progress(ledger.snapshots(said), tiles, ["time_index"]).drop("dataset")
+
+
+@query(f"""
+WITH {CUBE}, s AS (SELECT s, z, x, sign(v) * ln(1 + abs(v) / 0.01) AS w FROM u JOIN pt USING (q) WHERE c = 0 AND y = 1), l AS (SELECT quantile_cont(abs(w)::DOUBLE, 0.95) AS top FROM s)
+SELECT s AS time_index, z, x, {r("w", 6, "value")}, {r("top", 6, "color_top")} FROM s CROSS JOIN l
+""")
+def symlog_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    flat, top = views.continuous_slice(cubes(spark, sf_dir), N, "y", 1, "ux", percent=95, scale="symlog", threshold=0.01)
+    return rounded(flat.select("time_index", "z", "x", "value", F.lit(top).alias("color_top")), 6, "value", "color_top")
+
+
+@query(f"""
+WITH {FLUX}, q AS (SELECT {QUAD} AS quadrant, pi FROM f)
+SELECT quadrant, count(*)::BIGINT AS n, count(*) FILTER (pi > 0)::BIGINT AS positive_count, {r("sum(pi) FILTER (pi > 0)", 2, "positive_sum")}, {r("sum(pi) FILTER (pi < 0)", 2, "negative_sum")}, {r("avg(pi) / sqrt(avg(pi * pi))", 9, "asymmetry_index")} FROM q GROUP BY quadrant
+""")
+def weak_by_quadrant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(rounded(reports.weak_by_quadrant(flux(spark, sf_dir)), 2, "positive_sum", "negative_sum"), 9, "asymmetry_index")

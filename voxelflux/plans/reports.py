@@ -61,6 +61,17 @@ def weak_asymmetry(fields: DataFrame, limit: float = 1e-12) -> DataFrame:
     })
 
 
+def weak_by_quadrant(fields: DataFrame) -> DataFrame:
+    """The balance of forward and backward flux inside each quadrant that has points."""
+    pi, wf, wr = (guarded(wide(c), c) for c in ("pi", "work_full", "work_resolved"))
+    v = F.col("pi")
+    out = fields.select(pi.alias("pi"), quadrant(wf, wr).alias("quadrant")).groupBy("quadrant").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(v > 0).alias("positive_count"), F.sum(F.when(v > 0, v)).alias("positive_sum"), F.sum(F.when(v < 0, v)).alias("negative_sum"),
+        F.avg(v).alias("mean"), F.sqrt(F.avg(v * v)).alias("rms"),
+    )
+    return out.select("quadrant", "n", "positive_count", "positive_sum", "negative_sum", ratio(F.col("mean"), F.col("rms")).alias("asymmetry_index"))
+
+
 def budget_qa(fields: DataFrame, identity_max: float = 1e-4, net_max: float = 1e-2, keys: list[str] | None = None) -> DataFrame:
     """Closure of work_full = work_resolved - pi + s_bar, and net s_bar against net pi: one row (for each of keys)."""
     names = ("work_full", "work_resolved", "pi", "s_bar")
