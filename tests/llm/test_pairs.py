@@ -292,3 +292,12 @@ def test_overlap_extension():
     item[20] = 7
     assert decontam.overlaps(doc, item, 10, 3, 11) == (0, 40, 39)
     assert decontam.overlaps(doc[15:], item, -5, 25, 11) == (5, 35, 34)
+
+
+def test_many_ranges_give_the_same(spark, sentence, monkeypatch):
+    rows = passages(sentence, seed=12)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    monkeypatch.setattr(suffixes, "BUCKET_BYTES", 500)
+    monkeypatch.setattr(suffixes, "MOST_RANGES", 8)
+    assert suffixes._ranges(df.select(F.col("doc_id").alias("doc"), F.coalesce("text", F.lit("")).alias("text"))).split > 4
+    assert sorted(tuple(r) for r in suffixes.dedup(df).collect()) == sorted(brute_spans(rows))

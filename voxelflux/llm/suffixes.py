@@ -5,7 +5,8 @@ strings have their anchors at equal places, and only one suffix in some 39 is on
 and still every string of 100 bytes is found under exactly one suffix.
 
  1. Exact copies of a document become one; later copies are repeats from end to end.
- 2. Anchors are dealt to buckets by their leading eight bytes, between splitters sampled from the corpus; a leading
+ 2. Anchors are dealt to buckets by their leading eight bytes, between at most 8,191 splitters sampled from the corpus
+    (beyond that a range is several buckets, by a hash of the leading 24 bytes); a leading
     token that fills several buckets is dealt among them by its hash. A bucket tells which anchors have equals.
  3. Those anchors are dealt again, with the text around them. A bucket sorts what follows the anchors, and what
     comes before them backwards, by multikey quicksort over eight-byte words; common prefixes of neighbours say
@@ -40,6 +41,8 @@ PLACES = WIDTH - GRAM + 1
 NO_ID = 2**63 - 1
 BUCKET_BYTES = 8 << 20
 SAMPLE_ROWS = 4000
+#: Splitters are sent to every task, so there are no more than this; beyond it a range is several buckets, by hash.
+MOST_RANGES = 8192
 FLUSH = 150_000
 
 ANCHOR = [("doc", "<i8"), ("first", "<i4"), ("count", "u1"), ("off", "u1"), ("kind", "u1"), ("key", "<u8")]
@@ -79,9 +82,16 @@ def anchors(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     return {"row": row[s], "first": s - offsets[row[s]], "count": np.diff(np.append(first, len(starts))), "off": p - s, "key": h[p], "lead": lead}
 
 
-def bucket_of(lead: np.ndarray, key: np.ndarray, splitters: np.ndarray) -> np.ndarray:
-    lo, hi = np.searchsorted(splitters, lead, side="left"), np.searchsorted(splitters, lead, side="right")
-    return lo + (key % (hi - lo + 1).astype(np.uint64)).astype(np.int64)
+class Ranges:
+    """Buckets by leading bytes: `split` of them for each range between splitters."""
+
+    def __init__(self, splitters: np.ndarray, split: int = 1):
+        self.splitters, self.split, self.buckets = splitters, split, (len(splitters) + 1) * split
+
+    def of(self, lead: np.ndarray, key: np.ndarray) -> np.ndarray:
+        lo, hi = np.searchsorted(self.splitters, lead, side="left"), np.searchsorted(self.splitters, lead, side="right")
+        place = lo + (key % (hi - lo + 1).astype(np.uint64)).astype(np.int64)
+        return place * self.split + (tn.mix(key) % np.uint64(self.split)).astype(np.int64)
 
 
 def multikey_sort(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -174,7 +184,7 @@ def _by_doc(doc: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
 REQUEST = [("first", "<i4"), ("count", "u1"), ("off", "u1")]
 
 
-def _deal(parts: list[np.ndarray], leads: list[np.ndarray], splitters: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _deal(parts: list[np.ndarray], leads: list[np.ndarray], ranges: Ranges) -> Iterator[pa.RecordBatch]:
     """A task's anchors by bucket; of equal ones the first stands for all, and the others pass through."""
     rows, lead = np.concatenate(parts), np.concatenate(leads)
     order = np.lexsort((rows["first"], rows["doc"], rows["key"]))
@@ -185,8 +195,7 @@ def _deal(parts: list[np.ndarray], leads: list[np.ndarray], splitters: np.ndarra
     head = np.append(True, rows["key"][1:] != rows["key"][:-1])
     lone = head & np.append(head[1:], True)
     rows["kind"] = np.where(lone, ONE, np.where(head, MORE, SURE))
-    n = len(splitters) + 1
-    bucket = np.where(head, bucket_of(lead, rows["key"], splitters), (tn.mix(rows["doc"].astype(np.uint64)) % np.uint64(n)).astype(np.int64))
+    bucket = np.where(head, ranges.of(lead, rows["key"]), (tn.mix(rows["doc"].astype(np.uint64)) % np.uint64(ranges.buckets)).astype(np.int64))
     order = np.argsort(bucket, kind="stable")
     rows, bucket = rows[order], bucket[order]
     first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
@@ -195,7 +204,7 @@ def _deal(parts: list[np.ndarray], leads: list[np.ndarray], splitters: np.ndarra
         yield pa.RecordBatch.from_arrays([pa.array([int(bucket[a])], pa.int64()), *(pa.array([own[c].tobytes()], pa.binary()) for c, _ in ANCHOR)], names=["bucket", *(c for c, _ in ANCHOR)])
 
 
-def _anchor_rows(splitters: np.ndarray):
+def _anchor_rows(ranges: Ranges):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, leads, held = [], [], 0
         for batch in batches:
@@ -209,10 +218,10 @@ def _anchor_rows(splitters: np.ndarray):
                 leads.append(found["lead"])
                 held += len(rows)
                 if held >= FLUSH:
-                    yield from _deal(parts, leads, splitters)
+                    yield from _deal(parts, leads, ranges)
                     parts, leads, held = [], [], 0
         if held:
-            yield from _deal(parts, leads, splitters)
+            yield from _deal(parts, leads, ranges)
 
     return run
 
@@ -235,27 +244,26 @@ def _with_equals(table: pa.Table) -> pa.Table:
 CONTEXT = [("doc", "<i8"), ("first", "<i4"), ("count", "u1"), ("off", "u1")]
 
 
-def _context_rows(splitters: np.ndarray):
-    def flush(parts: list[tuple[np.ndarray, bytes, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+def _context_rows(ranges: Ranges):
+    def flush(parts: list[tuple[np.ndarray, bytes, np.ndarray, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
         rows, text = np.concatenate([p[0] for p in parts]), np.frombuffer(b"".join(p[1] for p in parts), np.uint8)
-        same, lead = np.concatenate([p[2] for p in parts]), np.concatenate([p[3] for p in parts])
+        same, lead, key = (np.concatenate([p[i] for p in parts]) for i in (2, 3, 4))
         size = rows["count"].astype(np.int64) + WIDTH - 1
         at = np.cumsum(size) - size
         order = np.lexsort((rows["first"], rows["doc"], same))
-        rows, at, size, same, lead = (x[order] for x in (rows, at, size, same, lead))
+        rows, at, size, same, lead, key = (x[order] for x in (rows, at, size, same, lead, key))
         again = np.append(False, (rows["doc"][1:] == rows["doc"][:-1]) & (rows["first"][1:] == rows["first"][:-1]))
-        rows, at, size, same, lead = (x[~again] for x in (rows, at, size, same, lead))
+        rows, at, size, same, lead, key = (x[~again] for x in (rows, at, size, same, lead, key))
         head = np.append(True, same[1:] != same[:-1])
-        n = len(splitters) + 1
         over = rows[~head]
         if len(over):  # equal to an earlier text around an anchor: repeats already
             doc, a, b = united(over["doc"], over["first"].astype(np.int64), over["first"].astype(np.int64) + over["count"] + WIDTH - 1)
             for lo in range(0, len(doc), 20_000):
                 hi = lo + 20_000
                 blobs = [x[lo:hi].tobytes() for x in (doc, a.astype("<i4"), (b - a).astype("<i4"))]
-                yield _context_batch(int(tn.mix(np.array([doc[lo]], np.uint64))[0] % np.uint64(n)), *blobs, b"", b"", True)
-        rows, at, size, lead, key = rows[head], at[head], size[head], lead[head], tn.mix(lead[head])
-        bucket = bucket_of(lead, key, splitters)
+                yield _context_batch(int(tn.mix(np.array([doc[lo]], np.uint64))[0] % np.uint64(ranges.buckets)), *blobs, b"", b"", True)
+        rows, at, size = rows[head], at[head], size[head]
+        bucket = ranges.of(lead[head], key[head])
         order = np.argsort(bucket, kind="stable")
         first = np.flatnonzero(np.append(True, bucket[order][1:] != bucket[order][:-1])) if len(order) else []
         for a, b in zip(list(first), [*first[1:], len(order)], strict=True):
@@ -283,7 +291,8 @@ def _context_rows(splitters: np.ndarray):
                     for j in range(8):
                         lead = lead << np.uint64(8) | data[start + want["off"] + j].astype(np.uint64)
                     take = np.arange(size.sum()) + np.repeat(start - (np.cumsum(size) - size), size)
-                    parts.append((rows, data[take].tobytes(), same, lead))
+                    anchor = start + want["off"]
+                    parts.append((rows, data[take].tobytes(), same, lead, hasher.of(anchor, anchor + GRAM)))
                     held += len(rows)
                     if held >= FLUSH // 3:
                         yield from flush(parts)
@@ -359,10 +368,11 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(out, names=["doc", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
 
-def _splitters(slim: DataFrame) -> np.ndarray:
-    """Leading tokens that part the anchors of a sample (about SAMPLE_ROWS rows, by a hash) into equal buckets."""
+def _ranges(slim: DataFrame) -> Ranges:
+    """Ranges between the leading tokens that part the anchors of a sample (about SAMPLE_ROWS rows, by a hash) evenly."""
     rows, size = slim.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
-    n = max(4, -(-size // BUCKET_BYTES))
+    buckets = max(4, -(-size // BUCKET_BYTES))
+    n = min(buckets, MOST_RANGES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -373,22 +383,22 @@ def _splitters(slim: DataFrame) -> np.ndarray:
     share = min(1.0, SAMPLE_ROWS / max(1, rows))
     some = slim.where(F.pmod(F.xxhash64("doc"), F.lit(1 << 30)) < int(share * (1 << 30)))
     found = some.mapInArrow(run, "lead long").agg(F.percentile_approx("lead", [i / n for i in range(1, n)], max(1000, 4 * n))).first()[0]
-    return np.sort(np.array(found or [], np.int64).view(np.uint64) ^ np.uint64(1 << 63))
+    return Ranges(np.sort(np.array(found or [], np.int64).view(np.uint64) ^ np.uint64(1 << 63)), -(-buckets // n))
 
 
 def dedup(docs: DataFrame) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) for each row of docs (doc_id, text)."""
     slim = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), F.coalesce("text", F.lit("")).alias("text"))
-    splitters = _splitters(slim)
+    ranges = _ranges(slim)
     named = slim.select("doc", F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(1), "text").alias("h2"))
     firsts = named.groupBy("h1", "h2").agg(F.min("doc").alias("doc")).groupBy("doc").agg(F.min("h1").alias("first_h1"))
     role = F.when(F.col("first_h1").isNull(), "copy").when(F.col("first_h1") == F.xxhash64("text"), "judged").otherwise("left")
     held = slim.repartition("doc").join(firsts, "doc", "left").select("doc", "text", role.alias("role"))
     judged = held.where("role = 'judged'").select("doc", "text")
 
-    dealt = judged.mapInArrow(_anchor_rows(splitters), "bucket long, " + ", ".join(f"{c} binary" for c, _ in ANCHOR))
+    dealt = judged.mapInArrow(_anchor_rows(ranges), "bucket long, " + ", ".join(f"{c} binary" for c, _ in ANCHOR))
     wanted = dealt.groupBy("bucket").applyInArrow(_with_equals, "doc long, blob binary").groupBy("doc").agg(F.collect_list("blob").alias("blobs"))
-    around = judged.join(wanted, "doc").mapInArrow(_context_rows(splitters), "bucket long, doc binary, first binary, count binary, off binary, text binary, done boolean")
+    around = judged.join(wanted, "doc").mapInArrow(_context_rows(ranges), "bucket long, doc binary, first binary, count binary, off binary, text binary, done boolean")
     found = around.groupBy("bucket").applyInArrow(_repeated, "doc long, blob binary").groupBy("doc").agg(F.collect_list("blob").alias("blobs"))
     cut = held.join(found, "doc", "left").select("doc", "text", "role", "blobs").mapInArrow(_cut, "doc long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
     return cut.select(F.when(F.col("doc") != NO_ID, F.col("doc")).alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
