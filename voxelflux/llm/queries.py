@@ -64,18 +64,19 @@ def op4_token_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     rollup = tokencounts.Rollup(spark, scratch(spark, "rollup"))
-    toxic = docs.join(labels.where("toxic = 1").select("doc_id").distinct(), "doc_id", "left_semi")
+    exact = {v: tokencounts.count(F.col("text"), v).alias(v) for v in tokencounts.TOKENIZERS}
+    slim = docs.select("doc_id", "source", "lang", F.floor(F.coalesce("n_chars", F.lit(0)) / 5).alias("guess"), *exact.values())  # counted before the join, which then moves no text
+    toxic = slim.join(labels.where("toxic = 1").select("doc_id").distinct(), "doc_id", "left_semi")
 
     def batch(rows: DataFrame, op: str) -> DataFrame:
         out = None
         for version in tokencounts.TOKENIZERS:
-            exact, guess = tokencounts.count(F.col("text"), version), F.floor(F.coalesce("n_chars", F.lit(0)) / 5)
-            new, old = {"insert": (guess, None), "revise": (exact, guess), "delete": (exact, None)}[op]
-            part = tokencounts.changes(rows, op, version, new, old)
+            new, old = {"insert": ("guess", None), "revise": (version, "guess"), "delete": (version, None)}[op]
+            part = tokencounts.changes(rows, op, version, F.col(f"`{new}`"), F.col(old) if old else None)
             out = part if out is None else out.unionByName(part)
         return out
 
-    for batch_id, rows, op in (("1-load", docs, "insert"), ("2-exact", docs, "revise"), ("3-toxic", toxic, "delete"), ("2-exact", docs, "revise")):
+    for batch_id, rows, op in (("1-load", slim, "insert"), ("2-exact", slim, "revise"), ("3-toxic", toxic, "delete"), ("2-exact", slim, "revise")):
         rollup.apply(batch_id, batch(rows, op))
     return rollup.totals()
 
