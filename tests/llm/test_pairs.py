@@ -301,3 +301,46 @@ def test_many_ranges_give_the_same(spark, sentence, monkeypatch):
     monkeypatch.setattr(suffixes, "MOST_RANGES", 8)
     assert suffixes._ranges(df.select(F.col("doc_id").alias("doc"), F.coalesce("text", F.lit("")).alias("text"))).split > 4
     assert sorted(tuple(r) for r in suffixes.dedup(df).collect()) == sorted(brute_spans(rows))
+
+
+def covered(rows, n):
+    """For each document the bytes in a string of n bytes that an earlier place holds too."""
+    seen, out = set(), {}
+    for d, t in sorted(rows):
+        data = t.encode()
+        cover = np.zeros(len(data), bool)
+        for s in range(len(data) - n + 1):
+            w = data[s : s + n]
+            if w in seen:
+                cover[s : s + n] = True
+            seen.add(w)
+        out[d] = cover
+    return out
+
+
+def test_passages_of_51_words_are_found_whole(spark, sentence):
+    rng = random.Random(51)
+    rows = []
+    for i in range(400):
+        p = sentence(rng, 51)
+        rows += [(2 * i, f"{sentence(rng, rng.randint(0, 80))} {p} {sentence(rng, 30)}"), (2 * i + 1, f"{sentence(rng, rng.randint(0, 90))} {p} {sentence(rng, rng.randint(0, 9))}")]
+    want = covered(rows, cdc.MIN_SPAN)
+    got = {d: np.zeros(len(c), bool) for d, c in want.items()}
+    for r in cdc.whole_spans(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect():
+        got[r.doc_id][r.start : r.start + r.length] = True
+    assert all((got[d] == want[d]).all() for d in want) and sum(c.any() for c in want.values()) == 400
+
+
+def test_whole_spans_hold_repeats_only(spark, sentence, documents, nothing):
+    rows = [(d, t) for d, t in passages(sentence) if t]
+    want = covered(rows, cdc.MIN_SPAN)
+    got = {d: np.zeros(len(c), bool) for d, c in want.items()}
+    for r in cdc.whole_spans(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect():
+        got[r.doc_id][r.start : r.start + r.length] = True
+        assert r.length >= cdc.MIN_SPAN and r.n_chunks > 0 and r.first_doc_id <= r.doc_id
+    assert not any((got[d] & ~want[d]).any() for d in want)
+    missed, whole = sum((want[d] & ~got[d]).sum() for d in want), sum(c.sum() for c in want.values())
+    assert missed * 16 <= whole, (missed, whole)  # cuts of six passages: seeds have their first places in other cuts
+    odd = cdc.whole_spans(documents)
+    assert odd.where("doc_id = 44").count() == 1 and odd.where("doc_id = 43").count() == 0
+    assert cdc.whole_spans(nothing).count() == 0

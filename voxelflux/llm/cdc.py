@@ -10,6 +10,9 @@ later ones are repeats. Repeats that touch form a span, and spans of `min_span`
 that very many documents hold is one skewed key of a join between chunks and one row for each repeated digest,
 which adaptive execution splits; the rows before it are pre-aggregated.
 
+repeated_spans() compares whole chunks only, so a passage whose cuts fall badly is cut short or missed;
+whole_spans(), which op10 uses, finds it by seeds at local minima of the same rolling hash and extends it by bytes.
+
 Defined cases: null and empty texts have no chunks; texts shorter than a chunk are one chunk, so short copies are
 found too if they have min_span bytes; rows that share a doc_id count as one document if their texts are equal,
 else the one that starts first wins and equal places are no repeats of each other; rows without doc_id come last;
@@ -108,6 +111,118 @@ def repeated_spans(docs: DataFrame, min_span: int = MIN_SPAN) -> DataFrame:
     return spans.where(length >= min_span).select(real("doc", "doc_id"), "start", length.alias("length"), "n_chunks", real("first", "first_doc_id"))
 
 
+#: Seeds of whole_spans: SEED bytes around the smallest gear hash of any WINDOW places, so that a string of SEED + WINDOW - 1
+#: bytes (95, less than MIN_SPAN) has a seed wherever it stands, less than WINDOW bytes from its edges: so REACH bytes beyond a run of seeds are compared.
+SEED, WINDOW, REACH = 48, 48, 48
+
+
+def seeds(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Starts of the seeds of all rows: 8 bytes, the 32 bytes that the smallest hash of a window sees, and 8 more.
+
+    Of a stretch of one and the same byte, whose seeds are all equal, one place in 16 and the ends are taken.
+    """
+    n = len(data)
+    if n < SEED + WINDOW - 1 or n >= 1 << 32:
+        if n >= 1 << 32:
+            raise ValueError("a slice of text of 4 GB or more")
+        return np.zeros(0, np.int64)
+    h = gear(data)
+    low = h[39 : n - 8].astype(np.uint64) << np.uint64(32) | np.arange(n - SEED + 1, dtype=np.uint64)  # by start of the seed
+    width = 1
+    while width < WINDOW:
+        step = min(width, WINDOW - width)
+        low, width = np.minimum(low[: len(low) - step], low[step:]), width + step
+    row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    fits = row[: len(low)] == row[SEED + WINDOW - 2 :]
+    at = np.unique((low[fits] & np.uint64(0xFFFFFFFF)).astype(np.int64))
+    if len(at):
+        hash_at = lambda i: h[np.clip(i + 39, 0, n - 1)]
+        flat = (hash_at(at) == hash_at(at - 1)) & (hash_at(at) == hash_at(at + 1))
+        at = at[~flat | ((at - offsets[row[at]]) % 16 == 0)]
+    return at
+
+
+def _seed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in tn.slices(batch):
+            data, offsets = tn.raw(part.column("text"))
+            starts = seeds(data, offsets)
+            row = np.searchsorted(offsets, starts, side="right") - 1
+            h = tn.Hasher(data).of(starts, starts + SEED)
+            again = np.ones(len(starts), bool)
+            _, first = np.unique(h + row.astype(np.uint64) * np.uint64(tn.BASE), return_index=True)
+            again[first] = False
+            out = [part.column("doc").take(pa.array(row)), pa.array(h.view(np.int64)), pa.array((starts - offsets[row]).astype(np.int32)), pa.array(again)]
+            yield pa.RecordBatch.from_arrays(out, names=["doc", "h", "start", "again"])
+
+
+def _shared(a: pa.Array, b: pa.Array, backwards: bool) -> np.ndarray:
+    """How many bytes the values of two binary columns share at their starts, or at their ends."""
+    out = np.zeros(len(a), np.int64)
+    for i, (x, y) in enumerate(zip(a.to_pylist(), b.to_pylist(), strict=True)):
+        n = min(len(x), len(y))
+        u, v = (np.frombuffer(z, np.uint8)[len(z) - n :][::-1] if backwards else np.frombuffer(z, np.uint8)[:n] for z in (x, y))
+        differ = u != v
+        out[i] = int(differ.argmax()) if differ.any() else n
+    return out
+
+
+def _extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs with the bytes around both places to runs with their true bounds; runs whose seeds differ are dropped."""
+    for batch in batches:
+        left = _shared(batch.column("left"), batch.column("left1"), True)
+        right = _shared(batch.column("right"), batch.column("right1"), False)
+        start, end = batch.column("start").to_numpy() - (left - SEED), batch.column("end").to_numpy() + right - SEED
+        out = [batch.column("doc"), pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32)), batch.column("doc1"), batch.column("n")]
+        yield pa.RecordBatch.from_arrays(out, names=["doc", "start", "end", "doc1", "n"]).filter(pa.array((left >= SEED) & (right >= SEED)))
+
+
+def whole_spans(docs: DataFrame, min_span: int = MIN_SPAN) -> DataFrame:
+    """The rows of repeated_spans, with passages found wherever their cuts fall, and to their last byte.
+
+    Seeds take the place of chunks: every string of min_span bytes holds one. Seeds that touch and repeat one place of
+    one document are a run; the bytes around a run are compared with those around the place it repeats (the first of
+    its seeds), REACH to each side, and an extended run of min_span bytes or more is a repeat. n_chunks counts seeds.
+    What stays behind, as only the first place of a seed is compared: less than SEED bytes at an edge, or a passage of
+    min_span to about 2 * SEED + WINDOW bytes, if all seeds in it stand still earlier in other surroundings.
+    """
+    if min_span < SEED + WINDOW - 1:
+        raise ValueError(f"min_span must be {SEED + WINDOW - 1} or more")
+    slim = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), "text")
+    cut = slim.mapInArrow(_seed, "doc long, h long, start int, again boolean")
+    seen = cut.groupBy("h").agg(F.min(F.struct("doc", "start")).alias("f"), F.count(F.lit(1)).alias("n")).where("n > 1").select("h", F.col("f.doc").alias("doc1"), F.col("f.start").alias("start1"))
+    later = cut.join(seen, "h").where("doc > doc1 or again")
+    repeats = later.groupBy("doc", "start").agg(F.min(F.struct("doc1", "start1")).alias("f")).select("doc", "start", "f.doc1", (F.col("start") - F.col("f.start1")).alias("shift"))
+    by_place = Window.partitionBy("doc", "doc1", "shift").orderBy("start")
+    new = F.when(F.col("start") - F.lag("start").over(by_place) <= SEED, 0).otherwise(1)
+    runs = (
+        repeats.withColumn("new", new).withColumn("run", F.sum("new").over(by_place.rowsBetween(Window.unboundedPreceding, 0)))
+        .groupBy("doc", "doc1", "shift", "run").agg(F.min("start").alias("start"), (F.max("start") + SEED).alias("end"), F.count(F.lit(1)).alias("n"))
+        .where("doc <> doc1 or shift <> 0")
+    )
+    texts = slim.select(F.col("doc").alias("own"), F.encode("text", "UTF-8").alias("bytes")).repartition("own")
+
+    def around(start, end):
+        begin = F.greatest(start - REACH, F.lit(0))
+        return F.substring("bytes", begin + 1, start + SEED - begin), F.substring("bytes", end - SEED + 1, F.lit(SEED + REACH))
+
+    left1, right1 = around(F.col("start") - F.col("shift"), F.col("end") - F.col("shift"))
+    there = runs.join(texts, F.col("doc1") == F.col("own")).select(*runs.columns, left1.alias("left1"), right1.alias("right1"))
+    left, right = around(F.col("start"), F.col("end"))
+    both = there.join(texts, F.col("doc") == F.col("own")).select("doc", "start", "end", "doc1", "n", left.alias("left"), right.alias("right"), "left1", "right1")
+    found = both.mapInArrow(_extend, "doc long, start int, end int, doc1 long, n long").where(F.col("end") - F.col("start") >= min_span)
+    in_order = Window.partitionBy("doc").orderBy("start", "end")
+    ends = F.max("end").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+    spans = (
+        found.groupBy("doc", "start", "end", "doc1").agg(F.max("n").alias("n"))
+        .withColumn("new", F.when(F.col("start") <= ends, 0).otherwise(1))
+        .withColumn("span", F.sum("new").over(in_order.rowsBetween(Window.unboundedPreceding, 0)))
+        .groupBy("doc", "span").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("n").alias("n_chunks"), F.min_by("doc1", F.struct("start", "doc1")).alias("first"))
+    )
+    real = lambda c, name: F.when(F.col(c) != NO_ID, F.col(c)).alias(name)
+    return spans.select(real("doc", "doc_id"), "start", (F.col("end") - F.col("start")).alias("length"), "n_chunks", real("first", "first_doc_id"))
+
+
 def without_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """docs with the bytes of spans taken out of text; broken characters at the edges are dropped, other columns stay."""
     held = spans.groupBy(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("_at")).agg(F.array_sort(F.collect_list(F.struct("start", "length"))).alias("_spans"))

@@ -108,7 +108,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cdc.repeated_spans(table(spark, sf_dir, "documents"))
+    return cdc.whole_spans(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (op1_url_rules, op2_suffix_dedup, op3_mix_sources, op4_token_rollups, op5_benchmark_overlaps, op6_token_files, op7_language, op8_near_duplicates, op9_quality, op10_repeated_spans)}
