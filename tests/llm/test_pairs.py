@@ -344,3 +344,36 @@ def test_whole_spans_hold_repeats_only(spark, sentence, documents, nothing):
     odd = cdc.whole_spans(documents)
     assert odd.where("doc_id = 44").count() == 1 and odd.where("doc_id = 43").count() == 0
     assert cdc.whole_spans(nothing).count() == 0
+
+
+def brute_overlap(doc, item, shift, least):
+    """The highest sum of any part from an equal token to an equal token, None if it is below 0."""
+    lo, hi = max(0, -shift), min(len(item), len(doc) - shift)
+    score = [1 if item[i] == doc[i + shift] else -4 for i in range(lo, hi)]
+    sums = [sum(score[i:j]) for i in range(len(score)) for j in range(i + least, len(score) + 1) if score[i] == score[j - 1] == 1]
+    return max((x for x in sums if x >= 0), default=None)
+
+
+def test_best_overlap_is_the_best():
+    rng, found = np.random.default_rng(6), 0
+    for _ in range(400):
+        doc, item = rng.integers(0, 1000, 60).astype(np.uint64), rng.integers(1000, 2000, 30).astype(np.uint64)
+        shift = int(rng.integers(-10, 45))
+        for i in range(max(0, -shift), min(30, 60 - shift)):
+            if rng.random() < 0.83:
+                item[i] = doc[i + shift]
+        start, length, equal = decontam.best_overlap(doc, item, shift, 13)
+        want = brute_overlap(doc, item, shift, 13)
+        assert (equal * 5 - length * 4 if length else None) == want
+        assert not length or equal == (item[start : start + length] == doc[start + shift : start + shift + length]).sum()
+        found += length > 0
+    assert found > 100
+
+
+def test_overlap_after_a_changed_middle(spark, sentence):
+    rng = random.Random(40)
+    item = [f"t{i}" for i in range(40)]
+    doc = sentence(rng, 20).split() + item[:11] + [f"z{i}" for i in range(10)] + item[21:] + sentence(rng, 20).split()
+    docs = spark.createDataFrame([(1, " ".join(doc)), (2, sentence(rng, 80))], "doc_id long, text string")
+    got = decontam.hits(docs, spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")).collect()
+    assert [tuple(r) for r in got] == [(1, 7, 41, 21, 19, 19)]

@@ -2,9 +2,10 @@
 
 A mask of fixed form slides over the tokens of benchmark items and documents; the tokens it selects are hashed,
 those it ignores may differ. Hashes of both sides are joined, each hit fixes how a document lies against an item,
-and the tokens around it are compared one by one: an overlap is extended to both sides as long as that pays, with
-+1 for each equal token and -4 for each substituted one. Documents with an overlap of `min_overlap` tokens (the
-whole item if it has fewer) with four tokens in five equal are contaminated.
+and all their tokens that then face each other are compared one by one, with +1 for each equal token and -4 for each
+substituted one: the overlap is the part of `min_overlap` tokens or more, from an equal token to an equal token, with
+the highest sum. Documents with an overlap of `min_overlap` tokens (the whole item if it has fewer) with four tokens
+in five equal are contaminated.
 
 Document hashes pass a bit table of the benchmark's hashes before they are shuffled. Its size is bounded whatever
 the benchmark's (2**27 bits, 16 MB): a fuller table lets more hashes through to the join and loses none.
@@ -108,6 +109,27 @@ def overlaps(doc: np.ndarray, item: np.ndarray, shift: int, hit: int, span: int)
     return start, end - start, int(same[start - lo : end - lo].sum())
 
 
+def best_overlap(doc: np.ndarray, item: np.ndarray, shift: int, min_overlap: int) -> tuple[int, int, int]:
+    """(start in the item, length, equal tokens) of the best overlap at a shift, length 0 if none is long and equal enough."""
+    lo, hi = max(0, -shift), min(len(item), len(doc) - shift)
+    same = item[lo:hi] == doc[lo + shift : hi + shift]
+    n, sums = len(same), np.concatenate([[0], np.cumsum(np.where(same, 1, -SUBSTITUTION))])
+    if len(item) < min_overlap:
+        return (0, n, int(same.sum())) if n == len(item) and sums[-1] >= 0 else (0, 0, 0)
+    if n < min_overlap:
+        return 0, 0, 0
+    never = SUBSTITUTION * (n + 1)
+    begin = np.where(same, sums[:-1], never)
+    low = np.minimum.accumulate(begin)[: n - min_overlap + 1]
+    gain = np.where(same, sums[1:], -never)[min_overlap - 1 :] - low
+    if gain.max() < 0:
+        return 0, 0, 0
+    ends = np.flatnonzero(gain == gain.max())
+    starts = [int((begin == low[i]).argmax()) for i in ends]
+    length, start = max((int(i) + min_overlap - s, s) for i, s in zip(ends, starts, strict=True))
+    return lo + start, length, int(same[start : start + length].sum())
+
+
 def hits(docs: DataFrame, items: DataFrame, min_overlap: int = 13) -> DataFrame:
     """(doc_id, item_id, doc_start, item_start, overlap, equal): the longest overlap of each document row with each
     item it holds a part of; places and lengths count tokens. docs has doc_id and text, items item_id and text."""
@@ -146,24 +168,19 @@ def hits(docs: DataFrame, items: DataFrame, min_overlap: int = 13) -> DataFrame:
     rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
     with_hits = rows.mapInArrow(run, f"row long, doc_id {doc_type}, hs array<long>, places array<int>, tokens binary").cache()
     each = with_hits.select("row", F.explode(F.arrays_zip("hs", "places")).alias("x")).select("row", F.col("x.hs").alias("h"), F.col("x.places").alias("doc_at"))
-    lain = (
-        each.join(seed_rows, "h").groupBy("row", "item", (F.col("doc_at") - F.col("item_at")).alias("shift"))
-        .agg(F.min(F.struct("item_at", "size")).alias("hit")).select("row", "item", "shift", F.col("hit.item_at").alias("hit"), F.col("hit.size").alias("size"))
-    )
+    lain = each.join(seed_rows, "h").select("row", "item", (F.col("doc_at") - F.col("item_at")).alias("shift")).distinct()
     item_rows = numbered.mapInArrow(_item_tokens, f"item long, item_id {item_type}, item_tokens binary")
     candidates = lain.join(item_rows, "item").join(with_hits.select("row", "doc_id", "tokens"), "row")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cols = [batch.column(c).to_pylist() for c in ("shift", "hit", "size", "tokens", "item_tokens")]
-            found = [overlaps(np.frombuffer(d, np.uint64), np.frombuffer(i, np.uint64), s, h, z) for s, h, z, d, i in zip(*cols, strict=True)]
+            cols = [batch.column(c).to_pylist() for c in ("shift", "tokens", "item_tokens")]
+            found = [best_overlap(np.frombuffer(d, np.uint64), np.frombuffer(i, np.uint64), s, min_overlap) for s, d, i in zip(*cols, strict=True)]
             starts, lengths, equal = (np.array(x, np.int32) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int32),) * 3
-            size = np.array([len(i) // 8 for i in cols[4]], np.int32)
-            enough = (lengths >= np.minimum(size, min_overlap)) & (equal * 5 >= lengths * 4)
             out = [batch.column("row"), batch.column("doc_id"), batch.column("item"), batch.column("item_id"), pa.array(starts + np.array(cols[0], np.int32)), pa.array(starts), pa.array(lengths), pa.array(equal)]
-            yield pa.RecordBatch.from_arrays(out, names=["row", "doc_id", "item", "item_id", "doc_start", "item_start", "overlap", "equal"]).filter(pa.array(enough))
+            yield pa.RecordBatch.from_arrays(out, names=["row", "doc_id", "item", "item_id", "doc_start", "item_start", "overlap", "equal"]).filter(pa.array(lengths > 0))
 
-    slim = candidates.select("row", "doc_id", "item", "item_id", "shift", "hit", "size", "tokens", "item_tokens")
+    slim = candidates.select("row", "doc_id", "item", "item_id", "shift", "tokens", "item_tokens")
     schema = f"row long, doc_id {doc_type}, item long, item_id {item_type}, doc_start int, item_start int, overlap int, equal int"
     best = F.max(F.struct("overlap", "equal", (-F.col("doc_start")).alias("first"), "item_start", "doc_id", "item_id")).alias("b")
     found = slim.mapInArrow(compare, schema).groupBy("row", "item").agg(best)
