@@ -1,6 +1,7 @@
 """Near duplicates, exact substrings, chunks and benchmark overlaps against brute force."""
 
 import hashlib
+import itertools
 import random
 import re
 from collections import defaultdict
@@ -377,3 +378,43 @@ def test_overlap_after_a_changed_middle(spark, sentence):
     docs = spark.createDataFrame([(1, " ".join(doc)), (2, sentence(rng, 80))], "doc_id long, text string")
     got = decontam.hits(docs, spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")).collect()
     assert [tuple(r) for r in got] == [(1, 7, 41, 21, 19, 19)]
+
+
+def least_blocks(masks, upto):
+    """For each length, the fewest substitutions that leave no place to any mask; both ends are equal tokens."""
+    n = 1 << max(map(len, masks))
+    last = np.arange(n)  # substitutions among the last tokens, the newest in bit 0; before the first all count as such
+    hit = np.zeros(n, bool)
+    for m in masks:
+        hit |= (last & int(m, 2)) == 0
+    cost, out = np.full(n, 10**6), {}
+    cost[n - 1] = 0
+    for length in range(1, upto + 1):
+        new = np.full(n, 10**6)
+        for bit in (0,) if length == 1 else (0, 1):
+            np.minimum.at(new, (last << 1) & (n - 1) | bit, cost + bit)
+        new[hit] = 10**6
+        cost = new
+        out[length] = int(cost[last & 1 == 0].min())
+    return out
+
+
+def test_masks_hit_every_allowed_overlap():
+    assert max(map(len, decontam.MASKS)) <= decontam.SPAN
+    least = least_blocks(decontam.MASKS, 200)
+    assert all(least[n] > n // 5 for n in range(13, 201))
+    for n in (11, 12):
+        for gone in itertools.combinations(range(n), n // 5):
+            assert any(all(c == "0" or at + j not in gone for j, c in enumerate(m)) for m in decontam.MASKS for at in range(n - len(m) + 1))
+
+
+def test_overlaps_with_substitutions_anywhere(spark, sentence):
+    rng, items, docs = random.Random(80), [], []
+    for i in range(300):
+        n = rng.randint(13, 24)
+        item = [f"i{i}x{j}" for j in range(n)]
+        gone = {n // 2 - 1, n // 2} if i % 3 == 0 else set(rng.sample(range(1, n - 1), n // 5))
+        items.append((i, " ".join(item)))
+        docs.append((i, " ".join(sentence(rng, 20).split() + [f"z{j}" if j in gone else t for j, t in enumerate(item)] + sentence(rng, 20).split())))
+    got = decontam.hits(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(i, i) for i in range(300)}

@@ -26,8 +26,9 @@ from pyspark.sql import functions as F
 
 from voxelflux.llm import textnum as tn
 
-#: 1 takes a token into the hash, 0 ignores it.
-MASKS = ("11101011011", "11011010111", "10110111101")
+#: 1 takes a token into the hash, 0 ignores it. Together they hit every overlap of 13 tokens or more, and every
+#: whole item of 11 or 12, with four tokens in five equal, wherever the others are; a test goes through all cases.
+MASKS = ("1111011", "110010111", "11000100111", "11111001")
 SPAN = 11
 LEAST = 5
 SUBSTITUTION = 4
