@@ -104,6 +104,20 @@ def test_url_rules(spark):
     assert {r.verdict for r in urlfilter.judge(pages, labelled.where("1 = 0")).where("rule is null").collect()} == {"allow"}
 
 
+def test_many_sure_rules_do_not_hide_less_sure_ones(spark, monkeypatch):
+    bad = [f"https://w{i}.v{i}.u{i}.bad{i}.net/a{i}/b{i}/c{i}/d{i}" for i in range(17)]
+    rows = [(u, True) for u in bad for _ in range(20)] + [("https://soft.info/s", i < 20) for i in range(30)] + [(f"https://ok{i % 9}.net/x", False) for i in range(900)]
+    labelled = spark.createDataFrame(rows, "url string, bad boolean").repartition(4)
+    rules = [(frozenset(r.tokens), r.confidence) for r in urlfilter.mine(labelled).collect()]
+    assert not any(a < b and p >= q for a, p in rules for b, q in rules)
+    assert len({t for t, _ in rules}) == len(rules) and (frozenset(["h:soft.info"]), 2 / 3) in rules
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate([*bad, "https://soft.info/other", "https://ok1.net/x", None])], "page_id long, url string")
+    for small in (urlfilter.SMALL, 3):
+        monkeypatch.setattr(urlfilter, "SMALL", small)
+        got = {r.page_id: r.verdict for r in urlfilter.judge(pages, labelled).collect()}
+        assert got == {i: "block" if i < 18 else "allow" for i in range(20)}
+
+
 def test_rollup(spark, documents, tmp_path):
     rollup = tokencounts.Rollup(spark, f"file://{tmp_path}/r")
     assert rollup.totals().count() == 0
