@@ -418,3 +418,10 @@ def test_overlaps_with_substitutions_anywhere(spark, sentence):
         docs.append((i, " ".join(sentence(rng, 20).split() + [f"z{j}" if j in gone else t for j, t in enumerate(item)] + sentence(rng, 20).split())))
     got = decontam.hits(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
     assert {(r.doc_id, r.item_id) for r in got} == {(i, i) for i in range(300)}
+
+
+def test_components_never_stop_half_way(spark):
+    chain = spark.createDataFrame([(i, i + 1) for i in range(60)], "a long, b long")
+    with pytest.raises(RuntimeError, match="still change"):
+        components.components(chain, rounds=1)
+    assert {r.root for r in components.components(chain).collect()} == {0}

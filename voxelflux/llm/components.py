@@ -2,24 +2,29 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxelflux.llm.store import settle
 
 
-def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
+def components(edges: DataFrame, rounds: int | None = None) -> DataFrame:
     """(node, root) for every node of edges (a, b); root is the smallest node of the component.
 
     Each step joins edges with one row a node, its smallest neighbour, so a node with very many edges is one
-    skewed key that adaptive execution splits. Steps end when the edges no longer change.
+    skewed key that adaptive execution splits. Steps end when the edges no longer change; if `rounds`
+    are given and run out before that, it is an error.
     """
     now = settle(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     before = None
-    for _ in range(rounds):
+    for done in count():
         mark = now.agg(F.count(F.lit(1)), F.sum(F.pmod(F.xxhash64("a", "b"), F.lit(1 << 40)))).first()
         if mark == before or not mark[0]:
             break
+        if rounds is not None and done >= rounds:
+            raise RuntimeError(f"components still change after {rounds} rounds")
         before = mark
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
