@@ -1,27 +1,29 @@
 """Substring dedup by content-defined chunks.
 
 A gear rolling hash runs over the bytes of every text: each byte's random 32-bit value is added to the hash shifted
-by one bit, so the hash sees the last 32 bytes. Where its top bits are zero a chunk ends, wherever in the text
-that is, so an insertion moves no cut but those near it. A cut within `least` bytes after another is ignored, and
-stretches without a cut are divided every `most` bytes.
-
-Chunks are compared by a 128-bit digest. The first chunk of a digest (smallest doc_id, then smallest start) stays;
-later ones are repeats. Repeats that touch form a span, and spans of `min_span` bytes or more are removed. A digest
-that very many documents hold is one skewed key of a join between chunks and one row for each repeated digest,
-which adaptive execution splits; the rows before it are pre-aggregated.
-
-repeated_spans() compares whole chunks only, so a passage whose cuts fall badly is cut short or missed;
-whole_spans(), which op10 uses, finds it by seeds at local minima of the same rolling hash and extends it by bytes.
-
-Defined cases: null and empty texts have no chunks; texts shorter than a chunk are one chunk, so short copies are
-found too if they have min_span bytes; rows that share a doc_id count as one document if their texts are equal,
-else the one that starts first wins and equal places are no repeats of each other; rows without doc_id come last;
-an empty table gives no rows; other columns are left alone.
+by one bit, so the hash sees the last 32 bytes. A chunk ends where the hash is the least of the `WINDOW` places before and
+after, so a cut depends on the bytes around it and on nothing else: an insertion moves no cut but those near it, and a
+passage has the same cuts wherever it stands. Where text repeats itself in short periods, equal minima stand side by
+side; one in `WINDOW` bytes is a cut. Stretches without a cut are divided every `MOST` bytes.
+
+ 1. Chunks are compared by a 64-bit digest. The first chunk of a digest (smallest document, then smallest start) stays;
+    later ones are repeats of it. The rows of a digest are pre-aggregated to its first place; a digest that very many
+    documents hold is one skewed key of a join with that one row, which adaptive execution splits.
+ 2. Repeats that touch and repeat one place of one document are a run. A passage begins and ends inside chunks, so the
+    bytes around a run are compared with those around the place it repeats, `REACH` to each side, as are its outer
+    chunks themselves. What is left after that has its true bounds; with `min_span` bytes or more it is a repeat.
+ 3. Repeats that touch or overlap are one span.
+
+A chunk is compared with its first place only. So a passage can lose up to a chunk at an edge, or be missed, if
+all of its chunks stand still earlier in other surroundings.
+
+Documents are told apart by identity.numbered(): ids, then rows without id and further texts under one id, each a
+document of its own; rows that agree in id and text are one document, and no repeats of each other. Other cases:
+null and empty texts have no chunks; an empty table gives no rows; other columns are left alone, whatever their names.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,9 +32,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from voxelflux.llm import textnum as tn
-
-BITS, LEAST, MOST, MIN_SPAN = 5, 24, 512, 96
-NO_ID = 2**63 - 1
+from voxelflux.llm.identity import numbered, one_each
+from voxelflux.llm.store import prepare, settle
+
+#: A cut is the least of 2 * WINDOW + 1 places, so chunks have some 49 bytes. REACH is MOST, so that a passage's last bytes, which are
+#: fewer than MOST after its last cut, are compared whole.
+WINDOW, MOST, REACH, MIN_SPAN = 24, 256, 256, 96
+#: A repeated string of so many bytes holds a whole chunk, but for stretches of few different bytes; shorter ones hold one less often.
+SURE = 200
+SEEN = 31  # places that the hash at a byte sees before it
 #: One value for each byte, from a rule, so that every run cuts alike.
 GEAR = (tn.mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(tn.BASE)) >> np.uint64(32)).astype(np.uint32)
 
@@ -47,21 +55,34 @@ def gear(data: np.ndarray) -> np.ndarray:
     return h
 
 
-def chunks(data: np.ndarray, offsets: np.ndarray, bits: int = BITS, least: int = LEAST, most: int = MOST) -> tuple[np.ndarray, np.ndarray]:
+def cuts(data: np.ndarray, offsets: np.ndarray, window: int = WINDOW) -> np.ndarray:
+    """Places in all rows where a chunk begins because the hash of the byte before is a local minimum."""
+    n = len(data)
+    if n < SEEN + 2 * window + 1:
+        return np.zeros(0, np.int64)
+    h = gear(data)
+    low, width = h, 1
+    while width < window:  # low[i] becomes the least of h[i : i + window]
+        step = min(width, window - width)
+        low, width = np.minimum(low[:-step], low[step:]), width + step
+    at = np.arange(window, n - window)
+    at = at[(h[at] <= low[: n - 2 * window]) & (h[at] <= low[window + 1 :])]
+    row = np.searchsorted(offsets, at, side="right") - 1
+    inside = (at - offsets[row] >= SEEN + window) & (at + window < offsets[row + 1])  # no hash of the row before or after
+    at, row = at[inside], row[inside]
+    new = np.append(True, (np.diff(at) > window) | (row[1:] != row[:-1]))[: len(at)]
+    if not new.all():  # equal minima stand side by side where text repeats itself: one in `window` places from the first on
+        place = (at - at[np.flatnonzero(new)[np.cumsum(new) - 1]]) // window
+        at = at[new | np.append(True, place[1:] != place[:-1])]
+    return at + 1
+
+
+def chunks(data: np.ndarray, offsets: np.ndarray, window: int = WINDOW, most: int = MOST) -> tuple[np.ndarray, np.ndarray]:
     """Starts of all chunks of all rows, and their ends."""
     n = len(data)
     if n == 0:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    cut = np.flatnonzero(gear(data) >> np.uint32(32 - bits) == 0) + 1
-    row = np.searchsorted(offsets, cut - 1, side="right") - 1
-    inside = (cut - offsets[row] >= 32) & (cut < offsets[row + 1])  # the hash must not see the row before
-    cut, row = cut[inside], row[inside]
-    if len(cut):
-        apart = np.ones(len(cut), bool)
-        apart[1:] = (np.diff(cut) >= least) | (row[1:] != row[:-1])
-        cut = cut[apart]
-    first = offsets[:-1][np.diff(offsets) > 0]
-    starts = np.union1d(first, cut)
+    starts = np.union1d(offsets[:-1][np.diff(offsets) > 0], cuts(data, offsets, window))
     ends = np.append(starts[1:], n)
     extra = (ends - starts - 1) // most
     if extra.any():
@@ -73,164 +94,94 @@ def chunks(data: np.ndarray, offsets: np.ndarray, bits: int = BITS, least: int =
 
 
 def _chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The chunks of each document; `again` marks those that the document itself has before."""
     for batch in batches:
         for part in tn.slices(batch):
             data, offsets = tn.raw(part.column("text"))
             starts, ends = chunks(data, offsets)
             row = np.searchsorted(offsets, starts, side="right") - 1
-            whole = memoryview(data.tobytes())
-            digests = b"".join(hashlib.blake2b(whole[s:e], digest_size=16).digest() for s, e in zip(starts.tolist(), ends.tolist(), strict=True))
+            digest = tn.Hasher(data).of(starts, ends)
             again = np.ones(len(starts), bool)
-            _, first = np.unique(np.frombuffer(digests, np.uint64)[::2] + row.astype(np.uint64) * np.uint64(tn.BASE), return_index=True)
+            _, first = np.unique(tn.mix(digest) + row.astype(np.uint64) * np.uint64(tn.BASE), return_index=True)
             again[first] = False
-            out = [part.column("doc").take(pa.array(row)), tn.binary(np.frombuffer(digests, np.uint8), np.arange(len(starts) + 1) * 16)]
-            out += [pa.array((starts - offsets[row]).astype(np.int32)), pa.array((ends - starts).astype(np.int32)), pa.array(again)]
+            out = [part.column("doc").take(pa.array(row)), pa.array(digest.view(np.int64)), pa.array((starts - offsets[row]).astype(np.int32)), pa.array((ends - starts).astype(np.int32)), pa.array(again)]
             yield pa.RecordBatch.from_arrays(out, names=["doc", "digest", "start", "length", "again"])
 
 
-def repeated_spans(docs: DataFrame, min_span: int = MIN_SPAN) -> DataFrame:
-    """(doc_id, start, length, n_chunks, first_doc_id): byte spans of docs (doc_id, text) that repeat earlier text.
-
-    first_doc_id is the document that holds the first chunk of the span for the first time.
-    """
-    slim = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), "text")
-    cut = slim.mapInArrow(_chunk, "doc long, digest binary, start int, length int, again boolean")
-    seen = cut.groupBy("digest").agg(F.min("doc").alias("doc1"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    later = cut.join(seen, "digest").where("doc > doc1 or again")
-    repeats = later.groupBy("doc", "start", "length").agg(F.min("doc1").alias("doc1"))
-    by_place = Window.partitionBy("doc").orderBy("start", "length")
-    ends = F.max(F.col("start") + F.col("length")).over(by_place.rowsBetween(Window.unboundedPreceding, -1))
-    spans = (
-        repeats.withColumn("new", F.when(F.col("start") <= ends, 0).otherwise(1))
-        .withColumn("span", F.sum("new").over(by_place.rowsBetween(Window.unboundedPreceding, 0)))
-        .groupBy("doc", "span")
-        .agg(F.min("start").alias("start"), F.max(F.col("start") + F.col("length")).alias("end"), F.count(F.lit(1)).alias("n_chunks"), F.min_by("doc1", "start").alias("first"))
-    )
-    real = lambda c, name: F.when(F.col(c) != NO_ID, F.col(c)).alias(name)
-    length = F.col("end") - F.col("start")
-    return spans.where(length >= min_span).select(real("doc", "doc_id"), "start", length.alias("length"), "n_chunks", real("first", "first_doc_id"))
-
-
-#: Seeds of whole_spans: SEED bytes around the smallest gear hash of any WINDOW places, so that a string of SEED + WINDOW - 1
-#: bytes (95, less than MIN_SPAN) has a seed wherever it stands, less than WINDOW bytes from its edges: so REACH bytes beyond a run of seeds are compared.
-SEED, WINDOW, REACH = 48, 48, 48
-
-
-def seeds(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Starts of the seeds of all rows: 8 bytes, the 32 bytes that the smallest hash of a window sees, and 8 more.
-
-    Of a stretch of one and the same byte, whose seeds are all equal, one place in 16 and the ends are taken.
-    """
-    n = len(data)
-    if n < SEED + WINDOW - 1 or n >= 1 << 32:
-        if n >= 1 << 32:
-            raise ValueError("a slice of text of 4 GB or more")
-        return np.zeros(0, np.int64)
-    h = gear(data)
-    low = h[39 : n - 8].astype(np.uint64) << np.uint64(32) | np.arange(n - SEED + 1, dtype=np.uint64)  # by start of the seed
-    width = 1
-    while width < WINDOW:
-        step = min(width, WINDOW - width)
-        low, width = np.minimum(low[: len(low) - step], low[step:]), width + step
-    row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-    fits = row[: len(low)] == row[SEED + WINDOW - 2 :]
-    at = np.unique((low[fits] & np.uint64(0xFFFFFFFF)).astype(np.int64))
-    if len(at):
-        hash_at = lambda i: h[np.clip(i + 39, 0, n - 1)]
-        flat = (hash_at(at) == hash_at(at - 1)) & (hash_at(at) == hash_at(at + 1))
-        at = at[~flat | ((at - offsets[row[at]]) % 16 == 0)]
-    return at
-
-
-def _seed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for part in tn.slices(batch):
-            data, offsets = tn.raw(part.column("text"))
-            starts = seeds(data, offsets)
-            row = np.searchsorted(offsets, starts, side="right") - 1
-            h = tn.Hasher(data).of(starts, starts + SEED)
-            again = np.ones(len(starts), bool)
-            _, first = np.unique(h + row.astype(np.uint64) * np.uint64(tn.BASE), return_index=True)
-            again[first] = False
-            out = [part.column("doc").take(pa.array(row)), pa.array(h.view(np.int64)), pa.array((starts - offsets[row]).astype(np.int32)), pa.array(again)]
-            yield pa.RecordBatch.from_arrays(out, names=["doc", "h", "start", "again"])
-
-
 def _shared(a: pa.Array, b: pa.Array, backwards: bool) -> np.ndarray:
     """How many bytes the values of two binary columns share at their starts, or at their ends."""
+    (x, x_at), (y, y_at) = tn.raw(a), tn.raw(b)
     out = np.zeros(len(a), np.int64)
-    for i, (x, y) in enumerate(zip(a.to_pylist(), b.to_pylist(), strict=True)):
-        n = min(len(x), len(y))
-        u, v = (np.frombuffer(z, np.uint8)[len(z) - n :][::-1] if backwards else np.frombuffer(z, np.uint8)[:n] for z in (x, y))
-        differ = u != v
+    for i in range(len(a)):
+        u, v = x[x_at[i] : x_at[i + 1]], y[y_at[i] : y_at[i + 1]]
+        n = min(len(u), len(v))
+        differ = u[len(u) - n :][::-1] != v[len(v) - n :][::-1] if backwards else u[:n] != v[:n]
         out[i] = int(differ.argmax()) if differ.any() else n
     return out
 
 
 def _extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Runs with the bytes around both places to runs with their true bounds; runs whose seeds differ are dropped."""
+    """Runs with the bytes around both places to runs with their true bounds; runs whose outer chunks differ are dropped."""
     for batch in batches:
         left = _shared(batch.column("left"), batch.column("left1"), True)
         right = _shared(batch.column("right"), batch.column("right1"), False)
-        start, end = batch.column("start").to_numpy() - (left - SEED), batch.column("end").to_numpy() + right - SEED
-        out = [batch.column("doc"), pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32)), batch.column("doc1"), batch.column("n")]
-        yield pa.RecordBatch.from_arrays(out, names=["doc", "start", "end", "doc1", "n"]).filter(pa.array((left >= SEED) & (right >= SEED)))
+        head, tail = batch.column("head").to_numpy(), batch.column("tail").to_numpy()
+        start, end = batch.column("start").to_numpy() - (left - head), batch.column("end").to_numpy() + right - tail
+        out = [batch.column("doc"), batch.column("doc_id"), pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32)), batch.column("first_doc_id"), batch.column("n")]
+        yield pa.RecordBatch.from_arrays(out, names=["doc", "doc_id", "start", "end", "first_doc_id", "n"]).filter(pa.array((left >= head) & (right >= tail)))
+
+
+def _around(start, end, head, tail):
+    """The bytes before the end of a run's first chunk and after the start of its last, REACH beyond the run."""
+    begin = F.greatest(start - REACH, F.lit(0))
+    return F.substring("bytes", begin + 1, start + head - begin), F.substring("bytes", end - tail + 1, tail + REACH)
 
 
-def whole_spans(docs: DataFrame, min_span: int = MIN_SPAN) -> DataFrame:
-    """The rows of repeated_spans, with passages found wherever their cuts fall, and to their last byte.
+def repeated_spans(docs: DataFrame, min_span: int = MIN_SPAN) -> DataFrame:
+    """(doc_id, start, length, n_chunks, first_doc_id, doc): byte spans of docs (doc_id, text) that repeat earlier text.
 
-    Seeds take the place of chunks: every string of min_span bytes holds one. Seeds that touch and repeat one place of
-    one document are a run; the bytes around a run are compared with those around the place it repeats (the first of
-    its seeds), REACH to each side, and an extended run of min_span bytes or more is a repeat. n_chunks counts seeds.
-    What stays behind, as only the first place of a seed is compared: less than SEED bytes at an edge, or a passage of
-    min_span to about 2 * SEED + WINDOW bytes, if all seeds in it stand still earlier in other surroundings.
+    first_doc_id is the document whose text the span repeats where it begins; doc is the number of identity.numbered().
     """
-    if min_span < SEED + WINDOW - 1:
-        raise ValueError(f"min_span must be {SEED + WINDOW - 1} or more")
-    slim = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), "text")
-    cut = slim.mapInArrow(_seed, "doc long, h long, start int, again boolean")
-    seen = cut.groupBy("h").agg(F.min(F.struct("doc", "start")).alias("f"), F.count(F.lit(1)).alias("n")).where("n > 1").select("h", F.col("f.doc").alias("doc1"), F.col("f.start").alias("start1"))
-    later = cut.join(seen, "h").where("doc > doc1 or again")
-    repeats = later.groupBy("doc", "start").agg(F.min(F.struct("doc1", "start1")).alias("f")).select("doc", "start", "f.doc1", (F.col("start") - F.col("f.start1")).alias("shift"))
+    prepare(docs.sparkSession)
+    slim = one_each(numbered(docs))
+    cut = settle(slim.select("doc", "text").mapInArrow(_chunk, "doc long, digest long, start int, length int, again boolean"), "chunks")
+    fresh = F.when(~F.col("again"), F.col("doc"))
+    seen = cut.groupBy("digest").agg(F.min(fresh).alias("doc1"), F.min_by("start", fresh).alias("start1"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    repeats = cut.join(seen, "digest").where("doc > doc1 or again").select("doc", "start", "length", "doc1", (F.col("start") - F.col("start1")).alias("shift"))
     by_place = Window.partitionBy("doc", "doc1", "shift").orderBy("start")
-    new = F.when(F.col("start") - F.lag("start").over(by_place) <= SEED, 0).otherwise(1)
+    touches = F.col("start") == F.lag(F.col("start") + F.col("length")).over(by_place)
     runs = (
-        repeats.withColumn("new", new).withColumn("run", F.sum("new").over(by_place.rowsBetween(Window.unboundedPreceding, 0)))
-        .groupBy("doc", "doc1", "shift", "run").agg(F.min("start").alias("start"), (F.max("start") + SEED).alias("end"), F.count(F.lit(1)).alias("n"))
-        .where("doc <> doc1 or shift <> 0")
+        repeats.withColumn("new", F.when(touches, 0).otherwise(1)).withColumn("run", F.sum("new").over(by_place.rowsBetween(Window.unboundedPreceding, 0)))
+        .groupBy("doc", "doc1", "shift", "run")
+        .agg(F.min("start").alias("start"), F.max(F.col("start") + F.col("length")).alias("end"), F.min_by("length", "start").alias("head"), F.max_by("length", "start").alias("tail"), F.count(F.lit(1)).alias("n"))
+        .drop("run")
     )
-    texts = slim.select(F.col("doc").alias("own"), F.encode("text", "UTF-8").alias("bytes")).repartition("own")
-
-    def around(start, end):
-        begin = F.greatest(start - REACH, F.lit(0))
-        return F.substring("bytes", begin + 1, start + SEED - begin), F.substring("bytes", end - SEED + 1, F.lit(SEED + REACH))
-
-    left1, right1 = around(F.col("start") - F.col("shift"), F.col("end") - F.col("shift"))
-    there = runs.join(texts, F.col("doc1") == F.col("own")).select(*runs.columns, left1.alias("left1"), right1.alias("right1"))
-    left, right = around(F.col("start"), F.col("end"))
-    both = there.join(texts, F.col("doc") == F.col("own")).select("doc", "start", "end", "doc1", "n", left.alias("left"), right.alias("right"), "left1", "right1")
-    found = both.mapInArrow(_extend, "doc long, start int, end int, doc1 long, n long").where(F.col("end") - F.col("start") >= min_span)
+    texts = slim.select(F.col("doc").alias("own"), F.col("doc_id").alias("own_id"), F.encode("text", "UTF-8").alias("bytes")).repartition("own")
+    left1, right1 = _around(F.col("start") - F.col("shift"), F.col("end") - F.col("shift"), F.col("head"), F.col("tail"))
+    there = runs.join(texts, F.col("doc1") == F.col("own")).select(*runs.columns, F.col("own_id").alias("first_doc_id"), left1.alias("left1"), right1.alias("right1"))
+    left, right = _around(F.col("start"), F.col("end"), F.col("head"), F.col("tail"))
+    both = there.join(texts, F.col("doc") == F.col("own")).select("doc", F.col("own_id").alias("doc_id"), "start", "end", "head", "tail", "first_doc_id", "n", left.alias("left"), right.alias("right"), "left1", "right1")
+    found = both.mapInArrow(_extend, "doc long, doc_id long, start int, end int, first_doc_id long, n long").where(F.col("end") - F.col("start") >= min_span)
     in_order = Window.partitionBy("doc").orderBy("start", "end")
-    ends = F.max("end").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+    before = F.max("end").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
     spans = (
-        found.groupBy("doc", "start", "end", "doc1").agg(F.max("n").alias("n"))
-        .withColumn("new", F.when(F.col("start") <= ends, 0).otherwise(1))
+        found.withColumn("new", F.when(F.col("start") <= before, 0).otherwise(1))
         .withColumn("span", F.sum("new").over(in_order.rowsBetween(Window.unboundedPreceding, 0)))
-        .groupBy("doc", "span").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("n").alias("n_chunks"), F.min_by("doc1", F.struct("start", "doc1")).alias("first"))
+        .groupBy("doc", "span")
+        .agg(F.first("doc_id").alias("doc_id"), F.min("start").alias("start"), F.max("end").alias("end"), F.sum("n").alias("n_chunks"), F.min_by("first_doc_id", F.struct("start", "first_doc_id")).alias("first_doc_id"))
     )
-    real = lambda c, name: F.when(F.col(c) != NO_ID, F.col(c)).alias(name)
-    return spans.select(real("doc", "doc_id"), "start", (F.col("end") - F.col("start")).alias("length"), "n_chunks", real("first", "first_doc_id"))
+    return spans.select("doc_id", "start", (F.col("end") - F.col("start")).alias("length"), "n_chunks", "first_doc_id", "doc")
 
 
 def without_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
-    """docs with the bytes of spans taken out of text; broken characters at the edges are dropped, other columns stay."""
-    held = spans.groupBy(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("_at")).agg(F.array_sort(F.collect_list(F.struct("start", "length"))).alias("_spans"))
+    """docs with the bytes of spans (doc, start, length) taken out of text; broken characters at the edges are dropped, other columns stay."""
+    held = spans.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("start", "length"))).alias("spans"))
     names = docs.columns
-    joined = docs.withColumn("_key", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))).join(held, F.col("_key") == F.col("_at"), "left")
-    data, n = F.encode("text", "UTF-8"), F.size("_spans")
-    begin = lambda i: F.when(i == 0, F.lit(0)).otherwise(F.get("_spans", i - 1)["start"] + F.get("_spans", i - 1)["length"])
-    end = lambda i: F.when(i == n, F.octet_length(data)).otherwise(F.get("_spans", i)["start"])
-    parts = F.transform(F.sequence(F.lit(0), n), lambda i: F.coalesce(F.try_validate_utf8(F.substring(data, begin(i) + 1, end(i) - begin(i)).cast("string")), F.make_valid_utf8(F.substring(data, begin(i) + 1, end(i) - begin(i)).cast("string"))))
-    text = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(F.replace(F.array_join(parts, ""), F.lit("�"), F.lit("")))
-    return joined.withColumn("text", text).select(*names)
+    joined = numbered(docs, F.struct("*").alias("packed")).join(held, "doc", "left")
+    data, n = F.encode("text", "UTF-8"), F.size("spans")
+    begin = lambda i: F.when(i == 0, F.lit(0)).otherwise(F.get("spans", i - 1)["start"] + F.get("spans", i - 1)["length"])
+    end = lambda i: F.when(i == n, F.octet_length(data)).otherwise(F.get("spans", i)["start"])
+    kept = lambda i: F.substring(data, begin(i) + 1, end(i) - begin(i)).cast("string")
+    parts = F.transform(F.sequence(F.lit(0), n), lambda i: F.coalesce(F.try_validate_utf8(kept(i)), F.make_valid_utf8(kept(i))))
+    text = F.when(F.col("spans").isNull(), F.col("text")).otherwise(F.replace(F.array_join(parts, ""), F.lit("�"), F.lit("")))
+    return joined.select(*(text.alias(c) if c == "text" else F.col("packed")[c].alias(c) for c in names))

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxelflux.llm import cdc, decontam, langid, minmax, mixing, quality, suffixes, tokencounts, tokenfile, urlfilter
-from voxelflux.session import shared_dir, ship
+from voxelflux.llm.store import prepare
+from voxelflux.session import shared_dir
 
 #: Where the public tokenizer files lie; the path is a parameter of the operators.
 TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
@@ -24,13 +25,6 @@ def tokenizer(name: str = "byte_bpe_50k.json") -> str:
         return os.path.join(TOKENIZERS, name)
 
 
-def prepare(spark: SparkSession) -> None:
-    """Code to the executors, and smaller Arrow batches than Spark's 10,000 rows, as texts are long."""
-    ship(spark)
-    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -108,7 +102,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cdc.whole_spans(table(spark, sf_dir, "documents"))
+    return cdc.repeated_spans(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (op1_url_rules, op2_suffix_dedup, op3_mix_sources, op4_token_rollups, op5_benchmark_overlaps, op6_token_files, op7_language, op8_near_duplicates, op9_quality, op10_repeated_spans)}

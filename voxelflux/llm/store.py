@@ -1,12 +1,20 @@
-"""Intermediate tables in the folder that driver and executors share."""
+"""Intermediate tables in the folder that driver and executors share, and what a session needs for Arrow functions."""
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
-from voxelflux.session import shared_dir
+from voxelflux.session import shared_dir, ship
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Code to the executors, and smaller Arrow batches than Spark's 10,000 rows, as texts are long."""
+    ship(spark)
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    return spark
 
 
 def settle(df: DataFrame, name: str) -> DataFrame:
