@@ -18,6 +18,11 @@ from voxelflux.llm.store import settle
 LATER = 1 << 62
 
 
+def keys() -> list[Column]:
+    """key and key2: hashes that name a row by its doc_id and text, 128 bits in all, wherever it is read."""
+    return [F.xxhash64("doc_id", "text").alias("key"), F.xxhash64(F.lit(1), "doc_id", "text").alias("key2")]
+
+
 def _later(h: Column) -> Column:
     return h.bitwiseAND(F.lit(LATER - 1)).bitwiseOR(F.lit(LATER))
 

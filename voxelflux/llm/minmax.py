@@ -13,9 +13,13 @@ documents into buckets. All links are confirmed on whole shingle sets.
     only the rarest of those shingles are joined (a prefix filter), and a crowd of loosely similar texts makes few
     pairs. No link between components is missed within a bucket, and links inside a component change nothing.
 
-Words are [^\\x20\\x09-\\x0D]+ with A-Z in lower case. Defined cases: documents without words (null, empty) are
-linked with nothing and kept; fewer than k words are one shingle; rows that share a doc_id are one node; rows
-without doc_id are one node, which sorts last; an empty table gives no rows; other columns are left alone.
+Links are confirmed on whole sets of shingles, each shingle as a hash of 64 bits.
+
+Words are [^\\x20\\x09-\\x0D]+ with A-Z in lower case. Defined cases: every row is a document of its own, also rows
+without doc_id and rows that share one, so they link nothing but by their text. component_id is the smallest doc_id of
+a component, null if no row of it has one; then the first row is kept, else all rows with that doc_id. Documents without
+words (null, empty) are linked with nothing and kept; fewer than k words are one shingle; an empty table gives no rows;
+other columns are left alone, whatever their names.
 """
 
 from __future__ import annotations
@@ -30,10 +34,11 @@ from pyspark.sql import functions as F
 
 from voxelflux.llm import textnum as tn
 from voxelflux.llm.components import components
-from voxelflux.llm.store import settle
+from voxelflux.llm.identity import keys
+from voxelflux.llm.store import prepare, settle
 
 PERMS, BAND = 32, 2
-NO_ID = 2**63 - 1
+NAMES = ["doc_id", "key", "key2"]
 
 
 def shingle_sets(texts: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -70,7 +75,7 @@ def _features(k: int, perms: int):
                         bands[full] = tn.mix(bands[full] + values[:, :, j])
                 lists = pa.FixedSizeListArray.from_arrays(pa.array(bands.view(np.int64).reshape(-1)), perms // BAND).cast(pa.list_(pa.int64()))
                 names = tn.binary(_keys(h, at).reshape(-1), np.arange(len(size) + 1) * 2)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(size.astype(np.int64)), names, lists], names=["doc_id", "n", "set_key", "bands"])
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in NAMES), pa.array(size.astype(np.int64)), names, lists], names=[*NAMES, "n", "set_key", "bands"])
 
     return run
 
@@ -115,7 +120,7 @@ def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offsets = tn.raw(batch.column("apart"))
         lists = pa.ListArray.from_arrays(pa.array((offsets // 8).astype(np.int32)), pa.array(np.frombuffer(data.tobytes(), np.int64)))
-        yield pa.RecordBatch.from_arrays([batch.column("hub"), batch.column("c"), lists], names=["hub", "c", "apart"])
+        yield pa.RecordBatch.from_arrays([batch.column("hub"), batch.column("c"), batch.column("root"), lists], names=["hub", "c", "root", "apart"])
 
 
 def _compared(pairs: DataFrame, sets: DataFrame, sizes: DataFrame, percent: int, whole: bool = False) -> DataFrame:
@@ -137,11 +142,17 @@ def _compared(pairs: DataFrame, sets: DataFrame, sizes: DataFrame, percent: int,
 
 def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 85, perms: int = PERMS, hub_rounds: int = 2) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for each row of docs (doc_id, text)."""
-    slim = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), "text")
-    features = settle(slim.mapInArrow(_features(k, perms), "doc_id long, n long, set_key binary, bands array<long>"), "features")
-    firsts = features.where("n > 0").groupBy("set_key").agg(F.min("doc_id").alias("doc_id"))
-    heads = features.join(firsts, ["set_key", "doc_id"]).dropDuplicates(["set_key"])
-    classes = settle(heads.select("set_key", "doc_id", "n", "bands").withColumn("c", F.monotonically_increasing_id()), "classes")
+    return _judged(docs, k, percent, perms, hub_rounds).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def _judged(docs: DataFrame, k: int, percent: int, perms: int, hub_rounds: int = 2) -> DataFrame:
+    """near_duplicates() with the key, key2 and number of each row, and the number of its component (null without words)."""
+    prepare(docs.sparkSession)
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *keys(), "text")
+    features = slim.mapInArrow(_features(k, perms), "doc_id long, key long, key2 long, n long, set_key binary, bands array<long>")
+    features = settle(features.withColumn("row", F.monotonically_increasing_id()), "features")
+    firsts = features.where("n > 0").groupBy("set_key").agg(F.min("row").alias("row"), F.min("doc_id").alias("lowest"))
+    classes = settle(features.join(firsts.select("row", "lowest"), "row").select(F.col("row").alias("c"), "set_key", "key", "lowest", "n", "bands"), "classes")
 
     banded = classes.select("c", F.posexplode("bands").alias("band", "h"))
     crowds = banded.groupBy("band", "h").agg(F.count(F.lit(1)).alias("crowd")).where("crowd > 1")
@@ -149,8 +160,8 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 85, perms: int =
     weight = crowded.groupBy("c").agg(F.sum("crowd").alias("weight"))
     members = settle(crowded.join(weight, "c").select("band", "h", "c", "weight"), "members")
 
-    wanted = weight.join(classes, "c").select("c", "doc_id", "set_key", "n")
-    texts = slim.join(wanted.select("c", "doc_id", "set_key"), "doc_id").select("c", "set_key", "text")
+    wanted = weight.join(classes, "c").select("c", "key", "set_key", "n")
+    texts = slim.select("key", "text").join(wanted.select("c", "key", "set_key"), "key").select("c", "set_key", "text")
     sizes = settle(wanted.select("c", "n"), "sizes")
     sets = settle(texts.mapInArrow(_sets(k), "c long, shingles binary"), "sets")
     if sets.count() > sizes.count():  # repeated rows
@@ -174,19 +185,15 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 85, perms: int =
         links = links.unionByName(_compared(rest, sets, sizes, percent).where("linked").select("a", "b"))
         roots = settle(components(links), "roots")
 
-    ids = classes.join(roots.withColumnRenamed("node", "c"), "c", "left").select("set_key", "doc_id", "c", F.coalesce("root", "c").alias("root"))
-    full = features.where("n > 0").select("doc_id", "set_key")
-    shared = full.groupBy("doc_id").agg(F.min("set_key").alias("lo"), F.max("set_key").alias("hi")).where("lo <> hi").select("doc_id")
-    if not shared.isEmpty():  # texts that share a doc_id are one node
-        held = full.join(shared, "doc_id").distinct().join(ids.select("set_key", "root"), "set_key")
-        same = held.groupBy("doc_id").agg(F.min("root").alias("b"))
-        over = components(held.join(same, "doc_id").select(F.col("root").alias("a"), "b").where("a <> b"))
-        ids = ids.join(over.select(F.col("node").alias("root"), F.col("root").alias("top")), "root", "left").select("set_key", "doc_id", F.coalesce("top", "root").alias("root"))
-    lowest = ids.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    named = ids.join(lowest, "root").select("set_key", "component_id")
-    out = features.join(named, "set_key", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
-    real = lambda c: F.when(F.col(c) != NO_ID, F.col(c)).alias(c)
-    return out.select(real("doc_id"), "n_shingles", real("component_id"), (F.col("doc_id") == F.col("component_id")).alias("kept"))
+    if roots is None:
+        ids = classes.select("set_key", "c", "lowest", F.col("c").alias("root"))
+    else:
+        ids = classes.join(roots.withColumnRenamed("node", "c"), "c", "left").select("set_key", "c", "lowest", F.coalesce("root", "c").alias("root"))
+    lowest = ids.groupBy("root").agg(F.min("lowest").alias("component_id"), F.min("c").alias("first"))
+    named = ids.join(lowest, "root").select("set_key", "component_id", "first")
+    out = features.join(named, "set_key", "left").withColumn("component_id", F.when(F.col("first").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
+    kept = F.when(F.col("first").isNull(), True).when(F.col("component_id").isNull(), F.col("row") == F.col("first")).otherwise(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id", kept.alias("kept"), "key", "key2", "row", "first")
 
 
 def _strays(members: DataFrame, hubs: DataFrame, roots: DataFrame) -> DataFrame:
@@ -216,9 +223,9 @@ def _across(first: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
     told = told.join(told.where("stray").select("hub").distinct(), "hub", "left_semi")
     least = F.when(F.col("stray"), (F.col("size") - r * F.col("n") * (1 + 100 / percent)) / 2).otherwise((F.col("size") + r * (F.col("n_hub") - F.col("n"))) / 2)
     marked = settle(told.withColumn("take", F.col("size") + 1 - F.greatest(F.ceil(least - 1e-9), F.lit(1))), "told")
-    each = marked.select("hub", "c", "apart").mapInArrow(_listed, "hub long, c long, apart array<long>").select("hub", "c", F.explode("apart").alias("e"))
-    seen = each.groupBy("hub", "e").agg(F.count(F.lit(1)).alias("seen"))
-    ranked = each.join(seen, ["hub", "e"]).withColumn("rank", F.row_number().over(Window.partitionBy("hub", "c").orderBy("seen", "e"))).where("seen > 1")
+    each = marked.select("hub", "c", "root", "apart").mapInArrow(_listed, "hub long, c long, root long, apart array<long>").select("hub", "c", "root", F.explode("apart").alias("e"))
+    seen = each.groupBy("hub", "e").agg(F.count(F.lit(1)).alias("seen"), (F.min("root") < F.max("root")).alias("roots"))
+    ranked = each.drop("root").join(seen, ["hub", "e"]).withColumn("rank", F.row_number().over(Window.partitionBy("hub", "c").orderBy("seen", "e"))).where("roots")
     kept = ranked.join(marked.select("hub", "c", "n", "size", "root", "stray", "take"), ["hub", "c"]).where("rank <= take")
     kept = settle(kept.select("hub", "e", "c", "n", "size", "rank", "root", "stray"), "prefixes")
     other = kept.select("hub", "e", *(F.col(c).alias(f"{c}2") for c in ("c", "n", "size", "rank", "root")))
@@ -229,11 +236,18 @@ def _across(first: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80, perms: int = 48) -> DataFrame:
-    """The rows of docs, with their own columns, that stand for their group: those with its smallest doc_id.
+    """The rows of docs, with their own columns, that stand for their group: one row of each component, one with its smallest
+    doc_id, and all rows without words.
 
     24 bands instead of 16, as at a similarity of 0.8 a band is shared less often than at 0.85.
     """
-    judged = near_duplicates(docs, k, percent, perms).where("not kept").select(F.coalesce("doc_id", F.lit(NO_ID)).alias("_gone")).distinct()
-    packed = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("_own"), F.struct("*").alias("_row"))
-    kept = packed.join(judged, F.col("_own") == F.col("_gone"), "left_anti")
-    return kept.select("_row.*")
+    judged = settle(_judged(docs, k, percent, perms).where("first is not null").select("key", "key2", "row", "first", "kept"), "judged")
+    by_key = judged.groupBy("key", "key2").agg(F.count(F.lit(1)).alias("n"))
+    stands = judged.where("kept").groupBy("first").agg(F.min("row").alias("row"))
+    stands = judged.join(stands.select("row"), "row", "left_semi").select("key", "key2")
+    gone = by_key.join(stands, ["key", "key2"], "left_anti").select("key", "key2")
+    again = settle(by_key.where("n > 1").join(stands, ["key", "key2"], "left_semi").select("key", "key2"), "again")
+    kept = docs.select(*keys(), F.struct("*").alias("packed")).join(gone, ["key", "key2"], "left_anti")
+    if not again.isEmpty():  # rows that agree in doc_id and text
+        kept = kept.join(again, ["key", "key2"], "left_anti").unionByName(kept.join(again, ["key", "key2"], "left_semi").dropDuplicates(["key", "key2"]))
+    return kept.select("packed.*")
