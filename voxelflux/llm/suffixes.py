@@ -16,12 +16,19 @@ and still every string of 100 bytes is found under exactly one suffix.
 
 A task sends one anchor for each leading string, and one for each text around it; the others of its own that equal
 it are repeats (or have equals) already and only pass through. So a string that a third of all documents hold costs
-a bucket one row a task, not one a document.
-
-Texts are shuffled once, by doc_id; the three steps that need them share that exchange. Defined cases: null text
-is empty; texts under 100 bytes lose nothing; rows without doc_id come last and count as one document; of
-different texts under one doc_id the one with the smallest hash is judged, the others stay whole; repeated rows are
-judged alike; an empty table gives no rows; other columns are ignored.
+a bucket one row a task, not one a document. If such a string has another text around it in every document, it would
+still be one bucket's work. So leading strings that many documents of the sample hold are known beforehand (HOT_SEEN of
+them, and the MOST_HOT most frequent): of the text around these each string of 100 bytes is dealt by its own 128-bit
+digest, and equal digests are equal strings. Which strings count as frequent changes no result.
+
+What differs from a full suffix array: suffixes that are no anchors are left out; which anchors have equals is told by
+their hashes, without sorting; texts around anchors that are equal as a whole are found by a 64-bit hash, and only those
+that differ are sorted; as equal strings always meet in one bucket, the comparison across bounds has nothing to do.
+
+Texts are shuffled once, by number; the three steps that need them share that exchange. Documents are told apart and
+put in order by identity.numbered(): ids, then rows without id and further texts under one id, each a document of
+its own; rows that agree in id and text are one document and are judged alike. Other cases: null text is empty; texts
+under 100 bytes lose nothing; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -35,15 +42,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxelflux.llm import textnum as tn
+from voxelflux.llm.identity import numbered
+from voxelflux.llm.store import prepare, settle
 
 WIDTH, GRAM = 100, 24
 PLACES = WIDTH - GRAM + 1
-NO_ID = 2**63 - 1
 BUCKET_BYTES = 8 << 20
 SAMPLE_ROWS = 4000
 #: Splitters are sent to every task, so there are no more than this; beyond it a range is several buckets, by hash.
 MOST_RANGES = 8192
 FLUSH = 150_000
+#: A leading string is frequent if so many anchors of the sample have it; so many frequent ones are sent to every task at most (8 bytes each).
+HOT_SEEN, MOST_HOT = 8, 1 << 20
 
 ANCHOR = [("doc", "<i8"), ("first", "<i4"), ("count", "u1"), ("off", "u1"), ("kind", "u1"), ("key", "<u8")]
 #: kind of an anchor: alone so far, with equals in its own task, or known to have equals (passes through)
@@ -83,10 +93,15 @@ def anchors(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
 
 
 class Ranges:
-    """Buckets by leading bytes: `split` of them for each range between splitters."""
+    """Buckets by leading bytes: `split` of them for each range between splitters; hot has the hashes of frequent leading strings."""
+
+    def __init__(self, splitters: np.ndarray, split: int = 1, hot: np.ndarray = np.zeros(0, np.uint64)):
+        self.splitters, self.split, self.buckets, self.hot = splitters, split, (len(splitters) + 1) * split, hot
 
-    def __init__(self, splitters: np.ndarray, split: int = 1):
-        self.splitters, self.split, self.buckets = splitters, split, (len(splitters) + 1) * split
+    def is_hot(self, key: np.ndarray) -> np.ndarray:
+        if not len(self.hot):
+            return np.zeros(len(key), bool)
+        return self.hot[np.minimum(np.searchsorted(self.hot, key), len(self.hot) - 1)] == key
 
     def of(self, lead: np.ndarray, key: np.ndarray) -> np.ndarray:
         lo, hi = np.searchsorted(self.splitters, lead, side="left"), np.searchsorted(self.splitters, lead, side="right")
@@ -261,16 +276,36 @@ def _context_rows(ranges: Ranges):
             for lo in range(0, len(doc), 20_000):
                 hi = lo + 20_000
                 blobs = [x[lo:hi].tobytes() for x in (doc, a.astype("<i4"), (b - a).astype("<i4"))]
-                yield _context_batch(int(tn.mix(np.array([doc[lo]], np.uint64))[0] % np.uint64(ranges.buckets)), *blobs, b"", b"", True)
+                yield _context_batch(int(tn.mix(np.array([doc[lo]], np.uint64))[0] % np.uint64(ranges.buckets)), *blobs, b"", b"", SPANS)
+        hot = head & ranges.is_hot(key)
+        if hot.any():
+            yield from windows(rows[hot], at[hot], text)
+        head &= ~hot
         rows, at, size = rows[head], at[head], size[head]
+        if not len(rows):
+            return
         bucket = ranges.of(lead[head], key[head])
         order = np.argsort(bucket, kind="stable")
-        first = np.flatnonzero(np.append(True, bucket[order][1:] != bucket[order][:-1])) if len(order) else []
+        first = np.flatnonzero(np.append(True, bucket[order][1:] != bucket[order][:-1]))
         for a, b in zip(list(first), [*first[1:], len(order)], strict=True):
             own = order[a:b]
             s = size[own]
             take = np.arange(s.sum()) + np.repeat(at[own] - (np.cumsum(s) - s), s)
-            yield _context_batch(int(bucket[own[0]]), *(np.ascontiguousarray(rows[c][own]).tobytes() for c, _ in CONTEXT), text[take].tobytes(), False)
+            yield _context_batch(int(bucket[own[0]]), *(np.ascontiguousarray(rows[c][own]).tobytes() for c, _ in CONTEXT), text[take].tobytes(), TEXTS)
+
+    def windows(rows: np.ndarray, at: np.ndarray, text: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Every string of WIDTH bytes around frequent anchors, dealt by its own digest."""
+        times = rows["count"].astype(np.int64)
+        step = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+        place, whole = np.repeat(at, times) + step, memoryview(text)
+        names = np.frombuffer(b"".join(hashlib.blake2b(whole[i : i + WIDTH], digest_size=16).digest() for i in place.tolist()), np.uint64).reshape(-1, 2)
+        doc, start = np.repeat(rows["doc"], times), np.repeat(rows["first"], times) + step.astype("<i4")
+        bucket = (names[:, 0] % np.uint64(ranges.buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        first = np.flatnonzero(np.append(True, bucket[order][1:] != bucket[order][:-1]))
+        for a, b in zip(first.tolist(), np.append(first[1:], len(order)).tolist(), strict=True):
+            own = order[a:b]
+            yield _context_batch(int(bucket[own[0]]), doc[own].tobytes(), start[own].astype("<i4").tobytes(), b"", b"", names[own].tobytes(), DIGESTS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, held = [], 0
@@ -303,23 +338,38 @@ def _context_rows(ranges: Ranges):
     return run
 
 
-def _context_batch(bucket: int, doc: bytes, first: bytes, count: bytes, off: bytes, text: bytes, done: bool) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([bucket], pa.int64()), *(pa.array([x], pa.binary()) for x in (doc, first, count, off, text)), pa.array([done])], names=["bucket", "doc", "first", "count", "off", "text", "done"])
+#: What a row for a bucket holds: anchors with the text around them, spans that are repeats already, or digests of strings.
+TEXTS, SPANS, DIGESTS = 0, 1, 2
+
+
+def _context_batch(bucket: int, doc: bytes, first: bytes, count: bytes, off: bytes, text: bytes, kind: int) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([bucket], pa.int64()), *(pa.array([x], pa.binary()) for x in (doc, first, count, off, text)), pa.array([kind], pa.int32())], names=["bucket", "doc", "first", "count", "off", "text", "kind"])
 
 
 def _repeated(table: pa.Table) -> pa.Table:
     """Repeated intervals of a bucket: (doc, blob of start and end)."""
     docs, starts, ends = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     cols: dict[str, list[np.ndarray]] = {c: [] for c in ("doc", "first", "count", "off", "text")}
+    hot: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     for i in range(table.num_rows):
         get = lambda c, t: np.frombuffer(table.column(c)[i].as_buffer(), t)  # noqa: B023,E731
-        if table.column("done")[i].as_py():
+        kind = table.column("kind")[i].as_py()
+        if kind == SPANS:
             docs.append(get("doc", "<i8"))
             starts.append(get("first", "<i4").astype(np.int64))
             ends.append(starts[-1] + get("count", "<i4"))
+        elif kind == DIGESTS:
+            hot.append((get("doc", "<i8"), get("first", "<i4").astype(np.int64), get("text", np.uint64).reshape(-1, 2)))
         else:
             for c, t in (*CONTEXT, ("text", "u1")):
                 cols[c].append(get(c, t))
+    if hot:
+        doc, start, name = (np.concatenate(x) for x in zip(*hot, strict=True))
+        order = np.lexsort((start, doc, name[:, 1], name[:, 0]))
+        late = order[1:][(name[order[1:]] == name[order[:-1]]).all(1)]
+        docs.append(doc[late])
+        starts.append(start[late])
+        ends.append(start[late] + WIDTH)
     if cols["doc"]:
         doc, first, count, off = (np.concatenate(cols[c]).astype(np.int64) for c, _ in CONTEXT)
         text = np.concatenate(cols["text"])
@@ -364,8 +414,8 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 digests.append(hashlib.sha256(b"".join([*(x.tobytes() for x in keep), own[at:].tobytes()])).hexdigest())
                 removed.append(int((found[:, 1] - found[:, 0]).sum()))
                 spans.append(len(found))
-            out = [part.column("doc"), pa.array(np.diff(offsets)), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(digests, pa.string())]
-            yield pa.RecordBatch.from_arrays(out, names=["doc", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+            out = [part.column("doc_id"), pa.array(np.diff(offsets)), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(digests, pa.string())]
+            yield pa.RecordBatch.from_arrays(out, names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
 
 def _ranges(slim: DataFrame) -> Ranges:
@@ -377,28 +427,31 @@ def _ranges(slim: DataFrame) -> Ranges:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in tn.slices(batch):
-                lead = anchors(*tn.raw(part.column("text")))["lead"]
-                yield pa.RecordBatch.from_arrays([pa.array((lead ^ np.uint64(1 << 63)).view(np.int64))], names=["lead"])
+                found = anchors(*tn.raw(part.column("text")))
+                yield pa.RecordBatch.from_arrays([pa.array((found["lead"] ^ np.uint64(1 << 63)).view(np.int64)), pa.array(found["key"].view(np.int64))], names=["lead", "key"])
 
-    share = min(1.0, SAMPLE_ROWS / max(1, rows))
-    some = slim.where(F.pmod(F.xxhash64("doc"), F.lit(1 << 30)) < int(share * (1 << 30)))
-    found = some.mapInArrow(run, "lead long").agg(F.percentile_approx("lead", [i / n for i in range(1, n)], max(1000, 4 * n))).first()[0]
-    return Ranges(np.sort(np.array(found or [], np.int64).view(np.uint64) ^ np.uint64(1 << 63)), -(-buckets // n))
+    share = min(1.0, max(SAMPLE_ROWS, rows // 5000) / max(1, rows))
+    some = settle(slim.where(F.pmod(F.xxhash64("doc"), F.lit(1 << 30)) < int(share * (1 << 30))).mapInArrow(run, "lead long, key long"), "sample")
+    found = some.agg(F.percentile_approx("lead", [i / n for i in range(1, n)], max(1000, 4 * n))).first()[0]
+    often = some.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= HOT_SEEN).orderBy(F.desc("n"), "key").limit(MOST_HOT).select("key")
+    hot = np.sort(often.toArrow().column("key").to_numpy().view(np.uint64))
+    return Ranges(np.sort(np.array(found or [], np.int64).view(np.uint64) ^ np.uint64(1 << 63)), -(-buckets // n), hot)
 
 
 def dedup(docs: DataFrame) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) for each row of docs (doc_id, text)."""
-    slim = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), F.coalesce("text", F.lit("")).alias("text"))
+    prepare(docs.sparkSession)
+    slim = numbered(docs).select("doc", "doc_id", F.coalesce("text", F.lit("")).alias("text"))
     ranges = _ranges(slim)
     named = slim.select("doc", F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(1), "text").alias("h2"))
     firsts = named.groupBy("h1", "h2").agg(F.min("doc").alias("doc")).groupBy("doc").agg(F.min("h1").alias("first_h1"))
     role = F.when(F.col("first_h1").isNull(), "copy").when(F.col("first_h1") == F.xxhash64("text"), "judged").otherwise("left")
-    held = slim.repartition("doc").join(firsts, "doc", "left").select("doc", "text", role.alias("role"))
+    held = slim.repartition("doc").join(firsts, "doc", "left").select("doc", "doc_id", "text", role.alias("role"))
     judged = held.where("role = 'judged'").select("doc", "text")
 
     dealt = judged.mapInArrow(_anchor_rows(ranges), "bucket long, " + ", ".join(f"{c} binary" for c, _ in ANCHOR))
     wanted = dealt.groupBy("bucket").applyInArrow(_with_equals, "doc long, blob binary").groupBy("doc").agg(F.collect_list("blob").alias("blobs"))
-    around = judged.join(wanted, "doc").mapInArrow(_context_rows(ranges), "bucket long, doc binary, first binary, count binary, off binary, text binary, done boolean")
+    around = judged.join(wanted, "doc").mapInArrow(_context_rows(ranges), "bucket long, doc binary, first binary, count binary, off binary, text binary, kind int")
     found = around.groupBy("bucket").applyInArrow(_repeated, "doc long, blob binary").groupBy("doc").agg(F.collect_list("blob").alias("blobs"))
-    cut = held.join(found, "doc", "left").select("doc", "text", "role", "blobs").mapInArrow(_cut, "doc long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
-    return cut.select(F.when(F.col("doc") != NO_ID, F.col("doc")).alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    cut = held.join(found, "doc", "left").select("doc_id", "text", "role", "blobs")
+    return cut.mapInArrow(_cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
