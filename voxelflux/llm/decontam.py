@@ -5,14 +5,16 @@ those it ignores may differ. Hashes of both sides are joined, each hit fixes how
 and all their tokens that then face each other are compared one by one, with +1 for each equal token and -4 for each
 substituted one: the overlap is the part of `min_overlap` tokens or more, from an equal token to an equal token, with
 the highest sum. Documents with an overlap of `min_overlap` tokens (the whole item if it has fewer) with four tokens
-in five equal are contaminated.
+in five equal are contaminated. Of a document only the tokens that face the item are sent to be compared, so what a
+candidate weighs follows the item and not the document.
 
 Document hashes pass a bit table of the benchmark's hashes before they are shuffled. Its size is bounded whatever
 the benchmark's (2**27 bits, 16 MB): a fuller table lets more hashes through to the join and loses none.
 
 Tokens are runs of ASCII letters, digits and bytes from 0x80, A-Z in lower case. Defined cases: items with fewer
-tokens than a mask match whole and exactly; items of fewer than five tokens and null texts match nothing;
-repeated rows are judged alike; an empty table on either side gives no rows; other columns are ignored.
+tokens than a mask match whole and exactly; items of fewer than `least` tokens (five) match nothing, as two or three words
+stand everywhere, nor do null texts; repeated rows are judged alike, and so each row without doc_id or under a doc_id
+that another text has is judged by its own text; an empty table on either side gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,6 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxelflux.llm import textnum as tn
+from voxelflux.llm.identity import keys
+from voxelflux.llm.store import prepare, settle
 
 #: 1 takes a token into the hash, 0 ignores it. Together they hit every overlap of 13 tokens or more, and every
 #: whole item of 11 or 12, with four tokens in five equal, wherever the others are; a test goes through all cases.
@@ -61,24 +65,34 @@ def seeds(hashes: np.ndarray, at: np.ndarray, masks: tuple[str, ...]) -> Iterato
         yield tn.mix(h[where]), where, rows[where]
 
 
-def _item_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for part in tn.slices(batch):
-            hashes, at = tokens(part.column("text"))
-            sizes = np.diff(at)
-            names = part.column("item").to_numpy()
-            for size in sorted({SPAN, *sizes[(sizes >= LEAST) & (sizes < SPAN)].tolist()}):
-                for h, place, row in seeds(hashes, at, MASKS if size == SPAN else ("1" * size,)):
-                    own = sizes[row] >= SPAN if size == SPAN else sizes[row] == size
-                    h, place, row = h[own], place[own], row[own]
-                    yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(names[row]), pa.array((place - at[row]).astype(np.int32)), pa.array(np.full(len(h), size, np.int32))], names=["h", "item", "item_at", "size"])
+def _item_seeds(least: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in tn.slices(batch, "item_tokens"):
+                hashes, at = _held(part.column("item_tokens"))
+                sizes = np.diff(at)
+                names = part.column("item").to_numpy()
+                for size in sorted({SPAN, *sizes[(sizes >= least) & (sizes < SPAN)].tolist()}):
+                    for h, place, row in seeds(hashes, at, MASKS if size == SPAN else ("1" * size,)):
+                        own = sizes[row] >= SPAN if size == SPAN else sizes[row] == size
+                        h, place, row = h[own], place[own], row[own]
+                        out = [pa.array(h.view(np.int64)), pa.array(names[row]), pa.array((place - at[row]).astype(np.int32)), pa.array(np.full(len(h), size, np.int32)), pa.array(sizes[row].astype(np.int32))]
+                        yield pa.RecordBatch.from_arrays(out, names=["h", "item", "item_at", "size", "n"])
+
+    return run
 
 
 def _item_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in tn.slices(batch):
             hashes, at = tokens(part.column("text"))
-            yield pa.RecordBatch.from_arrays([part.column("item"), part.column("item_id"), tn.binary(hashes, at)], names=["item", "item_id", "item_tokens"])
+            yield pa.RecordBatch.from_arrays([part.column("item_id"), tn.binary(hashes, at)], names=["item_id", "item_tokens"])
+
+
+def _held(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Token hashes of a binary column and the offsets of its rows."""
+    data, offsets = tn.raw(column)
+    return np.frombuffer(data.tobytes(), np.uint64), offsets // 8
 
 
 def _bit_places(h: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -97,19 +111,6 @@ def _bit_table(seed_rows: DataFrame, bits: int) -> np.ndarray:
     return table.view(np.uint64)
 
 
-def overlaps(doc: np.ndarray, item: np.ndarray, shift: int, hit: int, span: int) -> tuple[int, int, int]:
-    """(start in the item, length, equal tokens) of the overlap around a hit; document place = item place + shift."""
-    lo, hi = max(0, -shift), min(len(item), len(doc) - shift)
-    same = item[lo:hi] == doc[lo + shift : hi + shift]
-    score = np.where(same, 1, -SUBSTITUTION)
-    right = np.cumsum(score[hit + span - lo :])
-    left = np.cumsum(score[: hit - lo][::-1])
-    more = int(len(right) - right[::-1].argmax()) if len(right) and right.max() > 0 else 0
-    less = int(len(left) - left[::-1].argmax()) if len(left) and left.max() > 0 else 0
-    start, end = hit - less, hit + span + more
-    return start, end - start, int(same[start - lo : end - lo].sum())
-
-
 def best_overlap(doc: np.ndarray, item: np.ndarray, shift: int, min_overlap: int) -> tuple[int, int, int]:
     """(start in the item, length, equal tokens) of the best overlap at a shift, length 0 if none is long and equal enough."""
     lo, hi = max(0, -shift), min(len(item), len(doc) - shift)
@@ -131,16 +132,21 @@ def best_overlap(doc: np.ndarray, item: np.ndarray, shift: int, min_overlap: int
     return lo + start, length, int(same[start : start + length].sum())
 
 
-def hits(docs: DataFrame, items: DataFrame, min_overlap: int = 13) -> DataFrame:
+def hits(docs: DataFrame, items: DataFrame, min_overlap: int = 13, least: int = LEAST) -> DataFrame:
     """(doc_id, item_id, doc_start, item_start, overlap, equal): the longest overlap of each document row with each
     item it holds a part of; places and lengths count tokens. docs has doc_id and text, items item_id and text."""
-    spark = docs.sparkSession
+    return _found(docs, items, min_overlap, least).drop("key", "key2")
+
+
+def _found(docs: DataFrame, items: DataFrame, min_overlap: int, least: int) -> DataFrame:
+    spark = prepare(docs.sparkSession)
     item_type, doc_type = items.schema["item_id"].dataType.simpleString(), docs.schema["doc_id"].dataType.simpleString()
-    numbered = items.select(F.monotonically_increasing_id().alias("item"), "item_id", "text")
-    seed_rows = numbered.select("item", "text").mapInArrow(_item_seeds, "h long, item long, item_at int, size int").cache()
+    item_rows = items.select("item_id", "text").mapInArrow(_item_tokens, f"item_id {item_type}, item_tokens binary")
+    item_rows = settle(item_rows.withColumn("item", F.monotonically_increasing_id()), "items")
+    seed_rows = settle(item_rows.select("item", "item_tokens").mapInArrow(_item_seeds(least), "h long, item long, item_at int, size int, n int"), "seeds")
     n_seeds = seed_rows.count()
     bits = min(1 << 27, max(1 << 16, 1 << int(128 * max(1, n_seeds) - 1).bit_length()))
-    sizes = sorted(r.size for r in seed_rows.select("size").distinct().collect())  # LEAST to SPAN
+    sizes = sorted(r.size for r in seed_rows.select("size").distinct().collect())  # least to SPAN
     sent = spark.sparkContext.broadcast((_bit_table(seed_rows, bits), bits, sizes))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,32 +170,33 @@ def hits(docs: DataFrame, items: DataFrame, min_overlap: int = 13) -> DataFrame:
                 kept = np.concatenate([hashes[at[r] : at[r + 1]] for r in own]) if len(own) else np.zeros(0, np.uint64)
                 kept_at = np.concatenate([[0], np.cumsum(at[own + 1] - at[own])]).astype(np.int64)
                 took = part.take(pa.array(own))
-                yield pa.RecordBatch.from_arrays([took.column("row"), took.column("doc_id"), lists(h), lists(place), tn.binary(kept, kept_at)], names=["row", "doc_id", "hs", "places", "tokens"])
+                yield pa.RecordBatch.from_arrays([*(took.column(c) for c in ("doc_id", "key", "key2")), lists(h), lists(place), tn.binary(kept, kept_at)], names=["doc_id", "key", "key2", "hs", "places", "tokens"])
 
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
-    with_hits = rows.mapInArrow(run, f"row long, doc_id {doc_type}, hs array<long>, places array<int>, tokens binary").cache()
+    with_hits = docs.select("doc_id", *keys(), "text").mapInArrow(run, f"doc_id {doc_type}, key long, key2 long, hs array<long>, places array<int>, tokens binary")
+    with_hits = settle(with_hits.withColumn("row", F.monotonically_increasing_id()), "with-hits")
     each = with_hits.select("row", F.explode(F.arrays_zip("hs", "places")).alias("x")).select("row", F.col("x.hs").alias("h"), F.col("x.places").alias("doc_at"))
-    lain = each.join(seed_rows, "h").select("row", "item", (F.col("doc_at") - F.col("item_at")).alias("shift")).distinct()
-    item_rows = numbered.mapInArrow(_item_tokens, f"item long, item_id {item_type}, item_tokens binary")
-    candidates = lain.join(item_rows, "item").join(with_hits.select("row", "doc_id", "tokens"), "row")
+    lain = each.join(seed_rows, "h").select("row", "item", "n", (F.col("doc_at") - F.col("item_at")).alias("shift")).distinct()
+    begin = F.greatest("shift", F.lit(0))
+    faced = F.substring("tokens", begin * 8 + 1, (F.col("shift") + F.col("n") - begin) * 8)
+    candidates = lain.join(with_hits.select("row", "tokens"), "row").select("row", "item", "shift", faced.alias("tokens")).join(item_rows.select("item", "item_tokens"), "item")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cols = [batch.column(c).to_pylist() for c in ("shift", "tokens", "item_tokens")]
-            found = [best_overlap(np.frombuffer(d, np.uint64), np.frombuffer(i, np.uint64), s, min_overlap) for s, d, i in zip(*cols, strict=True)]
-            starts, lengths, equal = (np.array(x, np.int32) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int32),) * 3
-            out = [batch.column("row"), batch.column("doc_id"), batch.column("item"), batch.column("item_id"), pa.array(starts + np.array(cols[0], np.int32)), pa.array(starts), pa.array(lengths), pa.array(equal)]
-            yield pa.RecordBatch.from_arrays(out, names=["row", "doc_id", "item", "item_id", "doc_start", "item_start", "overlap", "equal"]).filter(pa.array(lengths > 0))
-
-    slim = candidates.select("row", "doc_id", "item", "item_id", "shift", "tokens", "item_tokens")
-    schema = f"row long, doc_id {doc_type}, item long, item_id {item_type}, doc_start int, item_start int, overlap int, equal int"
-    best = F.max(F.struct("overlap", "equal", (-F.col("doc_start")).alias("first"), "item_start", "doc_id", "item_id")).alias("b")
-    found = slim.mapInArrow(compare, schema).groupBy("row", "item").agg(best)
-    return found.select("b.doc_id", "b.item_id", (-F.col("b.first")).alias("doc_start"), "b.item_start", "b.overlap", "b.equal")
-
-
-def clean(docs: DataFrame, items: DataFrame, min_overlap: int = 13) -> DataFrame:
-    """The rows of docs, with their own columns, whose doc_id has no overlap with any item."""
-    bad = hits(docs, items, min_overlap).select(F.col("doc_id").alias("_doc")).distinct()
-    packed = docs.select(F.col("doc_id").alias("_own"), F.struct("*").alias("_row"))
-    return packed.join(bad, F.col("_own").eqNullSafe(F.col("_doc")), "left_anti").select("_row.*")
+            shifts = batch.column("shift").to_numpy()
+            (d, d_at), (i, i_at) = _held(batch.column("tokens")), _held(batch.column("item_tokens"))
+            found = [best_overlap(d[d_at[j] : d_at[j + 1]], i[i_at[j] : i_at[j + 1]], min(int(shifts[j]), 0), min_overlap) for j in range(batch.num_rows)]
+            starts, lengths, equal = np.array(found, np.int32).reshape(-1, 3).T
+            out = [batch.column("row"), batch.column("item"), pa.array(starts + shifts.astype(np.int32)), pa.array(starts), pa.array(lengths), pa.array(equal)]
+            yield pa.RecordBatch.from_arrays(out, names=["row", "item", "doc_start", "item_start", "overlap", "equal"]).filter(pa.array(lengths > 0))
+
+    slim = candidates.select("row", "item", "shift", "tokens", "item_tokens")
+    best = F.max(F.struct("overlap", "equal", (-F.col("doc_start")).alias("first"), "item_start")).alias("b")
+    found = slim.mapInArrow(compare, "row long, item long, doc_start int, item_start int, overlap int, equal int").groupBy("row", "item").agg(best)
+    named = found.join(with_hits.select("row", "doc_id", "key", "key2"), "row").join(item_rows.select("item", "item_id"), "item")
+    return named.select("doc_id", "item_id", (-F.col("b.first")).alias("doc_start"), "b.item_start", "b.overlap", "b.equal", "key", "key2")
+
+
+def clean(docs: DataFrame, items: DataFrame, min_overlap: int = 13, least: int = LEAST) -> DataFrame:
+    """The rows of docs, with their own columns, that overlap with no item."""
+    bad = _found(docs, items, min_overlap, least).select("key", "key2").distinct()
+    return docs.select(*keys(), F.struct("*").alias("packed")).join(bad, ["key", "key2"], "left_anti").select("packed.*")
