@@ -6,15 +6,16 @@ after, so a cut depends on the bytes around it and on nothing else: an insertion
 passage has the same cuts wherever it stands. Where text repeats itself in short periods, equal minima stand side by
 side; one in `WINDOW` bytes is a cut. Stretches without a cut are divided every `MOST` bytes.
 
- 1. Chunks are compared by a 64-bit digest. The first chunk of a digest (smallest document, then smallest start) stays;
-    later ones are repeats of it. The rows of a digest are pre-aggregated to its first place; a digest that very many
+ 1. Chunks are compared by a 64-bit digest. A chunk that its document has before is a repeat of the last such place, as
+    the task that cuts the document sees. Of the others the first one of a digest (smallest document) stays, and later
+    ones are repeats of it. The rows of a digest are pre-aggregated to its first place; a digest that very many
     documents hold is one skewed key of a join with that one row, which adaptive execution splits.
  2. Repeats that touch and repeat one place of one document are a run. A passage begins and ends inside chunks, so the
     bytes around a run are compared with those around the place it repeats, `REACH` to each side, as are its outer
     chunks themselves. What is left after that has its true bounds; with `min_span` bytes or more it is a repeat.
  3. Repeats that touch or overlap are one span.
 
-A chunk is compared with its first place only. So a passage can lose up to a chunk at an edge, or be missed, if
+A chunk is compared with one place only. So a passage can lose up to a chunk at an edge, or be missed, if
 all of its chunks stand still earlier in other surroundings.
 
 Documents are told apart by identity.numbered(): ids, then rows without id and further texts under one id, each a
@@ -94,18 +95,21 @@ def chunks(data: np.ndarray, offsets: np.ndarray, window: int = WINDOW, most: in
 
 
 def _chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The chunks of each document; `again` marks those that the document itself has before."""
+    """The chunks of each document; `before` is where the document has the same chunk last before that, null if nowhere."""
     for batch in batches:
         for part in tn.slices(batch):
             data, offsets = tn.raw(part.column("text"))
             starts, ends = chunks(data, offsets)
             row = np.searchsorted(offsets, starts, side="right") - 1
             digest = tn.Hasher(data).of(starts, ends)
-            again = np.ones(len(starts), bool)
-            _, first = np.unique(tn.mix(digest) + row.astype(np.uint64) * np.uint64(tn.BASE), return_index=True)
-            again[first] = False
-            out = [part.column("doc").take(pa.array(row)), pa.array(digest.view(np.int64)), pa.array((starts - offsets[row]).astype(np.int32)), pa.array((ends - starts).astype(np.int32)), pa.array(again)]
-            yield pa.RecordBatch.from_arrays(out, names=["doc", "digest", "start", "length", "again"])
+            place = (starts - offsets[row]).astype(np.int32)
+            own = tn.mix(digest) + row.astype(np.uint64) * np.uint64(tn.BASE)
+            order = np.argsort(own, kind="stable")
+            again = np.flatnonzero(own[order][1:] == own[order][:-1])
+            before = np.full(len(starts), -1, np.int32)
+            before[order[again + 1]] = place[order[again]]
+            out = [part.column("doc").take(pa.array(row)), pa.array(digest.view(np.int64)), pa.array(place), pa.array((ends - starts).astype(np.int32)), pa.array(before, mask=before < 0)]
+            yield pa.RecordBatch.from_arrays(out, names=["doc", "digest", "start", "length", "before"])
 
 
 def _shared(a: pa.Array, b: pa.Array, backwards: bool) -> np.ndarray:
@@ -144,10 +148,11 @@ def repeated_spans(docs: DataFrame, min_span: int = MIN_SPAN) -> DataFrame:
     """
     prepare(docs.sparkSession)
     slim = one_each(numbered(docs))
-    cut = settle(slim.select("doc", "text").mapInArrow(_chunk, "doc long, digest long, start int, length int, again boolean"), "chunks")
-    fresh = F.when(~F.col("again"), F.col("doc"))
-    seen = cut.groupBy("digest").agg(F.min(fresh).alias("doc1"), F.min_by("start", fresh).alias("start1"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    repeats = cut.join(seen, "digest").where("doc > doc1 or again").select("doc", "start", "length", "doc1", (F.col("start") - F.col("start1")).alias("shift"))
+    cut = settle(slim.select("doc", "text").mapInArrow(_chunk, "doc long, digest long, start int, length int, before int"), "chunks")
+    fresh = cut.where("before is null").drop("before")
+    seen = fresh.groupBy("digest").agg(F.min("doc").alias("doc1"), F.min_by("start", "doc").alias("start1"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    repeats = fresh.join(seen, "digest").where("doc > doc1").select("doc", "start", "length", "doc1", (F.col("start") - F.col("start1")).alias("shift"))
+    repeats = repeats.unionByName(cut.where("before is not null").select("doc", "start", "length", F.col("doc").alias("doc1"), (F.col("start") - F.col("before")).alias("shift")))
     by_place = Window.partitionBy("doc", "doc1", "shift").orderBy("start")
     touches = F.col("start") == F.lag(F.col("start") + F.col("length")).over(by_place)
     runs = (
