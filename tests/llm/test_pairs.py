@@ -4,13 +4,14 @@ import hashlib
 import itertools
 import random
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from voxelflux.llm import cdc, components, decontam, minmax, suffixes
+from voxelflux.llm import cdc, components, decontam, identity, minmax, suffixes
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 UPPER = {ord(c): c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}
@@ -24,26 +25,26 @@ def shingles(text, k):
 
 
 def brute_components(rows, k, percent):
-    sets = [(d, shingles(t, k)) for d, t in rows]
-    parent = {d: d for d, _ in rows}
+    """The component of each row, as a set of row numbers."""
+    sets = [shingles(t, k) for _, t in rows]
+    own = [{i} for i in range(len(rows))]
+    for i, s in enumerate(sets):
+        for j in range(i):
+            t = sets[j]
+            if s and t and own[i] is not own[j] and 100 * len(s & t) >= percent * len(s | t):
+                own[i] |= own[j]
+                for m in own[j]:
+                    own[m] = own[i]
+    return own
 
-    def find(x):
-        while parent[x] != x:
-            x = parent[x]
-        return x
 
-    def join(a, b):
-        a, b = find(a), find(b)
-        if a != b:
-            key = lambda v: (v is None, v or 0)
-            lo, hi = sorted((a, b), key=key)
-            parent[hi] = lo
+def component_ids(rows, k, percent):
+    """component_id of each row: the smallest doc_id of its component, None if no row there has one."""
+    return [min((rows[j][0] for j in c if rows[j][0] is not None), default=None) for c in brute_components(rows, k, percent)]
 
-    for i, (a, s) in enumerate(sets):
-        for b, t in sets[:i]:
-            if s and t and 100 * len(s & t) >= percent * len(s | t):
-                join(a, b)
-    return {d: find(d) for d in parent}
+
+def by_row(rows):
+    return sorted(rows, key=lambda r: [(x is None, x or 0) for x in r])
 
 
 def groups(sentence, seed=5, n_groups=4, size=60, words=120):
@@ -65,7 +66,7 @@ def groups(sentence, seed=5, n_groups=4, size=60, words=120):
 @pytest.mark.parametrize(("k", "percent"), [(3, 85), (5, 80)])
 def test_near_duplicates_of_loose_groups(spark, sentence, k, percent):
     rows = groups(sentence)
-    want = brute_components(rows, k, percent)
+    want = dict(zip((d for d, _ in rows), component_ids(rows, k, percent), strict=True))
     got = {r.doc_id: r for r in minmax.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), k, percent).collect()}
     assert {d: r.component_id for d, r in got.items()} == want
     assert all(r.kept == (want[d] == d) for d, r in got.items())
@@ -74,16 +75,26 @@ def test_near_duplicates_of_loose_groups(spark, sentence, k, percent):
 def test_near_duplicates_of_odd_rows(documents, nothing):
     rows = [(r.doc_id, r.text) for r in documents.collect()]
     out = minmax.near_duplicates(documents).collect()
-    assert sorted((r.doc_id is None, r.doc_id or 0) for r in out) == sorted((d is None, d or 0) for d, _ in rows)
-    want = brute_components(rows, 3, 85)
-    for r in out:
-        assert r.component_id == want[r.doc_id], r
-    sizes = sorted((d or -1, len(shingles(t, 3))) for d, t in rows)
-    assert sorted((-1 if r.doc_id is None else r.doc_id or -1, r.n_shingles) for r in out) == sizes
-    assert minmax.near_duplicates(nothing).count() == 0
+    want = [(d, len(shingles(t, 3)), c if t and t.split() else d) for (d, t), c in zip(rows, component_ids(rows, 3, 85), strict=True)]
+    assert by_row((r.doc_id, r.n_shingles, r.component_id) for r in out) == by_row(want)
+    assert all(r.kept == (r.doc_id == r.component_id) for r in out if r.component_id is not None)
+    assert [r.kept for r in out if r.component_id is None] == [True]  # a text of its own without id
+    assert minmax.near_duplicates(nothing).count() == 0 and minmax.one_of_each(nothing).count() == 0
     kept = minmax.one_of_each(documents)
-    assert kept.columns == documents.columns and kept.where("doc_id in (44, 45)").count() == 0 and kept.where("doc_id = 43").count() == 2
-    assert kept.where("doc_id in (40, 41, 42)").count() == 3
+    assert kept.columns == documents.columns and kept.where("doc_id in (44, 45)").count() == 0 and kept.where("doc_id = 43").count() == 1
+    assert kept.where("doc_id in (40, 41, 42)").count() == 3 and kept.where("doc_id = 5").count() == 2
+
+
+def test_rows_without_id_link_nothing_but_by_text(spark, sentence):
+    rng = random.Random(8)
+    a, b, c, d = (sentence(rng, 60) for _ in range(4))
+    rows = [(5, a), (9, b), (None, a + " more"), (None, b + " more"), (None, c), (None, d), (None, d), (9, sentence(rng, 50)), (9, a)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({x: F.lit(1) for x in ("key", "row", "first", "packed")}).repartition(3)
+    out = minmax.near_duplicates(df).collect()
+    assert by_row((r.doc_id, r.component_id) for r in out) == by_row(zip((x for x, _ in rows), component_ids(rows, 3, 85), strict=True))
+    assert sum(r.kept for r in out if r.component_id is None) == 2
+    kept = minmax.one_of_each(df, k=3, percent=85)
+    assert sorted(r.text for r in kept.collect()) == sorted([a, b, c, d, rows[7][1]]) and kept.columns == df.columns
 
 
 def test_min_max_estimates_similarity():
@@ -154,19 +165,53 @@ def test_suffix_dedup_is_exact(spark, sentence):
     assert got == sorted(brute_spans(rows))
 
 
+def numbers(docs):
+    """(number, doc_id, text) of each row by the definition of identity.numbered(), checked against it."""
+    rows = identity.numbered(docs).collect()
+    assert Counter((r.doc_id, r.text) for r in rows) == Counter((r.doc_id, r.text) for r in docs.collect())
+    texts, own = defaultdict(set), defaultdict(set)
+    for r in rows:
+        texts[r.doc].add((r.doc_id, r.text))
+        own[r.doc_id, r.text].add(r.doc)
+    assert all(len(x) == 1 for x in [*texts.values(), *own.values()])
+    known = {r.doc_id for r in rows if r.doc_id is not None}
+    assert all(any(r.doc == d for r in rows) for d in known) and all(r.doc == r.doc_id or r.doc >= identity.LATER for r in rows)
+    return rows
+
+
+def check_suffixes(docs):
+    rows = numbers(docs)
+    by_number = {x[0]: x[1:] for x in brute_spans(sorted({(r.doc, r.text or "") for r in rows}))}
+    got = suffixes.dedup(docs).collect()
+    assert by_row(map(tuple, got)) == by_row((r.doc_id, *by_number[r.doc]) for r in rows)
+    return got
+
+
 def test_suffix_dedup_of_odd_rows(documents, nothing):
-    rows = documents.select("doc_id", "text").collect()
-    out = suffixes.dedup(documents).collect()
-    assert len(out) == len(rows)
-    by_id = defaultdict(list)
-    for r in out:
-        by_id[r.doc_id].append(r)
-    assert all(r.n_removed == 0 for r in by_id[43]) and len(by_id[43]) == 2
-    assert by_id[44][0].n_removed == by_id[44][0].n_bytes and by_id[44][0].kept_sha256 == hashlib.sha256(b"").hexdigest()
-    assert by_id[40][0].n_bytes == 0 and by_id[45][0].n_removed > 0
+    out = check_suffixes(documents)
+    assert sum(r.n_removed == r.n_bytes > 0 for r in out) == 2  # two further copies of one text, one of them without id
+    clashing = documents.select("*", *(F.lit(i).alias(c) for i, c in enumerate(("doc", "role", "first_h1", "blobs", "h1"))))
+    assert by_row(map(tuple, suffixes.dedup(clashing).collect())) == by_row(map(tuple, out))
     assert suffixes.dedup(nothing).count() == 0
 
 
+def test_suffix_dedup_of_rows_without_id_or_under_one_id(spark, sentence):
+    rng = random.Random(78)
+    a, b, c, p = (sentence(rng, 50) for _ in range(4))
+    rows = [(5, f"{a} {p}"), (9, b), (None, f"{p} {c}"), (None, sentence(rng, 40)), (None, f"{c} {p}"), (9, f"{sentence(rng, 20)} {a}"), (9, b), (None, b), (9, None), (9, ""), (9, a)]
+    check_suffixes(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+
+
+@pytest.mark.parametrize("often", [2, 8, 10**6])
+def test_suffix_dedup_of_a_line_in_a_third_of_the_rows(spark, sentence, monkeypatch, often):
+    """Texts around the line differ, so every row of it is a text of its own for the line's leading string."""
+    monkeypatch.setattr(suffixes, "HOT_SEEN", often)
+    rng, line = random.Random(31), "licensed under the terms of a licence that all of these rows name in full."
+    rows = [(i, f"{sentence(rng, rng.randint(0, 30))} {line if i % 3 == 0 else ''} {sentence(rng, rng.randint(0, 30))}") for i in range(300)]
+    rows += [(300 + i, f"{sentence(rng, 3)} {rows[3 * i][1]}") for i in range(30)]
+    check_suffixes(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+
+
 def test_multikey_sort():
     rng = np.random.default_rng(4)
     rows = rng.integers(0, 2, (300, 19)).astype(np.uint8)
@@ -285,11 +330,50 @@ def test_benchmark_overlaps(spark, sentence, documents, nothing):
     assert decontam.hits(nothing, bench).count() == 0 and decontam.hits(documents, bench.where("1 = 0")).count() == 0
 
 
-def test_overlap_extension():
-    doc, item = np.arange(100, 160, dtype=np.uint64), np.arange(110, 150, dtype=np.uint64)
-    item[20] = 7
-    assert decontam.overlaps(doc, item, 10, 3, 11) == (0, 40, 39)
-    assert decontam.overlaps(doc[15:], item, -5, 25, 11) == (5, 35, 34)
+def exhaustive(docs, items, least=13):
+    """{(row, item)} with an overlap at any of all shifts; best_overlap() itself is held against brute force below."""
+    tok = lambda texts: [h[a:b] for h, at in [decontam.tokens(pa.array(texts))] for a, b in itertools.pairwise(at)]
+    d, i = tok([t for _, t in docs]), tok([t for _, t in items])
+    return {(r, j) for r, x in enumerate(d) for j, y in enumerate(i) if len(y) >= decontam.SPAN and np.isin(x, y).any() for s in range(-len(y) + 1, len(x)) if decontam.best_overlap(x, y, s, least)[1]}
+
+
+def test_benchmark_overlaps_against_all_alignments(spark, sentence):
+    rng = random.Random(15)
+    items = [(i, sentence(rng, rng.randint(13, 40))) for i in range(12)]
+    docs = []
+    for i in range(60):
+        words = items[i % 12][1].split()
+        lo = rng.randint(0, len(words) - 10)
+        part = words[lo : lo + rng.randint(8, 30)]
+        for _ in range(rng.randint(0, len(part) // 3)):
+            part[rng.randrange(len(part))] = "zz"
+        docs.append((i, " ".join(sentence(rng, rng.randint(0, 30)).split() + part + sentence(rng, rng.randint(0, 30)).split())))
+    got = decontam.hits(spark.createDataFrame(docs, "doc_id long, text string").repartition(3), spark.createDataFrame(items, "item_id long, text string")).collect()
+    want = exhaustive(docs, items)
+    assert {(r.doc_id, r.item_id) for r in got} == want and 15 < len(want) < 60
+
+
+def test_clean_judges_each_row_by_its_own_text(spark, sentence):
+    rng = random.Random(16)
+    item, other = sentence(rng, 30), sentence(rng, 60)
+    rows = [(None, f"so {item}"), (None, other), (4, f"{item} then"), (4, sentence(rng, 50)), (None, None), (4, other)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit(1) for c in ("key", "key2", "row", "packed", "tokens")})
+    bench = spark.createDataFrame([(1, item, 2), (None, item, 3)], "item_id long, text string, item long")
+    kept = decontam.clean(docs, bench)
+    assert kept.columns == docs.columns and Counter((r.doc_id, r.text) for r in kept.collect()) == Counter(rows[i] for i in (1, 3, 4, 5))
+    assert decontam.clean(docs.where("1 = 0"), bench).count() == 0 and decontam.clean(docs, bench.where("1 = 0")).count() == len(rows)
+    assert decontam.hits(docs, spark.createDataFrame([(1, "one two")], "item_id long, text string"), least=1).count() == 0
+
+
+def test_a_phrase_of_many_items_and_documents(spark, sentence):
+    """A document takes what faces the item to the comparison, not its whole text."""
+    rng = random.Random(17)
+    phrase = " ".join(f"p{i}" for i in range(11))
+    items = [(i, f"{sentence(rng, 6)} {phrase} {sentence(rng, 6)}") for i in range(60)]
+    docs = [(i, f"{sentence(rng, 40)} {phrase if i % 3 == 0 else ''} {sentence(rng, 400)}") for i in range(60)] + [(100 + i, t) for i, t in items[:5]]
+    got = decontam.hits(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(100 + i, i) for i in range(5)} <= {(r.doc_id, r.item_id) for r in got}
+    assert {(r.doc_id, r.item_id) for r in got} == {(docs[r][0], i) for r, i in exhaustive(docs, items)}
 
 
 def test_many_ranges_give_the_same(spark, sentence, monkeypatch):

@@ -1,5 +1,6 @@
 """Mixing, URL rules, token counts, token files, language and quality: brute force, round trips, held-out accuracy."""
 
+import itertools
 import random
 import re
 import zlib
@@ -83,23 +84,63 @@ def brute_rule(url):
     return host, path, max(fits)[1:] if fits else None
 
 
+def brute_mine(rows, min_support=0.002, min_count=20, z=1.0):
+    """{(tokens, verdict): (lift, n)} from (tokens, bad) by counting every combination, pruned by definition."""
+    seen, of = Counter(), Counter()
+    for tokens, bad in rows:
+        for size in range(1, len(tokens) + 1):
+            for part in itertools.combinations(sorted(tokens), size):
+                seen[part] += 1
+                of[part, "block" if bad else "allow"] += 1
+    share = {"block": sum(b for _, b in rows) / len(rows)}
+    share["allow"] = 1 - share["block"]
+    least = max(min_support * len(rows), min_count)
+    found = {}
+    for (part, verdict), k in of.items():
+        n, p = seen[part], k / seen[part]
+        low = (p + z * z / (2 * n) - z * (p * (1 - p) / n + z * z / (4 * n * n)) ** 0.5) / (1 + z * z / n)
+        if k >= least and low / share[verdict] > 1:
+            found[part, verdict] = (low / share[verdict], n)
+    shorter = lambda part: (q for size in range(1, len(part)) for q in itertools.combinations(part, size))
+    return {(t, v): x for (t, v), x in found.items() if not any(found.get((q, v), (0,))[0] >= x[0] - 1e-12 for q in shorter(t))}
+
+
+def check_rules(spark, pages, labelled):
+    """Rules and verdicts against brute force; returns what decided each page."""
+    known = [(r.t, r.bad) for r in labelled.where("bad is not null").select(urlfilter.tokens(F.col("url")).alias("t"), "bad").collect()]
+    want = brute_mine(known)
+    got = {(tuple(r.tokens), r.verdict): (r.lift, r.n) for r in urlfilter.mine(labelled).collect()}
+    assert set(got) == set(want) and all(got[k] == pytest.approx(want[k]) for k in want)
+    have = pages.select("page_id", "url", urlfilter.tokens(F.col("url")).alias("t")).collect()
+    decided, out = {}, urlfilter.judge(pages, labelled).collect()
+    assert Counter(r.page_id for r in out) == Counter(r.page_id for r in have)
+    expected = {}
+    for r in have:
+        fits = [(round(x[0], 9), v, " ".join(t)) for (t, v), x in want.items() if set(t) <= set(r.t)]
+        expected[r.page_id] = (r.url, max(fits, default=None))
+    for r in out:
+        url, best = expected[r.page_id]
+        host, path, rule = brute_rule(url)
+        assert (r.host, r.path, r.rule) == (host, path, rule[0] if rule else None), url
+        assert r.mined_rule == (best[2] if best else None), url
+        assert r.verdict == (rule[1] if rule else best[1] if best else "allow")
+        decided[r.page_id] = r
+    return decided
+
+
 def test_url_rules(spark):
     rng = random.Random(4)
-    hosts = ["a.example.org", "example.org", "EXAMPLE.org", "notexample.org", "b.example.com", "com", "x.net", "spam.x.net", "org"]
-    paths = ["", "/", "/es/1", "/en/1", "/en/12?x=1", "/en/2#y", "/fr/3", "/de/4", "/de", "?q=/fr/", "#://org/"]
-    urls = [f"{s}{h}{p}" for s in ("http://", "https://") for h in hosts for p in paths] + [None, "", "no-scheme.org/", "://", "a://b://org/"]
+    hosts = ["a.example.org", "example.org", "EXAMPLE.org", "notexample.org", "b.example.com", "com", "x.net", "spam.x.net", "org", "ok.x.net"]
+    paths = ["", "/", "/es/1", "/en/1", "/en/12?x=1", "/en/2#y", "/fr/3", "/de/4", "/de", "?q=/fr/", "#://org/", "/p/7"]
+    urls = [f"{s}{h}{p}" for s in ("http://", "https://") for h in hosts for p in paths] + [None, "", "no-scheme.org/", "://", "a://b://org/", "https://.../x"]
     pages = spark.createDataFrame([(i, u, "x") for i, u in enumerate(urls)] + [(0, urls[0], "x")], "page_id long, url string, host string")
-    labelled = spark.createDataFrame([(f"https://spam.x.net/p/{i}", True) for i in range(40)] + [(f"https://ok.x.net/p/{i}", rng.random() < 0.1) for i in range(200)], "url string, bad boolean")
-    out = urlfilter.judge(pages, labelled).collect()
-    assert len(out) == len(urls) + 1
-    rules = [(set(r.tokens), r.confidence) for r in urlfilter.mine(labelled).collect()]
-    assert any("h:spam.x.net" in t or "h:spam" in t for t, _ in rules)
-    have = {r.page_id: set(r.t) for r in pages.select("page_id", urlfilter.tokens(F.col("url")).alias("t")).collect()}
-    for r in out:
-        host, path, rule = brute_rule(urls[r.page_id])
-        assert (r.host, r.path, r.rule) == (host, path, rule[0] if rule else None), urls[r.page_id]
-        mined = any(t <= have[r.page_id] for t, _ in rules)
-        assert r.verdict == (rule[1] if rule else ("block" if mined else "allow"))
+    labelled = [(f"https://spam.x.net/p/{i}", True) for i in range(40)] + [(f"https://ok.x.net/p/{i}", rng.random() < 0.1) for i in range(200)]
+    labelled += [(f"http://y.net/{rng.choice('abc')}/{rng.choice('de')}?k={i}&m=1", rng.random() < 0.3) for i in range(300)] + [(None, True), ("https://x.net/", None)]
+    labelled = spark.createDataFrame(labelled, "url string, bad boolean").repartition(3)
+    out = check_rules(spark, pages, labelled)
+    by_url = {urls[i]: r for i, r in out.items()}
+    assert by_url["https://spam.x.net/de"].verdict == "block" and by_url["https://ok.x.net/de"].verdict == "allow"
+    assert by_url["https://spam.x.net/de"].lift > 1 and by_url["https://ok.x.net/de"].mined_rule
     assert urlfilter.judge(pages.where("1 = 0"), labelled).count() == 0
     assert {r.verdict for r in urlfilter.judge(pages, labelled.where("1 = 0")).where("rule is null").collect()} == {"allow"}
 
@@ -108,13 +149,10 @@ def test_many_sure_rules_do_not_hide_less_sure_ones(spark, monkeypatch):
     bad = [f"https://w{i}.v{i}.u{i}.bad{i}.net/a{i}/b{i}/c{i}/d{i}" for i in range(17)]
     rows = [(u, True) for u in bad for _ in range(20)] + [("https://soft.info/s", i < 20) for i in range(30)] + [(f"https://ok{i % 9}.net/x", False) for i in range(900)]
     labelled = spark.createDataFrame(rows, "url string, bad boolean").repartition(4)
-    rules = [(frozenset(r.tokens), r.confidence) for r in urlfilter.mine(labelled).collect()]
-    assert not any(a < b and p >= q for a, p in rules for b, q in rules)
-    assert len({t for t, _ in rules}) == len(rules) and (frozenset(["h:soft.info"]), 2 / 3) in rules
     pages = spark.createDataFrame([(i, u) for i, u in enumerate([*bad, "https://soft.info/other", "https://ok1.net/x", None])], "page_id long, url string")
     for small in (urlfilter.SMALL, 3):
         monkeypatch.setattr(urlfilter, "SMALL", small)
-        got = {r.page_id: r.verdict for r in urlfilter.judge(pages, labelled).collect()}
+        got = {i: r.verdict for i, r in check_rules(spark, pages, labelled).items()}
         assert got == {i: "block" if i < 18 else "allow" for i in range(20)}
 
 
