@@ -52,8 +52,9 @@ def test_replace_and_refuse(spark, results):
 
 
 def test_bad_values_and_lock(spark, results, tmp_path):
-    results.stage(small(spark).withColumn("pi", F.lit(float("nan"))), 1, 1.0, {}, "h")
     with pytest.raises(ValueError, match="pi"):
+        results.stage(small(spark).withColumn("pi", F.lit(float("nan"))), 1, 1.0, {}, "h")
+    with pytest.raises(FileNotFoundError):
         results.finalize(1, 1.0)
     with commit.lock(tmp_path / "l"), pytest.raises(FileExistsError), commit.lock(tmp_path / "l"):
         pass
@@ -63,6 +64,60 @@ def test_bad_values_and_lock(spark, results, tmp_path):
         commit.enough_space(tmp_path, 10**18, 0)
 
 
+def test_a_crash_at_any_step_of_a_replacement_is_mended(spark, results, monkeypatch):
+    for fail_at, says in ((1, "back"), (2, "forward"), (3, "forward")):
+        results.stage(small(spark), fail_at, 1.0, {}, "h")
+        path = results.finalize(fail_at, 1.0)
+        results.stage(small(spark).where("x < 2"), fail_at, 1.0, {}, "h")
+        steps = []
+
+        def crash(step, real):
+            def run(*args, **more):
+                if args and str(args[0]).endswith(".partial"):
+                    return real(*args, **more)
+                steps.append(step)
+                if len(steps) == fail_at + 1:  # noqa: B023
+                    raise KeyboardInterrupt
+                return real(*args, **more)
+
+            return run
+
+        with monkeypatch.context() as m, pytest.raises(KeyboardInterrupt):
+            m.setattr(commit.os, "replace", crash("replace", commit.os.replace))
+            m.setattr(commit.Results, "_mark", staticmethod(crash("mark", commit.Results._mark)))
+            m.setattr(commit.shutil, "rmtree", crash("rmtree", commit.shutil.rmtree))
+            results.finalize(fail_at, 1.0)
+        assert results.recover(fail_at, 1.0) == says and results.recover(fail_at, 1.0) == "none"
+        assert results.open(path).count() == (64 if says == "back" else 32) and results.report(path, "qa.json") is not None
+
+
+def test_presence_types_and_damage(spark, tmp_path):
+    strict = commit.Results(spark, tmp_path / "r", (("pi", "double"), ("regime", "tinyint")))
+    strict.stage(small(spark), 1, 1.0, {}, "h")
+    with pytest.raises(ValueError, match="regime"):
+        strict.finalize(1, 1.0)
+    strict.stage(small(spark).withColumn("regime", F.lit(1).cast("tinyint")), 1, 1.0, {}, "h", crop=small(spark).where("x = 1"))
+    staged = strict.staging(1, 1.0)
+    small(spark).where("x = 2").write.mode("overwrite").parquet(str(staged / "crop"))
+    with pytest.raises(OSError, match="not what was staged"):
+        strict.finalize(1, 1.0)
+    with pytest.raises(ValueError, match="mount"):
+        commit.Results(spark, "hdfs://x/y")
+
+
+def test_locks_left_behind_are_taken_over(tmp_path):
+    import subprocess
+
+    gone = subprocess.Popen(["true"])
+    gone.wait()
+    (tmp_path / "l").write_text(json.dumps({"pid": gone.pid, "host": commit.socket.gethostname()}))
+    with commit.lock(tmp_path / "l"):
+        pass
+    (tmp_path / "l").write_text(json.dumps({"pid": 1, "host": "elsewhere"}))
+    with pytest.raises(FileExistsError), commit.lock(tmp_path / "l"):
+        pass
+
+
 def test_upgrade_adds_regime(spark, results):
     fields = small(spark).withColumn("work_full", F.col("uy")).withColumn("work_resolved", F.col("uz"))
     results.stage(fields, 1, 1.0, {}, "h")

@@ -103,3 +103,17 @@ def test_crop_filter_does_not_cross_transform(spark):
     cut = {(r.z, r.y, r.x): r.g_xx for r in whole.where("x = 3").collect()}
     full = {(r.z, r.y, r.x): r.g_xx for r in whole.collect() if r.x == 3}
     assert cut == full and len(cut) == 64
+
+
+def test_wanted_fields_are_the_same_with_fewer_exchanges(spark, fields):
+    points = analytic.velocity(spark, N, analytic.triad(N))
+    full = fields[2.0]
+    exchanges = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Exchange ")
+    for wanted, most in ((["div"], 2), (["g_xy", "bx"], 2), (["work_resolved"], 2), (["work_full"], 4), (["pi"], 4), (["tau_xy", "uz"], 4), (["t_x"], 4), (["s_bar"], 6), (["work_full", "s_bar", "div_bar"], 6)):
+        out = energy.energy_fields(points, N, sigma=2.0, wanted=wanted)
+        assert out.columns == ["time_index", "z", "y", "x", *(f for f in energy.FIELDS if f in wanted)] and exchanges(out) <= most
+        old = full.select("z", "y", "x", *(F.col(w).alias(f"o_{w}") for w in wanted))
+        worst = out.join(old, ["z", "y", "x"]).agg(F.count(F.lit(1)), *(F.max(F.abs(F.col(w) - F.col(f"o_{w}"))) for w in wanted)).first()
+        assert worst[0] == N**3 and max(worst[1:]) < 1e-12, wanted
+    with pytest.raises(ValueError, match="unknown"):
+        energy.energy_fields(points, N, sigma=2.0, wanted=["speed"])

@@ -25,7 +25,10 @@ def test_frame_end_to_end(spark, tmp_path):
     assert weak["pi_sum"] == pytest.approx(-36.7394125256, rel=1e-4) and weak["passed"]
     assert results.report(path, "cq.json")["passed"] and results.report(path, "sbar.json")["passed"]
     fields = results.open(path)
-    assert fields.count() == 4096 and fields.where("in_crop").count() == 512 and dict(fields.dtypes)["pi"] == "float"
+    assert fields.count() == 4096 and set(fields.columns) == {"time_index", "z", "y", "x", *frame.energy.ENERGY, "regime"} and dict(fields.dtypes)["pi"] == "float"
+    crop = results.open_crop(path)
+    assert crop.count() == 512 and set(frame.CROP_FIELDS) <= set(crop.columns) and len(frame.CROP_FIELDS) == 24
+    assert (crop.agg({"x": "min"}).first()[0], crop.agg({"z": "max"}).first()[0]) == (4, 11)
     strict = config.load(settings(tmp_path, net_max=1e-30))
     assert not frame.report(spark, strict, path, "sbar")["passed"]
     assert frame.single_frame(spark, cfg, 1) == done
@@ -59,6 +62,78 @@ def test_config_is_closed(tmp_path):
 def test_cli_without_spark(tmp_path, capsys):
     path = settings(tmp_path)
     assert cli.main(["plan", "--config", str(path)]) == 0 and json.loads(capsys.readouterr().out)["tiles"] == 8
+    assert cli.main(["doctor", "--config", str(path)]) == 2 and not json.loads(capsys.readouterr().out)["checks"]["source_there"]
+    (tmp_path / "points").mkdir()
     assert cli.main(["doctor", "--config", str(path)]) == 0
     assert cli.main(["plan", "--config", str(tmp_path / "none.yaml")]) == 1
     assert "undefined" in frame.bars("x", {"a": 1.0, "b": None, "c": -2.0})
+
+
+def test_upgrades_of_older_results(spark, tmp_path):
+    bricks.write(analytic.velocity(spark, 16, analytic.triad(16), "float"), str(tmp_path / "points"), brick=8)
+    cfg = config.load(settings(tmp_path, sigmas=[2.0]))
+    frame.single_frame(spark, cfg, 1)
+    results = commit.Results(spark, cfg.result_root)
+    path = results.path(1, 2.0)
+    new = sorted(results.open(path).select("z", "y", "x", "regime").collect())
+
+    def older(version, drop):
+        fields = results.open(path).drop(*drop)
+        rows = fields.collect()
+        spark.createDataFrame(rows, fields.schema).write.mode("overwrite").parquet(str(path / "fields"))
+        manifest = json.loads((path / "manifest.json").read_text()) | {"schema_version": version}
+        (path / commit.MARKER).write_text(commit.atomic_json(path / "manifest.json", manifest))
+
+    for version, drop in ((4, ["regime"]), (3, ["regime", "s_bar"])):
+        older(version, drop)
+        assert cli.main(["upgrade-result", "--config", str(settings(tmp_path, sigmas=[2.0]))]) == 0
+        assert sorted(results.open(path).select("z", "y", "x", "regime").collect()) == new
+        assert json.loads((path / "manifest.json").read_text())["schema_version"] == commit.SCHEMA_VERSION and results.report(path, "weak.json")
+    weak = results.report(path, "weak.json")
+    first = {k: v for k, v in weak.items() if k not in ("abs_p99", "abs_max", "ratio_p99", "ratio_max")} | {"report_version": 1}
+    manifest = json.loads((path / "manifest.json").read_text())
+    manifest["reports"]["weak.json"] = commit.atomic_json(path / "weak.json", first)
+    (path / commit.MARKER).write_text(commit.atomic_json(path / "manifest.json", manifest))
+    assert frame.report(spark, cfg, path, "weak") == pytest.approx(weak)
+    older(9, [])
+    with pytest.raises(RuntimeError, match="not known"):
+        frame.upgrade(spark, cfg, 1, 2.0)
+
+
+
+SERVICE = """
+import os
+import numpy as np
+
+def service(box, time_index):
+    x0, y0, z0, nx, ny, nz = box
+    if x0 and y0 and os.path.exists({stop!r}):
+        raise OSError("the service is away")
+    with open({log!r}, "a") as log:
+        log.write(f"{{x0}},{{y0}},{{z0}}\\n")
+    z, y, x = np.meshgrid(np.arange(z0, z0 + nz), np.arange(y0, y0 + ny), np.arange(x0, x0 + nx), indexing="ij")
+    a = 2 * np.pi / 16
+    return np.stack([np.sin(x * a) * np.cos(y * a), -np.cos(x * a) * np.sin(y * a), 0.0 * z], -1)
+"""
+
+
+def test_acquisition_goes_on_where_it_broke_off(spark, tmp_path):
+    """The service is a field by formula that refuses one request as long as a file is there."""
+    log, stop = tmp_path / "log", tmp_path / "stop"
+    stop.touch()
+    (tmp_path / "field_service.py").write_text(SERVICE.format(log=str(log), stop=str(stop)))
+    spark.sparkContext.addPyFile(str(tmp_path / "field_service.py"))
+    cfg = config.load(settings(tmp_path, source="field_service:service", request=[8, 8, 8], tile=[4, 4, 4], retries=1, backoff_seconds=0))
+    with pytest.raises(Exception, match="away"):
+        frame.acquire(spark, cfg, 1)
+    before = frame.status(spark, cfg, 1)
+    assert before["tiles"] == {"verified": 24, "failed": 8, "planned": 32, "total": 64} and len(log.read_text().split()) == 3
+    stop.unlink()
+    assert frame.points(spark, cfg, 1).count() == 4096
+    assert frame.status(spark, cfg, 1)["tiles"] == {"verified": 64, "total": 64} and len(log.read_text().split()) == 8
+    assert frame.acquire(spark, cfg, 1).count() == 4096 and len(log.read_text().split()) == 8
+    damaged = tmp_path / "state" / "raw" / "t000001" / "request=x0008_y0000_z0000"
+    spark.read.parquet(str(damaged)).where("x < 12").coalesce(1).write.parquet(str(tmp_path / "half"))
+    spark.read.parquet(str(tmp_path / "half")).write.mode("overwrite").parquet(str(damaged))
+    assert frame.acquire(spark, cfg, 1).count() == 4096 and len(log.read_text().split()) == 9
+    assert frame.validate(spark, cfg, 1)["status"] == "validated"

@@ -43,19 +43,52 @@ def test_weak_asymmetry(spark):
     assert zero.asymmetry_index == 0.0 and zero.ratio_p99 == 0.0 and zero.zero_count == 3
 
 
-@pytest.mark.parametrize("few", [50, 1_000_000])
-def test_exact_percentile(spark, few):
+@pytest.mark.parametrize("bins", [3, 50, 4096])
+def test_exact_percentile(spark, bins, monkeypatch):
     import numpy as np
 
+    monkeypatch.setattr(aggregates, "BINS", bins)
     values = np.abs(np.random.default_rng(42).standard_normal(10_003)).astype(np.float32)
     df = spark.createDataFrame([(float(v),) for v in values], "v double")
     for share in (0.0, 0.5, 0.99, 1.0):
-        assert aggregates.exact_percentile(df, df.v, share, few) == pytest.approx(float(np.percentile(values.astype(float), share * 100)), rel=1e-12)
+        assert aggregates.exact_percentile(df, df.v, share) == pytest.approx(float(np.percentile(values.astype(float), share * 100)), rel=1e-12)
     ties = spark.createDataFrame([(1.0,)] * 500 + [(2.0,)] * 3, "v double")
-    assert aggregates.exact_percentile(ties, ties.v, 0.5, few) == 1.0
+    assert aggregates.exact_percentile(ties, ties.v, 0.5) == 1.0
     assert aggregates.exact_percentile(ties.where("v > 5"), ties.v, 0.5) is None
 
 
+def test_percentiles_of_groups_and_of_two_heaps(spark, monkeypatch):
+    """Ranks in different bins, values of very different size, groups of one value and null keys."""
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(7)
+    rows = [("two", float(v)) for v in np.concatenate([rng.random(3000), 1e6 + rng.random(3000)])]
+    rows += [("wide", float(v)) for v in 10.0 ** rng.uniform(-300, 300, 2001)] + [("huge", v) for v in (-1.7e308, 1.7e308, 0.0)] + [("one", 5.0)] * 7 + [(None, 1.0), (None, 2.0)] + [("none", None)]
+    rows += [("near", float(np.nextafter(1.0, 2.0))), ("near", 1.0)]
+    df = spark.createDataFrame(rows, "k string, v double").repartition(5)
+    sent = []
+    real = aggregates._narrowed
+
+    def narrowed(*args):
+        out = real(*args)
+        sent.append(len(out))
+        return out
+
+    monkeypatch.setattr(aggregates, "_narrowed", narrowed)
+    for share in (0.5, 0.99):
+        got = aggregates.percentiles(df, ["k"], F.col("v"), share)
+        assert set(got) == {("two",), ("wide",), ("huge",), ("one",), (None,), ("near",)}
+        for (k,), v in got.items():
+            own = sorted(x for name, x in rows if name == k and x is not None)
+            rank = (len(own) - 1) * share
+            lo, hi = own[int(rank)], own[min(int(rank) + 1, len(own) - 1)]
+            assert v == pytest.approx(lo + (hi - lo) * (rank - int(rank)), rel=1e-12)
+    assert max(sent) <= 2 * 6  # rows at the driver: two a group and pass, however many values lie between two ranks
+    limits = aggregates.symmetric_limits(df.withColumn("v", -F.col("v")), ["k"], F.col("v"), 100)
+    assert limits["two",] == pytest.approx(max(v for k, v in rows if k == "two")) and limits["one",] == 5.0
+
+
 def budget(spark, s_bar, pi):
     rows = [(0.01 * i - pi + s, 0.01 * i, pi, s) for i, s in enumerate(s_bar)]
     return spark.createDataFrame(rows, "work_full double, work_resolved double, pi double, s_bar double")
@@ -96,6 +129,14 @@ def test_dense_histogram_and_limit(spark):
         aggregates.symmetric_limit(zero, zero.v, 0)
 
 
+def test_tags_of_a_column(spark):
+    from pyspark.sql import functions as F
+
+    values = [2.0, 2.5, 1e-5, 100.0, 0.00012345678912, 123456789.0, -3.25, 1e8, 0.1 + 0.2, 9.99999999, 1e-4, 0.0]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    assert [r.t for r in df.select(fx.tag(F.col("v")).alias("t")).collect()] == [fx.sigma_tag(v) for v in values]
+
+
 def test_names_and_coordinates(spark):
     from pyspark.sql import functions as F
 

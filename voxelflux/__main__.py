@@ -12,7 +12,7 @@ from voxelflux.plans import commit, frame
 from voxelflux.plans.config import load
 
 REPORTS = {"compute-cq": "cq", "compute-weak-asymmetry": "weak", "qa-sbar": "sbar"}
-COMMANDS = ["plan", "doctor", "smoke", "validate-input", "process", "finalize-result", "single-frame", "status", "slice", *REPORTS]
+COMMANDS = ["plan", "doctor", "smoke", "cache", "validate-input", "process", "finalize-result", "single-frame", "upgrade-result", "backfill-full-regime", "status", "slice", *REPORTS]
 
 
 def parser() -> argparse.ArgumentParser:
@@ -28,10 +28,31 @@ def parser() -> argparse.ArgumentParser:
     return out
 
 
-def doctor(cfg) -> dict:
-    root = Path(cfg.result_root)
-    root.mkdir(parents=True, exist_ok=True)
-    checks = {"results_writable": os.access(root, os.W_OK), "source_named": bool(cfg.source), "python_3_10": sys.version_info >= (3, 10)}
+def doctor(cfg, time_index: int) -> dict:
+    """Named checks of folders, space, versions and the source; all must hold."""
+    import importlib.util
+    import shutil
+
+    import pyarrow
+    import pyspark
+
+    checks, plan = {}, cfg.plan(time_index)
+    for name, folder, needed in (("results", cfg.result_root, plan["result_bytes"] * len(cfg.sigmas)), ("state", cfg.state_root, plan["raw_bytes"] if frame.fetched(cfg) else 0)):
+        path = Path(folder)
+        path.mkdir(parents=True, exist_ok=True)
+        checks[f"{name}_writable"] = os.access(path, os.W_OK)
+        checks[f"{name}_space"] = shutil.disk_usage(path).free >= needed + int(cfg.reserve_gib * 2**30)
+    module = cfg.source.split(":")[0]
+    checks["source_there"] = bool(cfg.source) and (importlib.util.find_spec(module) is not None if frame.fetched(cfg) else Path(cfg.source).exists())
+    checks["python_3_10"] = sys.version_info >= (3, 10)
+    checks["spark_4"] = int(pyspark.__version__.split(".")[0]) >= 4
+    checks["arrow_11"] = int(pyarrow.__version__.split(".")[0]) >= 11
+    checks["java_found"] = bool(shutil.which("java") or os.environ.get("JAVA_HOME"))
+    record = Path(cfg.state_root) / "run.json"
+    try:
+        checks["run_not_expired"] = not record.exists() or commit.run_record(record, cfg.scratch_hours)["remaining_hours"] > 0
+    except RuntimeError:
+        checks["run_not_expired"] = False
     return {"checks": checks, "passed": all(checks.values())}
 
 
@@ -42,7 +63,7 @@ def run(args: argparse.Namespace) -> dict | list:
     if args.command == "plan":
         return cfg.plan(t)
     if args.command == "doctor":
-        return doctor(cfg)
+        return doctor(cfg, t)
     from voxelflux.session import build
 
     spark = build(args.master)
@@ -61,8 +82,12 @@ def run(args: argparse.Namespace) -> dict | list:
         return [str(results.finalize(t, s)) for s in cfg.sigmas]
     if args.command == "single-frame":
         return frame.single_frame(spark, cfg, t)
+    if args.command == "cache":
+        return {"points": frame.points(spark, cfg, t).count(), **frame.status(spark, cfg, t)}
+    if args.command in ("upgrade-result", "backfill-full-regime"):
+        return [str(frame.upgrade(spark, cfg, t, s)) for s in cfg.sigmas]
     if args.command == "status":
-        return [{"result": p.name, "manifest": json.loads((p / "manifest.json").read_text())} for p in results.complete()]
+        return frame.status(spark, cfg, t)
     path = results.path(t, cfg.sigmas[0])
     if args.command == "slice":
         from voxelflux.operators.grid import plane

@@ -94,6 +94,30 @@ def sigma_tag(sigma: float) -> str:
     return f"{sigma:.8g}".replace("-", "m").replace(".", "p")
 
 
+def tag(v: Column) -> Column:
+    """sigma_tag() of a column of finite numbers: eight digits without trailing zeros, `-` as m and `.` as p."""
+    text = F.format_string("%.7e", v.cast("double"))
+    power = F.regexp_extract(text, r"e([+-]\d+)$", 1).cast("int")
+    digits = F.regexp_replace(F.regexp_extract(text, r"^(-?[\d.]+)e", 1), r"\.?0+$", "")
+    plain = F.regexp_replace(text.cast("decimal(38,18)").cast("string"), r"\.?0+$", "")
+    short = F.when((power >= -4) & (power < 8), plain).otherwise(F.concat(digits, F.lit("e"), F.when(power < 0, "-").otherwise("+"), F.format_string("%02d", F.abs(power))))
+    return F.translate(short, "-.", "mp")
+
+
+def result_name(time_index: Column, sigma: Column) -> Column:
+    return F.concat(F.format_string("t%06d_sigma_", time_index.cast("int")), tag(sigma))
+
+
+def hours_left(now: Column, expires: Column) -> Column:
+    """Hours from one time to the other, 0 if it has passed."""
+    return F.greatest(F.lit(0.0), (F.unix_micros(expires) - F.unix_micros(now)) / 3.6e9)
+
+
+def redacted(text: Column, secret: str) -> Column:
+    """text without a secret, which error messages may repeat."""
+    return F.replace(text, F.lit(secret), F.lit("***")) if secret else text
+
+
 def scientific(v: Column, missing: str = "undefined") -> Column:
     return F.when(v.isNull(), F.lit(missing)).otherwise(F.format_string("%.6e", v))
 

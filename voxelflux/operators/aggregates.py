@@ -2,57 +2,67 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voxelflux.functions.fields import wide
 
-BINS, FEW = 4096, 200_000
+BINS = 4096
 
 
-def exact_percentile(df: DataFrame, value: Column, share: float, few: int = FEW) -> float | None:
-    """The percentile of finite values, linearly interpolated at rank (n - 1) * share, without sorting all of them.
+def exact_percentile(df: DataFrame, value: Column, share: float) -> float | None:
+    """percentiles() of all rows; None if there is no value."""
+    return percentiles(df, [], value, share).get(())
 
-    Equal bins count the values; only the bin or bins that hold the two ranks are looked at again, until they hold
-    `few` values or one value alone. Each pass is one scan with partial aggregation and returns BINS rows at most.
+
+def percentiles(df: DataFrame, keys: list[str], value: Column, share: float) -> dict[tuple, float]:
+    """For each group the percentile of its values, linearly interpolated at rank (n - 1) * share, without sorting them.
+
+    Each of the two ranks of a group has an interval that holds its value. A pass counts the values of the interval
+    in bins of equal width, or by value if there are no more than BINS, and the bin that holds the rank is the next
+    interval; when its ends are equal, they are the value. A pass is one scan with partial aggregation and sends at most
+    BINS counts for each rank through the exchange and one row for each rank to the driver, so groups must be few, such
+    as snapshots or kinds. Nulls are left out; values must be finite.
     """
-    values = df.select(wide(value).alias("v")).where("v is not null")
-    n, lo, hi = values.agg(F.count("v"), F.min("v"), F.max("v")).first()
-    if not n:
-        return None
-    rank = (n - 1) * share
-    below, above = int(rank), min(int(rank) + 1, n - 1)
-    before, count = 0, n
-    while count > few and lo < hi:
-        width = (hi - lo) / BINS
-        if width == 0 or lo + width == lo:
-            break
-        at = F.least(F.floor((F.col("v") - lo) / width), F.lit(BINS - 1))
-        bins = values.where(F.col("v").between(lo, hi)).groupBy(at.alias("bin")).agg(F.count("v").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
-        chosen, seen = [], before
-        for b in bins.orderBy("bin").collect():
-            if seen <= above and seen + b.n > below:
-                chosen.append((seen, b))
-            seen += b.n
-        new = sum(b.n for _, b in chosen)
-        if new == count:
-            break
-        before, count, lo, hi = chosen[0][0], new, chosen[0][1].lo, chosen[-1][1].hi
-    if lo == hi:
-        return float(lo)
-    inside = values.where(F.col("v").between(lo, hi))
-    if count > few:  # many values in few places: counts of distinct values are enough
-        inside = inside.groupBy("v").agg(F.count("v").alias("n"))
-        rows = [(r.v, r.n) for r in inside.orderBy("v").collect()]
+    values = df.select(*keys, wide(value).alias("v")).where("v is not null")
+    open_, found = [], {}
+    for row in values.groupBy(*keys).agg(F.count("v").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect():
+        group, rank = tuple(row[k] for k in keys), ((row.n or 0) - 1) * share
+        if row.n:
+            found[group] = [rank, None, None]
+            open_ += [(*group, side, r, 0, row.n, row.lo, row.hi) for side, r in ((1, int(rank)), (2, min(int(rank) + 1, row.n - 1)))]
+    names = ["side", "rank", "before", "n", "lo", "hi"]
+    while open_:
+        for row in [x for x in open_ if x[-2] == x[-1]]:
+            found[row[: len(keys)]][row[len(keys)]] = row[-2]
+        open_ = [x for x in open_ if x[-2] < x[-1]]
+        if open_:
+            open_ = _narrowed(values, keys, names, open_)
+    return {group: float(a + (b - a) * (rank - int(rank))) for group, (rank, a, b) in found.items()}
+
+
+def _narrowed(values: DataFrame, keys: list[str], names: list[str], open_: list[tuple]) -> list[tuple]:
+    """The intervals after one pass; each row of open_ is (keys, side, rank, before, n, lo, hi)."""
+    types = ["int", "long", "long", "long", "double", "double"]
+    if keys:
+        kinds = dict(values.dtypes)
+        schema = ", ".join(f"`{n}` {t}" for n, t in [*((k, kinds[k]) for k in keys), *zip(names, types, strict=True)])
+        rows = values.sparkSession.createDataFrame(open_, schema).select(*(F.col(k).alias(f"k_{k}") for k in keys), *names)
+        on = F.lit(True)
+        for k in keys:
+            on &= F.col(k).eqNullSafe(F.col(f"k_{k}"))
+        held = values.join(F.broadcast(rows), on)  # two rows a group
     else:
-        rows = [(r.v, 1) for r in inside.orderBy("v").collect()]
-    out, seen = {}, before
-    for v, k in rows:
-        for want in (below, above):
-            if seen <= want < seen + k:
-                out[want] = v
-        seen += k
-    return float(out[below] + (out[above] - out[below]) * (rank - below))
+        held = values.withColumn("s", F.explode(F.array(*(F.struct(*(F.lit(x).cast(t).alias(n) for n, t, x in zip(names, types, row, strict=True))) for row in open_)))).select("v", "s.*")
+    held = held.where(F.col("v").between(F.col("lo"), F.col("hi")))
+    width = F.col("hi") / BINS - F.col("lo") / BINS
+    by_width = F.least(F.floor(F.col("v") / width - F.col("lo") / width), F.lit(BINS - 1)).cast("double")
+    fine = (F.col("n") <= BINS) | (F.col("lo") + width == F.col("lo"))  # few values, or few doubles in between
+    group = [*keys, "side", "rank", "before"]
+    bins = held.groupBy(*group, F.when(fine, F.col("v")).otherwise(by_width).alias("bin")).agg(F.count("v").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    sofar = F.sum("n").over(Window.partitionBy(*group).orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)) + F.col("before")
+    hit = bins.withColumn("sofar", sofar).where((F.col("rank") < F.col("sofar")) & (F.col("rank") >= F.col("sofar") - F.col("n")))
+    return [tuple(r) for r in hit.select(*keys, "side", "rank", (F.col("sofar") - F.col("n")).alias("before"), "n", "lo", "hi").collect()]
 
 
 def moments(fields: DataFrame, names: list[str]) -> DataFrame:
@@ -80,12 +90,20 @@ def ordered_digest(df: DataFrame, group: list[str], order: Column, digest: Colum
 
 
 def symmetric_limit(df: DataFrame, value: Column, percent: float = 99.0) -> float:
-    """Limit of a colour scale: the percentile of |value| over finite values, else their maximum, else 1."""
+    """symmetric_limits() of all rows."""
+    return symmetric_limits(df, [], value, percent).get((), 1.0)
+
+
+def symmetric_limits(df: DataFrame, keys: list[str], value: Column, percent: float = 99.0) -> dict[tuple, float]:
+    """For each group the limit of a colour scale: the percentile of |value| over finite values, else their maximum, else 1.
+
+    Groups without a finite value are left out.
+    """
     if not 0 < percent <= 100:
         raise ValueError("percent must be in (0, 100]")
-    v = F.abs(wide(value))
-    good = df.select(v.alias("a")).where(~F.isnan("a") & (F.col("a") != float("inf")))
-    limit = exact_percentile(good, F.col("a"), percent / 100)
-    if not limit:
-        limit = good.agg(F.max("a")).first()[0]
-    return float(limit) if limit else 1.0
+    good = df.select(*keys, F.abs(wide(value)).alias("a")).where(~F.isnan("a") & (F.col("a") != float("inf")))
+    limits = percentiles(good, keys, F.col("a"), percent / 100)
+    if any(not x for x in limits.values()):
+        most = {tuple(r[k] for k in keys): r.most for r in good.groupBy(*keys).agg(F.max("a").alias("most")).collect()}
+        limits = {k: x or most.get(k) or 1.0 for k, x in limits.items()}
+    return limits

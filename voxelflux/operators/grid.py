@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voxelflux.functions.fields import tile_key, wide
@@ -52,6 +54,43 @@ def pending(planned: DataFrame, verified: DataFrame, keys: list[str]) -> DataFra
     return planned.join(verified.select(*keys), keys, "left_anti")
 
 
+def repeated(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys that more than one row has, with their number."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+
+
+def axis_lengths(points: DataFrame) -> DataFrame:
+    """For each snapshot the length of its axes as its points have it, and whether no point is missing or doubled."""
+    out = points.groupBy("time_index").agg(*((F.max(a) + 1).alias(f"n{a}") for a in "xyz"), F.count(F.lit(1)).alias("n_points"), F.min(F.least("x", "y", "z")).alias("first"))
+    return out.withColumn("full", (F.col("n_points") == F.col("nx").cast("long") * F.col("ny") * F.col("nz")) & (F.col("first") == 0)).drop("first")
+
+
+def missing_fields(df: DataFrame, required: list[str]) -> list[str]:
+    """Required columns that a frame lacks, in order."""
+    return [c for c in required if c not in df.columns]
+
+
+def in_tile() -> Column:
+    """Whether a point lies in its row's tile (x0, y0, z0, nx, ny, nz)."""
+    inside_it = F.lit(True)
+    for a in "xyz":
+        inside_it &= (F.col(a) >= F.col(f"{a}0")) & (F.col(a) < F.col(f"{a}0") + F.col(f"n{a}"))
+    return inside_it
+
+
+def plan(snapshots: DataFrame, shape: tuple[int, int, int], request: tuple[int, int, int], tile: tuple[int, int, int], crop_shape: tuple[int, int, int]) -> DataFrame:
+    """For each snapshot the number of requests and tiles and uncompressed sizes: float32 velocity, ten work fields,
+    24 floats a point of the crop and 17 bytes a point of the whole grid in the result."""
+    def blocks(size: tuple[int, int, int]) -> Column:
+        return F.lit(math.prod(-(-n // s) for n, s in zip(shape, size, strict=True)))
+
+    points = F.lit(math.prod(shape)).cast("long")
+    return snapshots.select(
+        "time_index", blocks(request).cast("long").alias("requests"), blocks(tile).cast("long").alias("tiles"), (points * 12).alias("raw_bytes"),
+        (points * 17 + F.lit(math.prod(crop_shape)) * 96).alias("result_bytes"), (points * 40).alias("workspace_bytes"),
+    )
+
+
 def crop(points: DataFrame, start: tuple[int, int, int], shape: tuple[int, int, int]) -> DataFrame:
     """The box start (x, y, z) + shape with local indices lz, ly, lx beside the global ones."""
     out = points
@@ -102,6 +141,17 @@ def overlap(old: DataFrame, new: DataFrame, start: tuple[int, int, int], fields:
     return both.groupBy("time_index").agg(*aggs).select("time_index", F.inline(rows))
 
 
+def cached_velocity(held: DataFrame, new: DataFrame, start: tuple[int, int, int], names: tuple[str, ...] = ("bx", "by", "bz")) -> DataFrame:
+    """overlap() of a stored crop of the filtered velocity with one on the whole grid, at the tolerances of a reusable cache."""
+    return overlap(held, new, start, list(names), rtol=2e-5, atol=2e-6)
+
+
+def ordered(tile_rows: DataFrame) -> DataFrame:
+    """Tiles with their place in a snapshot's listing (by z0, y0, x0) and in natural order (by x0, y0, z0), from 1."""
+    place = lambda *c: F.row_number().over(Window.partitionBy("time_index").orderBy(*c))
+    return tile_rows.withColumns({"listed": place("z0", "y0", "x0"), "natural": place("x0", "y0", "z0")})
+
+
 def unpivot(points: DataFrame, fields: list[str]) -> DataFrame:
     pairs = F.array(*(F.struct(F.lit(i).alias("c"), F.col(f).alias("v")) for i, f in enumerate(fields)))
     return points.select(*POINT, F.inline(pairs))

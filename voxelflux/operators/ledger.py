@@ -32,6 +32,18 @@ def planned(ledger: DataFrame, plan: DataFrame, seq: int) -> DataFrame:
     return plan.join(known, "key", "left_anti").select("key", F.lit(seq).cast("long").alias("seq"), F.lit("planned").alias("event"), F.lit(None).cast("string").alias("sha256"), F.lit(None).cast("long").alias("byte_count"))
 
 
+def to_fetch(plan: DataFrame, states: DataFrame, stored: DataFrame) -> DataFrame:
+    """Keys of a plan (key) that still have to be fetched: not verified in state(), or stored (key, sha256) with another
+    digest or not at all."""
+    good = states.where("status = 'verified'").select("key", "sha256").join(stored.select("key", "sha256"), ["key", "sha256"])
+    return plan.select("key").distinct().join(good, "key", "left_anti")
+
+
+def lookup(rows: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows whose keys a table names."""
+    return rows.join(wanted.select(*keys).distinct(), keys, "left_semi")
+
+
 def progress(states: DataFrame, group: list[str], status: Column) -> DataFrame:
     """Counts by status with a total row (status null) for each group."""
     rolled = states.select(*group, status.alias("status")).groupBy(*group, "status").count().withColumnRenamed("count", "n")

@@ -1,8 +1,12 @@
 """Results on disk: staged writes, sidecar reports with a hash chain, atomic commit, upgrades.
 
-A result is a folder with Parquet fields, qa.json, manifest.json and, last of all, COMPLETE, whose content names the
-manifest's hash. A report is current if its own hash stands in the manifest and the manifest's in COMPLETE. These are
-driver-side files of a few kB on a POSIX file system; fields are written and read by Spark.
+A result is a folder with Parquet datasets (fields on the whole grid, and more of them on the crop), qa.json,
+manifest.json and, last of all, COMPLETE, whose content names the manifest's hash. A report is current if its own hash
+stands in the manifest and the manifest's in COMPLETE. Sidecars are files of a few kB that the driver writes; datasets are
+written and read by Spark. Both are on one POSIX file system that all machines mount: roots with another scheme are refused.
+
+A result is replaced by two renames and a marker. recover() tells from what is there where a crash came: without the new
+folder the old one comes back; a new folder whose manifest holds gets its marker; otherwise the old one comes back.
 """
 
 from __future__ import annotations
@@ -12,6 +16,7 @@ import hashlib
 import json
 import os
 import shutil
+import socket
 from collections.abc import Iterator
 from datetime import datetime, timedelta, timezone
 from pathlib import Path
@@ -42,23 +47,46 @@ def atomic_json(path: Path, payload: dict) -> str:
     return hashlib.sha256(raw).hexdigest()
 
 
+def uri(path: Path) -> str:
+    """A path for Spark's readers and writers, whatever its default file system."""
+    return f"file://{path.absolute()}"
+
+
 def file_hash(path: Path) -> str:
     return hashlib.sha256(path.read_bytes()).hexdigest()
 
 
 @contextlib.contextmanager
 def lock(path: Path) -> Iterator[None]:
-    """A lock file that exists while the block runs; fails at once if another holds it."""
+    """A lock file that exists while the block runs; fails at once if another holds it.
+
+    It names process and machine, so one that a crash on this machine left behind is taken over.
+    """
     path.parent.mkdir(parents=True, exist_ok=True)
+    if path.exists() and _left_behind(path):
+        path.unlink(missing_ok=True)
     handle = os.open(path, os.O_CREAT | os.O_EXCL | os.O_WRONLY)
     try:
-        os.write(handle, str(os.getpid()).encode())
+        os.write(handle, json.dumps({"pid": os.getpid(), "host": socket.gethostname()}).encode())
         yield
     finally:
         os.close(handle)
         path.unlink()
 
 
+def _left_behind(path: Path) -> bool:
+    try:
+        holder = json.loads(path.read_text())
+        if holder["host"] != socket.gethostname():
+            return False
+        os.kill(holder["pid"], 0)
+    except ProcessLookupError:
+        return True
+    except (OSError, ValueError, KeyError):  # alive under another user, or still being written
+        return False
+    return False
+
+
 def enough_space(path: Path, needed: int, reserve: int) -> None:
     free = shutil.disk_usage(path).free
     if free < needed + reserve:
@@ -87,10 +115,12 @@ def run_record(path: Path, hours: int, now: datetime | None = None) -> dict:
 
 
 class Results:
-    """All results under one root."""
+    """All results under one root. `required` are (column, type) pairs that the whole-grid fields of each must have."""
 
-    def __init__(self, spark: SparkSession, root: str | Path):
-        self.spark, self.root = spark, Path(root)
+    def __init__(self, spark: SparkSession, root: str | Path, required: tuple[tuple[str, str], ...] = ()):
+        if "://" in str(root) or str(root).startswith("file:"):
+            raise ValueError(f"results need a folder that all machines mount, not {root}")
+        self.spark, self.root, self.required = spark, Path(root).absolute(), required
 
     def path(self, time_index: int, sigma: float) -> Path:
         return self.root / result_id(time_index, sigma)
@@ -98,45 +128,103 @@ class Results:
     def staging(self, time_index: int, sigma: float) -> Path:
         return self.root / ".staging" / result_id(time_index, sigma)
 
+    def _lock(self, time_index: int, sigma: float):
+        return lock(self.root / ".locks" / f"{result_id(time_index, sigma)}.lock")
+
+    def _read(self, path: Path) -> DataFrame:
+        return self.spark.read.parquet(uri(path))
+
     def complete(self) -> list[Path]:
         return sorted(p for p in self.root.iterdir() if p.is_dir() and not p.name.startswith(".") and (p / MARKER).exists()) if self.root.exists() else []
 
-    def stage(self, fields: DataFrame, time_index: int, sigma: float, qa: dict, input_hash: str) -> Path:
-        """Write fields and QA to the staging folder; a staged result that is there goes."""
-        target = self.staging(time_index, sigma)
-        with lock(self.root / ".locks" / f"{result_id(time_index, sigma)}.lock"):
-            remove_child(target.parent, target) if target.exists() else None
-            fields.write.option("compression", "zstd").parquet(str(target / "fields"))
-            atomic_json(target / "qa.json", qa | {"status": "processed", "input_hash": input_hash})
+    def stage(self, fields: DataFrame, time_index: int, sigma: float, qa: dict, input_hash: str, crop: DataFrame | None = None) -> Path:
+        """Write datasets and QA to the staging folder; a staged result that is there goes."""
+        with self._lock(time_index, sigma):
+            return self._stage(fields, time_index, sigma, qa, input_hash, crop)
+
+    def _stage(self, fields: DataFrame, time_index: int, sigma: float, qa: dict, input_hash: str, crop: DataFrame | None) -> Path:
+        target, facts = self.staging(time_index, sigma), {}
+        remove_child(target.parent, target) if target.exists() else None
+        for name, rows in (("fields", fields), ("crop", crop)):
+            if rows is not None:
+                rows.write.option("compression", "zstd").parquet(uri(target / name))
+                facts[name] = field_facts(self._read(target / name))
+        if crop is not None and field_facts(crop) != facts["crop"]:  # read back and compared, as crops are kept for good
+            raise OSError(f"the crop under {target} differs from what was written")
+        atomic_json(target / "qa.json", qa | {"status": "processed", "input_hash": input_hash, "facts": facts})
         return target
 
     def finalize(self, time_index: int, sigma: float) -> Path:
-        """Check the staged fields, write manifest and COMPLETE, and move the folder into place."""
+        """Check the staged datasets, write manifest and COMPLETE, and move the folder into place."""
+        with self._lock(time_index, sigma):
+            return self._finalize(time_index, sigma)
+
+    def _finalize(self, time_index: int, sigma: float) -> Path:
         staged, final = self.staging(time_index, sigma), self.path(time_index, sigma)
+        self.recover(time_index, sigma)
         qa = json.loads((staged / "qa.json").read_text())
         if qa.get("status") != "processed":
             raise RuntimeError("the staged result is not processed")
         if final.exists() and not (final / MARKER).exists():
             raise RuntimeError(f"{final} is there without {MARKER}; it is not replaced")
-        fields = self.spark.read.parquet(str(staged / "fields"))
-        manifest = {"schema_version": SCHEMA_VERSION, "time_index": time_index, "sigma": sigma, "fields": field_facts(fields), "input_hash": qa["input_hash"], "reports": {"qa.json": file_hash(staged / "qa.json")}}
+        fields = self._read(staged / "fields")
+        wrong = [c for c in self.required if c not in fields.dtypes]
+        if wrong:
+            raise ValueError(f"missing or of another type: {wrong}")
+        facts = {"fields": field_facts(fields)} | ({"crop": field_facts(self._read(staged / "crop"))} if (staged / "crop").exists() else {})
+        if facts != qa.pop("facts"):
+            raise OSError(f"what stands under {staged} is not what was staged")
+        atomic_json(staged / "qa.json", qa)
+        manifest = {"schema_version": SCHEMA_VERSION, "time_index": time_index, "sigma": sigma, **facts, "input_hash": qa["input_hash"], "reports": {"qa.json": file_hash(staged / "qa.json")}}
         digest = atomic_json(staged / "manifest.json", manifest)
-        old = final.with_name(f".{final.name}.old")
+        old = self._old(final)
         if final.exists():
             os.replace(final, old)
         os.replace(staged, final)
+        self._mark(final, digest)
+        if old.exists():
+            shutil.rmtree(old)
+        return final
+
+    @staticmethod
+    def _old(final: Path) -> Path:
+        return final.with_name(f".{final.name}.old")
+
+    @staticmethod
+    def _mark(final: Path, digest: str) -> None:
         with (final / MARKER).open("x") as out:
             out.write(digest)
             out.flush()
             os.fsync(out.fileno())
-        if old.exists():
+
+    def recover(self, time_index: int, sigma: float) -> str:
+        """Bring a replacement that a crash broke off to one of its two ends; says which, or that there was none."""
+        final = self.path(time_index, sigma)
+        old = self._old(final)
+        if not old.exists():
+            return "none"
+        if (final / MARKER).exists():
             shutil.rmtree(old)
-        return final
+            return "forward"
+        manifest = final / "manifest.json"
+        if manifest.exists() and json.loads(manifest.read_text())["reports"].get("qa.json") == file_hash(final / "qa.json"):
+            self._mark(final, file_hash(manifest))
+            shutil.rmtree(old)
+            return "forward"
+        if final.exists():
+            shutil.rmtree(final)
+        os.replace(old, final)
+        return "back"
 
     def open(self, path: Path) -> DataFrame:
         if not (path / MARKER).exists() or json.loads((path / "qa.json").read_text()).get("status") != "processed":
             raise RuntimeError(f"{path} is not complete")
-        return self.spark.read.parquet(str(path / "fields"))
+        return self._read(path / "fields")
+
+    def open_crop(self, path: Path) -> DataFrame:
+        """What only the crop of a complete result has."""
+        self.open(path)
+        return self._read(path / "crop")
 
     def report(self, path: Path, name: str) -> dict | None:
         """A report whose hash chain holds, else None."""
@@ -163,13 +251,28 @@ class Results:
         return made
 
     def upgrade(self, time_index: int, sigma: float, recompute) -> Path:
-        """A result of an older schema with the columns that `recompute` adds, committed like a new one."""
+        """A result of an older schema with the columns that `recompute` adds, committed like a new one.
+
+        The old result stays in place until the new one is whole, and comes back if a step fails or a crash breaks in.
+        """
         path = self.path(time_index, sigma)
-        manifest = json.loads((path / "manifest.json").read_text())
-        if manifest["schema_version"] == SCHEMA_VERSION:
-            return path
-        self.stage(recompute(self.open(path)), time_index, sigma, json.loads((path / "qa.json").read_text()), manifest["input_hash"])
-        return self.finalize(time_index, sigma)
+        with self._lock(time_index, sigma):
+            self.recover(time_index, sigma)
+            manifest = json.loads((path / "manifest.json").read_text())
+            if manifest["schema_version"] == SCHEMA_VERSION:
+                return path
+            crop = self._read(path / "crop") if (path / "crop").exists() else None
+            self._stage(recompute(self.open(path)), time_index, sigma, json.loads((path / "qa.json").read_text()), manifest["input_hash"], crop)
+            return self._finalize(time_index, sigma)
+
+    def status(self) -> DataFrame:
+        """One row a result folder with what its manifest says; null where there is none or the chain is broken."""
+        rows = []
+        for p in sorted(q for q in self.root.iterdir() if q.is_dir() and not q.name.startswith(".")) if self.root.exists() else []:
+            held = json.loads((p / "manifest.json").read_text()) if (p / "manifest.json").exists() else {}
+            whole = (p / MARKER).exists() and (p / MARKER).read_text() == file_hash(p / "manifest.json")
+            rows.append((p.name, held.get("time_index"), held.get("sigma"), held.get("schema_version"), whole, sorted(held.get("reports", {}))))
+        return self.spark.createDataFrame(rows, "result string, time_index int, sigma double, schema_version int, complete boolean, reports array<string>")
 
 
 def field_facts(fields: DataFrame) -> dict:

@@ -2,7 +2,7 @@
 
 Transforms of the same stage share two exchanges (see operators.spectral), so the whole chain takes six:
 velocity -> filtered velocity and both gradient tensors; accelerations and products -> their filtered forms;
-transport -> its divergence. Everything between is column arithmetic.
+transport -> its divergence. Everything between is column arithmetic. work_full, work_resolved and pi need no third stage.
 """
 
 from __future__ import annotations
@@ -45,30 +45,62 @@ def tau(i: int, j: int) -> Column:
     return F.col(f"tau_{AXES[a]}{AXES[b]}")
 
 
-def energy_fields(points: DataFrame, n: int, *, sigma: float, length: float = 2 * math.pi, kind: str = "double") -> DataFrame:
-    """points with b*, both gradients (g_ij, h_ij), tau_ij, transport_j, div, div_bar and the four energy fields."""
-    options = {"sigma": sigma, "length": length, "kind": kind}
-    c = F.col
-    first: list[Transform] = [gaussian(b, u) for b, u in zip(UB, U, strict=True)]
-    first += [derivative(f"g_{i}{j}", f"u{i}", j) for i in AXES for j in AXES]
-    first += [filtered_derivative(f"h_{i}{j}", f"u{i}", j) for i in AXES for j in AXES]
-    stage = transform(points, n, first, keep=U, **options)
-    stage = stage.select("*", *(dot([c(u) for u in U], [c(f"g_{i}{j}") for j in AXES]).alias(f"a_{i}") for i in AXES), *((c(U[i]) * c(U[j])).alias(f"p_{AXES[i]}{AXES[j]}") for i, j in PAIRS))
-    kept = [*U, *UB, *gradient_names("g"), *gradient_names("h")]
-    second = [gaussian(f"fa_{i}", f"a_{i}") for i in AXES] + [gaussian(f"fp_{AXES[i]}{AXES[j]}", f"p_{AXES[i]}{AXES[j]}") for i, j in PAIRS]
-    stage = transform(stage, n, second, keep=kept, **options)
-    stage = stage.select("*", *((c(f"fp_{AXES[i]}{AXES[j]}") - c(UB[i]) * c(UB[j])).alias(f"tau_{AXES[i]}{AXES[j]}") for i, j in PAIRS))
-    advected = [dot([c(b) for b in UB], [c(f"h_{i}{j}") for j in AXES]) for i in AXES]
-    stage = stage.select(
-        *KEYS, *kept, *(f"tau_{AXES[i]}{AXES[j]}" for i, j in PAIRS),
-        dot([c(b) for b in UB], [c(f"fa_{i}") for i in AXES]).alias("work_full"),
-        dot([c(b) for b in UB], advected).alias("work_resolved"),
-        dot([tau(i, j) for i in range(3) for j in range(3)], [c(f"h_{i}{j}") for i in AXES for j in AXES]).alias("pi"),
-        *(dot([c(b) for b in UB], [tau(i, j) for i in range(3)]).alias(f"t_{AXES[j]}") for j in range(3)),
-    )
-    kept += [f"tau_{AXES[i]}{AXES[j]}" for i, j in PAIRS] + ["work_full", "work_resolved", "pi"] + [f"t_{j}" for j in AXES]
-    stage = transform(stage, n, [derivative(f"s_{j}", f"t_{j}", j) for j in AXES], keep=kept, **options)
-    return stage.withColumn("s_bar", c("s_x") + c("s_y") + c("s_z")).withColumns({"div": divergence("g"), "div_bar": divergence("h")}).drop("s_x", "s_y", "s_z")
+TAU = [f"tau_{AXES[i]}{AXES[j]}" for i, j in PAIRS]
+TRANSPORT = [f"t_{j}" for j in AXES]
+FIELDS = [*U, *UB, *gradient_names("g"), *gradient_names("h"), *TAU, *TRANSPORT, *ENERGY, "div", "div_bar"]
+
+
+def energy_fields(points: DataFrame, n: int, *, sigma: float, length: float = 2 * math.pi, kind: str = "double", wanted: list[str] | None = None) -> DataFrame:
+    """points with those of FIELDS that are wanted (all by default): b*, both gradients (g_ij, h_ij), tau_ij, transport
+    t_j, div, div_bar and the four energy fields.
+
+    Only the transforms that the wanted fields need are planned, and a column is carried through an exchange only if
+    something after it reads it: the exchanges cannot be pruned, as Arrow functions stand between them.
+    """
+    options, c = {"sigma": sigma, "length": length, "kind": kind}, F.col
+    wanted = FIELDS if wanted is None else wanted
+    if unknown := set(wanted) - set(FIELDS):
+        raise ValueError(f"unknown fields: {sorted(unknown)}")
+    want = lambda *names: any(x in wanted for x in names)
+    stress = want("pi", "s_bar", *TAU, *TRANSPORT)
+    raw, smooth = want("work_full", "div", *gradient_names("g")), want("work_resolved", "pi", "div_bar", *gradient_names("h"))
+    first: list[Transform] = [gaussian(b, u) for b, u in zip(UB, U, strict=True)] if stress or want(*UB, "work_full", "work_resolved") else []
+    first += [derivative(f"g_{i}{j}", f"u{i}", j) for i in AXES for j in AXES] if raw else []
+    first += [filtered_derivative(f"h_{i}{j}", f"u{i}", j) for i in AXES for j in AXES] if smooth else []
+    stage = transform(points, n, first, keep=U, **options) if first else points.select(*KEYS, *U)
+
+    made = {}
+    if want("div"):
+        made["div"] = divergence("g")
+    if want("div_bar"):
+        made["div_bar"] = divergence("h")
+    if want("work_resolved"):
+        made["work_resolved"] = dot([c(b) for b in UB], [dot([c(b) for b in UB], [c(f"h_{i}{j}") for j in AXES]) for i in AXES])
+    later = {f"a_{i}": dot([c(u) for u in U], [c(f"g_{i}{j}") for j in AXES]) for i in AXES} if want("work_full") else {}
+    later |= {f"p_{AXES[i]}{AXES[j]}": c(U[i]) * c(U[j]) for i, j in PAIRS} if stress else {}
+    kept = [x for x in stage.columns if x in wanted] + list(made)
+    if later:  # what is filtered in the second stage, and what is read beside it there
+        beside = [*UB, *(gradient_names("h") if want("pi") else [])]
+        kept = list(dict.fromkeys([*kept, *beside]))
+        stage = stage.withColumns(made).select(*KEYS, *kept, *(v.alias(k) for k, v in later.items()))
+        second = [gaussian(f"f{k}", k) for k in later]
+        stage = transform(stage, n, second, keep=kept, **options)
+        made = {}
+        if want("work_full"):
+            made["work_full"] = dot([c(b) for b in UB], [c(f"fa_{i}") for i in AXES])
+        if stress:
+            stage = stage.withColumns({t: c(f"fp_{t[4:]}") - c(UB[i]) * c(UB[j]) for t, (i, j) in zip(TAU, PAIRS, strict=True)})
+            if want("pi"):
+                made["pi"] = dot([tau(i, j) for i in range(3) for j in range(3)], [c(f"h_{i}{j}") for i in AXES for j in AXES])
+            if want("s_bar", *TRANSPORT):
+                made |= {f"t_{AXES[j]}": dot([c(b) for b in UB], [tau(i, j) for i in range(3)]) for j in range(3)}
+        kept = [x for x in stage.columns if x in wanted] + [x for x in made if x in wanted or x in TRANSPORT]
+    stage = stage.withColumns(made).select(*KEYS, *kept)
+    if want("s_bar"):
+        kept = [x for x in kept if x in wanted]
+        stage = transform(stage, n, [derivative(f"s_{j}", f"t_{j}", j) for j in AXES], keep=kept, **options)
+        stage = stage.withColumn("s_bar", c("s_x") + c("s_y") + c("s_z"))
+    return stage.select(*KEYS, *(x for x in FIELDS if x in wanted))
 
 
 def divergence_metrics(fields: DataFrame, div: str, gradient: list[str], rms_max: float = 1e-4, max_max: float = 1e-3) -> DataFrame:

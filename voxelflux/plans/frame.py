@@ -1,32 +1,100 @@
-"""The verbs of a frame: validate the input, process a filter width, gate, commit, and report on stored fields."""
+"""The verbs of a frame: acquire and validate the input, process a filter width, gate, commit, report, upgrade, status."""
 
 from __future__ import annotations
 
+import json
 import math
+import time
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxelflux.operators import grid
+from voxelflux.operators import grid, ledger
 from voxelflux.plans import commit, energy, reports
 from voxelflux.plans.config import Config
 from voxelflux.session import ship
 from voxelflux.sources import bricks, cutout
 
 REPORT_VERSION = 2
+CROP_FIELDS = [*energy.U, *energy.UB, *energy.gradient_names("g"), *energy.gradient_names("h")]
+
+
+def fetched(cfg: Config) -> bool:
+    """Whether the source names a function, module:function, and no folder."""
+    return ":" in cfg.source and "/" not in cfg.source
 
 
 def points(spark: SparkSession, cfg: Config, time_index: int) -> DataFrame:
-    """A frame's velocity: from bricks, or from the cutout source where `source` names a function."""
+    """A frame's velocity: from bricks, or from what acquire() has fetched where `source` names a function."""
     ship(spark)
-    if ":" in cfg.source and "/" not in cfg.source:
-        spark.dataSource.register(cutout.Cutout)
-        options = {"fetcher": cfg.source, "n": cfg.grid[0], "request": cfg.request[0], "time_index": time_index, "retries": cfg.retries, "backoff": cfg.backoff_seconds}
-        return spark.read.format("cutout").options(**options).load()
+    if fetched(cfg):
+        return acquire(spark, cfg, time_index)
     return bricks.read(spark, cfg.source, cfg.tile[0]).where(F.col("time_index") == time_index)
 
 
+def _raw(cfg: Config, time_index: int) -> Path:
+    return Path(cfg.state_root).absolute() / "raw" / f"t{time_index:06d}"
+
+
+def _ledger(spark: SparkSession, cfg: Config, time_index: int) -> DataFrame:
+    path = Path(cfg.state_root).absolute() / "ledger" / f"t{time_index:06d}"
+    return spark.read.schema(ledger.EVENT).parquet(commit.uri(path)) if path.exists() else spark.createDataFrame([], ledger.EVENT)
+
+
+def _append(rows: DataFrame, cfg: Config, time_index: int) -> None:
+    path = Path(cfg.state_root).absolute() / "ledger" / f"t{time_index:06d}"
+    rows.select("key", "seq", "event", "sha256", "byte_count").coalesce(1).write.mode("append").parquet(commit.uri(path))
+
+
+def _stored(spark: SparkSession, cfg: Config, time_index: int) -> DataFrame:
+    """Digest of each tile that stands in the raw store."""
+    if not _raw(cfg, time_index).exists():
+        return spark.createDataFrame([], "key string, sha256 string, byte_count long")
+    held = spark.read.schema(f"{cutout.SCHEMA}, request string").parquet(commit.uri(_raw(cfg, time_index)))
+    return bricks.checksums(held, cfg.tile[0]).select(F.col("tile_key").alias("key"), "sha256", "byte_count")
+
+
+def acquire(spark: SparkSession, cfg: Config, time_index: int) -> DataFrame:
+    """The velocity of a frame in a store of its own, fetched request by request.
+
+    Tiles are planned in the ledger once; those that are verified there and stand in the store with the same digest are not
+    fetched again, so a run that broke off goes on with what is pending. The service takes one request at a time, so
+    requests are a loop on the driver, of a handful of steps; the fields never pass through it.
+    """
+    spark.dataSource.register(cutout.Cutout)
+    raw, state = _raw(cfg, time_index), Path(cfg.state_root).absolute()
+    with commit.lock(state / ".locks" / f"acquire_t{time_index:06d}.lock"):
+        snapshot = spark.createDataFrame([(time_index,)], "time_index int")
+        tiles = grid.tiles(snapshot, cfg.grid, cfg.tile)
+        plan = tiles.select(F.col("tile_key").alias("key"))
+        _append(ledger.planned(_ledger(spark, cfg, time_index), plan, time.time_ns()), cfg, time_index)
+        missing = ledger.to_fetch(plan, ledger.state(_ledger(spark, cfg, time_index)), _stored(spark, cfg, time_index))
+        held = grid.inside(tiles, grid.tiles(snapshot, cfg.grid, cfg.request), cfg.request).select(F.col("tile_key").alias("key"), F.struct(*(F.col(f"{c}_r").alias(c) for c in ("z0", "y0", "x0", "nx", "ny", "nz", "tile_key"))).alias("request")).cache()
+        todo = [r.request for r in held.join(missing, "key", "left_semi").select("request").distinct().orderBy("request").collect()]
+        if todo:
+            commit.enough_space(state.anchor, cfg.plan(time_index)["raw_bytes"] * len(todo) // cfg.plan(time_index)["requests"], int(cfg.reserve_gib * 2**30))
+        options = {"fetcher": cfg.source, "n": cfg.grid[0], "request": cfg.request[0], "time_index": time_index, "retries": cfg.retries, "backoff": cfg.backoff_seconds}
+        for request in todo:
+            own = held.where(F.col("request.tile_key") == request.tile_key).select("key")
+            said = lambda event, rows: rows.select("key", F.lit(time.time_ns()).alias("seq"), F.lit(event).alias("event"), *(F.col(c) if c in rows.columns else F.lit(None).cast(t).alias(c) for c, t in (("sha256", "string"), ("byte_count", "long"))))
+            _append(said("fetching", own), cfg, time_index)
+            target = raw / f"request={request.tile_key}"
+            try:
+                box = ",".join(str(request[c]) for c in ("x0", "y0", "z0", "nx", "ny", "nz"))
+                spark.read.format("cutout").options(**options, boxes=box).load().write.mode("overwrite").option("compression", "zstd").parquet(commit.uri(target))
+                sums = _stored(spark, cfg, time_index).join(own, "key", "left_semi").cache()
+                if sums.count() != own.count():
+                    raise OSError(f"{target} does not hold all tiles of its request")
+            except Exception:
+                _append(said("failed", own), cfg, time_index)
+                raise
+            _append(said("verified", sums), cfg, time_index)
+            sums.unpersist()
+        held.unpersist()
+    return spark.read.schema(f"{cutout.SCHEMA}, request string").parquet(commit.uri(raw)).drop("request")
+
+
 def validate(spark: SparkSession, cfg: Config, time_index: int) -> dict:
     """Coverage exactly once, finite values, statistics, seams and tile digests; writes QA and an input manifest."""
     frame = points(spark, cfg, time_index)
@@ -49,10 +117,20 @@ def validate(spark: SparkSession, cfg: Config, time_index: int) -> dict:
     return qa | {"manifest_hash": digest}
 
 
+def _results(spark: SparkSession, cfg: Config) -> commit.Results:
+    required = (*((f, cfg.kind) for f in energy.ENERGY), ("regime", "tinyint"))
+    return commit.Results(spark, cfg.result_root, required)
+
+
 def process(spark: SparkSession, cfg: Config, time_index: int, sigma: float, input_hash: str) -> dict:
-    """Fields of one filter width into staging, if the divergence of both velocities is small enough."""
+    """Fields of one filter width into staging, if the divergence of both velocities is small enough.
+
+    The four energy fields and the regime are kept on the whole grid, velocities and gradients on the crop alone, as
+    Config.plan() counts them.
+    """
     frame = points(spark, cfg, time_index)
-    out = energy.energy_fields(frame, cfg.grid[0], sigma=sigma, length=cfg.domain_length, kind=cfg.kind).persist()
+    wanted = [*CROP_FIELDS, *energy.ENERGY, "div", "div_bar"]
+    out = energy.energy_fields(frame, cfg.grid[0], sigma=sigma, length=cfg.domain_length, kind=cfg.kind, wanted=wanted).persist()
     gate = {}
     for name, div, prefix in (("raw", "div", "g"), ("filtered", "div_bar", "h")):
         row = energy.divergence_metrics(out, div, energy.gradient_names(prefix), cfg.divergence_rms_max, cfg.divergence_max_max).first()
@@ -62,37 +140,69 @@ def process(spark: SparkSession, cfg: Config, time_index: int, sigma: float, inp
         out.unpersist()
         raise RuntimeError(f"the velocity is not free of divergence: {gate}")
     budget = reports.budget_qa(out, cfg.identity_rms_max, cfg.net_max).first().asDict()
-    coded = energy.with_regime(out, ["time_index"], cfg.eps_abs, cfg.eps_rel).withColumn("regime", F.col("regime").cast("tinyint"))
-    inside = F.lit(True)
-    for axis, s, n in zip("xyz", cfg.crop_start, cfg.crop_shape, strict=True):
-        inside &= (F.col(axis) >= s) & (F.col(axis) < s + n)
-    narrow = [c for c in coded.columns if c.startswith(("u", "b", "g_", "h_")) and c not in energy.ENERGY]
-    stored = coded.select("time_index", "z", "y", "x", *energy.ENERGY, "regime", inside.alias("in_crop"), *narrow)
-    result = commit.Results(spark, cfg.result_root)
-    result.stage(stored, time_index, sigma, {"divergence": gate, "budget": budget, "sigma": sigma}, input_hash)
+    stored = _coded(cfg, out.select(*grid.POINT, *energy.ENERGY))
+    crop = grid.crop(out.select(*grid.POINT, *CROP_FIELDS), cfg.crop_start, cfg.crop_shape).drop("lx", "ly", "lz")
+    _results(spark, cfg).stage(stored, time_index, sigma, {"divergence": gate, "budget": budget, "sigma": sigma}, input_hash, crop)
     out.unpersist()
     return {"divergence": gate, "budget": budget}
 
 
+def _coded(cfg: Config, fields: DataFrame) -> DataFrame:
+    return energy.with_regime(fields, ["time_index"], cfg.eps_abs, cfg.eps_rel).withColumn("regime", F.col("regime").cast("tinyint"))
+
+
+def upgrade(spark: SparkSession, cfg: Config, time_index: int, sigma: float) -> Path:
+    """A committed result of an older schema brought to the current one.
+
+    Version 4 lacks the regime, which comes from its stored works. Versions 2 and 3 are made anew from the stored
+    velocity; nothing is fetched for that. Reports are then made as they are missing or stale.
+    """
+    results = _results(spark, cfg)
+    path = results.path(time_index, sigma)
+    results.recover(time_index, sigma)
+    if not (path / commit.MARKER).exists():
+        raise RuntimeError(f"{path} is not complete")
+    version = json.loads((path / "manifest.json").read_text())["schema_version"]
+    if version == 4:
+        results.upgrade(time_index, sigma, lambda fields: _coded(cfg, fields.select(*grid.POINT, *energy.ENERGY)))
+    elif version in (2, 3):
+        if fetched(cfg) and not _raw(cfg, time_index).exists():
+            raise RuntimeError("the velocity is not stored; an upgrade fetches nothing")
+        process(spark, cfg, time_index, sigma, validate(spark, cfg, time_index)["manifest_hash"])
+        results.finalize(time_index, sigma)
+    elif version != commit.SCHEMA_VERSION:
+        raise RuntimeError(f"schema {version} is not known")
+    for name in ("cq", "weak", "sbar"):
+        report(spark, cfg, path, name)
+    return path
+
+
+def status(spark: SparkSession, cfg: Config, time_index: int) -> dict:
+    """The state of the input's tiles by the ledger, and of all results by their manifests."""
+    tiles = {r.status or "total": r.n for r in ledger.progress(ledger.state(_ledger(spark, cfg, time_index)).withColumn("time_index", F.lit(time_index)), ["time_index"], F.col("status")).collect()}
+    return {"time_index": time_index, "planned": cfg.plan(time_index)["tiles"], "tiles": tiles, "results": [r.asDict() for r in _results(spark, cfg).status().collect()]}
+
+
 def single_frame(spark: SparkSession, cfg: Config, time_index: int) -> list[str]:
-    """Validate once, then process and commit every filter width that is not there yet."""
-    results, done, checked = commit.Results(spark, cfg.result_root), [], None
-    commit.enough_space(Path(cfg.result_root).absolute().anchor, cfg.plan(time_index)["result_bytes"] * len(cfg.sigmas), int(cfg.reserve_gib * 2**30))
+    """Validate once, then process and commit every filter width that is not there yet; older results are upgraded."""
+    results, done, checked = _results(spark, cfg), [], None
+    commit.run_record(Path(cfg.state_root) / "run.json", cfg.scratch_hours)
+    left = [s for s in cfg.sigmas if not (results.path(time_index, s) / commit.MARKER).exists()]
+    commit.enough_space(Path(cfg.result_root).absolute().anchor, cfg.plan(time_index)["result_bytes"] * len(left), int(cfg.reserve_gib * 2**30))
     for sigma in cfg.sigmas:
+        results.recover(time_index, sigma)
         path = results.path(time_index, sigma)
         if not (path / commit.MARKER).exists():
             checked = checked or validate(spark, cfg, time_index)
             process(spark, cfg, time_index, sigma, checked["manifest_hash"])
             path = results.finalize(time_index, sigma)
-        for name in ("cq", "weak", "sbar"):
-            report(spark, cfg, path, name)
-        done.append(str(path))
+        done.append(str(upgrade(spark, cfg, time_index, sigma)))
     return done
 
 
 def report(spark: SparkSession, cfg: Config, path: Path, name: str) -> dict:
     """One of the reports cq, weak and sbar over a committed result; made anew only if limits or version changed."""
-    results = commit.Results(spark, cfg.result_root)
+    results = _results(spark, cfg)
     if name == "sbar":
         held = results.report(path, "sbar.json")
         facts = {"report_version": REPORT_VERSION, "identity_max": cfg.identity_rms_max, "net_max": cfg.net_max}
@@ -107,6 +217,15 @@ def report(spark: SparkSession, cfg: Config, path: Path, name: str) -> dict:
         return results.ensure_report(path, "sbar.json", lambda df: reports.budget_qa(df, cfg.identity_rms_max, cfg.net_max).first().asDict(), facts)
     facts = {"report_version": REPORT_VERSION, "limit": cfg.partition_max}
     if name == "weak":
+        held = results.report(path, "weak.json")
+        if held and held["report_version"] == 1 and held["limit"] == cfg.partition_max:  # lacks the tail, which one column gives
+
+            def with_tail(fields: DataFrame) -> dict:
+                tail, mean = reports.tail(fields).first(), abs(held["pi_mean"])
+                ratios = {f"ratio_{k}": mean / v if v else (0.0 if mean == 0 else None) for k, v in (("p99", tail.abs_p99), ("max", tail.abs_max))}
+                return held | {"abs_p99": tail.abs_p99, "abs_max": tail.abs_max, **ratios}
+
+            return results.ensure_report(path, "weak.json", with_tail, facts)
         return results.ensure_report(path, "weak.json", lambda df: reports.weak_asymmetry(df, cfg.partition_max).first().asDict(), facts)
 
     def flux(df: DataFrame) -> dict:

@@ -144,8 +144,7 @@ SELECT event_type, count(*)::BIGINT AS n, CASE WHEN round(quantile_cont(abs(valu
 """)
 def color_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
-    kinds = sorted(row.event_type for row in ev.select("event_type").distinct().collect())  # a handful of kinds
-    limits = [(k, aggregates.symmetric_limit(ev.where(F.col("event_type") == k), F.col("value"))) for k in kinds]
+    limits = [(*k, x) for k, x in aggregates.symmetric_limits(ev, ["event_type"], F.col("value")).items()]  # a handful of kinds
     counts = ev.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
     return rounded(counts.join(spark.createDataFrame(limits, "event_type string, color_limit double"), "event_type"), 6, "color_limit")
 
@@ -223,14 +222,14 @@ def _point_sql(source: str, name: str, keys: str = "") -> str:
     return f"WITH {CHAIN} SELECT f.s AS time_index, pt.z, pt.y, pt.x{keys}, {r('f.v', 9, name)} FROM {source} f JOIN pt USING (q)"
 
 
-def _energy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return energy.energy_fields(cubes(spark, sf_dir), N, sigma=SIGMA)
+def _energy(spark: SparkSession, sf_dir: str, *wanted: str) -> DataFrame:
+    return energy.energy_fields(cubes(spark, sf_dir), N, sigma=SIGMA, wanted=list(wanted))
 
 
 def _add_energy(name: str, field: str, source: str) -> None:
     @query(_point_sql(source, field))
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return rounded(_energy(spark, sf_dir).select(*POINT, field), 9, field)
+        return rounded(_energy(spark, sf_dir, field).select(*POINT, field), 9, field)
 
     QUERIES[name], ORACLES[name] = QUERIES.pop("run"), ORACLES.pop("run")
 
@@ -242,7 +241,7 @@ for _name, _field, _source in (("work_full", "work_full", "wf"), ("work_resolved
 @query(_point_sql("tau", "tau", ", a, b") + " WHERE a <= b")
 def tau_tensor(spark: SparkSession, sf_dir: str) -> DataFrame:
     six = F.array(*(F.struct(F.lit(i).alias("a"), F.lit(j).alias("b"), energy.tau(i, j).alias("tau")) for i, j in energy.PAIRS))
-    return rounded(_energy(spark, sf_dir).select(*POINT, F.inline(six)), 9, "tau")
+    return rounded(_energy(spark, sf_dir, *energy.TAU).select(*POINT, F.inline(six)), 9, "tau")
 
 
 @query(_point_sql("ub", "value", ", c"))
@@ -276,7 +275,7 @@ SELECT s AS time_index, count(*)::BIGINT AS point_count, {r("sqrt(avg(res * res)
 """)
 def energy_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Closure of each snapshot's budget; these fields are not free of divergence, so it must not close."""
-    out = reports.budget_qa(_energy(spark, sf_dir), keys=["time_index"]).select("time_index", "point_count", "residual_rms", "residual_max", "joint_rms", "relative_residual")
+    out = reports.budget_qa(_energy(spark, sf_dir, *energy.ENERGY), keys=["time_index"]).select("time_index", "point_count", "residual_rms", "residual_max", "joint_rms", "relative_residual")
     return rounded(rounded(out, 9, "residual_rms", "residual_max", "joint_rms"), 6, "relative_residual")
 
 

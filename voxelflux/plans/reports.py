@@ -61,6 +61,13 @@ def weak_asymmetry(fields: DataFrame, limit: float = 1e-12) -> DataFrame:
     })
 
 
+def tail(fields: DataFrame) -> DataFrame:
+    """(point_count, abs_p99, abs_max) of pi: what a report of an older version lacks, without the other fields."""
+    rows = fields.select(F.abs(guarded(wide("pi"), "pi")).alias("a"))
+    p99 = exact_percentile(rows, F.col("a"), 0.99)
+    return rows.agg(F.count("a").alias("point_count"), F.max("a").alias("abs_max")).select("point_count", F.lit(p99).cast("double").alias("abs_p99"), "abs_max")
+
+
 def weak_by_quadrant(fields: DataFrame) -> DataFrame:
     """The balance of forward and backward flux inside each quadrant that has points."""
     pi, wf, wr = (guarded(wide(c), c) for c in ("pi", "work_full", "work_resolved"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voxelflux.functions.fields import scientific, symlog, wide
+from voxelflux.functions.fields import QUADRANTS, scientific, symlog, wide
 from voxelflux.operators.aggregates import symmetric_limit
 from voxelflux.operators.grid import plane
 
@@ -30,6 +30,12 @@ def signs(weak: DataFrame) -> DataFrame:
     return weak.select(F.inline(F.array(part(0, "positive", "positive_sum", "positive_count"), part(1, "negative", "negative_sum", "negative_count"), part(2, "net", "pi_sum", "zero_count")))).orderBy("place")
 
 
+def quadrants(flux: DataFrame) -> DataFrame:
+    """(place, quadrant, n, conditional_mean) of quadrant_flux, Q1 to Q4."""
+    place = F.array_position(F.array(*(F.lit(q) for q in QUADRANTS)), F.col("quadrant")) - 1
+    return flux.select(place.cast("int").alias("place"), "quadrant", "n", "conditional_mean").orderBy("place")
+
+
 def continuous_slice(points: DataFrame, n: int, axis: str, index: int, field: str, *, percent: float = 99.0, scale: str = "linear", threshold: float | None = None, most: int = 512) -> tuple[DataFrame, float]:
     """A plane of a field, thinned to about `most` points an axis, and the symmetric limit of its colours.
 

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxelflux.functions.fields import finite, tile_key
+from voxelflux.operators.grid import coverage
 
 COMPONENTS = ["ux", "uy", "uz"]
 
@@ -33,6 +34,22 @@ def read(spark: SparkSession, path: str, brick: int = 128, z: tuple[int, int] |
     return points.select(*kept)
 
 
+def write_verified(points: DataFrame, path: str, brick: int, block: int, fields: list[str] = COMPONENTS, codec: str = "zstd") -> DataFrame:
+    """write(), then read back and compare: checksums() of what stands there now, or an error if any tile differs.
+
+    Only digests meet, one row a tile; values that are not finite are refused.
+    """
+    sent = checksums(points, block, fields)
+    write(points, path, brick, codec)
+    back = checksums(read(points.sparkSession, path, brick), block, fields).cache()
+    keys = ["time_index", "tile_key", "n_points", "sha256"]
+    differ = coverage(sent, back, keys)
+    wrong = differ.select("tile_key").unionByName(back.where("n_finite <> n_points").select("tile_key")).limit(5).collect()
+    if wrong:
+        raise OSError(f"tiles differ from what was written or are not finite: {sorted(r.tile_key for r in wrong)}")
+    return back
+
+
 def checksums(points: DataFrame, block: int, fields: list[str] = COMPONENTS) -> DataFrame:
     """(time_index, tile_key, n_points, n_finite, byte_count, sha256) of each block**3 tile.
 

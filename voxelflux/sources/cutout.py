@@ -63,7 +63,8 @@ class CutoutReader(DataSourceReader):
         module, name = self.options["fetcher"].split(":")
         fetcher = getattr(importlib.import_module(module), name)
         n, size = int(self.options["n"]), int(self.options.get("request", self.options["n"]))
-        for box in blocks(n, size):
+        named = self.options.get("boxes")  # x0,y0,z0,nx,ny,nz;... instead of the whole snapshot
+        for box in [tuple(map(int, b.split(","))) for b in named.split(";")] if named else blocks(n, size):
             values = fetch(fetcher, box, partition.time_index, int(self.options.get("retries", 3)), float(self.options.get("backoff", 1.0)))
             x0, y0, z0, nx, ny, nz = box
             z, y, x = (a.reshape(-1).astype(np.int32) for a in np.meshgrid(np.arange(z0, z0 + nz), np.arange(y0, y0 + ny), np.arange(x0, x0 + nx), indexing="ij"))
