@@ -17,8 +17,7 @@ and still every string of 100 bytes is found under exactly one suffix.
 A task sends one anchor for each leading string, and one for each text around it; the others of its own that equal
 it are repeats (or have equals) already and only pass through. So a string that a third of all documents hold costs
 a bucket one row a task, not one a document. If such a string has another text around it in every document, it would
-still be one bucket's work. So leading strings that many documents of the sample hold are known beforehand (HOT_SEEN of
-them, and the MOST_HOT most frequent): of the text around these each string of 100 bytes is dealt by its own 128-bit
+still be one bucket's work. So leading strings that the sample shows to be frequent (HOT_ROWS) are known beforehand: of the text around these each string of 100 bytes is dealt by its own 128-bit
 digest, and equal digests are equal strings. Which strings count as frequent changes no result.
 
 What differs from a full suffix array: suffixes that are no anchors are left out; which anchors have equals is told by
@@ -52,8 +51,9 @@ SAMPLE_ROWS = 4000
 #: Splitters are sent to every task, so there are no more than this; beyond it a range is several buckets, by hash.
 MOST_RANGES = 8192
 FLUSH = 150_000
-#: A leading string is frequent if so many anchors of the sample have it; so many frequent ones are sent to every task at most (8 bytes each).
-HOT_SEEN, MOST_HOT = 8, 1 << 20
+#: A leading string is frequent if, by the sample, about so many anchors have it (some 9 MB with the text around them), and if
+#: HOT_SEEN of the sample do; MOST_HOT of them are sent to every task at most (8 bytes each).
+HOT_ROWS, HOT_SEEN, MOST_HOT = 50_000, 8, 1 << 20
 
 ANCHOR = [("doc", "<i8"), ("first", "<i4"), ("count", "u1"), ("off", "u1"), ("kind", "u1"), ("key", "<u8")]
 #: kind of an anchor: alone so far, with equals in its own task, or known to have equals (passes through)
@@ -433,7 +433,7 @@ def _ranges(slim: DataFrame) -> Ranges:
     share = min(1.0, max(SAMPLE_ROWS, rows // 5000) / max(1, rows))
     some = settle(slim.where(F.pmod(F.xxhash64("doc"), F.lit(1 << 30)) < int(share * (1 << 30))).mapInArrow(run, "lead long, key long"), "sample")
     found = some.agg(F.percentile_approx("lead", [i / n for i in range(1, n)], max(1000, 4 * n))).first()[0]
-    often = some.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= HOT_SEEN).orderBy(F.desc("n"), "key").limit(MOST_HOT).select("key")
+    often = some.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= max(HOT_SEEN, HOT_ROWS * share)).orderBy(F.desc("n"), "key").limit(MOST_HOT).select("key")
     hot = np.sort(often.toArrow().column("key").to_numpy().view(np.uint64))
     return Ranges(np.sort(np.array(found or [], np.int64).view(np.uint64) ^ np.uint64(1 << 63)), -(-buckets // n), hot)
 
@@ -447,7 +447,7 @@ def dedup(docs: DataFrame) -> DataFrame:
     firsts = named.groupBy("h1", "h2").agg(F.min("doc").alias("doc")).groupBy("doc").agg(F.min("h1").alias("first_h1"))
     role = F.when(F.col("first_h1").isNull(), "copy").when(F.col("first_h1") == F.xxhash64("text"), "judged").otherwise("left")
     held = slim.repartition("doc").join(firsts, "doc", "left").select("doc", "doc_id", "text", role.alias("role"))
-    judged = held.where("role = 'judged'").select("doc", "text")
+    judged = held.where("role = 'judged'").select("doc", "doc_id", "text")  # the columns of held, so both read one exchange
 
     dealt = judged.mapInArrow(_anchor_rows(ranges), "bucket long, " + ", ".join(f"{c} binary" for c, _ in ANCHOR))
     wanted = dealt.groupBy("bucket").applyInArrow(_with_equals, "doc long, blob binary").groupBy("doc").agg(F.collect_list("blob").alias("blobs"))
