@@ -5,9 +5,9 @@ its character n-grams of five letters; if none of them is known, of four, and so
 runs of letters in lower case. All scores are log probabilities over the languages, so a word that is equally
 common everywhere says nothing.
 
-The model is learnt by Spark from a bounded sample of labelled rows (about `max_rows`, chosen by a hash of
-doc_id) and keeps at most `max_words` words and `max_grams` n-grams of each length, so it is small enough to be
-sent to every task. Prediction reads nothing but the text.
+The model is learnt by Spark from a bounded sample of labelled rows (about `max_rows`, chosen by a hash of doc_id)
+and keeps every word and n-gram that the sample holds `min_count` times or more. So its size follows the sample and not
+the corpus, and it can be sent to every task. Prediction reads nothing but the text.
 
 Defined cases: null text and text without letters give `und` with score 0; with no labelled rows everything is
 `und`; null languages are not learnt; repeated rows are judged alike; an empty table gives no rows; other
@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voxelflux.llm import textnum as tn
+from voxelflux.llm.store import prepare
 
 GRAMS = (5, 4, 3, 2, 1)
 UNKNOWN = "und"
@@ -134,36 +135,37 @@ def fold(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 4
 
 
-def train(docs: DataFrame, max_rows: int = 12_000, max_words: int = 150_000, max_grams: int = 60_000) -> Model:
+def train(docs: DataFrame, max_rows: int = 12_000, min_count: int = 2) -> Model:
     """Learn from docs (doc_id, text, lang), all of which are seen as training rows; bounds as in the module's text."""
+    prepare(docs.sparkSession)
     labelled = docs.where("lang is not null and text is not null").select("doc_id", "text", "lang")
     rows = labelled.count()
     if rows > max_rows:
-        labelled = labelled.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(max_rows / rows * (1 << 30)))
+        own = F.xxhash64("doc_id", F.when(F.col("doc_id").isNull(), F.col("text")))
+        labelled = labelled.where(F.pmod(own, F.lit(1 << 30)) < int(max_rows / rows * (1 << 30)))
     counted = labelled.mapInArrow(_count, "kind int, key long, lang string, n long").groupBy("kind", "key", "lang").agg(F.sum("n").alias("n")).cache()
     totals = {(r.kind, r.lang): r.n for r in counted.groupBy("kind", "lang").agg(F.sum("n").alias("n")).collect()}
     langs = sorted({lang for _, lang in totals})
-    tables = {}
+    empty = {kind: (np.zeros(0, np.uint64), np.zeros((0, len(langs)), np.float32)) for kind in (0, *GRAMS)}
+    if not langs:
+        return Model(langs, empty)
     per_lang = [F.coalesce(F.sum(F.when(F.col("lang") == lang, F.col("n"))), F.lit(0)).alias(f"n{i}") for i, lang in enumerate(langs)]
-    by_key = counted.groupBy("kind", "key").agg(F.sum("n").alias("all"), *per_lang).where("all > 1")
-    for kind in (0, *GRAMS):
-        limit = max_grams if kind else max_words
-        top = by_key.where(F.col("kind") == kind).orderBy(F.desc("all"), "key").limit(limit).drop("kind", "all").toArrow() if langs else None
-        if top is None or not top.num_rows:
-            tables[kind] = (np.zeros(0, np.uint64), np.zeros((0, len(langs)), np.float32))
-            continue
-        keys = top.column("key").to_numpy().view(np.uint64)
-        n = np.stack([top.column(f"n{i}").to_numpy() for i in range(len(langs))], 1).astype(float)
-        share = (n + 0.5) / (np.array([totals[kind, lang] for lang in langs]) + 0.5 * len(keys))
-        order = np.argsort(keys)
-        tables[kind] = (keys[order], np.log(share / share.sum(1, keepdims=True))[order].astype(np.float32))
+    known = counted.groupBy("kind", "key").agg(F.sum("n").alias("all"), *per_lang).where(F.col("all") >= min_count).drop("all").toArrow()
     counted.unpersist()
+    kinds, keys = known.column("kind").to_numpy(), known.column("key").to_numpy().view(np.uint64)
+    n = np.stack([known.column(f"n{i}").to_numpy() for i in range(len(langs))], 1).astype(float)
+    tables = dict(empty)
+    for kind in np.unique(kinds).tolist():
+        own = np.flatnonzero(kinds == kind)
+        own = own[np.argsort(keys[own])]
+        share = (n[own] + 0.5) / (np.array([totals[kind, lang] for lang in langs]) + 0.5 * len(own))
+        tables[kind] = (keys[own], np.log(share / share.sum(1, keepdims=True)).astype(np.float32))
     return Model(langs, tables)
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, lang_pred, score) for every row of docs (doc_id, text)."""
-    sent = docs.sparkSession.sparkContext.broadcast((model.langs, model.tables))
+    sent = prepare(docs.sparkSession).sparkContext.broadcast((model.langs, model.tables))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Model(*sent.value)
@@ -178,7 +180,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
 def identified(docs: DataFrame, model: Model, min_score: float = 0.5) -> DataFrame:
     """The rows of docs, with their own columns, whose language is known with min_score at least."""
-    sent = docs.sparkSession.sparkContext.broadcast((model.langs, model.tables))
+    sent = prepare(docs.sparkSession).sparkContext.broadcast((model.langs, model.tables))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Model(*sent.value)
