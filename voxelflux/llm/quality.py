@@ -21,17 +21,32 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voxelflux.llm import textnum as tn
+from voxelflux.llm.store import prepare
 
 #: The characters counted as symbols
 SYMBOLS = "#*$%&|<>"
 IS_SYMBOL = np.zeros(256, bool)
 IS_SYMBOL[[ord(c) for c in SYMBOLS]] = True
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_letters", "n_marks"]
-ROUNDS = 60
+#: EM ends when no posterior changes by more than this, and it is an error if it does not.
+STILL, ROUNDS = 1e-6, 2000
+#: So many documents the prior weighs, whatever the number of documents.
+PRIOR_DOCS = 100.0
 #: Expected shares of abstaining, bad and good votes on good and on bad text.
 PRIOR = ((0.2, 0.01, 0.79), (0.3, 0.3, 0.4))
 
 
+_tables: list[np.ndarray] = []
+
+
+def letters() -> list[np.ndarray]:
+    """Which code points are letters, and which are capitals, by Python's Unicode tables; built once a process."""
+    if not _tables:
+        for kind in (str.isalpha, str.isupper):
+            _tables.append(np.fromiter((kind(chr(c)) for c in range(0x110000)), bool, 0x110000))
+    return _tables
+
+
 def _per_row(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     sums = np.concatenate([[0], np.cumsum(flags, dtype=np.int64)])
     return sums[offsets[1:]] - sums[offsets[:-1]]
@@ -45,13 +60,10 @@ def counts(texts: pa.Array) -> dict[str, np.ndarray]:
     hasher = tn.Hasher(data)
     head = (data & 0xC0) != 0x80  # first bytes of code points
     out = {"n_words": np.bincount(rows, minlength=n), "word_chars": _per_row(head & ~space, offsets), "n_symbols": _per_row(IS_SYMBOL[data], offsets)}
-    upper, lower = (data >= 65) & (data <= 90), (data >= 97) & (data <= 122)
-    # Latin letters in two bytes: C3 80-9E are capitals, C3 9F-BF small
-    latin = np.zeros(len(data), bool)
-    latin[1:] = data[:-1] == 0xC3
-    upper |= latin & (data <= 0x9E)
-    lower |= latin & (data >= 0x9F) & (data <= 0xBF)
-    out |= {"n_upper": _per_row(upper, offsets), "n_letters": _per_row(upper | lower, offsets), "n_marks": _per_row((data == 33) | (data == 124), offsets)}
+    points = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32)
+    at = np.concatenate([[0], np.cumsum(head, dtype=np.int64)])[offsets]  # rows in code points
+    letter, upper = letters()
+    out |= {"n_upper": _per_row(upper[points], at), "n_letters": _per_row(letter[points], at), "n_marks": _per_row((data == 33) | (data == 124), offsets)}
 
     lb, le, lr = tn.runs(data != 10, offsets)  # lines without their \n; empty ones have no word anyway
     has = np.concatenate([[0], np.cumsum(~space, dtype=np.int64)])
@@ -86,8 +98,9 @@ def measure(docs: DataFrame) -> DataFrame:
 
     n_words; word_chars, code points in words; n_symbols, characters of SYMBOLS; n_lines, lines with a word;
     n_dup_lines, such lines equal to an earlier one; n_repeat_words, words inside a window of three words that
-    is found twice or more; n_upper and n_letters, Latin letters; n_marks, exclamation marks and bars.
+    is found twice or more; n_upper and n_letters, capitals and letters of any script; n_marks, exclamation marks and bars.
     """
+    prepare(docs.sparkSession)
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, " + ", ".join(f"{c} long" for c in COUNTS)
     return docs.select("doc_id", "text").mapInArrow(_measure, schema)
 
@@ -105,18 +118,18 @@ def rules() -> dict[str, Column]:
         "dup_lines": vote(c("n_dup_lines") == 0, c("n_dup_lines") * 4 >= c("n_lines")),
         "repeats": vote(c("n_repeat_words") * 20 <= w, c("n_repeat_words") * 5 >= w),
         "word_length": vote(c("word_chars").between(w * 3, w * 10), (c("word_chars") < w * 2) | (c("word_chars") > w * 14)),
-        "capitals": vote(c("n_upper") * 5 <= c("n_letters"), c("n_upper") * 2 >= c("n_letters")),
+        "capitals": vote((c("n_upper") * 5 <= c("n_letters")) & (c("n_letters") > 0), (c("n_upper") * 2 >= c("n_letters")) & (c("n_letters") > 0)),
         "marks": vote(c("n_marks") * 50 <= w, c("n_marks") * 5 >= w),
         "letters": vote(c("n_letters") * 10 >= c("word_chars") * 8, c("n_letters") * 10 <= c("word_chars") * 6),
     }
 
 
-def fit(patterns: list[tuple[list[int], int]], rounds: int = ROUNDS) -> dict[tuple[int, ...], float]:
+def fit(patterns: list[tuple[list[int], int]], prior_docs: float = PRIOR_DOCS) -> dict[tuple[int, ...], float]:
     """Posterior of good for each pattern of votes; patterns has (votes, number of documents).
 
     Two classes and three votes a rule, so abstaining may tell something too. EM starts with any bad vote as
-    doubt, two as disbelief, and maximises the posterior under a weak prior on votes (PRIOR, worth a tenth of the
-    documents): a rule seldom speaks against good text, while bad text is of many kinds and each rule sees one.
+    doubt, two as disbelief, and maximises the posterior under a weak prior on votes (PRIOR, worth `prior_docs`
+    documents of each class): a rule seldom speaks against good text, while bad text is of many kinds and each rule sees one.
     """
     if not patterns:
         return {}
@@ -124,14 +137,15 @@ def fit(patterns: list[tuple[list[int], int]], rounds: int = ROUNDS) -> dict[tup
     n = np.array([k for _, k in patterns], float)
     good = np.select([(votes == 0).sum(1) == 0, (votes == 0).sum(1) == 1], [0.98, 0.3], 0.02)
     onehot = (votes[:, :, None] == np.array([-1, 0, 1])).astype(float)
-    strength = 0.1 * n.sum()
-    for _ in range(rounds):
-        logs = []
+    for _ in range(ROUNDS):
+        before, logs = good, []
         for weight, prior in ((n * good, PRIOR[0]), (n * (1 - good), PRIOR[1])):
-            seen = np.einsum("p,prv->rv", weight, onehot) + strength * np.array(prior)
+            seen = np.einsum("p,prv->rv", weight, onehot) + prior_docs * np.array(prior)
             logs.append(np.log((weight.sum() + 1) / (n.sum() + 2)) + np.einsum("prv,rv->p", onehot, np.log(seen / seen.sum(1, keepdims=True))))
         good = 1 / (1 + np.exp(np.clip(logs[1] - logs[0], -500, 500)))
-    return {tuple(int(x) for x in v): float(g) for v, g in zip(votes, good, strict=True)}
+        if np.abs(good - before).max() <= STILL:
+            return {tuple(int(x) for x in v): float(g) for v, g in zip(votes, good, strict=True)}
+    raise RuntimeError(f"the votes' posteriors still change after {ROUNDS} rounds")
 
 
 def judge(docs: DataFrame) -> DataFrame:
