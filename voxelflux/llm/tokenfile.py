@@ -13,12 +13,18 @@ A shard file holds documents in ascending doc_id order, and shards are in that o
 `ranks.bin` beside the shards holds the token id of each rank as uint32. A shard is written under another name
 and then moved, so a task that runs twice leaves one file.
 
-Defined cases: null text is empty and encodes to the end id alone; null doc_id sorts first; documents with
-equal doc_id are ordered by their ids' bytes; an empty table gives ranks and no shard; other columns are ignored.
+Documents are dealt to shards by ranges of doc_id and a hash of their ids, so rows that share a doc_id or have none fill
+as many shards as they need. Shards are about 16 MB, more only for corpora of over 1 TB, so that there are at most some
+65,536 of them: what the driver holds of each is one row.
+
+Defined cases: null text is empty and encodes to the end id alone; null doc_id sorts first; documents with equal doc_id
+are ordered by a hash of their ids and then by their bytes; an empty table gives ranks and no shard; other columns are
+ignored; a tokenizer that is no byte-level BPE is an error, as texts could not be cut where they are.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import struct
 import uuid
@@ -32,12 +38,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxelflux.llm import textnum as tn
+from voxelflux.llm.store import prepare
 
 MAGIC = b"VXT1"
 HEAD = "<4sIQQ"
 NULL_ID = -(2**63)
 #: Word pieces that a Python worker remembers; it starts anew beyond that.
 MEMORY = 600_000
+SHARD_BYTES, MOST_SHARDS = 16 << 20, 1 << 16
 
 #: Lengths of the four ids that a control byte tells of.
 LENGTHS = np.array([[(c >> (2 * j) & 3) + 1 for j in range(4)] for c in range(256)], np.uint8)
@@ -86,6 +94,15 @@ def pieces(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.flatnonzero(cut)
 
 
+def refuse_other_kinds(path: str) -> None:
+    """An error unless the file is of a byte-level BPE tokenizer that changes no text before it parts it, as pieces() assumes."""
+    with open(path, encoding="utf-8") as f:
+        kind = json.load(f)
+    before = kind.get("pre_tokenizer") or {}
+    if kind["model"].get("type") != "BPE" or kind.get("normalizer") or before.get("type") != "ByteLevel" or before.get("add_prefix_space") or not before.get("use_regex", True):
+        raise ValueError(f"not a plain byte-level BPE tokenizer: {path}")
+
+
 class Encoder:
     """Ids of whole texts by the tokenizers library, each different piece of a text encoded once and remembered."""
 
@@ -93,6 +110,7 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
+        refuse_other_kinds(path)
         self.tokenizer, self.memory = Tokenizer.from_file(path), memory
         self._forget()
 
@@ -148,6 +166,8 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     """(doc_id, ids) with ids as little-endian uint32 or, where the vocabulary allows, uint16 bytes."""
     from tokenizers import Tokenizer
 
+    refuse_other_kinds(tokenizer)
+    prepare(docs.sparkSession)
     width = "<u2" if max(end_id, Tokenizer.from_file(tokenizer).get_vocab_size() - 1) < 1 << 16 else "<u4"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,7 +216,7 @@ def write_file(uri: str, content: bytes) -> None:
     fs.move(spare, path)
 
 
-def write(docs: DataFrame, uri: str, tokenizer: str, end_id: int = 2, shard_bytes: int = 16 << 20) -> DataFrame:
+def write(docs: DataFrame, uri: str, tokenizer: str, end_id: int = 2, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """Encode docs (doc_id, text) and write them under uri; returns (shard, path, docs, ids) for each shard, in order.
 
     Texts are encoded once: their ids lie in a table beside the shards while frequencies are counted.
@@ -210,7 +230,8 @@ def write(docs: DataFrame, uri: str, tokenizer: str, end_id: int = 2, shard_byte
     rank_of = np.zeros(int(by_rank.max(initial=0)) + 1, np.uint32)
     rank_of[by_rank] = np.arange(len(by_rank), dtype=np.uint32)
     sent = spark.sparkContext.broadcast(rank_of)
-    shards = max(1, -(-2 * sum(seen.values()) // shard_bytes))
+    size = 2 * sum(seen.values())
+    shards = max(1, -(-size // max(shard_bytes, size // MOST_SHARDS)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -239,8 +260,8 @@ def write(docs: DataFrame, uri: str, tokenizer: str, end_id: int = 2, shard_byte
         write_file(path, struct.pack(HEAD, MAGIC, len(name), int(size.sum()), len(control)) + name.tobytes() + size.astype("<u4").tobytes() + control.tobytes() + data.tobytes())
         yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([path]), pa.array([len(name)], pa.int64()), pa.array([int(size.sum())], pa.int64())], names=["shard", "path", "docs", "ids"])
 
-    order = [F.col("doc_id").asc_nulls_first(), F.col("ids")]
-    written = raw.repartitionByRange(int(shards), order[0]).sortWithinPartitions(*order).mapInArrow(run, "shard int, path string, docs long, ids long")
+    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("ids"), F.col("ids")]
+    written = raw.repartitionByRange(int(shards), *order[:2]).sortWithinPartitions(*order).mapInArrow(run, "shard int, path string, docs long, ids long")
     rows = sorted((r.shard, r.path, r.docs, r.ids) for r in written.collect())  # one row a shard
     return spark.createDataFrame(rows, "shard int, path string, docs long, ids long")
 
