@@ -16,6 +16,9 @@ def components(edges: DataFrame, rounds: int | None = None) -> DataFrame:
     Each step joins edges with one row a node, its smallest neighbour, so a node with very many edges is one
     skewed key that adaptive execution splits. Steps end when the edges no longer change; if `rounds`
     are given and run out before that, it is an error.
+
+    Defined cases: an edge of a node with itself and repeated edges change nothing; edges with a null end are left out;
+    a node that only has an edge with itself does not appear; no edges give no rows; other columns are ignored.
     """
     now = settle(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     before = None

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxelflux.llm import cdc, decontam, langid, minmax, mixing, quality, suffixes, tokencounts, tokenfile, urlfilter
-from voxelflux.llm.store import prepare
+from voxelflux.llm.store import prepare, settle
 from voxelflux.session import shared_dir
 
 #: Where the public tokenizer files lie; the path is a parameter of the operators.
@@ -59,7 +59,8 @@ def op4_token_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     rollup = tokencounts.Rollup(spark, scratch(spark, "rollup"))
     exact = {v: tokencounts.count(F.col("text"), v).alias(v) for v in tokencounts.TOKENIZERS}
-    slim = docs.select("doc_id", "source", "lang", F.floor(F.coalesce("n_chars", F.lit(0)) / 5).alias("guess"), *exact.values())  # counted before the join, which then moves no text
+    slim = docs.select("doc_id", "source", "lang", F.floor(F.coalesce("n_chars", F.lit(0)) / 5).alias("guess"), *exact.values())
+    slim = settle(slim, "counted")  # texts are read once; what follows moves no text
     toxic = slim.join(labels.where("toxic = 1").select("doc_id").distinct(), "doc_id", "left_semi")
 
     def batch(rows: DataFrame, op: str) -> DataFrame:
