@@ -205,7 +205,8 @@ def test_suffix_dedup_of_rows_without_id_or_under_one_id(spark, sentence):
 @pytest.mark.parametrize("often", [2, 8, 10**6])
 def test_suffix_dedup_of_a_line_in_a_third_of_the_rows(spark, sentence, monkeypatch, often):
     """Texts around the line differ, so every row of it is a text of its own for the line's leading string."""
-    monkeypatch.setattr(suffixes, "HOT_SEEN", often)
+    monkeypatch.setattr(suffixes, "HOT_SEEN", min(often, 8))
+    monkeypatch.setattr(suffixes, "HOT_ROWS", often)
     rng, line = random.Random(31), "licensed under the terms of a licence that all of these rows name in full."
     rows = [(i, f"{sentence(rng, rng.randint(0, 30))} {line if i % 3 == 0 else ''} {sentence(rng, rng.randint(0, 30))}") for i in range(300)]
     rows += [(300 + i, f"{sentence(rng, 3)} {rows[3 * i][1]}") for i in range(30)]

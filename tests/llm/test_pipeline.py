@@ -1,27 +1,128 @@
+import random
+import zlib
+from collections import Counter
 from pathlib import Path
 
+import duckdb
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
+from test_pairs import brute_components, exhaustive
+from test_rows import brute_language, brute_targets, plain_ids
 
 import corpus_pipeline
 from voxelflux.llm import queries
+from voxelflux.llm.store import settle
 
 DATA = Path("/root/testdata/sf0.001")
-pytestmark = pytest.mark.skipif(not DATA.exists(), reason="needs the driver's tables")
+needs_data = pytest.mark.skipif(not DATA.exists(), reason="needs the driver's tables")
+NAMES = ["language", "near_dedup", "decontaminate", "mix", "tokens"]
+COLUMNS = "doc_id long, text string, lang string, source string, n_chars long, key string, row double, packed int"
 
 
-def test_stages_hand_on_documents(spark):
+def full(rows):
+    return [(*r, len(r[1] or ""), "x", 1.5, i) for i, r in enumerate(rows)]
+
+
+def test_stages_against_brute_force(spark, sentence, tmp_path):
+    """Every stage on what the one before kept, with nulls, repeats, rows without id and columns with clashing names."""
+    rng = random.Random(90)
+    items = [(i, sentence(rng, 25)) for i in range(6)]
+    base = [sentence(rng, 60) for _ in range(4)]
+    rows = [(i, sentence(rng, rng.randint(20, 90)), "en", f"s{i % 4}" if i % 9 else None) for i in range(60)]
+    rows += [(60 + i, f"{base[i % 4]} {sentence(rng, i % 3)}", "fr" if i % 2 else None, "s1") for i in range(16)]
+    rows += [(80 + i, f"{sentence(rng, 10)} {items[i % 6][1]} {sentence(rng, 10)}", "en", "s2") for i in range(12)]
+    rows += [(None, base[0], "en", None), (None, sentence(rng, 40), "en", "s0"), (None, None, None, None), (3, sentence(rng, 30), "en", "s3"), (60, rows[60][1], "en", "s1"), (99, "", "en", "s0"), (98, "  \n ", None, None), (97, "123 !!", "en", "s0")]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"file://{tmp_path}/benchmark.parquet")
+    docs = spark.createDataFrame(full(rows), COLUMNS).repartition(3)
+    kept, held = docs, {}
+    for name, stage in corpus_pipeline.STAGES:
+        before = [tuple(r) for r in kept.collect()]
+        kept = settle(stage(spark, kept, f"file://{tmp_path}"), name)
+        held[name] = before, [tuple(r) for r in kept.collect()]
+        assert name == "tokens" or kept.columns == docs.columns
+
+    before, after = held["language"]
+    said = brute_language([(r[1], r[2]) for r in before if r[2] is not None and r[1] is not None], [r[1] for r in before])
+    assert Counter(after) == Counter(r for r, (lang, score) in zip(before, said, strict=True) if lang != "und" and score >= 0.5)
+
+    before, after = held["near_dedup"]
+    groups = {id(g): g for g in brute_components([(r[0], r[1]) for r in before], 5, 80)}.values()
+    number = {r[7]: i for i, r in enumerate(before)}
+    left = {number[r[7]] for r in after}
+    assert len(left) == len(after) and all(len(g & left) == 1 for g in groups)
+    for g in groups:
+        ids = [before[i][0] for i in g if before[i][0] is not None]
+        assert [before[i][0] for i in g & left] == [min(ids)] if ids else True
+
+    before, after = held["decontaminate"]
+    found = {i for i, _ in exhaustive([(r[0], r[1]) for r in before], items)}
+    assert Counter(after) == Counter(r for i, r in enumerate(before) if i not in found) and 3 < len(found) <= 12
+
+    before, after = held["mix"]
+    size = lambda r: len((r[1] or "").split())
+    sizes, taken = Counter(), Counter()
+    for r in before:
+        sizes[r[3]] += size(r)
+    for r in after:
+        taken[r[3]] += size(r)
+    assert set(after) <= set(before) and max(Counter(after).values()) <= 3
+    want, longest = brute_targets(sizes), max(map(size, before))
+    assert all(abs(taken[s] - want[s]) <= 2 * longest for s in want)
+
+    before, after = held["tokens"]
+    crc = Counter((r[0], zlib.crc32(np.array(ids + [2], "<u4").tobytes()), len(ids) + 1) for r, ids in zip(before, plain_ids([r[1] for r in before]), strict=True))
+    assert Counter((d, c, n) for d, _, n, c in after) == crc
+
+
+def test_stages_of_empty_tables(spark, documents, tmp_path):
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"file://{tmp_path}/benchmark.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, documents.where("1 = 0"), f"file://{tmp_path}")
+        assert out.count() == 0 and (name == "tokens" or out.columns == documents.columns)
+    assert corpus_pipeline.STAGES[2][1](spark, documents, f"file://{tmp_path}").count() == documents.count()
+
+
+@needs_data
+def test_pipeline_on_given_tables(spark):
+    assert [n for n, _ in corpus_pipeline.STAGES] == NAMES
+    out = corpus_pipeline.run(spark, str(DATA)).collect()
     docs = queries.table(spark, str(DATA), "documents")
-    before, kept = docs.count(), docs
-    assert [n for n, _ in corpus_pipeline.STAGES] == ["language", "near_dedup", "decontaminate", "mix", "tokens"]
-    counts = {}
-    for name, stage in corpus_pipeline.STAGES[:-1]:
-        kept = corpus_pipeline.settle(stage(spark, kept, str(DATA)), name)
-        assert kept.columns == docs.columns
-        counts[name] = kept.count()
-    assert before >= counts["language"] >= counts["near_dedup"] >= counts["decontaminate"] > 0.5 * before
-    last = corpus_pipeline.STAGES[-1][1](spark, kept, str(DATA))
-    assert last.count() == counts["mix"] and last.columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
-
-
-def test_queries_are_registered():
-    assert [sorted(n for n in queries.QUERIES if n.startswith(f"op{i}_")) for i in range(1, 11)] == [[n] for n in sorted(queries.QUERIES, key=lambda n: int(n[2:].split("_")[0]))]
+    assert {r.doc_id for r in out} <= {r.doc_id for r in docs.select("doc_id").collect()} and len({r.doc_id for r in out}) > 0.5 * docs.count()
+    ends = sorted((r.start, r.n_tokens) for r in out)
+    assert all(a + n == b for (a, n), (b, _) in zip(ends, ends[1:], strict=False)) and ends[0][0] == 0
+
+
+SHAPES = {
+    "op1_url_rules": ("pages", ["page_id", "host", "path", "rule", "verdict"]), "op2_suffix_dedup": ("documents", ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]),
+    "op3_mix_sources": ("documents", ["doc_id", "size", "source_size", "target", "taken"]), "op4_token_rollups": (None, ["source", "lang", "tokenizer", "docs", "tokens"]),
+    "op5_benchmark_overlaps": (None, ["doc_id", "item_id", "overlap"]), "op6_token_files": ("documents", ["doc_id", "start", "n_tokens", "ids_crc32"]),
+    "op7_language": ("documents", ["doc_id", "held_out", "lang_pred", "score"]), "op8_near_duplicates": ("documents", ["doc_id", "n_shingles", "component_id", "kept"]),
+    "op9_quality": ("documents", ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]), "op10_repeated_spans": (None, ["doc_id", "start", "length"]),
+}
+
+
+@needs_data
+@pytest.mark.parametrize("name", sorted(SHAPES))
+def test_each_query_judges_its_whole_table(spark, name):
+    assert set(SHAPES) == set(queries.QUERIES)
+    source, columns = SHAPES[name]
+    out = queries.QUERIES[name](spark, str(DATA)).cache()
+    assert set(columns) <= set(out.columns) and out.count() > 0
+    if source:
+        whole = queries.table(spark, str(DATA), source)
+        assert out.count() == whole.count() and out.select(columns[0]).exceptAll(whole.select(columns[0])).count() == 0
+
+
+@needs_data
+def test_rollup_sql(spark):
+    duckdb.sql(f"CREATE OR REPLACE VIEW documents AS SELECT * FROM '{DATA}/documents.parquet'; CREATE OR REPLACE VIEW labels AS SELECT * FROM '{DATA}/labels.parquet'")
+    want = duckdb.sql(queries.ORACLES["op4_token_rollups"]).fetchall()
+    got = queries.op4_token_rollups(spark, str(DATA)).select("source", "lang", "tokenizer", "docs", "tokens").collect()
+    assert Counter(map(tuple, got)) == Counter(want)
+
+
+@needs_data
+def test_held_out_languages_are_predicted(spark):
+    out = queries.op7_language(spark, str(DATA)).where("held_out").join(queries.table(spark, str(DATA), "documents").select("doc_id", "lang").where(F.col("lang").isNotNull()), "doc_id").collect()
+    assert np.mean([r.lang == r.lang_pred for r in out if r.lang_pred != "und"]) > 0.97

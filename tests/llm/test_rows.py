@@ -5,6 +5,7 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 from voxelflux.llm import langid, mixing, quality, queries, textnum, tokencounts, tokenfile, urlfilter
 
+DATA = Path("/root/testdata/sf0.01")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -213,7 +215,9 @@ def test_token_files(spark, documents, nothing, tmp_path):
     got = tokenfile.read(shards, uri).collect()
     rows = documents.collect()
     made = [(r.doc_id, ids + [2]) for r, ids in zip(rows, plain_ids([r.text for r in rows]), strict=True)]
-    made.sort(key=lambda x: (x[0] is not None, x[0] or 0, np.array(x[1], "<u2").tobytes()))
+    raw = spark.createDataFrame([(i, np.array(x[1], "<u2").tobytes()) for i, x in enumerate(made)], "i int, b binary")
+    by_hash = {r.i: r.h for r in raw.select("i", F.xxhash64("b").alias("h")).collect()}
+    made = [made[i] for i in sorted(range(len(made)), key=lambda i: (made[i][0] is not None, made[i][0] or 0, by_hash[i]))]
     start, want = 0, []
     for d, ids in made:
         want.append((d, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
@@ -229,6 +233,75 @@ def test_token_files(spark, documents, nothing, tmp_path):
 LANGS = {"aa": "the of and to in is was that for it with as his on be at by had not are", "bb": "der die und in den von zu das mit sich des auf für ist im dem nicht ein eine", "cc": "de la le et les des en un une du que qui dans au pour par sur est pas plus"}
 
 
+def test_rows_of_one_id_fill_several_shards(spark, sentence, tmp_path):
+    rng = random.Random(12)
+    rows = [(7 if i % 3 else None, sentence(rng, 80)) for i in range(300)] + [(i, sentence(rng, 20)) for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    uri = f"file://{tmp_path}/t"
+    shards = tokenfile.write(docs, uri, queries.tokenizer(), shard_bytes=10_000)
+    sizes = [r.ids for r in shards.collect()]
+    assert len(sizes) > 6 and max(sizes) < 3 * sum(sizes) / len(sizes)
+    got = sorted(tokenfile.read(shards, uri).collect(), key=lambda r: r.start)
+    ids = [(-1 if r.doc_id is None else r.doc_id) for r in got]
+    assert ids == sorted(ids) and Counter(ids) == Counter(-1 if d is None else d for d, _ in rows)
+    assert [r.start for r in got] == np.cumsum([0, *(r.n_tokens for r in got)]).tolist()[:-1]
+
+
+def test_other_tokenizers_are_refused():
+    with pytest.raises(ValueError, match="byte-level"):
+        tokenfile.Encoder(str(Path(queries.tokenizer()).with_name("word_bpe_49k.json")))
+
+
+def brute_language(train, texts, min_count=2):
+    """Languages by the rule in the module's text: words first, then n-grams of five letters down to one."""
+    langs = sorted({lang for _, lang in train})
+    words = lambda t: re.findall(r"[^\W\d_]+", (t or "").lower())
+    grams = lambda w, n: [w[i : i + n] for i in range(len(w) - n + 1)]
+    seen = {k: defaultdict(Counter) for k in (0, 5, 4, 3, 2, 1)}
+    for t, lang in train:
+        for w in words(t):
+            seen[0][w][lang] += 1
+            for n in (5, 4, 3, 2, 1):
+                for g in grams(w, n):
+                    seen[n][g][lang] += 1
+    totals = {k: {lang: sum(c[lang] for c in seen[k].values()) for lang in langs} for k in seen}
+    known = {k: {x for x, c in seen[k].items() if sum(c.values()) >= min_count} for k in seen}
+
+    def logs(kind, x):
+        share = [(seen[kind][x][lang] + 0.5) / (totals[kind][lang] + 0.5 * len(known[kind])) for lang in langs]
+        return np.log(np.array(share) / sum(share))
+
+    out = []
+    for t in texts:
+        total, n = np.zeros(len(langs)), 0
+        for w in words(t):
+            n += 1
+            if w in known[0]:
+                total += logs(0, w)
+                continue
+            for size in (5, 4, 3, 2, 1):
+                own = [g for g in grams(w, size) if g in known[size]]
+                if own:
+                    total += sum(logs(size, g) for g in own) / len(own)
+                    break
+        p = np.exp((total - total.max()) / max(n, 1) * min(n, langid.EVIDENCE))
+        out.append((langs[int(total.argmax())], p.max() / p.sum()) if n else ("und", 0.0))
+    return out
+
+
+def test_language_is_what_the_rule_says(spark, documents):
+    rng = random.Random(26)
+    vocabulary = {lang: [*LANGS[lang].split(), *("".join(rng.choices("abcdeéïßñ" if lang == "bb" else "defghijö", k=rng.randint(3, 9))) for _ in range(60))] for lang in LANGS}
+    make = lambda: (lang := rng.choice(sorted(LANGS)), " ".join(rng.choice(vocabulary[lang]).title() + rng.choice(["", "", "x", "9", "."]) for _ in range(rng.randint(1, 25))))
+    rows = [(i, *reversed(make())) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    train = docs.where(langid.fold(F.col("doc_id")) != 2)
+    got = {r.doc_id: (r.lang_pred, r.score) for r in langid.predict(docs, langid.train(train)).collect()}
+    kept = [(t, lang) for i, t, lang in rows if zlib.crc32(str(i).encode()) % 4 != 2]
+    for (i, _, _), (lang, score) in zip(rows, brute_language(kept, [t for _, t, _ in rows]), strict=True):
+        assert got[i][1] == pytest.approx(score, abs=1e-4) and (got[i][0] == lang or score < 0.51), i
+
+
 def test_language(spark, documents, nothing):
     rng = random.Random(6)
     rows = []
@@ -287,6 +360,40 @@ def test_quality_counts(spark, documents, nothing, sentence):
     assert quality.judge(nothing).count() == 0
 
 
+def brute_em(votes, rounds=400, docs=quality.PRIOR_DOCS):
+    """Posteriors of good by EM over documents one by one."""
+    good = [0.98 if v.count(0) == 0 else 0.3 if v.count(0) == 1 else 0.02 for v in votes]
+    for _ in range(rounds):
+        chance = []
+        for side, prior in zip((good, [1 - g for g in good]), quality.PRIOR, strict=True):
+            table = [{x: docs * p + sum(s for s, v in zip(side, votes, strict=True) if v[r] == x) for x, p in zip((-1, 0, 1), prior, strict=True)} for r in range(len(votes[0]))]
+            share = (sum(side) + 1) / (len(votes) + 2)
+            chance.append([share * np.prod([t[x] / sum(t.values()) for t, x in zip(table, v, strict=True)]) for v in votes])
+        good = [a / (a + b) for a, b in zip(*chance, strict=True)]
+    return good
+
+
+def test_posteriors_are_those_of_em_over_documents():
+    rng = random.Random(14)
+    votes = [tuple(rng.choices((-1, 0, 1), (1, 1, 8) if rng.random() < 0.8 else (2, 5, 3))[0] for _ in range(4)) for _ in range(250)]
+    found = quality.fit(sorted((list(v), n) for v, n in Counter(votes).items()))
+    assert all(found[v] == pytest.approx(g, abs=1e-3) for v, g in zip(votes, brute_em(votes), strict=True))
+
+
+@pytest.mark.skipif(not DATA.exists(), reason="needs the driver's tables")
+def test_quality_agrees_with_labels(spark):
+    judged = quality.judge(spark.read.parquet(f"{DATA}/documents.parquet")).select("doc_id", "kept", "base_failed", "quality")
+    labels = spark.read.parquet(f"{DATA}/labels.parquet").select("doc_id", F.col("quality").alias("label")).distinct()
+    rows = judged.join(labels, "doc_id").collect()
+    bad, good = ([r for r in rows if r.label == x] for x in (0, 1))
+    assert sum(r.kept for r in bad) <= 0.05 * len(bad) and sum(r.quality >= 0.5 for r in good) >= 0.95 * len(good)
+
+
+def test_letters_of_any_script():
+    found = quality.counts(pa.array(["Привет Мир", "漢字 仮名", "", None, "ÀÉ ñ", "12 34"]))
+    assert found["n_letters"].tolist() == [9, 4, 0, 0, 3, 0] and found["n_upper"].tolist() == [2, 0, 0, 0, 2, 0]
+
+
 def test_weak_supervision_parts_junk(sentence):
     rng = random.Random(10)
     patterns = Counter()
