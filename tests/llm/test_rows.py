@@ -86,7 +86,7 @@ def brute_rule(url):
     return host, path, max(fits)[1:] if fits else None
 
 
-def brute_mine(rows, min_support=0.002, min_count=20, z=1.0):
+def brute_mine(rows, min_support=0.002, min_count=20, z=2.0):
     """{(tokens, verdict): (lift, n)} from (tokens, bad) by counting every combination, pruned by definition."""
     seen, of = Counter(), Counter()
     for tokens, bad in rows:
