@@ -220,12 +220,12 @@ def result_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", F.col("l_extendedprice").alias("sigma"), name.alias("result"))
 
 
-@query("SELECT event_id, round(greatest(0.0, (epoch_us((SELECT max(ts) FROM events)) - 3600000000 * 24 - epoch_us(ts)) / 3.6e9), 6) AS hours FROM events")
+@query("SELECT event_id, greatest(0.0::DOUBLE, (epoch_us((SELECT max(ts) FROM events)) - 3600000000 * 24 - epoch_us(ts))::DOUBLE / 3.6e9::DOUBLE) AS hours FROM events")
 def hours_left(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hours from each event to a day before the last one, 0 if that has passed."""
     ev = table(spark, sf_dir, "events")
     end = ev.agg(F.max("ts")).first()[0]
-    return ev.select("event_id", F.round(fx.hours_left(F.col("ts").cast("timestamp"), F.lit(end).cast("timestamp") - F.expr("INTERVAL 24 HOURS")), 6).alias("hours"))
+    return ev.select("event_id", fx.hours_left(F.col("ts").cast("timestamp"), F.lit(end).cast("timestamp") - F.expr("INTERVAL 24 HOURS")).alias("hours"))
 
 
 @query("SELECT event_id, printf('%.6e', value) AS shown, replace(props, 'k', '***') AS props, json_extract_string(props, '$.k')::BIGINT AS k FROM events")
