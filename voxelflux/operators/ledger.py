@@ -44,6 +44,13 @@ def lookup(rows: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
     return rows.join(wanted.select(*keys).distinct(), keys, "left_semi")
 
 
+def current(reports: DataFrame, manifest: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, entries, current): whether all digests that a manifest (keys, sha256) has for a report (keys, sha256) are the
+    report's own; a report without an entry is not current."""
+    said = manifest.select(*keys, F.col("sha256").alias("said"))
+    return reports.join(said, keys, "left").groupBy(*keys).agg(F.count("said").alias("entries"), F.coalesce(F.bool_and(F.col("said") == F.col("sha256")), F.lit(False)).alias("current"))
+
+
 def progress(states: DataFrame, group: list[str], status: Column) -> DataFrame:
     """Counts by status with a total row (status null) for each group."""
     rolled = states.select(*group, status.alias("status")).groupBy(*group, "status").count().withColumnRenamed("count", "n")

@@ -172,9 +172,8 @@ class Results:
         if wrong:
             raise ValueError(f"missing or of another type: {wrong}")
         facts = {"fields": field_facts(fields)} | ({"crop": field_facts(self._read(staged / "crop"))} if (staged / "crop").exists() else {})
-        if facts != qa.pop("facts"):
+        if facts != qa["facts"]:
             raise OSError(f"what stands under {staged} is not what was staged")
-        atomic_json(staged / "qa.json", qa)
         manifest = {"schema_version": SCHEMA_VERSION, "time_index": time_index, "sigma": sigma, **facts, "input_hash": qa["input_hash"], "reports": {"qa.json": file_hash(staged / "qa.json")}}
         digest = atomic_json(staged / "manifest.json", manifest)
         old = self._old(final)

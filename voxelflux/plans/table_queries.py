@@ -185,6 +185,16 @@ def ledger_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.lookup(table(spark, sf_dir, "events").select("event_id", "user_id", "event_type"), names, ["user_id"])
 
 
+@query("""
+SELECT o_orderkey, count(l_linestatus)::BIGINT AS entries, coalesce(bool_and(sha256(l_linestatus) = sha256(o_orderstatus)), false) AS current FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey
+""")
+def chain_currency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether reports are the ones that their manifests name: orders are reports, their lines are entries of manifests."""
+    reports_ = table(spark, sf_dir, "orders").select("o_orderkey", F.sha2("o_orderstatus", 256).alias("sha256"))
+    manifest = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), F.sha2("l_linestatus", 256).alias("sha256"))
+    return ledger.current(reports_, manifest, ["o_orderkey"])
+
+
 # Plans and names ---------------------------------------------------------------------------------------------------
 
 _ORDERED = f"""t AS (SELECT s, x0, y0, z0, {key_sql("x0", "y0", "z0")} AS tile_key FROM (SELECT DISTINCT s FROM whole), (VALUES (0), (3)) a(z0), (VALUES (0), (3)) b(y0), (VALUES (0), (3)) c(x0))"""
@@ -291,6 +301,22 @@ def gradient_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(grid.plane(_energy(spark, sf_dir, "g_xy"), "z", 3, ["g_xy"]), 9, "g_xy")
 
 
+def _sigma_sql(sigma: float) -> str:
+    cube = CUBE.replace(f"pow({SIGMA} * 2", f"pow({sigma} * 2")
+    return f"(WITH {cube}, {_filter('ub', 'u', 'c')} SELECT s AS time_index, {sigma}::DOUBLE AS sigma, {r('sqrt(avg(v * v))', 9, 'rms')}, {r('max(abs(v))', 9, 'max_abs')} FROM ub GROUP BY s)"
+
+
+@query(f"SELECT * FROM {_sigma_sql(1.0)} UNION ALL SELECT * FROM {_sigma_sql(2.0)}")
+def sigma_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The filtered velocity of each snapshot at several filter widths, as one batch."""
+    out = None
+    for sigma in (1.0, 2.0):
+        rows = grid.unpivot(energy.filtered(cubes(spark, sf_dir), N, sigma=sigma), list(energy.UB))
+        part = rows.groupBy("time_index").agg(F.lit(sigma).alias("sigma"), F.sqrt(F.avg(F.col("v") * F.col("v"))).alias("rms"), F.max(F.abs("v")).alias("max_abs"))
+        out = part if out is None else out.unionByName(part)
+    return rounded(out.orderBy("sigma", "time_index"), 9, "rms", "max_abs")
+
+
 @query(f"WITH {CHAIN} SELECT s AS time_index, {r('sum(v)', 6, 'total')}, {r('sqrt(avg(v * v))', 9, 'rms')}, count(*)::BIGINT AS n FROM pf GROUP BY s")
 def flux_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Total and rms of pi of each snapshot."""
