@@ -154,6 +154,8 @@ def train(docs: DataFrame, max_rows: int = 12_000, min_count: int = 2) -> Model:
     counted.unpersist()
     kinds, keys = known.column("kind").to_numpy(), known.column("key").to_numpy().view(np.uint64)
     n = np.stack([known.column(f"n{i}").to_numpy() for i in range(len(langs))], 1).astype(float)
+    del known
+    pa.default_memory_pool().release_unused()
     tables = dict(empty)
     for kind in np.unique(kinds).tolist():
         own = np.flatnonzero(kinds == kind)

@@ -94,13 +94,15 @@ def pieces(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.flatnonzero(cut)
 
 
-def refuse_other_kinds(path: str) -> None:
-    """An error unless the file is of a byte-level BPE tokenizer that changes no text before it parts it, as pieces() assumes."""
+def highest_id(path: str) -> int:
+    """The highest id of a tokenizer file; an error unless it is a byte-level BPE that changes no text before it parts it,
+    as pieces() assumes. The file is read as JSON, as the library's tokenizer would stay in the driver's memory."""
     with open(path, encoding="utf-8") as f:
         kind = json.load(f)
     before = kind.get("pre_tokenizer") or {}
     if kind["model"].get("type") != "BPE" or kind.get("normalizer") or before.get("type") != "ByteLevel" or before.get("add_prefix_space") or not before.get("use_regex", True):
         raise ValueError(f"not a plain byte-level BPE tokenizer: {path}")
+    return max([*kind["model"]["vocab"].values(), *(t["id"] for t in kind.get("added_tokens") or [])])
 
 
 class Encoder:
@@ -110,7 +112,6 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        refuse_other_kinds(path)
         self.tokenizer, self.memory = Tokenizer.from_file(path), memory
         self._forget()
 
@@ -164,11 +165,8 @@ def encoder(path: str) -> Encoder:
 
 def encoded(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     """(doc_id, ids) with ids as little-endian uint32 or, where the vocabulary allows, uint16 bytes."""
-    from tokenizers import Tokenizer
-
-    refuse_other_kinds(tokenizer)
+    width = "<u2" if max(end_id, highest_id(tokenizer)) < 1 << 16 else "<u4"
     prepare(docs.sparkSession)
-    width = "<u2" if max(end_id, Tokenizer.from_file(tokenizer).get_vocab_size() - 1) < 1 << 16 else "<u4"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(tokenizer)
