@@ -16,12 +16,15 @@ from voxelflux.operators.grid import coverage
 COMPONENTS = ["ux", "uy", "uz"]
 
 
-def write(points: DataFrame, path: str, brick: int = 128, codec: str = "zstd") -> None:
-    """Points are sorted by brick inside files, so row-group statistics prune on y and x as directories do on z."""
+def write(points: DataFrame, path: str, brick: int = 128, codec: str = "zstd", folders: tuple[str, ...] = ("time_index", "zb")) -> None:
+    """Points are sorted by brick inside files, so row-group statistics prune on y and x as directories do on z.
+
+    Very many small snapshots are better off without a folder each: folders=("zb",) leaves them to statistics too.
+    """
     placed = points.withColumn("zb", F.floor(F.col("z") / brick).cast("int"))
     (
-        placed.repartition("time_index", "zb").sortWithinPartitions("zb", F.floor(F.col("y") / brick), F.floor(F.col("x") / brick), "z", "y", "x")
-        .write.mode("overwrite").option("compression", codec).partitionBy("time_index", "zb").parquet(path)
+        placed.repartition("time_index", "zb").sortWithinPartitions(*folders, *(c for c in ("time_index", "zb") if c not in folders), F.floor(F.col("y") / brick), F.floor(F.col("x") / brick), "z", "y", "x")
+        .write.mode("overwrite").option("compression", codec).partitionBy(*folders).parquet(path)
     )
 
 
@@ -34,13 +37,13 @@ def read(spark: SparkSession, path: str, brick: int = 128, z: tuple[int, int] |
     return points.select(*kept)
 
 
-def write_verified(points: DataFrame, path: str, brick: int, block: int, fields: list[str] = COMPONENTS, codec: str = "zstd") -> DataFrame:
+def write_verified(points: DataFrame, path: str, brick: int, block: int, fields: list[str] = COMPONENTS, codec: str = "zstd", folders: tuple[str, ...] = ("time_index", "zb")) -> DataFrame:
     """write(), then read back and compare: checksums() of what stands there now, or an error if any tile differs.
 
     Only digests meet, one row a tile; values that are not finite are refused.
     """
     sent = checksums(points, block, fields)
-    write(points, path, brick, codec)
+    write(points, path, brick, codec, folders)
     back = checksums(read(points.sparkSession, path, brick), block, fields).cache()
     keys = ["time_index", "tile_key", "n_points", "sha256"]
     differ = coverage(sent, back, keys)
