@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxelflux.llm import cdc, decontam, langid, minmax, mixing, quality, suffixes, tokencounts, tokenfile, urlfilter
+from voxelflux.llm import alignment, cdc, decontam, langid, lexical, minmax, mixing, quality, sharding, suffixes, tokencounts, tokenfile, urlfilter
 from voxelflux.llm.store import prepare, settle
 from voxelflux.session import shared_dir
 
@@ -106,7 +106,22 @@ def op10_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cdc.repeated_spans(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_rules, op2_suffix_dedup, op3_mix_sources, op4_token_rollups, op5_benchmark_overlaps, op6_token_files, op7_language, op8_near_duplicates, op9_quality, op10_repeated_spans)}
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = alignment.align(table(spark, sf_dir, "documents"), tokenizer(), tokenizer("piece_bpe_32k.model"), digest=True)
+    return found.withColumnRenamed("groups", "groups_sha256")
+
+
+def op13_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight shards of about the same bytes; documents of one text stay together."""
+    placed = sharding.balanced(table(spark, sf_dir, "documents"), 8)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+QUERIES = {f.__name__: f for f in (op1_url_rules, op2_suffix_dedup, op3_mix_sources, op4_token_rollups, op5_benchmark_overlaps, op6_token_files, op7_language, op8_near_duplicates, op9_quality, op10_repeated_spans, op11_ranked_search, op12_token_alignment, op13_shards)}
 
 ORACLES = {
     "op4_token_rollups": r"""
@@ -116,5 +131,24 @@ counted AS (
   UNION ALL
   SELECT source, lang, 'words-2', len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D.,;:!?]+|[.,;:!?]')) FROM kept)
 SELECT source, lang, tokenizer, count(*)::BIGINT AS docs, sum(n)::BIGINT AS tokens FROM counted GROUP BY ALL
+""",
+    "op11_ranked_search": r"""
+WITH found AS (
+  SELECT row_number() OVER () AS doc, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents),
+tfs AS (SELECT doc, doc_id, term, count(*) AS tf FROM found GROUP BY ALL),
+sizes AS (SELECT doc, sum(tf)::BIGINT AS n FROM tfs GROUP BY doc),
+whole AS (SELECT count(*)::BIGINT AS nn, sum(n)::BIGINT AS l FROM sizes),
+dfs AS (SELECT term, count(*)::BIGINT AS df FROM tfs GROUP BY term),
+asked AS (
+  SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark),
+query AS (SELECT item_id, term, count(*)::BIGINT AS q FROM asked GROUP BY ALL),
+scored AS (
+  SELECT item_id, doc, doc_id, sum(q * floor(1000 * ln((2 * nn + 2)::DOUBLE / (2 * df + 1)))::BIGINT
+    * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * nn) // l))))::BIGINT AS score
+  FROM query JOIN tfs USING (term) JOIN dfs USING (term) JOIN sizes USING (doc), whole GROUP BY ALL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20
 """,
 }
