@@ -117,3 +117,53 @@ def test_wanted_fields_are_the_same_with_fewer_exchanges(spark, fields):
         assert worst[0] == N**3 and max(worst[1:]) < 1e-12, wanted
     with pytest.raises(ValueError, match="unknown"):
         energy.energy_fields(points, N, sigma=2.0, wanted=["speed"])
+
+
+def exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange ")
+
+
+def test_all_filter_widths_share_the_exchanges_of_one(spark, fields):
+    points = analytic.velocity(spark, N, analytic.triad(N))
+    widths = [1.0, 2.0, 3.5]
+    batch = energy.energy_batch(points, N, widths)
+    assert exchanges(batch) == exchanges(energy.energy_fields(points, N, sigma=4.0)) == 6
+    assert exchanges(energy.filtered_batch(points, N, widths)) == 2
+    batch = batch.cache()
+    for i, sigma in enumerate(widths):
+        one = energy.of_sigma(batch, i)
+        assert one.columns == ["time_index", "z", "y", "x", *energy.FIELDS]
+        old = fields[sigma] if sigma in fields else energy.energy_fields(points, N, sigma=sigma)
+        old = old.select("z", "y", "x", *(F.col(f).alias(f"o_{f}") for f in energy.FIELDS))
+        worst = one.join(old, ["z", "y", "x"]).agg(F.count(F.lit(1)), *(F.max(F.abs(F.col(f) - F.col(f"o_{f}"))) for f in energy.FIELDS)).first()
+        assert worst[0] == N**3 and max(worst[1:]) < 1e-12
+    batch.unpersist()
+
+
+def test_a_ready_filtered_velocity_is_not_filtered_again(spark, fields, monkeypatch, tmp_path):
+    points = analytic.velocity(spark, N, analytic.triad(N))
+    fields[2.0].select("time_index", "z", "y", "x", *energy.U, *energy.UB).write.parquet(str(tmp_path / "held"))
+    held = spark.read.parquet(str(tmp_path / "held"))
+    planned = []
+    real = energy.transform
+    monkeypatch.setattr(energy, "transform", lambda p, n, wanted, **more: planned.append(list(wanted)) or real(p, n, wanted, **more))
+    for wanted, saved in ((["s_bar"], 2), (["pi", "div_bar"], 0), (energy.ENERGY, 0), (["tau_xy", "bx"], 2)):
+        planned.clear()
+        fresh = energy.energy_fields(held.drop(*energy.UB), N, sigma=2.0, wanted=wanted)
+        of_u = lambda: [t for stage in planned for t in stage if t.source in energy.U and spectral.FILTER in t.x + t.y + t.z]
+        assert of_u()
+        planned.clear()
+        reused = energy.energy_fields(held, N, sigma=2.0, wanted=wanted, ready=True)
+        assert not of_u() and exchanges(fresh) - exchanges(reused) == saved
+        old = fields[2.0].select("z", "y", "x", *(F.col(w).alias(f"o_{w}") for w in wanted))
+        worst = reused.join(old, ["z", "y", "x"]).agg(F.count(F.lit(1)), *(F.max(F.abs(F.col(w) - F.col(f"o_{w}"))) for w in wanted)).first()
+        assert worst[0] == N**3 and max(worst[1:]) < 1e-12, wanted
+
+
+def test_odd_and_even_planes_agree_with_axis_by_axis():
+    rng = np.random.default_rng(1)
+    for n in (8, 9, 2, 1):
+        values = rng.normal(size=(3, n, n))
+        wanted = [(a, b, s) for a in ("", "d", "g", "dg") for b in ("", "d", "g", "dg") for s in (1.0, 2.5)]
+        for (first, second, sigma), got in zip(wanted, spectral.over_planes(values, wanted, 3.0), strict=True):
+            assert np.allclose(got, spectral.along(spectral.along(values, 2, second, 3.0, sigma), 1, first, 3.0, sigma), atol=1e-12)

@@ -1,14 +1,14 @@
 """Per-axis periodic transforms: derivative and Gaussian filter.
 
-Both are diagonal along each axis, so a set of transforms of a snapshot takes two exchanges whatever its number:
-planes of constant z for the x and y axes, then planes of constant y for the z axis. A group is one plane of
+Both are diagonal along each axis, so a set of transforms of a snapshot takes two exchanges whatever its number and its
+filter widths: planes of constant z for the x and y axes, then planes of constant y for the z axis. A group is one plane of
 n * n points, never a whole snapshot. Everything else about fields stays in DataFrame expressions.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -48,37 +48,73 @@ def along(values: np.ndarray, axis: int, ops: str, length: float, sigma: float)
     return np.fft.irfft(np.fft.rfft(values, axis=axis) * factor, n=values.shape[axis], axis=axis).astype(values.dtype)
 
 
+def both_sides(half: np.ndarray, n: int) -> np.ndarray:
+    """Factors of the whole spectrum of n modes from those of the modes that are not negative."""
+    return np.concatenate([half, half[1 : n - n // 2][::-1].conj()])
+
+
+def over_planes(values: np.ndarray, wanted: list[tuple[str, str, float]], length: float) -> list[np.ndarray]:
+    """values (planes, n, n) under each of wanted: (operations of axis 1, of axis 2, sigma).
+
+    Forward spectra are taken once, whatever the number of operations and filter widths.
+    """
+    n, kind = values.shape[1], values.dtype
+    factor = lambda ops, sigma: multiplier(n, ops, length, sigma, kind.type)
+    spectra: dict[bool, np.ndarray] = {}
+    out = []
+    for first, second, sigma in wanted:
+        if not first and not second:
+            out.append(values)
+            continue
+        plane = bool(second)
+        if plane not in spectra:
+            spectra[plane] = np.fft.rfft2(values, axes=(1, 2)) if plane else np.fft.rfft(values, axis=1)
+        if plane:
+            both = both_sides(factor(first, sigma), n)[:, None] * factor(second, sigma)[None, :]
+            out.append(np.fft.irfft2(spectra[plane] * both, s=(n, n), axes=(1, 2)).astype(kind))
+        else:
+            out.append(np.fft.irfft(spectra[plane] * factor(first, sigma)[:, None], n=n, axis=1).astype(kind))
+    return out
+
+
 @dataclass(frozen=True)
 class Transform:
-    """out = source with ops along x, y and z, each "", "d", "g" or "dg"."""
+    """out = source with ops along x, y and z, each "", "d", "g" or "dg"; sigma is that of a filter, if it has one of its own."""
 
     out: str
     source: str
     x: str = ""
     y: str = ""
     z: str = ""
+    sigma: float | None = None
 
 
 def derivative(out: str, source: str, axis: str) -> Transform:
     return Transform(out, source, **{axis: DERIVE})
 
 
-def gaussian(out: str, source: str) -> Transform:
-    return Transform(out, source, FILTER, FILTER, FILTER)
+def gaussian(out: str, source: str, sigma: float | None = None) -> Transform:
+    return Transform(out, source, FILTER, FILTER, FILTER, sigma)
+
+
+def filtered_derivative(out: str, source: str, axis: str, sigma: float | None = None) -> Transform:
+    return Transform(out, source, **{a: FILTER + (DERIVE if a == axis else "") for a in "xyz"}, sigma=sigma)
 
 
-def filtered_derivative(out: str, source: str, axis: str) -> Transform:
-    return Transform(out, source, **{a: FILTER + (DERIVE if a == axis else "") for a in "xyz"})
+Step = tuple[str, str, str, str, float]
 
 
-def _planes(df: DataFrame, n: int, fixed: str, steps: list[tuple[str, str, str, str]], keep: list[str], length: float, sigma: float, kind: str) -> DataFrame:
-    """One pass over planes of constant `fixed`; steps are (out, source, ops of axis 0, ops of axis 1).
+def _planes(df: DataFrame, n: int, fixed: str, steps: list[Step], keep: list[str], length: float, kind: str) -> DataFrame:
+    """One pass over planes of constant `fixed`; steps are (out, source, ops of axis 0, ops of axis 1, sigma).
 
     Spark deals rows by plane and sorts them (and spills if it must); a task transforms the planes as they come, as
     many at once as an Arrow batch completes, and holds one plane more at most.
     """
     rows, cols = ("y", "x") if fixed == "z" else ("z", "x")
     dtype, size = (np.float32 if kind == "float" else np.float64), n * n
+    of: dict[str, list[int]] = {}
+    for i, step in enumerate(steps):
+        of.setdefault(step[1], []).append(i)
 
     def planes(table: pa.Table) -> pa.RecordBatch:
         place = {c: table.column(c).to_numpy() for c in KEYS}
@@ -89,12 +125,12 @@ def _planes(df: DataFrame, n: int, fixed: str, steps: list[tuple[str, str, str,
             fits = fits and (own == own[:, :1]).all()
         if not fits:
             raise ValueError(f"a plane lacks points of its {n} x {n} grid or holds some twice")
-        out = [table.column(c).combine_chunks() for c in [*KEYS, *keep]]
-        grids: dict[str, np.ndarray] = {}
-        for _, source, first, second in steps:
-            if source not in grids:
-                grids[source] = table.column(source).to_numpy().astype(dtype).reshape(count, n, n)
-            out.append(pa.array(along(along(grids[source], 2, second, length, sigma), 1, first, length, sigma).reshape(-1)))
+        made: dict[int, pa.Array] = {}
+        for source, own_steps in of.items():
+            grid = table.column(source).to_numpy().astype(dtype).reshape(count, n, n)
+            done = over_planes(grid, [(steps[i][2], steps[i][3], steps[i][4]) for i in own_steps], length)
+            made |= {i: pa.array(x.reshape(-1)) for i, x in zip(own_steps, done, strict=True)}
+        out = [table.column(c).combine_chunks() for c in [*KEYS, *keep]] + [made[i] for i in range(len(steps))]
         return pa.RecordBatch.from_arrays(out, names=[*KEYS, *keep, *(s[0] for s in steps)])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
@@ -121,19 +157,20 @@ def _planes(df: DataFrame, n: int, fixed: str, steps: list[tuple[str, str, str,
 def transform(points: DataFrame, n: int, wanted: Iterable[Transform], *, keep: Iterable[str] = (), length: float = 2 * np.pi, sigma: float = 1.0, kind: str = "double") -> DataFrame:
     """points (time_index, z, y, x, fields) with the wanted transforms beside the columns in keep.
 
-    kind is the type of the transforms: double, or float as fields are stored.
+    kind is the type of the transforms: double, or float as fields are stored. sigma holds for filters without one of their own.
     """
-    wanted, keep = list(wanted), list(keep)
-    inner: dict[tuple[str, str, str], str] = {}
+    wanted, keep = [t if t.sigma else replace(t, sigma=sigma) for t in wanted], list(keep)
+    key = lambda t: (t.source, t.x, t.y, t.sigma if FILTER in t.x + t.y else 0.0)
+    inner: dict[tuple, str] = {}
     for t in wanted:
-        inner.setdefault((t.source, t.x, t.y), f"_{len(inner)}")
-    first = _planes(points, n, "z", [(name, source, y, x) for (source, x, y), name in inner.items()], keep, length, sigma, kind)
+        inner.setdefault(key(t), f"_{len(inner)}")
+    first = _planes(points, n, "z", [(name, source, y, x, s or sigma) for (source, x, y, s), name in inner.items()], keep, length, kind)
     if not any(t.z for t in wanted):
-        return first.select(*KEYS, *keep, *(F.col(inner[t.source, t.x, t.y]).alias(t.out) for t in wanted))
+        return first.select(*KEYS, *keep, *(F.col(inner[key(t)]).alias(t.out) for t in wanted))
     ready = [t for t in wanted if not t.z]
-    carried = list(dict.fromkeys(inner[t.source, t.x, t.y] for t in ready))
-    second = _planes(first, n, "y", [(t.out, inner[t.source, t.x, t.y], t.z, "") for t in wanted if t.z], keep + carried, length, sigma, kind)
-    return second.select(*KEYS, *keep, *(F.col(inner[t.source, t.x, t.y]).alias(t.out) if not t.z else F.col(t.out) for t in wanted))
+    carried = list(dict.fromkeys(inner[key(t)] for t in ready))
+    second = _planes(first, n, "y", [(t.out, inner[key(t)], t.z, "", t.sigma) for t in wanted if t.z], keep + carried, length, kind)
+    return second.select(*KEYS, *keep, *(F.col(inner[key(t)]).alias(t.out) if not t.z else F.col(t.out) for t in wanted))
 
 
 def line(values: Column, ops: str, *, length: float = 2 * np.pi, sigma: float = 1.0) -> Column:

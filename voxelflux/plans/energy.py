@@ -35,6 +35,11 @@ def filtered(points: DataFrame, n: int, **options) -> DataFrame:
     return transform(points, n, [gaussian(b, u) for b, u in zip(UB, U, strict=True)], keep=U, **options)
 
 
+def filtered_batch(points: DataFrame, n: int, sigmas: list[float], **options) -> DataFrame:
+    """Filtered velocities of several widths, bx_s0, ..., in the two exchanges of one."""
+    return energy_batch(points, n, sigmas, wanted=list(UB), **options)
+
+
 def divergence(prefix: str) -> Column:
     return F.col(f"{prefix}_xx") + F.col(f"{prefix}_yy") + F.col(f"{prefix}_zz")
 
@@ -50,57 +55,98 @@ TRANSPORT = [f"t_{j}" for j in AXES]
 FIELDS = [*U, *UB, *gradient_names("g"), *gradient_names("h"), *TAU, *TRANSPORT, *ENERGY, "div", "div_bar"]
 
 
-def energy_fields(points: DataFrame, n: int, *, sigma: float, length: float = 2 * math.pi, kind: str = "double", wanted: list[str] | None = None) -> DataFrame:
+SHARED = [*U, *gradient_names("g"), "div"]  # what no filter width changes
+
+
+def own(name: str, i: int) -> str:
+    """The name of a field at the i-th filter width of a batch."""
+    return name if name in SHARED else f"{name}_s{i}"
+
+
+def of_sigma(batch: DataFrame, i: int) -> DataFrame:
+    """The fields of a batch at its i-th filter width, under their plain names."""
+    held = [x for x in FIELDS if own(x, i) in batch.columns]
+    return batch.select(*KEYS, *(F.col(own(x, i)).alias(x) for x in held))
+
+
+def energy_fields(points: DataFrame, n: int, *, sigma: float, length: float = 2 * math.pi, kind: str = "double", wanted: list[str] | None = None, ready: bool = False) -> DataFrame:
     """points with those of FIELDS that are wanted (all by default): b*, both gradients (g_ij, h_ij), tau_ij, transport
     t_j, div, div_bar and the four energy fields.
 
+    With ready, points hold bx, by and bz at this sigma already, and the velocity is not filtered again.
+    """
+    if ready:
+        points = points.withColumnsRenamed({b: own(b, 0) for b in UB})
+    return of_sigma(energy_batch(points, n, [sigma], length=length, kind=kind, wanted=wanted, ready=(0,) if ready else ()), 0)
+
+
+def energy_batch(points: DataFrame, n: int, sigmas: list[float], *, length: float = 2 * math.pi, kind: str = "double", wanted: list[str] | None = None, ready: tuple[int, ...] = ()) -> DataFrame:
+    """energy_fields() at all filter widths at once; of_sigma() has those of one. Fields that depend on the width end in _s0, _s1, ...
+
+    Transforms of all widths share the exchanges of a stage, six in all whatever their number, and what is filtered in the
+    second stage (accelerations, products of velocities) is made and sent once for all widths.
+
     Only the transforms that the wanted fields need are planned, and a column is carried through an exchange only if
-    something after it reads it: the exchanges cannot be pruned, as Arrow functions stand between them.
+    something after it reads it: the exchanges cannot be pruned, as Arrow functions stand between them. For widths in ready,
+    points hold b*_s<i>: these velocities are not filtered again, and their gradients are plain derivatives of them.
     """
-    options, c = {"sigma": sigma, "length": length, "kind": kind}, F.col
+    options, c = {"length": length, "kind": kind}, F.col
     wanted = FIELDS if wanted is None else wanted
     if unknown := set(wanted) - set(FIELDS):
         raise ValueError(f"unknown fields: {sorted(unknown)}")
+    every = range(len(sigmas))
+    fields = [x for i in every for x in ([own(f, i) for f in FIELDS if f not in SHARED])]
+    fields = [f for f in SHARED if f in wanted] + [f for f in fields if f.rsplit("_s", 1)[0] in wanted]
     want = lambda *names: any(x in wanted for x in names)
     stress = want("pi", "s_bar", *TAU, *TRANSPORT)
     raw, smooth = want("work_full", "div", *gradient_names("g")), want("work_resolved", "pi", "div_bar", *gradient_names("h"))
-    first: list[Transform] = [gaussian(b, u) for b, u in zip(UB, U, strict=True)] if stress or want(*UB, "work_full", "work_resolved") else []
-    first += [derivative(f"g_{i}{j}", f"u{i}", j) for i in AXES for j in AXES] if raw else []
-    first += [filtered_derivative(f"h_{i}{j}", f"u{i}", j) for i in AXES for j in AXES] if smooth else []
-    stage = transform(points, n, first, keep=U, **options) if first else points.select(*KEYS, *U)
-
+    held = [own(b, i) for i in ready for b in UB]
+    first: list[Transform] = [derivative(f"g_{i}{j}", f"u{i}", j) for i in AXES for j in AXES] if raw else []
+    for i, sigma in enumerate(sigmas):
+        if i not in ready and (stress or want(*UB, "work_full", "work_resolved")):
+            first += [gaussian(own(b, i), u, sigma) for b, u in zip(UB, U, strict=True)]
+        for a, u, b in zip(AXES, U, UB, strict=True) if smooth else ():
+            first += [derivative(own(f"h_{a}{j}", i), own(b, i), j) if i in ready else filtered_derivative(own(f"h_{a}{j}", i), u, j, sigma) for j in AXES]
+    stage = transform(points, n, first, keep=[*U, *held], **options) if first else points.select(*KEYS, *U, *held)
+
+    b = lambda i: [c(own(x, i)) for x in UB]
+    h = lambda i, a: [c(own(f"h_{a}{j}", i)) for j in AXES]
     made = {}
     if want("div"):
         made["div"] = divergence("g")
-    if want("div_bar"):
-        made["div_bar"] = divergence("h")
-    if want("work_resolved"):
-        made["work_resolved"] = dot([c(b) for b in UB], [dot([c(b) for b in UB], [c(f"h_{i}{j}") for j in AXES]) for i in AXES])
+    for i in every:
+        if want("div_bar"):
+            made[own("div_bar", i)] = sum((c(own(f"h_{a}{a}", i)) for a in "yz"), c(own("h_xx", i)))
+        if want("work_resolved"):
+            made[own("work_resolved", i)] = dot(b(i), [dot(b(i), h(i, a)) for a in AXES])
     later = {f"a_{i}": dot([c(u) for u in U], [c(f"g_{i}{j}") for j in AXES]) for i in AXES} if want("work_full") else {}
     later |= {f"p_{AXES[i]}{AXES[j]}": c(U[i]) * c(U[j]) for i, j in PAIRS} if stress else {}
-    kept = [x for x in stage.columns if x in wanted] + list(made)
+    kept = [x for x in stage.columns if x in fields] + list(made)
     if later:  # what is filtered in the second stage, and what is read beside it there
-        beside = [*UB, *(gradient_names("h") if want("pi") else [])]
+        beside = [own(x, i) for i in every for x in [*UB, *(gradient_names("h") if want("pi") else [])]]
         kept = list(dict.fromkeys([*kept, *beside]))
         stage = stage.withColumns(made).select(*KEYS, *kept, *(v.alias(k) for k, v in later.items()))
-        second = [gaussian(f"f{k}", k) for k in later]
+        second = [gaussian(own(f"f{k}", i), k, sigma) for i, sigma in enumerate(sigmas) for k in later]
         stage = transform(stage, n, second, keep=kept, **options)
         made = {}
-        if want("work_full"):
-            made["work_full"] = dot([c(b) for b in UB], [c(f"fa_{i}") for i in AXES])
-        if stress:
-            stage = stage.withColumns({t: c(f"fp_{t[4:]}") - c(UB[i]) * c(UB[j]) for t, (i, j) in zip(TAU, PAIRS, strict=True)})
-            if want("pi"):
-                made["pi"] = dot([tau(i, j) for i in range(3) for j in range(3)], [c(f"h_{i}{j}") for i in AXES for j in AXES])
-            if want("s_bar", *TRANSPORT):
-                made |= {f"t_{AXES[j]}": dot([c(b) for b in UB], [tau(i, j) for i in range(3)]) for j in range(3)}
-        kept = [x for x in stage.columns if x in wanted] + [x for x in made if x in wanted or x in TRANSPORT]
+        for i in every:
+            if want("work_full"):
+                made[own("work_full", i)] = dot(b(i), [c(own(f"fa_{a}", i)) for a in AXES])
+            if stress:
+                stage = stage.withColumns({own(t, i): c(own(f"fp_{t[4:]}", i)) - b(i)[j] * b(i)[k] for t, (j, k) in zip(TAU, PAIRS, strict=True)})
+                at = lambda j, k: c(own(TAU[PAIRS.index((min(j, k), max(j, k)))], i))  # noqa: B023,E731
+                if want("pi"):
+                    made[own("pi", i)] = dot([at(j, k) for j in range(3) for k in range(3)], [x for a in AXES for x in h(i, a)])
+                if want("s_bar", *TRANSPORT):
+                    made |= {own(f"t_{AXES[k]}", i): dot(b(i), [at(j, k) for j in range(3)]) for k in range(3)}
+        transport = [own(t, i) for i in every for t in TRANSPORT]
+        kept = [x for x in stage.columns if x in fields] + [x for x in made if x in fields or x in transport]
     stage = stage.withColumns(made).select(*KEYS, *kept)
     if want("s_bar"):
-        kept = [x for x in kept if x in wanted]
-        stage = transform(stage, n, [derivative(f"s_{j}", f"t_{j}", j) for j in AXES], keep=kept, **options)
-        stage = stage.withColumn("s_bar", c("s_x") + c("s_y") + c("s_z"))
-    return stage.select(*KEYS, *(x for x in FIELDS if x in wanted))
+        kept = [x for x in kept if x in fields]
+        stage = transform(stage, n, [derivative(own(f"s_{j}", i), own(f"t_{j}", i), j) for i in every for j in AXES], keep=kept, **options)
+        stage = stage.withColumns({own("s_bar", i): c(own("s_x", i)) + c(own("s_y", i)) + c(own("s_z", i)) for i in every})
+    return stage.select(*KEYS, *fields)
 
 
 def divergence_metrics(fields: DataFrame, div: str, gradient: list[str], rms_max: float = 1e-4, max_max: float = 1e-3) -> DataFrame:

@@ -309,11 +309,11 @@ def _sigma_sql(sigma: float) -> str:
 @query(f"SELECT * FROM {_sigma_sql(1.0)} UNION ALL SELECT * FROM {_sigma_sql(2.0)}")
 def sigma_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The filtered velocity of each snapshot at several filter widths, as one batch."""
-    out = None
-    for sigma in (1.0, 2.0):
-        rows = grid.unpivot(energy.filtered(cubes(spark, sf_dir), N, sigma=sigma), list(energy.UB))
-        part = rows.groupBy("time_index").agg(F.lit(sigma).alias("sigma"), F.sqrt(F.avg(F.col("v") * F.col("v"))).alias("rms"), F.max(F.abs("v")).alias("max_abs"))
-        out = part if out is None else out.unionByName(part)
+    sigmas = [1.0, 2.0]
+    batch = energy.filtered_batch(cubes(spark, sf_dir), N, sigmas)
+    per = F.array(*(F.struct(F.lit(s).alias("sigma"), F.array(*(energy.own(b, i) for b in energy.UB)).alias("v")) for i, s in enumerate(sigmas)))
+    rows = batch.select("time_index", F.inline(per)).select("time_index", "sigma", F.explode("v").alias("v"))
+    out = rows.groupBy("time_index", "sigma").agg(F.sqrt(F.avg(F.col("v") * F.col("v"))).alias("rms"), F.max(F.abs("v")).alias("max_abs"))
     return rounded(out.orderBy("sigma", "time_index"), 9, "rms", "max_abs")
 
 
