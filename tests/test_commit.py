@@ -44,6 +44,7 @@ def test_replace_and_refuse(spark, results):
     results.stage(small(spark).where("x < 2"), 1, 1.0, {}, "h")
     assert results.open(results.finalize(1, 1.0)).count() == 32
     (first / commit.MARKER).unlink()
+    (first / "manifest.json").unlink()  # no crash of a commit leaves this: with a manifest that holds, recover() would go on
     results.stage(small(spark), 1, 1.0, {}, "h")
     with pytest.raises(RuntimeError, match="not replaced"):
         results.finalize(1, 1.0)
@@ -91,6 +92,34 @@ def test_a_crash_at_any_step_of_a_replacement_is_mended(spark, results, monkeypa
         assert results.open(path).count() == (64 if says == "back" else 32) and results.report(path, "qa.json") is not None
 
 
+def test_a_crash_at_any_step_of_a_first_commit_is_mended(spark, results, monkeypatch):
+    for fail_at in (1, 2):
+        results.stage(small(spark), fail_at, 1.0, {}, "h")
+        steps = []
+
+        def crash(real):
+            def run(*args, **more):
+                if args and str(args[0]).endswith(".partial"):
+                    return real(*args, **more)
+                steps.append(1)
+                if len(steps) == fail_at:  # noqa: B023
+                    raise KeyboardInterrupt
+                return real(*args, **more)
+
+            return run
+
+        with monkeypatch.context() as m, pytest.raises(KeyboardInterrupt):
+            m.setattr(commit.os, "replace", crash(commit.os.replace))
+            m.setattr(commit.Results, "_mark", staticmethod(crash(commit.Results._mark)))
+            results.finalize(fail_at, 1.0)
+        if fail_at == 1:  # still staged: committed again
+            assert results.recover(fail_at, 1.0) == "none" and results.finalize(fail_at, 1.0)
+        else:  # moved, without its marker
+            assert results.recover(fail_at, 1.0) == "forward"
+        path = results.path(fail_at, 1.0)
+        assert results.recover(fail_at, 1.0) == "none" and results.open(path).count() == 64 and results.report(path, "qa.json") is not None
+
+
 def test_presence_types_and_damage(spark, tmp_path):
     strict = commit.Results(spark, tmp_path / "r", (("pi", "double"), ("regime", "tinyint")))
     strict.stage(small(spark), 1, 1.0, {}, "h")

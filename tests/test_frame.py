@@ -1,6 +1,9 @@
+import inspect
 import json
+import shutil
 
 import pytest
+from pyspark.sql import functions as F
 
 from voxelflux import __main__ as cli
 from voxelflux.plans import commit, config, frame
@@ -132,8 +135,129 @@ def test_acquisition_goes_on_where_it_broke_off(spark, tmp_path):
     assert frame.points(spark, cfg, 1).count() == 4096
     assert frame.status(spark, cfg, 1)["tiles"] == {"verified": 64, "total": 64} and len(log.read_text().split()) == 8
     assert frame.acquire(spark, cfg, 1).count() == 4096 and len(log.read_text().split()) == 8
-    damaged = tmp_path / "state" / "raw" / "t000001" / "request=x0008_y0000_z0000"
+    damaged = tmp_path / "state" / "raw" / "t000001" / "tiles" / "request=x0008_y0000_z0000"
     spark.read.parquet(str(damaged)).where("x < 12").coalesce(1).write.parquet(str(tmp_path / "half"))
     spark.read.parquet(str(tmp_path / "half")).write.mode("overwrite").parquet(str(damaged))
     assert frame.acquire(spark, cfg, 1).count() == 4096 and len(log.read_text().split()) == 9
     assert frame.validate(spark, cfg, 1)["status"] == "validated"
+    assert len(log.read_text().split()) == 9
+
+
+def flip(path):
+    with open(path, "r+b") as f:
+        whole = f.read()
+        for at in range(40, len(whole) // 2, 97):  # some of them hit values, others headers
+            f.seek(at)
+            f.write(bytes([whole[at] ^ 0x40]))
+
+
+def test_flipped_bytes_make_acquisition_fail(spark, tmp_path, monkeypatch):
+    """What stands on disk is compared before a request counts; earlier requests are not hashed again."""
+    log, stop = tmp_path / "log", tmp_path / "stop"
+    (tmp_path / "flipped_service.py").write_text(SERVICE.format(log=str(log), stop=str(stop)) + inspect.getsource(flip))
+    spark.sparkContext.addPyFile(str(tmp_path / "flipped_service.py"))
+    cfg = config.load(settings(tmp_path, source="flipped_service:service", request=[8, 8, 8], tile=[4, 4, 4], retries=1, backoff_seconds=0))
+    real, hashed = frame.tile_sink.write, []
+    with monkeypatch.context() as m:
+        m.setattr(frame.tile_sink, "write", lambda *a, **more: real(*a, **more, probe="flipped_service:flip"))
+        with pytest.raises(Exception, match="flipped|differs|OSError|Error"):
+            frame.acquire(spark, cfg, 1)
+    assert frame.status(spark, cfg, 1)["tiles"]["failed"] == 8
+    assert not [p for p in (tmp_path / "state" / "raw").rglob("*.parquet") if "digests" not in str(p)]
+    monkeypatch.setattr(frame.bricks, "checksums", lambda *a, **more: hashed.append(1) or real_checksums(*a, **more))
+    assert frame.acquire(spark, cfg, 1).count() == 4096 and len(hashed) == 1
+    assert frame.status(spark, cfg, 1)["tiles"] == {"verified": 64, "total": 64}
+
+
+real_checksums = bricks.checksums
+
+
+def test_a_token_reaches_the_service_and_no_message(spark, tmp_path, monkeypatch):
+    (tmp_path / "token").write_text("s3cr3t-value\n")
+    (tmp_path / "token").chmod(0o600)
+    (tmp_path / "closed_service.py").write_text("def service(box, time_index, token):\n    raise OSError('refused ' + token)\n")
+    spark.sparkContext.addPyFile(str(tmp_path / "closed_service.py"))
+    cfg = config.load(settings(tmp_path, source="closed_service:service", request=[8, 8, 8], tile=[4, 4, 4], retries=1, backoff_seconds=0, token_file=str(tmp_path / "token")))
+    with pytest.raises(Exception, match=r"refused \*\*\*") as caught:
+        frame.acquire(spark, cfg, 1)
+    assert "s3cr3t" not in str(caught.value)
+    assert cli.main(["auth-status", "--config", str(settings(tmp_path, token_file=str(tmp_path / "token")))]) == 0
+    assert cli.main(["auth-status", "--config", str(settings(tmp_path))]) == 2
+
+
+def test_filtered_velocity_is_reused_and_damage_is_refused(spark, tmp_path):
+    bricks.write(analytic.velocity(spark, 16, analytic.triad(16), "float"), str(tmp_path / "points"), brick=8)
+    cfg = config.load(settings(tmp_path, keep_filtered=True))
+    checked = frame.validate(spark, cfg, 1)["manifest_hash"]
+    assert frame.trusted_input(cfg, 1) == checked and frame.trusted_input(cfg, 2) is None
+    first = frame.process_batch(spark, cfg, 1, [1.0, 2.5], checked)
+    assert not any(x["reuse"]["filtered_velocity"] for x in first.values()) and not list((tmp_path / "state" / "work").iterdir())
+    results = frame._results(spark, cfg)
+    for s in cfg.sigmas:
+        results.finalize(1, s)
+    again = frame.process_batch(spark, cfg, 1, [1.0, 2.5, 3.0], checked)
+    assert [again[s]["reuse"]["filtered_velocity"] for s in (1.0, 2.5, 3.0)] == [True, True, False]
+    for s in (1.0, 2.5):
+        assert {k: v for k, v in again[s]["budget"].items() if k.startswith("total")} == pytest.approx({k: v for k, v in first[s]["budget"].items() if k.startswith("total")}, rel=1e-4, abs=1e-3)
+    place = frame._filtered_place(cfg, 1.0, checked)
+    assert frame.kept_filtered(spark, cfg, 1, 1.0, "another input") is None
+    record = (place / "record.json").read_text()
+    (place / "record.json").unlink()  # without a record the crop of the complete result vouches
+    assert frame.kept_filtered(spark, cfg, 1, 1.0, checked) is not None
+    kept = spark.read.parquet(str(place / "data"))
+    rows = kept.withColumn("bx", F.when((F.col("x") == 5) & (F.col("y") == 5) & (F.col("z") == 5), F.col("bx") + 0.5).otherwise(F.col("bx")).cast("float")).collect()
+    spark.createDataFrame(rows, kept.schema).write.mode("overwrite").parquet(str(place / "data"))
+    assert frame.kept_filtered(spark, cfg, 1, 1.0, checked) is None  # the crop differs
+    (place / "record.json").write_text(record)
+    assert frame.kept_filtered(spark, cfg, 1, 1.0, checked) is None  # the digest differs
+    assert not frame.process(spark, cfg, 1, 1.0, checked)["reuse"]["filtered_velocity"]
+
+
+def test_an_older_result_is_replaced_only_if_fields_agree(spark, tmp_path):
+    bricks.write(analytic.velocity(spark, 16, analytic.triad(16), "float"), str(tmp_path / "points"), brick=8)
+    cfg = config.load(settings(tmp_path, sigmas=[2.0]))
+    frame.single_frame(spark, cfg, 1)
+    results = frame._results(spark, cfg)
+    path = results.path(1, 2.0)
+
+    def third(change):
+        fields = results.open(path).drop("regime").withColumn("pi", change)
+        rows = fields.where("x between 4 and 11 and y between 4 and 11 and z between 4 and 11").collect()
+        spark.createDataFrame(rows, fields.schema).write.mode("overwrite").parquet(str(path / "fields"))
+        manifest = json.loads((path / "manifest.json").read_text()) | {"schema_version": 3}
+        (path / commit.MARKER).write_text(commit.atomic_json(path / "manifest.json", manifest))
+
+    third(F.col("pi"))
+    frame.upgrade(spark, cfg, 1, 2.0)
+    assert results.open(path).count() == 4096 and results.version(path) == commit.SCHEMA_VERSION
+    told = json.loads((path / "qa.json").read_text())["overlap"]
+    assert told["passed"] and set(told["maximum_abs_difference"]) == set(frame.energy.ENERGY)
+    third((F.col("pi") + 0.01).cast("float"))
+    with pytest.raises(RuntimeError, match="pi"):
+        frame.upgrade(spark, cfg, 1, 2.0)
+    assert results.open(path).count() == 512 and results.version(path) == 3  # it stays
+
+
+def test_an_upgrade_fetches_nothing(spark, tmp_path):
+    log, stop = tmp_path / "log", tmp_path / "stop"
+    (tmp_path / "late_service.py").write_text(SERVICE.format(log=str(log), stop=str(stop)))
+    spark.sparkContext.addPyFile(str(tmp_path / "late_service.py"))
+    cfg = config.load(settings(tmp_path, source="late_service:service", request=[8, 8, 8], tile=[8, 8, 8], sigmas=[2.0], net_max=1e30, retries=1))
+    frame.single_frame(spark, cfg, 1)
+    asked = len(log.read_text().split())
+    results = frame._results(spark, cfg)
+    path = results.path(1, 2.0)
+    manifest = json.loads((path / "manifest.json").read_text()) | {"schema_version": 3}
+    (path / commit.MARKER).write_text(commit.atomic_json(path / "manifest.json", manifest))
+    shutil.rmtree(tmp_path / "state" / "raw" / "t000001" / "tiles" / "request=x0008_y0008_z0008")
+    with pytest.raises(ValueError, match="missing"):
+        frame.upgrade(spark, cfg, 1, 2.0)
+    assert len(log.read_text().split()) == asked and results.version(path) == 3
+
+
+def test_finalize_checks_presence(spark, tmp_path):
+    cfg = config.load(settings(tmp_path, sigmas=[1.0]))
+    commit.Results(spark, cfg.result_root).stage(analytic.velocity(spark, 4, analytic.triad(4)), 1, 1.0, {}, "h")
+    assert cli.main(["finalize-result", "--config", str(settings(tmp_path, sigmas=[1.0]))]) == 1
+    with pytest.raises(ValueError, match="mount"):
+        config.load(settings(tmp_path, state_root="hdfs://x/y"))

@@ -10,9 +10,10 @@ from pathlib import Path
 
 from voxelflux.plans import commit, frame
 from voxelflux.plans.config import load
+from voxelflux.sources.secret import token_source
 
 REPORTS = {"compute-cq": "cq", "compute-weak-asymmetry": "weak", "qa-sbar": "sbar"}
-COMMANDS = ["plan", "doctor", "smoke", "cache", "validate-input", "process", "finalize-result", "single-frame", "upgrade-result", "backfill-full-regime", "status", "slice", *REPORTS]
+COMMANDS = ["plan", "doctor", "smoke", "cache", "validate-input", "process", "finalize-result", "single-frame", "upgrade-result", "backfill-full-regime", "backfill-full-fields", "status", "auth-status", "slice", *REPORTS]
 
 
 def parser() -> argparse.ArgumentParser:
@@ -64,10 +65,13 @@ def run(args: argparse.Namespace) -> dict | list:
         return cfg.plan(t)
     if args.command == "doctor":
         return doctor(cfg, t)
+    if args.command == "auth-status":
+        source = token_source(cfg.token_variable, cfg.token_file or None)
+        return {"source": source, "passed": source is not None}
     from voxelflux.session import build
 
     spark = build(args.master)
-    results = commit.Results(spark, cfg.result_root)
+    results = frame._results(spark, cfg)
     if args.command == "smoke":
         from voxelflux.plans.reports import snapshot_statistics
 
@@ -76,15 +80,15 @@ def run(args: argparse.Namespace) -> dict | list:
     if args.command == "validate-input":
         return frame.validate(spark, cfg, t)
     if args.command == "process":
-        checked = frame.validate(spark, cfg, t)
-        return [frame.process(spark, cfg, t, s, checked["manifest_hash"]) for s in cfg.sigmas]
+        done = frame.process_batch(spark, cfg, t, list(cfg.sigmas), frame.trusted_input(cfg, t) or frame.validate(spark, cfg, t)["manifest_hash"])
+        return [done[s] for s in cfg.sigmas]
     if args.command == "finalize-result":
         return [str(results.finalize(t, s)) for s in cfg.sigmas]
     if args.command == "single-frame":
         return frame.single_frame(spark, cfg, t)
     if args.command == "cache":
         return {"points": frame.points(spark, cfg, t).count(), **frame.status(spark, cfg, t)}
-    if args.command in ("upgrade-result", "backfill-full-regime"):
+    if args.command in ("upgrade-result", "backfill-full-regime", "backfill-full-fields"):
         return [str(frame.upgrade(spark, cfg, t, s)) for s in cfg.sigmas]
     if args.command == "status":
         return frame.status(spark, cfg, t)

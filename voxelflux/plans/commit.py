@@ -5,8 +5,9 @@ manifest.json and, last of all, COMPLETE, whose content names the manifest's has
 stands in the manifest and the manifest's in COMPLETE. Sidecars are files of a few kB that the driver writes; datasets are
 written and read by Spark. Both are on one POSIX file system that all machines mount: roots with another scheme are refused.
 
-A result is replaced by two renames and a marker. recover() tells from what is there where a crash came: without the new
-folder the old one comes back; a new folder whose manifest holds gets its marker; otherwise the old one comes back.
+A result is committed by a rename and a marker, and replaced by two renames and a marker. recover() tells from what is there
+where a crash came: a new folder whose manifest holds gets its marker, also if there was no older one; otherwise the old one
+comes back.
 """
 
 from __future__ import annotations
@@ -52,6 +53,15 @@ def uri(path: Path) -> str:
     return f"file://{path.absolute()}"
 
 
+def read(spark: SparkSession, path: Path) -> DataFrame:
+    return spark.read.parquet(uri(path))
+
+
+def content_key(content: dict) -> str:
+    """A short name for what a stored dataset follows from."""
+    return hashlib.sha256(json.dumps(content, sort_keys=True).encode()).hexdigest()[:32]
+
+
 def file_hash(path: Path) -> str:
     return hashlib.sha256(path.read_bytes()).hexdigest()
 
@@ -134,6 +144,10 @@ class Results:
     def _read(self, path: Path) -> DataFrame:
         return self.spark.read.parquet(uri(path))
 
+    def version(self, path: Path) -> int:
+        """The schema version of a result."""
+        return json.loads((path / "manifest.json").read_text())["schema_version"]
+
     def complete(self) -> list[Path]:
         return sorted(p for p in self.root.iterdir() if p.is_dir() and not p.name.startswith(".") and (p / MARKER).exists()) if self.root.exists() else []
 
@@ -199,21 +213,22 @@ class Results:
     def recover(self, time_index: int, sigma: float) -> str:
         """Bring a replacement that a crash broke off to one of its two ends; says which, or that there was none."""
         final = self.path(time_index, sigma)
-        old = self._old(final)
-        if not old.exists():
+        old, manifest = self._old(final), final / "manifest.json"
+        if not old.exists() and (not final.exists() or (final / MARKER).exists()):
             return "none"
-        if (final / MARKER).exists():
-            shutil.rmtree(old)
-            return "forward"
-        manifest = final / "manifest.json"
-        if manifest.exists() and json.loads(manifest.read_text())["reports"].get("qa.json") == file_hash(final / "qa.json"):
+        if not (final / MARKER).exists():
+            whole = manifest.exists() and json.loads(manifest.read_text()).get("reports", {}).get("qa.json") == file_hash(final / "qa.json")
+            if not whole:
+                if not old.exists():
+                    return "none"  # a folder that no commit has left; it is not touched
+                if final.exists():
+                    shutil.rmtree(final)
+                os.replace(old, final)
+                return "back"
             self._mark(final, file_hash(manifest))
+        if old.exists():
             shutil.rmtree(old)
-            return "forward"
-        if final.exists():
-            shutil.rmtree(final)
-        os.replace(old, final)
-        return "back"
+        return "forward"
 
     def open(self, path: Path) -> DataFrame:
         if not (path / MARKER).exists() or json.loads((path / "qa.json").read_text()).get("status") != "processed":

@@ -38,6 +38,9 @@ class Config:
     reserve_gib: float = 0.0
     scratch_hours: int = 72
     kind: str = "float"
+    keep_filtered: bool = False  # filtered velocities stay for later runs over the same input
+    token_variable: str = ""
+    token_file: str = ""
 
     def checked(self) -> Config:
         def need(ok: bool, what: str) -> None:
@@ -46,6 +49,7 @@ class Config:
 
         for name in ("grid", "tile", "request", "crop_shape"):
             need(all(isinstance(n, int) and n > 0 for n in getattr(self, name)), f"{name} must be three positive integers")
+        need(not any("://" in str(r) or str(r).startswith("file:") for r in (self.state_root, self.result_root)), "state_root and result_root must be folders that all machines mount")
         need(len(set(self.grid)) == 1, "the grid must be a cube")
         need(all(n % t == 0 for n, t in zip(self.grid, self.tile, strict=True)), "tile must divide grid")
         need(all(n % r == 0 for n, r in zip(self.grid, self.request, strict=True)), "request must divide grid")

@@ -151,11 +151,18 @@ def energy_batch(points: DataFrame, n: int, sigmas: list[float], *, length: floa
 
 def divergence_metrics(fields: DataFrame, div: str, gradient: list[str], rms_max: float = 1e-4, max_max: float = 1e-3) -> DataFrame:
     """For each snapshot: rms and largest divergence relative to those of the gradient, and whether both are small."""
-    squares = sum((wide(g) * wide(g) for g in gradient), F.lit(0.0))
-    out = fields.groupBy("time_index").agg(
-        F.count(F.lit(1)).alias("n_points"), F.sqrt(F.avg(wide(div) * wide(div))).alias("div_rms"), F.max(F.abs(wide(div))).alias("div_max"),
-        F.sqrt(F.sum(squares) / (F.count(F.lit(1)) * len(gradient))).alias("grad_rms"), F.max(F.greatest(*(F.abs(wide(g)) for g in gradient))).alias("grad_max"),
-    )
+    return divergences(fields, [("", div, gradient)], rms_max, max_max).drop("name")
+
+
+def divergences(fields: DataFrame, named: list[tuple[str, str, list[str]]], rms_max: float = 1e-4, max_max: float = 1e-3) -> DataFrame:
+    """divergence_metrics() of several velocities, (name, divergence, gradient) each, from one scan: a row a snapshot and name."""
+    aggs, rows = [F.count(F.lit(1)).alias("n_points")], []
+    for i, (name, div, gradient) in enumerate(named):
+        squares = sum((wide(g) * wide(g) for g in gradient), F.lit(0.0))
+        aggs += [F.sqrt(F.avg(wide(div) * wide(div))).alias(f"dr{i}"), F.max(F.abs(wide(div))).alias(f"dm{i}")]
+        aggs += [F.sqrt(F.sum(squares) / (F.count(F.lit(1)) * len(gradient))).alias(f"gr{i}"), F.max(F.greatest(*(F.abs(wide(g)) for g in gradient))).alias(f"gm{i}")]
+        rows.append(F.struct(F.lit(name).alias("name"), *(F.col(f"{k}{i}").alias(a) for k, a in (("dr", "div_rms"), ("dm", "div_max"), ("gr", "grad_rms"), ("gm", "grad_max")))))
+    out = fields.groupBy("time_index").agg(*aggs).select("time_index", "n_points", F.inline(F.array(*rows)))
     out = out.withColumn("relative_rms", F.col("div_rms") / F.greatest("grad_rms", F.lit(TINY))).withColumn("relative_max", F.col("div_max") / F.greatest("grad_max", F.lit(TINY)))
     return out.withColumn("passed", (F.col("relative_rms") <= rms_max) & (F.col("relative_max") <= max_max))
 

@@ -1,6 +1,6 @@
 """Where a service's token comes from: an environment variable, else a file that only its owner can read.
 
-Tokens stay on the driver: they never enter a DataFrame, a plan or a message.
+Tokens are read where they are used: they never enter a DataFrame, a plan, an option or a message.
 """
 
 from __future__ import annotations
