@@ -417,3 +417,39 @@ def test_words_and_slices():
     assert [bytes(data[a:b]) for a, b in zip(s, e, strict=True)] == [b"x", b"y", "é".encode()] and r.tolist() == [2, 2, 3]
     batch = pa.RecordBatch.from_arrays([pa.array(["x" * 10] * 5)], names=["text"])
     assert [p.num_rows for p in textnum.slices(batch, limit=25)] == [2, 2, 1] and [p.num_rows for p in textnum.slices(batch, limit=1)] == [1] * 5
+
+
+def near_targets(out, longest):
+    """Whether each source's taken words are within a document of its target, and none is taken more than three times."""
+    taken, want = Counter(), {}
+    for r in out:
+        taken[r.source_size, r.target] += r.taken
+        want[r.source_size, r.target] = r.target
+        assert r.taken in (0, r.size, 2 * r.size, 3 * r.size)
+    assert all(abs(taken[k] - t) <= 2 * longest for k, t in want.items()), (taken, want)
+
+
+def test_mix_of_rows_without_or_under_one_id(spark, sentence):
+    """Rows without doc_id, different texts under one doc_id, and equal rows are taken near their source's target."""
+    rng = random.Random(9)
+    others = [(i, " ".join(["w"] * rng.randint(5, 60)) + f" {i}", f"s{i % 2 + 1}") for i in range(3000)]
+    for case in ("null", "shared", "equal"):
+        own = [(None if case == "null" else 7, ("x " * 49 + (str(i) if case != "equal" else "x")), "s0") for i in range(3000)]
+        docs = spark.createDataFrame(others + own, "doc_id long, text string, source string").repartition(6)
+        out = mixing.mix(docs, rows_per_range=100).collect()
+        assert len(out) == 6000
+        near_targets(out, 61)
+        rows = Counter((r.doc_id, r.size, r.taken) for r in out)
+        assert rows == Counter((r.doc_id, r.size, r.taken) for r in mixing.mix(docs.repartition(3), rows_per_range=100).collect())
+        copies = Counter(r.doc_id for r in mixing.mixed(docs).collect())
+        want = Counter()
+        for r in mixing.mix(docs).collect():
+            want[r.doc_id] += r.taken // r.size if r.size else 0
+        assert copies == +want
+
+
+def test_mix_of_one_text(spark):
+    docs = spark.createDataFrame([(None, "a b c", None)] * 500 + [(1, "d e f", "s")] * 7, "doc_id long, text string, source string").repartition(4)
+    out = mixing.mix(docs).collect()
+    near_targets(out, 3)
+    assert sum(r.taken for r in out) <= 507 * 3
