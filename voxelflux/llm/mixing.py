@@ -88,6 +88,7 @@ def cuts(sized: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3,
         .where(F.col("to") > F.col("from"))
         .select("sid", "epoch", "h", "h2", "size", "n", "base", "target", "slot", "from", "to")
     )
+    queued = settle(queued, "mix-queue")  # read by the search for the slot, and by both sides of it
     place = Window.orderBy("slot")
     crossing = (
         queued.groupBy("slot").agg(F.sum(F.col("size") * (F.col("to") - F.col("from"))).alias("words"))
