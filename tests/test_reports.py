@@ -67,26 +67,23 @@ def test_percentiles_of_groups_and_of_two_heaps(spark, monkeypatch):
     rows += [("wide", float(v)) for v in 10.0 ** rng.uniform(-300, 300, 2001)] + [("huge", v) for v in (-1.7e308, 1.7e308, 0.0)] + [("one", 5.0)] * 7 + [(None, 1.0), (None, 2.0)] + [("none", None)]
     rows += [("near", float(np.nextafter(1.0, 2.0))), ("near", 1.0)]
     df = spark.createDataFrame(rows, "k string, v double").repartition(5)
-    sent = []
+    shares = {"p50": 0.5, "p99": 0.99}
+    passes = []
     real = aggregates._narrowed
-
-    def narrowed(*args):
-        out = real(*args)
-        sent.append(len(out))
-        return out
-
-    monkeypatch.setattr(aggregates, "_narrowed", narrowed)
-    for share in (0.5, 0.99):
-        got = aggregates.percentiles(df, ["k"], F.col("v"), share)
-        assert set(got) == {("two",), ("wide",), ("huge",), ("one",), (None,), ("near",)}
-        for (k,), v in got.items():
-            own = sorted(x for name, x in rows if name == k and x is not None)
+    monkeypatch.setattr(aggregates, "_narrowed", lambda *args: passes.append(1) or real(*args))
+    monkeypatch.setattr(spark, "createDataFrame", lambda *a, **k: pytest.fail("an interval went through the driver"))
+    found = aggregates.percentiles(df, ["k"], F.col("v"), shares)
+    got = {r.k: r for r in found.collect()}
+    assert set(got) == {"two", "wide", "huge", "one", None, "near"} and found.columns == ["k", "p50", "p99"]
+    for k, row in got.items():
+        own = sorted(x for name, x in rows if name == k and x is not None)
+        for name, share in shares.items():
             rank = (len(own) - 1) * share
             lo, hi = own[int(rank)], own[min(int(rank) + 1, len(own) - 1)]
-            assert v == pytest.approx(lo + (hi - lo) * (rank - int(rank)), rel=1e-12)
-    assert max(sent) <= 2 * 6  # rows at the driver: two a group and pass, however many values lie between two ranks
-    limits = aggregates.symmetric_limits(df.withColumn("v", -F.col("v")), ["k"], F.col("v"), 100)
-    assert limits["two",] == pytest.approx(max(v for k, v in rows if k == "two")) and limits["one",] == 5.0
+            assert row[name] == pytest.approx(lo + (hi - lo) * (rank - int(rank)), rel=1e-12)
+    assert "BroadcastNestedLoop" not in found._jdf.queryExecution().toString() and len(passes) < 12
+    limits = {r.k: r.color_limit for r in aggregates.symmetric_limits(df.withColumn("v", -F.col("v")), ["k"], F.col("v"), 100).collect()}
+    assert limits["two"] == pytest.approx(max(v for k, v in rows if k == "two")) and limits["one"] == 5.0
 
 
 def budget(spark, s_bar, pi):

@@ -2,67 +2,77 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voxelflux.functions.fields import wide
+from voxelflux.session import shared_dir
 
 BINS = 4096
 
 
 def exact_percentile(df: DataFrame, value: Column, share: float) -> float | None:
-    """percentiles() of all rows; None if there is no value."""
-    return percentiles(df, [], value, share).get(())
+    """The percentile of all values; None if there is none."""
+    row = percentiles(df, [], value, {"p": share}).first()
+    return row.p if row else None
 
 
-def percentiles(df: DataFrame, keys: list[str], value: Column, share: float) -> dict[tuple, float]:
-    """For each group the percentile of its values, linearly interpolated at rank (n - 1) * share, without sorting them.
+def percentiles(df: DataFrame, keys: list[str], value: Column, shares: dict[str, float]) -> DataFrame:
+    """(keys, a column for each of shares): percentiles of each group, linearly interpolated at rank (n - 1) * share, without
+    sorting values. Without keys one row, or none if there is no value.
 
-    Each of the two ranks of a group has an interval that holds its value. A pass counts the values of the interval
-    in bins of equal width, or by value if there are no more than BINS, and the bin that holds the rank is the next
-    interval; when its ends are equal, they are the value. A pass is one scan with partial aggregation and sends at most
-    BINS counts for each rank through the exchange and one row for each rank to the driver, so groups must be few, such
-    as snapshots or kinds. Nulls are left out; values must be finite.
+    Each of the two ranks of a share has an interval that holds its value. A pass counts the values of the interval in bins of
+    equal width, or by value if there are no more than BINS, and the bin that holds the rank is the next interval; when its
+    ends are equal, they are the value. A pass is one scan with partial aggregation and sends at most BINS counts for each rank
+    through the exchange. Intervals are a table that each pass writes anew, joined as Spark sees fit by its size; the driver
+    learns only how many are open. All shares narrow together. Nulls are left out; values must be finite.
     """
     values = df.select(*keys, wide(value).alias("v")).where("v is not null")
-    open_, found = [], {}
-    for row in values.groupBy(*keys).agg(F.count("v").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect():
-        group, rank = tuple(row[k] for k in keys), ((row.n or 0) - 1) * share
-        if row.n:
-            found[group] = [rank, None, None]
-            open_ += [(*group, side, r, 0, row.n, row.lo, row.hi) for side, r in ((1, int(rank)), (2, min(int(rank) + 1, row.n - 1)))]
-    names = ["side", "rank", "before", "n", "lo", "hi"]
-    while open_:
-        for row in [x for x in open_ if x[-2] == x[-1]]:
-            found[row[: len(keys)]][row[len(keys)]] = row[-2]
-        open_ = [x for x in open_ if x[-2] < x[-1]]
-        if open_:
-            open_ = _narrowed(values, keys, names, open_)
-    return {group: float(a + (b - a) * (rank - int(rank))) for group, (rank, a, b) in found.items()}
-
-
-def _narrowed(values: DataFrame, keys: list[str], names: list[str], open_: list[tuple]) -> list[tuple]:
-    """The intervals after one pass; each row of open_ is (keys, side, rank, before, n, lo, hi)."""
-    types = ["int", "long", "long", "long", "double", "double"]
+    ranks = F.array(*(F.struct(F.lit(name).alias("name"), F.lit(float(s)).alias("share")) for name, s in shares.items()))
+    ends = values.groupBy(*keys).agg(F.count("v").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).where("n > 0")
+    each = ends.select(*keys, "n", "lo", "hi", F.inline(ranks)).withColumn("at", (F.col("n") - 1) * F.col("share"))
+    low = F.floor("at").cast("long")
+    sides = F.array(F.struct(F.lit(1).alias("side"), low.alias("rank")), F.struct(F.lit(2).alias("side"), F.least(low + 1, F.col("n") - 1).alias("rank")))
+    names = [*keys, "name", "side", "rank", "at"]
+    now = _kept(each.select(*keys, "name", "at", "n", "lo", "hi", F.inline(sides)).select(*names, F.lit(0).cast("long").alias("before"), "n", "lo", "hi"))
+    done = now.where("lo = hi").select(*names, "lo")
+    while not (open_ := now.where("lo < hi")).isEmpty():
+        now = _kept(_narrowed(values, keys, names, open_))
+        done = done.unionByName(now.where("lo = hi").select(*names, "lo"))
+    both = [F.max(F.when((F.col("name") == name) & (F.col("side") == side), F.col("lo"))).alias(f"v{i}_{side}") for i, name in enumerate(shares) for side in (1, 2)]
+    part = [F.max(F.when(F.col("name") == name, F.col("at") - F.floor("at"))).alias(f"f{i}") for i, name in enumerate(shares)]
+    found = done.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *both, *part).where("_n > 0")
+    return found.select(*keys, *((F.col(f"v{i}_1") + (F.col(f"v{i}_2") - F.col(f"v{i}_1")) * F.col(f"f{i}")).alias(name) for i, name in enumerate(shares)))
+
+
+def _kept(df: DataFrame) -> DataFrame:
+    path = f"{shared_dir(df.sparkSession)}/intervals-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _narrowed(values: DataFrame, keys: list[str], names: list[str], open_: DataFrame) -> DataFrame:
+    """The intervals after one pass over values; rows of open_ are (names, before, n, lo, hi)."""
     if keys:
-        kinds = dict(values.dtypes)
-        schema = ", ".join(f"`{n}` {t}" for n, t in [*((k, kinds[k]) for k in keys), *zip(names, types, strict=True)])
-        rows = values.sparkSession.createDataFrame(open_, schema).select(*(F.col(k).alias(f"k_{k}") for k in keys), *names)
+        renamed = open_.withColumnsRenamed({k: f"k_{k}" for k in keys})
         on = F.lit(True)
         for k in keys:
             on &= F.col(k).eqNullSafe(F.col(f"k_{k}"))
-        held = values.join(F.broadcast(rows), on)  # two rows a group
-    else:
-        held = values.withColumn("s", F.explode(F.array(*(F.struct(*(F.lit(x).cast(t).alias(n) for n, t, x in zip(names, types, row, strict=True))) for row in open_)))).select("v", "s.*")
+        held = values.join(renamed, on).drop(*(f"k_{k}" for k in keys))
+    else:  # two rows a share
+        rows = F.array(*(F.struct(*(F.lit(x).cast(t).alias(n) for n, t, x in zip(open_.columns, dict(open_.dtypes).values(), row, strict=True))) for row in open_.collect()))
+        held = values.select("v", F.inline(rows))
     held = held.where(F.col("v").between(F.col("lo"), F.col("hi")))
     width = F.col("hi") / BINS - F.col("lo") / BINS
     by_width = F.least(F.floor(F.col("v") / width - F.col("lo") / width), F.lit(BINS - 1)).cast("double")
     fine = (F.col("n") <= BINS) | (F.col("lo") + width == F.col("lo"))  # few values, or few doubles in between
-    group = [*keys, "side", "rank", "before"]
+    group = [*names, "before"]
     bins = held.groupBy(*group, F.when(fine, F.col("v")).otherwise(by_width).alias("bin")).agg(F.count("v").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
     sofar = F.sum("n").over(Window.partitionBy(*group).orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)) + F.col("before")
     hit = bins.withColumn("sofar", sofar).where((F.col("rank") < F.col("sofar")) & (F.col("rank") >= F.col("sofar") - F.col("n")))
-    return [tuple(r) for r in hit.select(*keys, "side", "rank", (F.col("sofar") - F.col("n")).alias("before"), "n", "lo", "hi").collect()]
+    return hit.select(*names, (F.col("sofar") - F.col("n")).alias("before"), "n", "lo", "hi")
 
 
 def moments(fields: DataFrame, names: list[str]) -> DataFrame:
@@ -89,21 +99,58 @@ def ordered_digest(df: DataFrame, group: list[str], order: Column, digest: Colum
     return df.groupBy(*group).agg(F.count(F.lit(1)).alias("n_parts"), F.sha2(F.array_join(F.transform(parts, lambda p: p["h"]), ""), 256).alias("digest"))
 
 
-def symmetric_limit(df: DataFrame, value: Column, percent: float = 99.0) -> float:
-    """symmetric_limits() of all rows."""
-    return symmetric_limits(df, [], value, percent).get((), 1.0)
+def tree(leaves: DataFrame) -> DataFrame:
+    """A Merkle tree over the tiles of snapshots: (time_index, level, z, y, x, digest), the root being the highest level.
+
+    leaves are (time_index, z, y, x, digest) with places counted in tiles. A node is the SHA-256 of the digests of its up to
+    eight children, those of halves of each axis, in z, y, x order, so no group ever holds more than eight rows, and a tree of
+    n tiles has log8(n) levels, each an eighth of the one below.
+    """
+    leaves = leaves.select("time_index", F.lit(0).alias("level"), "z", "y", "x", "digest")
+    most = leaves.agg(F.max(F.greatest("z", "y", "x"))).first()[0]
+    level, levels = leaves, [leaves]
+    for depth in range(1, int(most or 0).bit_length() + 1):
+        up = [F.shiftright(a, 1).alias(a) for a in "zyx"]
+        part = F.array_sort(F.collect_list(F.struct(F.col("z").alias("a"), F.col("y").alias("b"), F.col("x").alias("c"), "digest")))
+        joined = F.sha2(F.array_join(F.transform("parts", lambda p: p["digest"]), ""), 256)
+        level = level.groupBy("time_index", *up).agg(part.alias("parts")).select("time_index", F.lit(depth).alias("level"), "z", "y", "x", joined.alias("digest"))
+        levels.append(level)
+    out = levels[0]
+    for part in levels[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def damaged(old: DataFrame, new: DataFrame) -> DataFrame:
+    """(time_index, z, y, x) of the tiles that differ between two trees, found from the root down: a level's nodes are compared
+    only below nodes that differ, so a changed tile costs eight comparisons a level."""
+    top = old.agg(F.max("level")).first()[0] or 0
+    keys = ["time_index", "z", "y", "x"]
+    at = lambda tree, level: tree.where(F.col("level") == level).drop("level")
+    wrong = None
+    for level in range(top, -1, -1):
+        a, b = at(old, level), at(new, level).withColumnRenamed("digest", "now")
+        if wrong is not None:
+            above = [F.shiftright(k, 1).alias(k) if k != "time_index" else F.col(k) for k in keys]
+            a, b = (t.withColumn("above", F.struct(*above)).join(wrong.select(F.struct(*keys).alias("above")), "above", "left_semi").drop("above") for t in (a, b))
+        wrong = a.join(b, keys, "full_outer").where(~F.col("digest").eqNullSafe(F.col("now"))).select(*keys)
+    return wrong
+
 
+def symmetric_limit(df: DataFrame, value: Column, percent: float = 99.0) -> float:
+    """symmetric_limits() of all rows; 1 without a finite value."""
+    row = symmetric_limits(df, [], value, percent).first()
+    return row.color_limit if row else 1.0
 
-def symmetric_limits(df: DataFrame, keys: list[str], value: Column, percent: float = 99.0) -> dict[tuple, float]:
-    """For each group the limit of a colour scale: the percentile of |value| over finite values, else their maximum, else 1.
 
-    Groups without a finite value are left out.
+def symmetric_limits(df: DataFrame, keys: list[str], value: Column, percent: float = 99.0) -> DataFrame:
+    """(keys, color_limit): for each group the limit of a colour scale: the percentile of |value| over finite values, else their
+    maximum, else 1. Groups without a finite value are left out.
     """
     if not 0 < percent <= 100:
         raise ValueError("percent must be in (0, 100]")
     good = df.select(*keys, F.abs(wide(value)).alias("a")).where(~F.isnan("a") & (F.col("a") != float("inf")))
-    limits = percentiles(good, keys, F.col("a"), percent / 100)
-    if any(not x for x in limits.values()):
-        most = {tuple(r[k] for k in keys): r.most for r in good.groupBy(*keys).agg(F.max("a").alias("most")).collect()}
-        limits = {k: x or most.get(k) or 1.0 for k, x in limits.items()}
-    return limits
+    shares = {"limit": percent / 100} | ({"most": 1.0} if percent < 100 else {})
+    found = percentiles(good, keys, F.col("a"), shares)
+    tries = [F.when(F.col(c) > 0, F.col(c)) for c in shares]
+    return found.select(*keys, F.coalesce(*tries, F.lit(1.0)).alias("color_limit"))

@@ -1,7 +1,8 @@
 """An append-only ledger of tile events and its latest-state view.
 
 Nothing is updated in place: planning, attempts and verification append events, and the state is what the last
-event of a key says. Attempts are counted, and an event without a digest keeps the one before.
+event of a key says. Attempts are counted, and an event without a digest keeps the one before. folded() keeps of any number of
+events what their state needs.
 """
 
 from __future__ import annotations
@@ -18,11 +19,31 @@ def latest(events: DataFrame, keys: list[str], order: list[str], values: list[st
     return events.groupBy(*keys).agg(last).select(*keys, "last.*")
 
 
+FOLDED = f"{EVENT}, attempts long"
+
+
+def counted(events: DataFrame) -> DataFrame:
+    """EVENT rows as FOLDED rows: an event counts as an attempt or not."""
+    return events.select("key", "seq", "event", "sha256", "byte_count", (F.col("event") == "fetching").cast("long").alias("attempts"))
+
+
+def folded(events: DataFrame) -> DataFrame:
+    """FOLDED rows with the same state() as events, whatever is added later: for each key its last event with all attempts, and
+    its last event with a digest."""
+    has = F.col("sha256").isNotNull()
+    order = F.struct("seq", "event")
+    whole = F.struct("seq", "event", "sha256", "byte_count")
+    out = events.groupBy("key").agg(F.max_by(whole, order).alias("last"), F.max_by(F.when(has, whole), F.when(has, order)).alias("told"), F.sum("attempts").alias("attempts"))
+    rows = F.array(F.struct("last.*", "attempts"), F.struct("told.*", F.lit(0).cast("long").alias("attempts")))
+    return out.select("key", F.inline(rows)).where("event is not null").distinct()
+
+
 def state(events: DataFrame) -> DataFrame:
-    """(key, status, attempts, sha256, byte_count) of EVENT rows: planned, fetching, verified, failed."""
+    """(key, status, attempts, sha256, byte_count) of EVENT or FOLDED rows: planned, fetching, verified, failed."""
+    events = events if "attempts" in events.columns else counted(events)
     order = F.struct("seq", "event")
     digest = F.max_by(F.when(F.col("sha256").isNotNull(), F.struct("sha256", "byte_count")), F.when(F.col("sha256").isNotNull(), order))
-    out = events.groupBy("key").agg(F.max_by("event", order).alias("status"), F.count_if(F.col("event") == "fetching").alias("attempts"), digest.alias("d"))
+    out = events.groupBy("key").agg(F.max_by("event", order).alias("status"), F.sum("attempts").alias("attempts"), digest.alias("d"))
     return out.select("key", "status", "attempts", F.col("d.sha256").alias("sha256"), F.col("d.byte_count").alias("byte_count"))
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from voxelflux.operators import grid, ledger
 from voxelflux.plans import commit, energy, reports
 from voxelflux.plans.config import Config
+from voxelflux.plans.journal import Journal
 from voxelflux.session import ship
 from voxelflux.sources import bricks, cutout
 from voxelflux.sources import tiles as tile_sink
@@ -48,14 +49,17 @@ def _held(spark: SparkSession, cfg: Config, time_index: int) -> DataFrame:
     return spark.read.schema(cutout.SCHEMA).parquet(*found) if found else spark.createDataFrame([], cutout.SCHEMA)
 
 
+def journal(spark: SparkSession, cfg: Config, time_index: int) -> Journal:
+    """The ledger of a frame's tiles."""
+    return Journal(spark, commit.uri(Path(cfg.state_root) / "ledger" / f"t{time_index:06d}"))
+
+
 def _ledger(spark: SparkSession, cfg: Config, time_index: int) -> DataFrame:
-    path = Path(cfg.state_root).absolute() / "ledger" / f"t{time_index:06d}"
-    return spark.read.schema(ledger.EVENT).parquet(commit.uri(path)) if path.exists() else spark.createDataFrame([], ledger.EVENT)
+    return journal(spark, cfg, time_index).events()
 
 
 def _append(rows: DataFrame, cfg: Config, time_index: int) -> None:
-    path = Path(cfg.state_root).absolute() / "ledger" / f"t{time_index:06d}"
-    rows.select("key", "seq", "event", "sha256", "byte_count").coalesce(1).write.mode("append").parquet(commit.uri(path))
+    journal(rows.sparkSession, cfg, time_index).append(rows)
 
 
 def acquire(spark: SparkSession, cfg: Config, time_index: int) -> DataFrame:

@@ -144,9 +144,9 @@ SELECT event_type, count(*)::BIGINT AS n, CASE WHEN round(quantile_cont(abs(valu
 """)
 def color_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
-    limits = [(*k, x) for k, x in aggregates.symmetric_limits(ev, ["event_type"], F.col("value")).items()]  # a handful of kinds
+    limits = aggregates.symmetric_limits(ev, ["event_type"], F.col("value"))
     counts = ev.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
-    return rounded(counts.join(spark.createDataFrame(limits, "event_type string, color_limit double"), "event_type"), 6, "color_limit")
+    return rounded(counts.join(limits, "event_type"), 6, "color_limit")
 
 
 @query(f"WITH {FLUX} SELECT l_suppkey, count(*)::BIGINT AS n, {r('sum(sign(pi) * ln(1 + abs(pi) / 1000.0))', 4, 'symlog_sum')}, {r('max(sign(pi) * ln(1 + abs(pi) / 1000.0))', 6, 'symlog_max')} FROM f GROUP BY l_suppkey")
