@@ -167,3 +167,22 @@ def test_odd_and_even_planes_agree_with_axis_by_axis():
         wanted = [(a, b, s) for a in ("", "d", "g", "dg") for b in ("", "d", "g", "dg") for s in (1.0, 2.5)]
         for (first, second, sigma), got in zip(wanted, spectral.over_planes(values, wanted, 3.0), strict=True):
             assert np.allclose(got, spectral.along(spectral.along(values, 2, second, 3.0, sigma), 1, first, 3.0, sigma), atol=1e-12)
+
+
+def test_lines_instead_of_planes_change_nothing(spark, fields):
+    """A plane that is larger than what a task may hold is transformed by lines: three exchanges a stage, the same fields."""
+    points = analytic.velocity(spark, N, analytic.triad(N))
+    batch = energy.energy_batch(points, N, [1.0, 2.0], wanted=[*energy.ENERGY, "div_bar", "g_xy"], plane_points=N * N - 1)
+    assert exchanges(batch) == 9
+    batch = batch.cache()
+    for i, sigma in enumerate((1.0, 2.0)):
+        one = energy.of_sigma(batch, i)
+        old = fields[sigma].select("z", "y", "x", *(F.col(f).alias(f"o_{f}") for f in (*energy.ENERGY, "div_bar", "g_xy")))
+        worst = one.join(old, ["z", "y", "x"]).agg(F.count(F.lit(1)), *(F.max(F.abs(F.col(f) - F.col(f"o_{f}"))) for f in (*energy.ENERGY, "div_bar", "g_xy"))).first()
+        assert worst[0] == N**3 and max(worst[1:]) < 1e-12
+    assert reports.budget_qa(energy.of_sigma(batch, 0)).first().total_pi == pytest.approx(GOLDEN[1.0]["pi"], rel=1e-9)
+    batch.unpersist()
+    one = spectral.transform(points, N, [spectral.derivative("d", "ux", "y"), spectral.gaussian("f", "ux")], keep=["uz"], kind="float", plane_points=1)
+    assert one.columns[-3:] == ["uz", "d", "f"] and dict(one.dtypes)["d"] == "float" and one.count() == N**3
+    with pytest.raises(Exception, match="line"):
+        spectral.transform(points.where("not (x = 1 and y = 1 and z = 1)"), N, [spectral.derivative("d", "ux", "y")], plane_points=1).collect()

@@ -27,6 +27,7 @@ def test_frame_end_to_end(spark, tmp_path):
     weak = results.report(path, "weak.json")
     assert weak["pi_sum"] == pytest.approx(-36.7394125256, rel=1e-4) and weak["passed"]
     assert results.report(path, "cq.json")["passed"] and results.report(path, "sbar.json")["passed"]
+    assert all("<svg" in (path / f"{n}.html").read_text() for n in ("cq", "weak", "sbar")) and "Q4" in (path / "cq.html").read_text()
     fields = results.open(path)
     assert fields.count() == 4096 and set(fields.columns) == {"time_index", "z", "y", "x", *frame.energy.ENERGY, "regime"} and dict(fields.dtypes)["pi"] == "float"
     crop = results.open_crop(path)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from voxelflux.session import ship
 from voxelflux.sources import analytic
-from voxelflux.streaming import tail
+from voxelflux.streaming import bricks, rollups, tail
 
 
 @pytest.fixture(scope="module")
@@ -68,3 +68,38 @@ def test_state_is_bounded(spark, tiles):
     made, _ = tiles
     assert tail.most_needed(512, 0.9) == 53 and tail.most_needed(0, 0.9) == 0
     assert made.agg(F.max(F.size("largest"))).first()[0] <= 53
+
+
+def test_a_restart_in_mid_batch_gives_the_same_totals(spark, tmp_path, monkeypatch):
+    """A batch whose totals are in, but whose checkpoint is not written, comes again and changes nothing."""
+    points = analytic.velocity(spark, 8, analytic.triad(8))
+    tiles = bricks.tile_moments(points, F.concat_ws("_", *(F.floor(F.col(a) / 4) for a in "zyx")), "ux")
+    timed = tiles.withColumn("arrived", F.lit("2026-01-01").cast("timestamp")).cache()
+    for part in ("tile_key < '1'", "tile_key >= '1'", "tile_key < '0_1'"):  # the last one repeats tiles
+        timed.where(part).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    held = rollups.Rollup(spark, f"file://{tmp_path}/totals")
+    real, calls = rollups.Rollup.apply, []
+
+    def crash(self, batch, batch_id):
+        out = real(self, batch, batch_id)
+        calls.append((batch_id, out))
+        if len(calls) == 2:
+            raise RuntimeError("power is gone")
+        return out
+
+    monkeypatch.setattr(rollups.Rollup, "apply", crash)
+    start = lambda: rollups.keep_up(spark.readStream.schema(rollups.TILE_SCHEMA).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in")), held, str(tmp_path / "c"))
+    with pytest.raises(Exception, match="STREAM_FAILED"):
+        start().awaitTermination()
+    start().awaitTermination()
+    assert calls[1][0] == calls[2][0] and calls[1][1] and not calls[2][1]  # it came twice and counted once
+    row = held.totals().first()
+    truth = points.agg(F.avg("ux"), F.sqrt(F.avg(F.col("ux") ** 2)), F.max(F.abs("ux"))).first()
+    assert row.n_tiles == 8 and row.n == 512 and row.rms == pytest.approx(truth[1]) and row.max_abs == truth[2]
+    assert held.log.chained() and not held.apply(timed, 0)
+    monkeypatch.setattr(rollups.Rollup, "TAIL", 2)
+    last = held.log.latest()[1]["batch"]
+    for i in range(1, 5):
+        assert real(held, timed.limit(0).drop("arrived"), last + i)
+    assert held.totals().first().n == 512 and len(held.log.latest()[1]["deltas"]) <= 3
+    timed.unpersist()

@@ -2,7 +2,8 @@
 
 Both are diagonal along each axis, so a set of transforms of a snapshot takes two exchanges whatever its number and its
 filter widths: planes of constant z for the x and y axes, then planes of constant y for the z axis. A group is one plane of
-n * n points, never a whole snapshot. Everything else about fields stays in DataFrame expressions.
+n * n points, never a whole snapshot; where even a plane is too large, lines along each axis in turn take three exchanges and
+a task holds a batch of lines. Everything else about fields stays in DataFrame expressions.
 """
 
 from __future__ import annotations
@@ -154,12 +155,86 @@ def _planes(df: DataFrame, n: int, fixed: str, steps: list[Step], keep: list[str
     return dealt.mapInArrow(run, schema)
 
 
-def transform(points: DataFrame, n: int, wanted: Iterable[Transform], *, keep: Iterable[str] = (), length: float = 2 * np.pi, sigma: float = 1.0, kind: str = "double") -> DataFrame:
+def _lines(df: DataFrame, n: int, axis: str, steps: list[tuple[str, str, str, float]], keep: list[str], length: float, kind: str) -> DataFrame:
+    """One pass over lines along an axis; steps are (out, source, ops, sigma). Rows are dealt by line and sorted; a task holds the
+    lines that an Arrow batch completes and one line more at most."""
+    others = [a for a in ("z", "y", "x") if a != axis]
+    dtype = np.float32 if kind == "float" else np.float64
+    of: dict[str, list[int]] = {}
+    for i, step in enumerate(steps):
+        of.setdefault(step[1], []).append(i)
+
+    def lines(table: pa.Table) -> pa.RecordBatch:
+        count = table.num_rows // n
+        fits = (table.column(axis).to_numpy() == np.tile(np.arange(n), count)).all()
+        for c in ("time_index", *others):
+            own = table.column(c).to_numpy().reshape(count, n)
+            fits = fits and (own == own[:, :1]).all()
+        if not fits:
+            raise ValueError(f"a line lacks points of its {n} or holds some twice")
+        made: dict[int, pa.Array] = {}
+        for source, own_steps in of.items():
+            values = table.column(source).to_numpy().astype(dtype).reshape(count, n)
+            spectrum = np.fft.rfft(values, axis=1) if any(steps[i][2] for i in own_steps) else None
+            for i in own_steps:
+                _, _, ops, sigma = steps[i]
+                done = np.fft.irfft(spectrum * multiplier(n, ops, length, sigma, dtype), n=n, axis=1).astype(dtype) if ops else values
+                made[i] = pa.array(done.reshape(-1))
+        out = [table.column(c).combine_chunks() for c in [*KEYS, *keep]] + [made[i] for i in range(len(steps))]
+        return pa.RecordBatch.from_arrays(out, names=[*KEYS, *keep, *(s[0] for s in steps)])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        waiting = 0
+        for batch in batches:
+            held.append(batch)
+            waiting += batch.num_rows
+            if waiting >= n:
+                table = pa.Table.from_batches(held)
+                whole = waiting // n * n
+                yield lines(table.slice(0, whole))
+                held, waiting = table.slice(whole).combine_chunks().to_batches(), waiting - whole
+        if waiting:
+            raise ValueError(f"a line of {n} points has {waiting} rows")
+
+    types = dict(df.dtypes)
+    schema = ", ".join([f"{c} {types[c]}" for c in [*KEYS, *keep]] + [f"{s[0]} {kind}" for s in steps])
+    needed = list(dict.fromkeys([*KEYS, *keep, *(s[1] for s in steps)]))
+    dealt = df.select(*needed).repartition("time_index", *others).sortWithinPartitions("time_index", *others, axis)
+    return dealt.mapInArrow(run, schema)
+
+
+def _pencils(points: DataFrame, n: int, wanted: list[Transform], keep: list[str], length: float, kind: str) -> DataFrame:
+    """transform() in three exchanges, one an axis: no task holds a plane."""
+    now, at = points, {t.out: t.source for t in wanted}  # the column in which each transform stands so far
+    for axis in "xyz":
+        names: dict[tuple, str] = {}
+        for t in wanted:
+            ops = getattr(t, axis)
+            if ops:
+                names.setdefault((at[t.out], ops, t.sigma if FILTER in ops else 0.0), f"_{axis}{len(names)}")
+        if not names:
+            continue
+        moved = {t.out: names[at[t.out], getattr(t, axis), t.sigma if FILTER in getattr(t, axis) else 0.0] if getattr(t, axis) else at[t.out] for t in wanted}
+        later = {at[t.out] for t in wanted if not getattr(t, axis)} - set(keep)
+        now = _lines(now, n, axis, [(name, source, ops, sigma or 1.0) for (source, ops, sigma), name in names.items()], [*keep, *sorted(later)], length, kind)
+        at = moved
+    return now.select(*KEYS, *keep, *(F.col(at[t.out]).cast(kind).alias(t.out) for t in wanted))
+
+
+#: Points of a plane up to which a task takes it whole; larger ones are transformed line by line.
+PLANE_POINTS = 1 << 22
+
+
+def transform(points: DataFrame, n: int, wanted: Iterable[Transform], *, keep: Iterable[str] = (), length: float = 2 * np.pi, sigma: float = 1.0, kind: str = "double", plane_points: int | None = None) -> DataFrame:
     """points (time_index, z, y, x, fields) with the wanted transforms beside the columns in keep.
 
     kind is the type of the transforms: double, or float as fields are stored. sigma holds for filters without one of their own.
+    Planes of more than plane_points points (PLANE_POINTS) are never held: such grids take three exchanges, by lines.
     """
     wanted, keep = [t if t.sigma else replace(t, sigma=sigma) for t in wanted], list(keep)
+    if n * n > (plane_points or PLANE_POINTS):
+        return _pencils(points, n, wanted, keep, length, kind)
     key = lambda t: (t.source, t.x, t.y, t.sigma if FILTER in t.x + t.y else 0.0)
     inner: dict[tuple, str] = {}
     for t in wanted:

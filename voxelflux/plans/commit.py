@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxelflux.functions.fields import finite, sigma_tag
+from voxelflux.operators.grid import missing_fields
 
 SCHEMA_VERSION = 5
 MARKER = "COMPLETE"
@@ -37,7 +38,12 @@ def result_id(time_index: int, sigma: float) -> str:
 
 def atomic_json(path: Path, payload: dict) -> str:
     """Write sorted, indented JSON under another name, sync and rename; returns the hash of the bytes."""
-    raw = json.dumps(payload, indent=2, sort_keys=True, allow_nan=False).encode()
+    return atomic_text(path, json.dumps(payload, indent=2, sort_keys=True, allow_nan=False))
+
+
+def atomic_text(path: Path, text: str) -> str:
+    """Write a text so that readers see the old one or all of the new one; returns the hash of its bytes."""
+    raw = text.encode()
     path.parent.mkdir(parents=True, exist_ok=True)
     spare = path.with_name(path.name + ".partial")
     with spare.open("wb") as out:
@@ -182,7 +188,7 @@ class Results:
         if final.exists() and not (final / MARKER).exists():
             raise RuntimeError(f"{final} is there without {MARKER}; it is not replaced")
         fields = self._read(staged / "fields")
-        wrong = [c for c in self.required if c not in fields.dtypes]
+        wrong = missing_fields(fields, [c for c, _ in self.required]) or [c for c in self.required if c not in fields.dtypes]
         if wrong:
             raise ValueError(f"missing or of another type: {wrong}")
         facts = {"fields": field_facts(fields)} | ({"crop": field_facts(self._read(staged / "crop"))} if (staged / "crop").exists() else {})

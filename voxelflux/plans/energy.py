@@ -80,7 +80,7 @@ def energy_fields(points: DataFrame, n: int, *, sigma: float, length: float = 2
     return of_sigma(energy_batch(points, n, [sigma], length=length, kind=kind, wanted=wanted, ready=(0,) if ready else ()), 0)
 
 
-def energy_batch(points: DataFrame, n: int, sigmas: list[float], *, length: float = 2 * math.pi, kind: str = "double", wanted: list[str] | None = None, ready: tuple[int, ...] = ()) -> DataFrame:
+def energy_batch(points: DataFrame, n: int, sigmas: list[float], *, length: float = 2 * math.pi, kind: str = "double", wanted: list[str] | None = None, ready: tuple[int, ...] = (), plane_points: int | None = None) -> DataFrame:
     """energy_fields() at all filter widths at once; of_sigma() has those of one. Fields that depend on the width end in _s0, _s1, ...
 
     Transforms of all widths share the exchanges of a stage, six in all whatever their number, and what is filtered in the
@@ -90,7 +90,7 @@ def energy_batch(points: DataFrame, n: int, sigmas: list[float], *, length: floa
     something after it reads it: the exchanges cannot be pruned, as Arrow functions stand between them. For widths in ready,
     points hold b*_s<i>: these velocities are not filtered again, and their gradients are plain derivatives of them.
     """
-    options, c = {"length": length, "kind": kind}, F.col
+    options, c = {"length": length, "kind": kind, "plane_points": plane_points}, F.col
     wanted = FIELDS if wanted is None else wanted
     if unknown := set(wanted) - set(FIELDS):
         raise ValueError(f"unknown fields: {sorted(unknown)}")

@@ -325,8 +325,22 @@ def single_frame(spark: SparkSession, cfg: Config, time_index: int) -> list[str]
     return [str(upgrade(spark, cfg, time_index, sigma)) for sigma in cfg.sigmas]
 
 
+#: What the chart of a report shows.
+SHOWN = {"cq": "stored_cq", "weak": ("positive_sum", "negative_sum", "pi_sum"), "sbar": ("total_work_full", "total_work_resolved", "total_pi", "total_s_bar")}
+
+
 def report(spark: SparkSession, cfg: Config, path: Path, name: str) -> dict:
-    """One of the reports cq, weak and sbar over a committed result; made anew only if limits or version changed."""
+    """A report over a committed result, and a page with its chart beside it."""
+    made = _report(spark, cfg, path, name)
+    shown = {r["quadrant"]: r[SHOWN["cq"]] for r in made["regimes"]} if name == "cq" else {k: made.get(k) for k in SHOWN[name]}
+    page, target = bars(f"{name}: {path.name}", shown), path / f"{name}.html"
+    if not target.exists() or target.read_text() != page:
+        commit.atomic_text(target, page)
+    return made
+
+
+def _report(spark: SparkSession, cfg: Config, path: Path, name: str) -> dict:
+    """One of the reports cq, weak and sbar; made anew only if limits or version changed."""
     results = _results(spark, cfg)
     if name == "sbar":
         held = results.report(path, "sbar.json")

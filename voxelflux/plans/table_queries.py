@@ -14,7 +14,8 @@ from voxelflux.plans.journal import Journal
 from voxelflux.plans.queries import _SEAM, CHAIN, CUBE, FLUX, N, POINT, QUAD, REGIME, SIGMA, _derive, _energy, _filter, _snapshots, cubes, flux, query, r, rounded, table
 from voxelflux.session import shared_dir, ship
 from voxelflux.sources import bricks
-from voxelflux.streaming import tail
+from voxelflux.streaming import bricks as stream
+from voxelflux.streaming import rollups, tail
 
 #: Bytes of a float, lowest first, as a string of bits.
 BITS = "substr(b, 25, 8) || substr(b, 17, 8) || substr(b, 9, 8) || substr(b, 1, 8)"
@@ -377,3 +378,27 @@ def compacted_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
             held.compact()
     counts = ev.groupBy(F.col("user_id").cast("string").alias("key")).agg(F.count(F.lit(1)).alias("events"))
     return held.state().join(counts, "key").select("key", "status", "attempts", "events")
+
+
+@query(f"WITH {CUBE} SELECT s AS time_index, 8::BIGINT AS n_tiles, count(*)::BIGINT AS n, {r('avg(v)', 9, 'mean')}, {r('sqrt(avg(v * v))', 9, 'rms')}, {r('max(abs(v))', 9, 'max_abs')} FROM u WHERE c = 1 GROUP BY s")
+def streamed_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Moments of uy of each snapshot, kept up from a stream that delivers every tile twice."""
+    base = scratch(spark, "rollup")
+    key = F.concat_ws("_", *(F.floor(F.col(a) / 2) for a in "zyx"))
+    tiles = stream.tile_moments(cubes(spark, sf_dir), key, "uy").withColumn("arrived", F.lit("2026-01-01").cast("timestamp"))
+    for _ in range(2):
+        tiles.write.mode("append").parquet(f"{base}/tiles")
+    held = rollups.Rollup(spark, f"{base}/totals")
+    rollups.keep_up(spark.readStream.schema(rollups.TILE_SCHEMA).option("maxFilesPerTrigger", 100).parquet(f"{base}/tiles"), held, f"{base}/checkpoint").awaitTermination()
+    return rounded(held.totals(), 9, "mean", "rms", "max_abs")
+
+
+@query(f"WITH {CUBE}, p AS (SELECT s, z, y, x, v FROM u JOIN pt USING (q) WHERE c = 0) SELECT s AS time_index, {key_sql('x // 2 * 2', 'y // 2 * 2', 'z // 2 * 2')} AS tile_key, count(*)::BIGINT AS n, {r('min(v)', 9, 'lowest')}, {r('max(v)', 9, 'highest')} FROM p GROUP BY ALL")
+def tile_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The extrema of ux in each planned tile: points meet their tile by division, and the box is checked in full."""
+    points = cubes(spark, sf_dir)
+    tiles = grid.tiles(points.select("time_index").distinct(), (N, N, N), (2, 2, 2))
+    on = [F.col("time_index") == F.col("t"), *(F.floor(F.col(a) / 2) * 2 == F.col(f"{a}0") for a in "xyz")]
+    joined = points.join(tiles.withColumnRenamed("time_index", "t"), on).where(grid.in_tile())
+    out = joined.groupBy("time_index", "tile_key").agg(F.count(F.lit(1)).alias("n"), F.min("ux").alias("lowest"), F.max("ux").alias("highest"))
+    return rounded(out, 9, "lowest", "highest")
