@@ -463,13 +463,18 @@ def test_overlap_after_a_changed_middle(spark, sentence):
     assert [tuple(r) for r in got] == [(1, 7, 41, 21, 19, 19)]
 
 
-def least_blocks(masks, upto):
-    """For each length, the fewest substitutions that leave no place to any mask; both ends are equal tokens."""
-    n = 1 << max(map(len, masks))
+def least_blocks(masks, upto, windows=()):
+    """For each length, the fewest substitutions that leave no place to any mask; both ends are equal tokens. With windows, a
+    mask counts only inside a window of one of these lengths whose ends are equal tokens."""
+    n = 1 << max([*map(len, masks), *windows])
     last = np.arange(n)  # substitutions among the last tokens, the newest in bit 0; before the first all count as such
     hit = np.zeros(n, bool)
     for m in masks:
-        hit |= (last & int(m, 2)) == 0
+        if not windows:
+            hit |= (last & int(m, 2)) == 0
+        for w in windows:
+            for at in range(w - len(m) + 1):
+                hit |= (((last >> at) & int(m, 2)) == 0) & (last & 1 == 0) & (last >> (w - 1) & 1 == 0)
     cost, out = np.full(n, 10**6), {}
     cost[n - 1] = 0
     for length in range(1, upto + 1):
@@ -484,13 +489,42 @@ def least_blocks(masks, upto):
 
 def test_masks_hit_every_allowed_overlap():
     assert max(map(len, decontam.MASKS)) <= decontam.SPAN
-    least = least_blocks(decontam.MASKS, 200)
-    assert all(least[n] > n // 5 for n in range(13, 201))
+    for windows in ((), range(13, 13 + decontam.MORE + 1)):  # any seed, and seeds that many items share
+        least = least_blocks(decontam.MASKS, 200, windows)
+        assert all(least[n] > n // 5 for n in range(13, 201))
     for n in (11, 12):
         for gone in itertools.combinations(range(n), n // 5):
             assert any(all(c == "0" or at + j not in gone for j, c in enumerate(m)) for m in decontam.MASKS for at in range(n - len(m) + 1))
 
 
+def shared_phrases(sentence, n_phrase, n_items=120, n_docs=200):
+    """Items and documents that have a phrase in common, and documents with parts of single items, some tokens of them changed."""
+    rng = random.Random(n_phrase)
+    phrase = [f"p{i}" for i in range(n_phrase)]
+    items = [(i, " ".join([*sentence(rng, 12).split(), *phrase, *sentence(rng, 12).split()])) for i in range(n_items)]
+    docs = [(i, " ".join([*sentence(rng, 15).split(), *phrase, *sentence(rng, 15).split()])) for i in range(n_docs)]
+    for i in range(40):
+        words = items[i][1].split()
+        lo = rng.randint(4, 14)
+        part = words[lo : lo + rng.randint(13, 20)]
+        for j in rng.sample(range(1, len(part) - 1), len(part) // 6):
+            part[j] = f"z{j}"
+        docs.append((1000 + i, " ".join([*sentence(rng, 20).split(), *part, *sentence(rng, 20).split()])))
+    return items, docs
+
+
+@pytest.mark.parametrize("n_phrase", [11, 12])
+def test_a_shared_phrase_makes_no_pairs_of_all(spark, sentence, monkeypatch, n_phrase):
+    items, docs = shared_phrases(sentence, n_phrase)
+    frames = spark.createDataFrame(docs, "doc_id long, text string").repartition(3), spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontam.hits(*frames).collect()}
+    assert decontam._lain(*frames, 13, decontam.LEAST)[0].count() < 3 * len(docs)  # and not items times documents
+    ids = [d for d, _ in docs]
+    assert got == {(ids[r], j) for r, j in exhaustive(docs, items)} and len(got) > 30
+    monkeypatch.setattr(decontam, "MANY", 10**9)  # every seed joins by itself: the same overlaps
+    assert {(r.doc_id, r.item_id) for r in decontam.hits(*frames).collect()} == got
+
+
 def test_overlaps_with_substitutions_anywhere(spark, sentence):
     rng, items, docs = random.Random(80), [], []
     for i in range(300):

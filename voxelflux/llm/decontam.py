@@ -8,8 +8,13 @@ the highest sum. Documents with an overlap of `min_overlap` tokens (the whole it
 in five equal are contaminated. Of a document only the tokens that face the item are sent to be compared, so what a
 candidate weighs follows the item and not the document.
 
+A seed that more than MANY items share, such as a common phrase, would make a candidate of each of them for each document
+that holds it. Such seeds join by windows instead: `min_overlap` tokens or one more around the seed, hashed with its two end
+tokens. A shared phrase shorter than `min_overlap` then meets only items whose tokens beside it agree as well, and every
+overlap that counts still has such a window.
+
 Document hashes pass a bit table of the benchmark's hashes before they are shuffled. Its size is bounded whatever
-the benchmark's (2**27 bits, 16 MB): a fuller table lets more hashes through to the join and loses none.
+the benchmark's (2**27 bits, 16 MB, and as much for windows): a fuller table lets more hashes through to the join and loses none.
 
 Tokens are runs of ASCII letters, digits and bytes from 0x80, A-Z in lower case. Defined cases: items with fewer
 tokens than a mask match whole and exactly; items of fewer than `least` tokens (five) match nothing, as two or three words
@@ -35,6 +40,11 @@ from voxelflux.llm.store import prepare, settle
 MASKS = ("1111011", "110010111", "11000100111", "11111001")
 SPAN = 11
 LEAST = 5
+#: A seed that more items have is shared: it joins by windows around it.
+MANY = 4
+#: A window has so many tokens more than min_overlap at most. Overlaps of 13 tokens or more have a mask in a window of 13 or
+#: 14 with equal ends; the test of the masks goes through these cases too.
+MORE = 1
 SUBSTITUTION = 4
 TOKEN = np.zeros(256, bool)
 TOKEN[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
@@ -65,6 +75,30 @@ def seeds(hashes: np.ndarray, at: np.ndarray, masks: tuple[str, ...]) -> Iterato
         yield tn.mix(h[where]), where, rows[where]
 
 
+def windows(hashes: np.ndarray, at: np.ndarray, h: np.ndarray, place: np.ndarray, row: np.ndarray, span: int, min_overlap: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(hash, index into h) of the windows around seeds that lie inside their rows: seed, place in the window, end tokens."""
+    for size in range(min_overlap, min_overlap + MORE + 1):
+        for before in range(size - span + 1):
+            first, last = place - before, place - before + size - 1
+            inside = np.flatnonzero((first >= at[row]) & (last < at[row + 1]))
+            ends = tn.mix(hashes[first[inside]] + np.uint64(size * 64 + before + 1)) + hashes[last[inside]] * np.uint64(tn.BASE)
+            yield tn.mix(h[inside] + tn.mix(ends)), inside
+
+
+def _item_windows(min_overlap: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in tn.slices(batch, "item_tokens"):
+                hashes, at = _held(part.column("item_tokens"))
+                sizes, names = np.diff(at), part.column("item").to_numpy()
+                for mask, (h, place, row) in zip((m for m in MASKS if len(hashes) >= len(m)), seeds(hashes, at, MASKS), strict=True):
+                    for e, i in windows(hashes, at, h, place, row, len(mask), min_overlap):
+                        out = [pa.array(h[i].view(np.int64)), pa.array(e.view(np.int64)), pa.array(names[row[i]]), pa.array((place[i] - at[row[i]]).astype(np.int32)), pa.array(sizes[row[i]].astype(np.int32))]
+                        yield pa.RecordBatch.from_arrays(out, names=["h", "e", "item", "item_at", "n"])
+
+    return run
+
+
 def _item_seeds(least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -100,6 +134,11 @@ def _bit_places(h: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return h & mask, (h >> np.uint64(32)) & mask
 
 
+def _in_table(h: np.ndarray, table: np.ndarray, bits: int) -> np.ndarray:
+    a, b = _bit_places(h, bits)
+    return (table[a >> np.uint64(6)] >> (a & np.uint64(63))) & (table[b >> np.uint64(6)] >> (b & np.uint64(63))) & np.uint64(1)
+
+
 def _bit_table(seed_rows: DataFrame, bits: int) -> np.ndarray:
     """Which of two bits for each hash are set; at most bits / 64 rows come to the driver."""
     high = F.shiftrightunsigned("h", 32)
@@ -138,7 +177,8 @@ def hits(docs: DataFrame, items: DataFrame, min_overlap: int = 13, least: int =
     return _found(docs, items, min_overlap, least).drop("key", "key2")
 
 
-def _found(docs: DataFrame, items: DataFrame, min_overlap: int, least: int) -> DataFrame:
+def _lain(docs: DataFrame, items: DataFrame, min_overlap: int, least: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """How rows lie against items (row, item, n, shift); rows with hits and items, by their numbers."""
     spark = prepare(docs.sparkSession)
     item_type, doc_type = items.schema["item_id"].dataType.simpleString(), docs.schema["doc_id"].dataType.simpleString()
     item_rows = items.select("item_id", "text").mapInArrow(_item_tokens, f"item_id {item_type}, item_tokens binary")
@@ -147,20 +187,30 @@ def _found(docs: DataFrame, items: DataFrame, min_overlap: int, least: int) -> D
     n_seeds = seed_rows.count()
     bits = min(1 << 27, max(1 << 16, 1 << int(128 * max(1, n_seeds) - 1).bit_length()))
     sizes = sorted(r.size for r in seed_rows.select("size").distinct().collect())  # least to SPAN
-    sent = spark.sparkContext.broadcast((_bit_table(seed_rows, bits), bits, sizes))
+    shared = settle(seed_rows.where((F.col("size") == SPAN) & (F.col("n") >= min_overlap)).groupBy("h").agg(F.count_distinct("item").alias("items")).where(F.col("items") > MANY).select("h"), "shared-seeds")
+    second, more_bits, joined = None, 0, seed_rows.select("h", "item", "item_at", "n")
+    if not shared.isEmpty():
+        rare = seed_rows.join(shared.withColumn("common", F.lit(True)), "h", "left").where(F.col("common").isNull() | (F.col("n") < min_overlap))
+        around = item_rows.select("item", "item_tokens").mapInArrow(_item_windows(min_overlap), "h long, e long, item long, item_at int, n int")
+        around = settle(around.join(shared, "h", "left_semi").select(F.col("e").alias("h"), "item", "item_at", "n"), "windows")
+        more_bits = min(1 << 27, max(1 << 16, 1 << int(128 * max(1, around.count()) - 1).bit_length()))
+        second, joined = _bit_table(around, more_bits), rare.select("h", "item", "item_at", "n").unionByName(around)
+    sent = spark.sparkContext.broadcast((_bit_table(seed_rows, bits), bits, sizes, second, more_bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, bits, sizes = sent.value
+        table, bits, sizes, second, more_bits = sent.value
         masks = [m for size in sizes for m in (MASKS if size == SPAN else ("1" * size,))]
         for batch in batches:
             for part in tn.slices(batch):
                 hashes, at = tokens(part.column("text"))
                 found = []
-                for h, place, row in seeds(hashes, at, tuple(masks)):
-                    a, b = _bit_places(h, bits)
-                    on = (table[a >> np.uint64(6)] >> (a & np.uint64(63))) & (table[b >> np.uint64(6)] >> (b & np.uint64(63))) & np.uint64(1)
-                    on = np.flatnonzero(on)
-                    found.append((h[on], (place - at[row])[on], row[on]))
+                for mask, (h, place, row) in zip((m for m in masks if len(hashes) >= len(m)), seeds(hashes, at, tuple(masks)), strict=True):
+                    on = np.flatnonzero(_in_table(h, table, bits))
+                    h, place, row = h[on], place[on], row[on]
+                    found.append((h, place - at[row], row))
+                    for e, i in windows(hashes, at, h, place, row, len(mask), min_overlap) if second is not None and mask in MASKS else ():
+                        hit = np.flatnonzero(_in_table(e, second, more_bits))
+                        found.append((e[hit], (place - at[row])[i[hit]], row[i[hit]]))
                 h, place, row = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))
                 order = np.argsort(row, kind="stable")
                 h, place, row = h[order].view(np.int64), place[order].astype(np.int32), row[order]
@@ -175,7 +225,12 @@ def _found(docs: DataFrame, items: DataFrame, min_overlap: int, least: int) -> D
     with_hits = docs.select("doc_id", *keys(), "text").mapInArrow(run, f"doc_id {doc_type}, key long, key2 long, hs array<long>, places array<int>, tokens binary")
     with_hits = settle(with_hits.withColumn("row", F.monotonically_increasing_id()), "with-hits")
     each = with_hits.select("row", F.explode(F.arrays_zip("hs", "places")).alias("x")).select("row", F.col("x.hs").alias("h"), F.col("x.places").alias("doc_at"))
-    lain = each.join(seed_rows, "h").select("row", "item", "n", (F.col("doc_at") - F.col("item_at")).alias("shift")).distinct()
+    lain = each.join(joined, "h").select("row", "item", "n", (F.col("doc_at") - F.col("item_at")).alias("shift")).distinct()
+    return lain, with_hits, item_rows
+
+
+def _found(docs: DataFrame, items: DataFrame, min_overlap: int, least: int) -> DataFrame:
+    lain, with_hits, item_rows = _lain(docs, items, min_overlap, least)
     begin = F.greatest("shift", F.lit(0))
     faced = F.substring("tokens", begin * 8 + 1, (F.col("shift") + F.col("n") - begin) * 8)
     candidates = lain.join(with_hits.select("row", "tokens"), "row").select("row", "item", "shift", faced.alias("tokens")).join(item_rows.select("item", "item_tokens"), "item")
