@@ -158,6 +158,19 @@ def test_many_sure_rules_do_not_hide_less_sure_ones(spark, monkeypatch):
         assert got == {i: "block" if i < 18 else "allow" for i in range(20)}
 
 
+def test_rules_from_anywhere_in_a_url(spark):
+    """Tokens far back in path, query and host make rules; a URL of very many tokens goes to the miner with its rarest ones."""
+    deep = lambda i, tail: f"https://a{i % 50}.b.c.d.site.net/x/y/z/u/v/w/{tail}/k?a=1&b=2&c=3&d=4&{'evil' if tail == 'ads' else 'good'}=5"
+    rows = [(deep(i, "ads"), True) for i in range(60)] + [(deep(i, f"page{i % 3}"), False) for i in range(240)]
+    labelled = spark.createDataFrame(rows, "url string, bad boolean").repartition(3)
+    rules = {(tuple(r.tokens), r.verdict) for r in urlfilter.mine(labelled).collect()}
+    assert (("p:ads",), "block") in rules and (("q:evil",), "block") in rules and (("q:good",), "allow") in rules
+    pages = spark.createDataFrame([(1, "https://other.org.uk/1/2/3/4/5/6/7/ads?x=1"), (2, "http://h.net/?a&b&c&d&e&evil"), (3, "http://h.net/q")], "page_id long, url string")
+    assert {r.page_id: r.verdict for r in urlfilter.judge(pages, labelled).collect()} == {1: "block", 2: "block", 3: "allow"}
+    items = urlfilter.transactions(labelled, 6, 5).collect()
+    assert len(items) == 300 and all(len(r["items"]) <= 5 for r in items)
+
+
 def test_rollup(spark, documents, tmp_path):
     rollup = tokencounts.Rollup(spark, f"file://{tmp_path}/r")
     assert rollup.totals().count() == 0
