@@ -35,7 +35,7 @@ def one_based(box: tuple[int, int, int, int, int, int]) -> list[list[int]]:
 def fetch(fetcher, box, time_index: int, retries: int, backoff: float, secret: str = "") -> np.ndarray:
     for attempt in range(1, retries + 1):
         try:
-            values = np.asarray(fetcher(box, time_index, secret) if secret else fetcher(box, time_index))
+            values = np.asarray(fetcher(box, time_index))
             x0, y0, z0, nx, ny, nz = box
             if values.shape != (nz, ny, nx, 3):
                 raise ValueError(f"the cutout has shape {values.shape}")
@@ -67,10 +67,11 @@ class CutoutReader(DataSourceReader):
         fetcher = getattr(importlib.import_module(module), name)
         variable, file = self.options.get("token_variable", ""), self.options.get("token_file")
         secret = get_token(variable, file) if variable or file else ""  # read where it is used; options and plans hold names only
+        asked = (lambda box, time_index: fetcher(box, time_index, secret)) if secret else fetcher
         n, size = int(self.options["n"]), int(self.options.get("request", self.options["n"]))
         named = self.options.get("boxes")  # x0,y0,z0,nx,ny,nz;... instead of the whole snapshot
         for box in [tuple(map(int, b.split(","))) for b in named.split(";")] if named else blocks(n, size):
-            values = fetch(fetcher, box, partition.time_index, int(self.options.get("retries", 3)), float(self.options.get("backoff", 1.0)), secret)
+            values = fetch(asked, box, partition.time_index, int(self.options.get("retries", 3)), float(self.options.get("backoff", 1.0)), secret)
             x0, y0, z0, nx, ny, nz = box
             z, y, x = (a.reshape(-1).astype(np.int32) for a in np.meshgrid(np.arange(z0, z0 + nz), np.arange(y0, y0 + ny), np.arange(x0, x0 + nx), indexing="ij"))
             flat = values.reshape(-1, 3)
