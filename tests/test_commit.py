@@ -147,6 +147,34 @@ def test_locks_left_behind_are_taken_over(tmp_path):
         pass
 
 
+def test_of_many_that_see_a_dead_holder_one_takes_over(tmp_path):
+    import subprocess
+    import threading
+
+    gone = subprocess.Popen(["true"])
+    gone.wait()
+    took, done = [], threading.Event()
+
+    def take(i):
+        try:
+            with commit.lock(tmp_path / "l"):
+                took.append(i)
+                done.wait(20)
+        except FileExistsError:
+            pass
+
+    (tmp_path / "l").write_text(json.dumps({"pid": gone.pid, "host": commit.socket.gethostname()}))
+    takers = [threading.Thread(target=take, args=(i,)) for i in range(12)]
+    for t in takers:
+        t.start()
+    for t in takers[:]:
+        t.join(0.2)
+    done.set()
+    for t in takers:
+        t.join()
+    assert len(took) == 1
+
+
 def test_upgrade_adds_regime(spark, results):
     fields = small(spark).withColumn("work_full", F.col("uy")).withColumn("work_resolved", F.col("uz"))
     results.stage(fields, 1, 1.0, {}, "h")

@@ -13,6 +13,7 @@ comes back.
 from __future__ import annotations
 
 import contextlib
+import fcntl
 import hashlib
 import json
 import os
@@ -79,11 +80,13 @@ def lock(path: Path) -> Iterator[None]:
     It names process and machine, so one that a crash on this machine left behind is taken over.
     """
     path.parent.mkdir(parents=True, exist_ok=True)
-    if path.exists() and _left_behind(path):
-        path.unlink(missing_ok=True)
-    handle = os.open(path, os.O_CREAT | os.O_EXCL | os.O_WRONLY)
-    try:
+    with path.with_name(path.name + ".guard").open("a") as guard:
+        fcntl.flock(guard, fcntl.LOCK_EX)  # of two that see a dead holder one looks first, and the other then sees the first; a crash lets go
+        if path.exists() and _left_behind(path):
+            path.unlink(missing_ok=True)
+        handle = os.open(path, os.O_CREAT | os.O_EXCL | os.O_WRONLY)
         os.write(handle, json.dumps({"pid": os.getpid(), "host": socket.gethostname()}).encode())
+    try:
         yield
     finally:
         os.close(handle)
