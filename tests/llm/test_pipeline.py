@@ -99,6 +99,8 @@ SHAPES = {
     "op5_benchmark_overlaps": (None, ["doc_id", "item_id", "overlap"]), "op6_token_files": ("documents", ["doc_id", "start", "n_tokens", "ids_crc32"]),
     "op7_language": ("documents", ["doc_id", "held_out", "lang_pred", "score"]), "op8_near_duplicates": ("documents", ["doc_id", "n_shingles", "component_id", "kept"]),
     "op9_quality": ("documents", ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]), "op10_repeated_spans": (None, ["doc_id", "start", "length"]),
+    "op11_ranked_search": (None, ["item_id", "rank", "doc_id", "score"]), "op12_token_alignment": ("documents", ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]),
+    "op13_shards": ("documents", ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"]),
 }
 
 
@@ -122,6 +124,14 @@ def test_rollup_sql(spark):
     assert Counter(map(tuple, got)) == Counter(want)
 
 
+@needs_data
+def test_search_sql(spark):
+    duckdb.sql(f"CREATE OR REPLACE VIEW documents AS SELECT * FROM '{DATA}/documents.parquet'; CREATE OR REPLACE VIEW benchmark AS SELECT * FROM '{DATA}/benchmark.parquet'")
+    want = duckdb.sql(queries.ORACLES["op11_ranked_search"]).fetchall()
+    got = queries.op11_ranked_search(spark, str(DATA)).select("item_id", "rank", "doc_id", "score").collect()
+    assert Counter(map(tuple, got)) == Counter(want) and len(want) > 100
+
+
 @needs_data
 def test_held_out_languages_are_predicted(spark):
     out = queries.op7_language(spark, str(DATA)).where("held_out").join(queries.table(spark, str(DATA), "documents").select("doc_id", "lang").where(F.col("lang").isNotNull()), "doc_id").collect()
