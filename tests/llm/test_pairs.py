@@ -235,6 +235,29 @@ def test_anchor_hits_every_window():
     assert a["count"].sum() == windows and (a["off"] < suffixes.PLACES).all() and (a["off"] - a["count"] >= -1).all()
 
 
+def test_equal_hashes_are_compared_by_bytes():
+    text = np.frombuffer(b"abcdabcdabceabcd", np.uint8)
+    at, size, off = np.array([0, 4, 8, 12, 0]), np.array([4, 4, 4, 4, 3]), np.array([1, 1, 1, 2, 1])
+    assert suffixes._alike(text, at, size, off, np.array([True, False, False, False, False])).tolist() == [True, True, False, False, False]
+    assert suffixes._alike(text, at, size, off, np.ones(5, bool)).all()
+
+
+def test_many_rows_alike_have_one_text_and_a_row_each(spark, sentence, monkeypatch):
+    rng = random.Random(31)
+    a, b, c = (sentence(rng, 60) for _ in range(3))
+    rows = [(1, a), *[(2, f"{b} {a}")] * 25, *[(None, f"{c} {b}")] * 23, (3, c), (None, None), (None, None)]
+    monkeypatch.setattr(identity, "PIECE", 10)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = suffixes.dedup(df).groupBy("doc_id", "n_bytes", "n_removed").count().collect()
+    held = {(r.doc_id, r.n_bytes): (r.n_removed, r["count"]) for r in got}
+    size = lambda t: len(t.encode())
+    assert held[1, size(a)] == (0, 1) and held[None, 0] == (0, 2) and held[3, size(c)] == (0, 1) and len(held) == 5
+    assert held[2, size(a) + size(b) + 1][1] == 25 and held[2, size(a) + size(b) + 1][0] >= size(a)
+    assert held[None, size(b) + size(c) + 1][1] == 23 and held[None, size(b) + size(c) + 1][0] >= size(b) + size(c) - 1
+    again = identity.repeated(identity.numbered(df))
+    assert {r.n for r in again.collect()} == {25, 23, 2} and identity.one_each(identity.numbered(df), again).count() == 5
+
+
 def test_chunks_resist_insertions():
     rng = np.random.default_rng(7)
     data = rng.integers(32, 127, 20_000).astype(np.uint8)
@@ -414,6 +437,23 @@ def test_passages_of_51_words_are_found_whole(spark, sentence):
     assert all((got[d] == want[d]).all() for d in want) and sum(c.any() for c in want.values()) == 400
 
 
+def test_nine_in_ten_passages_of_the_least_length_are_found(spark, sentence):
+    """Passages from anywhere in prose, none overlapping another, each in two documents with other text around it."""
+    rng = random.Random(96)
+    prose = sentence(rng, 30_000)
+    found, each = {}, 250
+    for size in (100, cdc.MIN_SPAN, 150, cdc.SURE):
+        rows = []
+        for i in range(each):
+            at = 600 * i + rng.randrange(300)
+            p = prose[at : at + size]
+            rows += [(2 * i, f"{sentence(rng, 60)}#{p}${sentence(rng, 60)}"), (2 * i + 1, f"{sentence(rng, rng.randint(20, 60))}%{p}&{sentence(rng, 40)}")]
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        spans = cdc.repeated_spans(df, min_span=96).where("doc_id % 2 = 1 and first_doc_id = doc_id - 1").collect()
+        found[size] = len({r.doc_id for r in spans})
+    assert found[cdc.MIN_SPAN] >= 0.9 * each and found[150] >= 0.95 * each and found[cdc.SURE] >= 0.98 * each and found[100] >= each // 2, found
+
+
 def test_spans_hold_repeats_only(spark, sentence, documents, nothing):
     rows = [(d, t) for d, t in passages(sentence) if t]
     want = covered(rows, cdc.MIN_SPAN)

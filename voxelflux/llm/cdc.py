@@ -1,7 +1,8 @@
 """Substring dedup by content-defined chunks.
 
 A gear rolling hash runs over the bytes of every text: each byte's random 32-bit value is added to the hash shifted
-by one bit, so the hash sees the last 32 bytes. A chunk ends where the hash is the least of the `WINDOW` places before and
+by four bits, so the hash sees the last eight bytes: the fewer it sees, the sooner a repeated passage has cuts of its own
+again. A chunk ends where the hash is the least of the `WINDOW` places before and
 after, so a cut depends on the bytes around it and on nothing else: an insertion moves no cut but those near it, and a
 passage has the same cuts wherever it stands. Where text repeats itself in short periods, equal minima stand side by
 side; one in `WINDOW` bytes is a cut. Stretches without a cut are divided every `MOST` bytes.
@@ -12,7 +13,7 @@ side; one in `WINDOW` bytes is a cut. Stretches without a cut are divided every
     documents hold is one skewed key of a join with that one row, which adaptive execution splits.
  2. Repeats that touch and repeat one place of one document are a run. A passage begins and ends inside chunks, so the
     bytes around a run are compared with those around the place it repeats, `REACH` to each side, as are its outer
-    chunks themselves. What is left after that has its true bounds; with `min_span` bytes or more it is a repeat.
+    chunks themselves; what lies between is compared by MD5. What is left after that has its true bounds; with `min_span` bytes or more it is a repeat.
  3. Repeats that touch or overlap are one span.
 
 A chunk is compared with one place only. So a passage can lose up to a chunk at an edge, or be missed, if
@@ -36,22 +37,24 @@ from voxelflux.llm import textnum as tn
 from voxelflux.llm.identity import numbered, one_each
 from voxelflux.llm.store import prepare, settle
 
-#: A cut is the least of 2 * WINDOW + 1 places, so chunks have some 49 bytes. REACH is MOST, so that a passage's last bytes, which are
-#: fewer than MOST after its last cut, are compared whole.
-WINDOW, MOST, REACH, MIN_SPAN = 24, 256, 256, 96
+#: A cut is the least of 2 * WINDOW + 1 places, so chunks have some 41 bytes. REACH is MOST, so that a passage's last bytes, which are
+#: fewer than MOST after its last cut, are compared whole. Of strings of MIN_SPAN bytes nine in ten hold a whole chunk.
+WINDOW, MOST, REACH, MIN_SPAN = 20, 256, 256, 120
 #: A repeated string of so many bytes holds a whole chunk, but for stretches of few different bytes; shorter ones hold one less often.
 SURE = 200
-SEEN = 31  # places that the hash at a byte sees before it
+#: Bits that the hash is shifted by at each byte, and places before a byte that it sees then.
+SHIFT = 4
+SEEN = 32 // SHIFT - 1
 #: One value for each byte, from a rule, so that every run cuts alike.
 GEAR = (tn.mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(tn.BASE)) >> np.uint64(32)).astype(np.uint32)
 
 
 def gear(data: np.ndarray) -> np.ndarray:
-    """The rolling hash after each byte: the sum of the last 32 gear values, each shifted by its age."""
+    """The rolling hash after each byte: the sum of the last SEEN + 1 gear values, each shifted by SHIFT bits for each byte since."""
     h, width = GEAR[data], 1
-    while width < 32:
+    while width <= SEEN:
         more = h.copy()
-        more[width:] += h[:-width] << np.uint32(width)
+        more[width:] += h[:-width] << np.uint32(SHIFT * width)
         h, width = more, 2 * width
     return h
 
@@ -135,6 +138,11 @@ def _extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(out, names=["doc", "doc_id", "start", "end", "first_doc_id", "n"]).filter(pa.array((left >= head) & (right >= tail)))
 
 
+def _between(start, end, head, tail):
+    """The bytes of a run between its outer chunks, as a digest; equal to nothing's where outer chunks touch or are one."""
+    return F.unhex(F.md5(F.substring("bytes", start + head + 1, F.greatest(end - tail - start - head, F.lit(0)))))
+
+
 def _around(start, end, head, tail):
     """The bytes before the end of a run's first chunk and after the start of its last, REACH beyond the run."""
     begin = F.greatest(start - REACH, F.lit(0))
@@ -162,10 +170,12 @@ def repeated_spans(docs: DataFrame, min_span: int = MIN_SPAN) -> DataFrame:
         .drop("run")
     )
     texts = slim.select(F.col("doc").alias("own"), F.col("doc_id").alias("own_id"), F.encode("text", "UTF-8").alias("bytes")).repartition("own")
-    left1, right1 = _around(F.col("start") - F.col("shift"), F.col("end") - F.col("shift"), F.col("head"), F.col("tail"))
-    there = runs.join(texts, F.col("doc1") == F.col("own")).select(*runs.columns, F.col("own_id").alias("first_doc_id"), left1.alias("left1"), right1.alias("right1"))
-    left, right = _around(F.col("start"), F.col("end"), F.col("head"), F.col("tail"))
-    both = there.join(texts, F.col("doc") == F.col("own")).select("doc", F.col("own_id").alias("doc_id"), "start", "end", "head", "tail", "first_doc_id", "n", left.alias("left"), right.alias("right"), "left1", "right1")
+    first = (F.col("start") - F.col("shift"), F.col("end") - F.col("shift"), F.col("head"), F.col("tail"))
+    left1, right1 = _around(*first)
+    there = runs.join(texts, F.col("doc1") == F.col("own")).select(*runs.columns, F.col("own_id").alias("first_doc_id"), left1.alias("left1"), right1.alias("right1"), _between(*first).alias("inner1"))
+    here = (F.col("start"), F.col("end"), F.col("head"), F.col("tail"))
+    left, right = _around(*here)
+    both = there.join(texts, F.col("doc") == F.col("own")).where(_between(*here) == F.col("inner1")).select("doc", F.col("own_id").alias("doc_id"), "start", "end", "head", "tail", "first_doc_id", "n", left.alias("left"), right.alias("right"), "left1", "right1")
     found = both.mapInArrow(_extend, "doc long, doc_id long, start int, end int, first_doc_id long, n long").where(F.col("end") - F.col("start") >= min_span)
     in_order = Window.partitionBy("doc").orderBy("start", "end")
     before = F.max("end").over(in_order.rowsBetween(Window.unboundedPreceding, -1))

@@ -39,9 +39,28 @@ def numbered(docs: DataFrame, *more: Column) -> DataFrame:
     return rows.select("doc", *(c for c in rows.columns if c not in ("doc", "shared", "lo")))
 
 
-def one_each(rows: DataFrame) -> DataFrame:
-    """rows of numbered() without repeats of a number."""
-    again = settle(rows.groupBy("doc").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc"), "repeated-rows")
+def repeated(rows: DataFrame) -> DataFrame:
+    """(doc, n): the numbers that more than one of rows has, and how many have it."""
+    return settle(rows.groupBy("doc").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "repeated-rows")
+
+
+def one_each(rows: DataFrame, again: DataFrame | None = None) -> DataFrame:
+    """rows of numbered() without repeats of a number; again is what repeated() says of them."""
+    again = repeated(rows) if again is None else again
     if again.isEmpty():
         return rows
     return rows.join(again, "doc", "left_anti").unionByName(rows.join(again, "doc", "left_semi").dropDuplicates(["doc"]))
+
+
+#: Rows that one row of every_row() is spread to by one task.
+PIECE = 10_000
+
+
+def every_row(found: DataFrame, again: DataFrame) -> DataFrame:
+    """What was found (doc, ...) for each number, once for each row that has it; many rows alike are spread over tasks."""
+    if again.isEmpty():
+        return found
+    pieces = F.sequence(F.lit(0).cast("long"), F.floor((F.coalesce("n", F.lit(1)) - 1) / PIECE))
+    dealt = found.join(again, "doc", "left").withColumn("piece", F.explode(pieces)).repartition("doc", "piece")
+    own = F.least(F.coalesce("n", F.lit(1)) - F.col("piece") * PIECE, F.lit(PIECE))
+    return dealt.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), own))).select(*found.columns)

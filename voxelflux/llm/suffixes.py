@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxelflux.llm import textnum as tn
-from voxelflux.llm.identity import numbered
+from voxelflux.llm.identity import every_row, numbered, one_each, repeated
 from voxelflux.llm.store import prepare, settle
 
 WIDTH, GRAM = 100, 24
@@ -259,6 +259,19 @@ def _with_equals(table: pa.Table) -> pa.Table:
 CONTEXT = [("doc", "<i8"), ("first", "<i4"), ("count", "u1"), ("off", "u1")]
 
 
+def _alike(text: np.ndarray, at: np.ndarray, size: np.ndarray, off: np.ndarray, head: np.ndarray) -> np.ndarray:
+    """Whether each string of text equals, byte for byte, the last one before it that head marks; those it marks do."""
+    lead = np.flatnonzero(head)[np.cumsum(head) - 1]
+    out = (size == size[lead]) & (off == off[lead])
+    own = np.flatnonzero(out & ~head)
+    if len(own):
+        s = size[own]
+        begin = np.cumsum(s) - s
+        step = np.arange(s.sum()) - np.repeat(begin, s)
+        out[own] = np.logical_and.reduceat(text[np.repeat(at[own], s) + step] == text[np.repeat(at[lead[own]], s) + step], begin)
+    return out
+
+
 def _context_rows(ranges: Ranges):
     def flush(parts: list[tuple[np.ndarray, bytes, np.ndarray, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
         rows, text = np.concatenate([p[0] for p in parts]), np.frombuffer(b"".join(p[1] for p in parts), np.uint8)
@@ -270,6 +283,7 @@ def _context_rows(ranges: Ranges):
         again = np.append(False, (rows["doc"][1:] == rows["doc"][:-1]) & (rows["first"][1:] == rows["first"][:-1]))
         rows, at, size, same, lead, key = (x[~again] for x in (rows, at, size, same, lead, key))
         head = np.append(True, same[1:] != same[:-1])
+        head |= ~_alike(text, at, size, rows["off"], head)
         over = rows[~head]
         if len(over):  # equal to an earlier text around an anchor: repeats already
             doc, a, b = united(over["doc"], over["first"].astype(np.int64), over["first"].astype(np.int64) + over["count"] + WIDTH - 1)
@@ -378,6 +392,7 @@ def _repeated(table: pa.Table) -> pa.Table:
         same = tn.mix(tn.Hasher(text).of(at, at + size) + off.astype(np.uint64))
         order = np.lexsort((first, doc, same))
         new = np.append(True, same[order][1:] != same[order][:-1])
+        new |= ~_alike(text, at[order], size[order], off[order], new)
         over, order = order[~new], order[new]
         docs.append(doc[over])
         starts.append(first[over])
@@ -414,8 +429,8 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 digests.append(hashlib.sha256(b"".join([*(x.tobytes() for x in keep), own[at:].tobytes()])).hexdigest())
                 removed.append(int((found[:, 1] - found[:, 0]).sum()))
                 spans.append(len(found))
-            out = [part.column("doc_id"), pa.array(np.diff(offsets)), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(digests, pa.string())]
-            yield pa.RecordBatch.from_arrays(out, names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+            out = [part.column("doc"), part.column("doc_id"), pa.array(np.diff(offsets)), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(digests, pa.string())]
+            yield pa.RecordBatch.from_arrays(out, names=["doc", "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
 
 def _ranges(slim: DataFrame) -> Ranges:
@@ -441,7 +456,9 @@ def _ranges(slim: DataFrame) -> Ranges:
 def dedup(docs: DataFrame) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) for each row of docs (doc_id, text)."""
     prepare(docs.sparkSession)
-    slim = numbered(docs).select("doc", "doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    rows = numbered(docs).select("doc", "doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    again = repeated(rows)
+    slim = one_each(rows, again)  # rows that agree in id and text are one document: one text of them moves
     ranges = _ranges(slim)
     named = slim.select("doc", F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(1), "text").alias("h2"))
     firsts = named.groupBy("h1", "h2").agg(F.min("doc").alias("doc")).groupBy("doc").agg(F.min("h1").alias("first_h1"))
@@ -453,5 +470,5 @@ def dedup(docs: DataFrame) -> DataFrame:
     wanted = dealt.groupBy("bucket").applyInArrow(_with_equals, "doc long, blob binary").groupBy("doc").agg(F.collect_list("blob").alias("blobs"))
     around = judged.join(wanted, "doc").mapInArrow(_context_rows(ranges), "bucket long, doc binary, first binary, count binary, off binary, text binary, kind int")
     found = around.groupBy("bucket").applyInArrow(_repeated, "doc long, blob binary").groupBy("doc").agg(F.collect_list("blob").alias("blobs"))
-    cut = held.join(found, "doc", "left").select("doc_id", "text", "role", "blobs")
-    return cut.mapInArrow(_cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    cut = held.join(found, "doc", "left").select("doc", "doc_id", "text", "role", "blobs")
+    return every_row(cut.mapInArrow(_cut, "doc long, doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"), again).drop("doc")
