@@ -14,6 +14,8 @@ side; one in `WINDOW` bytes is a cut. Stretches without a cut are divided every
  2. Repeats that touch and repeat one place of one document are a run. A passage begins and ends inside chunks, so the
     bytes around a run are compared with those around the place it repeats, `REACH` to each side, as are its outer
     chunks themselves; what lies between is compared by MD5. What is left after that has its true bounds; with `min_span` bytes or more it is a repeat.
+    Most runs are too short, as common words make equal chunks: hashes of the bytes beside a run tell whether it can come to
+    `min_span` before any of its bytes move.
  3. Repeats that touch or overlap are one span.
 
 A chunk is compared with one place only. So a passage can lose up to a chunk at an edge, or be missed, if
@@ -143,6 +145,13 @@ def _between(start, end, head, tail):
     return F.unhex(F.md5(F.substring("bytes", start + head + 1, F.greatest(end - tail - start - head, F.lit(0)))))
 
 
+def _beside(start, end, least):
+    """Hashes of the bytes on either side of a run, half of what it lacks to `least`; a run that comes to it has one side equal."""
+    half = F.greatest(F.ceil((least - (end - start)) / 2).cast("int"), F.lit(0))
+    begin = F.greatest(start - half, F.lit(0))
+    return F.xxhash64(F.substring("bytes", begin + 1, start - begin)), F.xxhash64(F.substring("bytes", end + 1, half))
+
+
 def _around(start, end, head, tail):
     """The bytes before the end of a run's first chunk and after the start of its last, REACH beyond the run."""
     begin = F.greatest(start - REACH, F.lit(0))
@@ -170,12 +179,18 @@ def repeated_spans(docs: DataFrame, min_span: int = MIN_SPAN) -> DataFrame:
         .drop("run")
     )
     texts = slim.select(F.col("doc").alias("own"), F.col("doc_id").alias("own_id"), F.encode("text", "UTF-8").alias("bytes")).repartition("own")
-    first = (F.col("start") - F.col("shift"), F.col("end") - F.col("shift"), F.col("head"), F.col("tail"))
-    left1, right1 = _around(*first)
-    there = runs.join(texts, F.col("doc1") == F.col("own")).select(*runs.columns, F.col("own_id").alias("first_doc_id"), left1.alias("left1"), right1.alias("right1"), _between(*first).alias("inner1"))
     here = (F.col("start"), F.col("end"), F.col("head"), F.col("tail"))
+    first = (F.col("start") - F.col("shift"), F.col("end") - F.col("shift"), F.col("head"), F.col("tail"))
+    there, own = F.col("doc1") == F.col("own"), F.col("doc") == F.col("own")
+    left1, right1 = _beside(*first[:2], min_span)
+    told = runs.join(texts, there).select(*runs.columns, left1.alias("left1"), right1.alias("right1"), _between(*first).alias("inner1"))
+    left, right = _beside(*here[:2], min_span)
+    long = F.col("end") - F.col("start") >= min_span
+    can = told.join(texts, own).where((long | (left == F.col("left1")) | (right == F.col("right1"))) & (_between(*here) == F.col("inner1")))
     left, right = _around(*here)
-    both = there.join(texts, F.col("doc") == F.col("own")).where(_between(*here) == F.col("inner1")).select("doc", F.col("own_id").alias("doc_id"), "start", "end", "head", "tail", "first_doc_id", "n", left.alias("left"), right.alias("right"), "left1", "right1")
+    can = can.select(*runs.columns, F.col("own_id").alias("doc_id"), left.alias("left"), right.alias("right"))
+    left1, right1 = _around(*first)
+    both = can.join(texts, there).select("doc", "doc_id", "start", "end", "head", "tail", F.col("own_id").alias("first_doc_id"), "n", "left", "right", left1.alias("left1"), right1.alias("right1"))
     found = both.mapInArrow(_extend, "doc long, doc_id long, start int, end int, first_doc_id long, n long").where(F.col("end") - F.col("start") >= min_span)
     in_order = Window.partitionBy("doc").orderBy("start", "end")
     before = F.max("end").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
