@@ -37,9 +37,9 @@ from voxelflux.llm import textnum as tn
 from voxelflux.llm.identity import numbered, one_each
 from voxelflux.llm.store import prepare, settle
 
-#: A cut is the least of 2 * WINDOW + 1 places, so chunks have some 41 bytes. REACH is MOST, so that a passage's last bytes, which are
+#: A cut is the least of 2 * WINDOW + 1 places, so chunks have some 48 bytes. REACH is MOST, so that a passage's last bytes, which are
 #: fewer than MOST after its last cut, are compared whole. Of strings of MIN_SPAN bytes nine in ten hold a whole chunk.
-WINDOW, MOST, REACH, MIN_SPAN = 20, 256, 256, 120
+WINDOW, MOST, REACH, MIN_SPAN = 24, 256, 256, 130
 #: A repeated string of so many bytes holds a whole chunk, but for stretches of few different bytes; shorter ones hold one less often.
 SURE = 200
 #: Bits that the hash is shifted by at each byte, and places before a byte that it sees then.
