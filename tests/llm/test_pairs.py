@@ -437,23 +437,6 @@ def test_passages_of_51_words_are_found_whole(spark, sentence):
     assert all((got[d] == want[d]).all() for d in want) and sum(c.any() for c in want.values()) == 400
 
 
-def test_nine_in_ten_passages_of_the_least_length_are_found(spark, sentence):
-    """Passages from anywhere in prose, none overlapping another, each in two documents with other text around it."""
-    rng = random.Random(96)
-    prose = sentence(rng, 30_000)
-    found, each = {}, 250
-    for size in (cdc.MIN_SPAN, cdc.SURE):
-        rows = []
-        for i in range(each):
-            at = 600 * i + rng.randrange(300)
-            p = prose[at : at + size]
-            rows += [(2 * i, f"{sentence(rng, 60)}#{p}${sentence(rng, 60)}"), (2 * i + 1, f"{sentence(rng, rng.randint(20, 60))}%{p}&{sentence(rng, 40)}")]
-        df = spark.createDataFrame(rows, "doc_id long, text string")
-        spans = cdc.repeated_spans(df, min_span=96).where("doc_id % 2 = 1 and first_doc_id = doc_id - 1").collect()
-        found[size] = len({r.doc_id for r in spans})
-    assert found[cdc.MIN_SPAN] >= 0.9 * each and found[cdc.SURE] >= 0.97 * each, found
-
-
 def test_spans_hold_repeats_only(spark, sentence, documents, nothing):
     rows = [(d, t) for d, t in passages(sentence) if t]
     want = covered(rows, cdc.MIN_SPAN)
