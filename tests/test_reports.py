@@ -86,6 +86,50 @@ def test_percentiles_of_groups_and_of_two_heaps(spark, monkeypatch):
     assert limits["two"] == pytest.approx(max(v for k, v in rows if k == "two")) and limits["one"] == 5.0
 
 
+def test_percentiles_move_each_value_once(spark, monkeypatch):
+    """Small groups reach an exchange with a row a value, whatever the number of shares; large ones with fewer rows than values."""
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(3)
+    shares = {"p10": 0.1, "p50": 0.5, "p99": 0.99}
+    rows = [(g, float(v)) for g in range(40) for v in rng.random(200)] + [(None, float(v)) for v in 10.0 ** rng.uniform(-30, 30, 3000)] + [(-1, float(v)) for v in rng.random(5000)] + [(-2, 4.0)] * 3000
+    df = spark.createDataFrame(rows, "k long, v double").repartition(3).cache()
+
+    def rows_in_plan(found):
+        plan, out, todo = found._jdf.queryExecution().executedPlan(), [], []
+        todo.append(plan.executedPlan() if "AdaptiveSparkPlan" in plan.nodeName() else plan)
+        while todo:
+            node = todo.pop()
+            if "QueryStage" in node.nodeName():
+                node = node.plan()
+            if "Exchange" in node.nodeName() and "Broadcast" not in node.nodeName():
+                out.append(node.metrics().apply("shuffleRecordsWritten").value())
+            todo += [node.children().apply(i) for i in range(node.children().size())]
+        return out
+
+    few = aggregates.percentiles(df.where("k >= 0"), ["k"], F.col("v"), shares)
+    few._jdf.collectToPython()
+    assert 8000 in rows_in_plan(few) and sum(rows_in_plan(few)) < 2 * 8000
+    monkeypatch.setattr(aggregates, "BINS", 64)
+    moved = []
+    real = aggregates._narrowed
+
+    def narrowed(*args):
+        out = real(*args)
+        out._jdf.collectToPython()
+        moved.append(max(rows_in_plan(out)))
+        return out
+
+    monkeypatch.setattr(aggregates, "_narrowed", narrowed)
+    got = {r.k: r for r in aggregates.percentiles(df, ["k"], F.col("v"), shares).collect()}
+    assert moved and max(moved) < 8000 / 4 and len(got) == 43
+    for k, row in got.items():
+        own = [v for g, v in rows if g == k]
+        for name, share in shares.items():
+            assert row[name] == pytest.approx(float(np.percentile(own, share * 100)), rel=1e-9)
+
+
 def budget(spark, s_bar, pi):
     rows = [(0.01 * i - pi + s, 0.01 * i, pi, s) for i, s in enumerate(s_bar)]
     return spark.createDataFrame(rows, "work_full double, work_resolved double, pi double, s_bar double")

@@ -11,6 +11,8 @@ from voxelflux.functions.fields import wide
 from voxelflux.session import shared_dir
 
 BINS = 4096
+#: Times BINS, values that one task sorts for a group.
+SORTED = 16
 
 
 def exact_percentile(df: DataFrame, value: Column, share: float) -> float | None:
@@ -20,31 +22,35 @@ def exact_percentile(df: DataFrame, value: Column, share: float) -> float | None
 
 
 def percentiles(df: DataFrame, keys: list[str], value: Column, shares: dict[str, float]) -> DataFrame:
-    """(keys, a column for each of shares): percentiles of each group, linearly interpolated at rank (n - 1) * share, without
-    sorting values. Without keys one row, or none if there is no value.
-
-    Each of the two ranks of a share has an interval that holds its value. A pass counts the values of the interval in bins of
-    equal width, or by value if there are no more than BINS, and the bin that holds the rank is the next interval; when its
-    ends are equal, they are the value. A pass is one scan with partial aggregation and sends at most BINS counts for each rank
-    through the exchange. Intervals are a table that each pass writes anew, joined as Spark sees fit by its size; the driver
-    learns only how many are open. All shares narrow together. Nulls are left out; values must be finite.
+    """(keys, a column for each of shares): percentiles of each group, linearly interpolated at rank (n - 1) * share. Without
+    keys one row, or none if there is no value.
+
+    Groups of at most SORTED * BINS values are sorted: each value goes once through one exchange, and its row number is its rank.
+    In larger groups each rank has an interval that holds its value. A pass counts the values of an interval in bins of equal
+    width, at most BINS; there is one for BINS values, so counts are few beside values, but for the interval of a bin that held
+    over half of the last one's. A bin that holds a rank is one of the next intervals. It is narrowed on until its ends are equal, so that they are the value, or its values are few enough to
+    be sorted. Ranks that share an interval share its counts. Intervals are a table that each pass writes anew, joined as Spark
+    sees fit by its size; the driver learns only whether any are open. Nulls are left out; values must be finite.
     """
     values = df.select(*keys, wide(value).alias("v")).where("v is not null")
-    ranks = F.array(*(F.struct(F.lit(name).alias("name"), F.lit(float(s)).alias("share")) for name, s in shares.items()))
-    ends = values.groupBy(*keys).agg(F.count("v").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).where("n > 0")
-    each = ends.select(*keys, "n", "lo", "hi", F.inline(ranks)).withColumn("at", (F.col("n") - 1) * F.col("share"))
-    low = F.floor("at").cast("long")
-    sides = F.array(F.struct(F.lit(1).alias("side"), low.alias("rank")), F.struct(F.lit(2).alias("side"), F.least(low + 1, F.col("n") - 1).alias("rank")))
-    names = [*keys, "name", "side", "rank", "at"]
-    now = _kept(each.select(*keys, "name", "at", "n", "lo", "hi", F.inline(sides)).select(*names, F.lit(0).cast("long").alias("before"), "n", "lo", "hi"))
-    done = now.where("lo = hi").select(*names, "lo")
-    while not (open_ := now.where("lo < hi")).isEmpty():
-        now = _kept(_narrowed(values, keys, names, open_))
-        done = done.unionByName(now.where("lo = hi").select(*names, "lo"))
-    both = [F.max(F.when((F.col("name") == name) & (F.col("side") == side), F.col("lo"))).alias(f"v{i}_{side}") for i, name in enumerate(shares) for side in (1, 2)]
-    part = [F.max(F.when(F.col("name") == name, F.col("at") - F.floor("at"))).alias(f"f{i}") for i, name in enumerate(shares)]
-    found = done.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *both, *part).where("_n > 0")
-    return found.select(*keys, *((F.col(f"v{i}_1") + (F.col(f"v{i}_2") - F.col(f"v{i}_1")) * F.col(f"f{i}")).alias(name) for i, name in enumerate(shares)))
+    most = SORTED * BINS
+    ends = values.groupBy(*keys).agg(F.count("v").alias("total"), F.min("v").alias("lo"), F.max("v").alias("hi")).where(F.col("total") > most)
+    large = _kept(ends.select(*keys, "total", F.lit(0).cast("long").alias("before"), F.col("total").alias("n"), "lo", "hi", _parts(F.col("total")).alias("parts")))
+    if large.isEmpty():
+        return _interpolated(_sorted(_counted(values, keys), keys, shares), keys, shares)
+    span = [*keys, "total", "before", "n", "lo", "hi"]
+    found, now, few = large.where("lo = hi").select(span), large, None
+    while not (open_ := now.where((F.col("lo") < F.col("hi")) & (F.col("n") > most))).isEmpty():
+        now = _kept(_narrowed(values, keys, shares, open_))
+        found = found.unionByName(now.where("lo = hi").select(span))
+        rest = now.where((F.col("lo") < F.col("hi")) & (F.col("n") <= most)).select(span)
+        few = rest if few is None else few.unionByName(rest)
+    if keys:
+        found = found.unionByName(_sorted(_counted(_held(values, keys, large, "left_anti"), keys), keys, shares))
+    if few is not None and not few.isEmpty():
+        held = _held(values, keys, few).where(F.col("v").between(F.col("lo"), F.col("hi")))
+        found = found.unionByName(_sorted(held.select(*keys, "total", "before", "v"), keys, shares))
+    return _interpolated(found, keys, shares)
 
 
 def _kept(df: DataFrame) -> DataFrame:
@@ -53,26 +59,80 @@ def _kept(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _narrowed(values: DataFrame, keys: list[str], names: list[str], open_: DataFrame) -> DataFrame:
-    """The intervals after one pass over values; rows of open_ are (names, before, n, lo, hi)."""
+def _parts(n: Column) -> Column:
+    """Bins for an interval of n values."""
+    return F.least(F.lit(float(BINS)), F.greatest(F.lit(2.0), F.ceil(n / BINS).cast("double")))
+
+
+def _ranks(shares: dict[str, float]) -> list[tuple[Column, Column, Column]]:
+    """For each share its two ranks in a group of `total` values and what the second one weighs."""
+    out = []
+    for share in shares.values():
+        at = (F.col("total") - 1) * F.lit(float(share))
+        low = F.floor(at).cast("long")
+        out.append((low, F.least(low + 1, F.col("total") - 1), at - F.floor(at)))
+    return out
+
+
+def _within(rank: Column) -> Column:
+    return (rank >= F.col("before")) & (rank < F.col("before") + F.col("n"))
+
+
+def _wanted(shares: dict[str, float]) -> Column:
+    out = F.lit(False)
+    for low, high, _ in _ranks(shares):
+        out |= _within(low) | _within(high)
+    return out
+
+
+def _counted(values: DataFrame, keys: list[str]) -> DataFrame:
+    """Values of whole groups that are small, with their number."""
+    return values.select(*keys, F.count("v").over(Window.partitionBy(*keys)).alias("total"), F.lit(0).cast("long").alias("before"), "v")
+
+
+def _sorted(held: DataFrame, keys: list[str], shares: dict[str, float]) -> DataFrame:
+    """The values at the ranks of shares, as intervals of one value; rows of held are (keys, total, before, v)."""
+    place = F.row_number().over(Window.partitionBy(*keys, "before").orderBy("v")) - 1
+    one = held.select(*keys, "total", (F.col("before") + place).alias("before"), F.lit(1).cast("long").alias("n"), F.col("v").alias("lo"), F.col("v").alias("hi"))
+    return one.where(_wanted(shares))
+
+
+def _held(values: DataFrame, keys: list[str], spans: DataFrame, how: str = "inner") -> DataFrame:
+    """Values beside the intervals of their group, or those of groups without one."""
     if keys:
-        renamed = open_.withColumnsRenamed({k: f"k_{k}" for k in keys})
+        renamed = spans.withColumnsRenamed({k: f"k_{k}" for k in keys})
         on = F.lit(True)
         for k in keys:
             on &= F.col(k).eqNullSafe(F.col(f"k_{k}"))
-        held = values.join(renamed, on).drop(*(f"k_{k}" for k in keys))
-    else:  # two rows a share
-        rows = F.array(*(F.struct(*(F.lit(x).cast(t).alias(n) for n, t, x in zip(open_.columns, dict(open_.dtypes).values(), row, strict=True))) for row in open_.collect()))
-        held = values.select("v", F.inline(rows))
-    held = held.where(F.col("v").between(F.col("lo"), F.col("hi")))
-    width = F.col("hi") / BINS - F.col("lo") / BINS
-    by_width = F.least(F.floor(F.col("v") / width - F.col("lo") / width), F.lit(BINS - 1)).cast("double")
-    fine = (F.col("n") <= BINS) | (F.col("lo") + width == F.col("lo"))  # few values, or few doubles in between
-    group = [*names, "before"]
-    bins = held.groupBy(*group, F.when(fine, F.col("v")).otherwise(by_width).alias("bin")).agg(F.count("v").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+        return values.join(renamed, on, how).drop(*(f"k_{k}" for k in keys))
+    rows = F.array(*(F.struct(*(F.lit(x).cast(t).alias(n) for n, t, x in zip(spans.columns, dict(spans.dtypes).values(), row, strict=True))) for row in spans.collect()))
+    return values.select("v", F.inline(rows))  # two rows a share at most
+
+
+def _narrowed(values: DataFrame, keys: list[str], shares: dict[str, float], open_: DataFrame) -> DataFrame:
+    """The intervals after one pass over values; rows of open_ are (keys, total, before, n, lo, hi, parts)."""
+    held = _held(values, keys, open_).where(F.col("v").between(F.col("lo"), F.col("hi")))
+    parts = F.col("parts")
+    width = F.col("hi") / parts - F.col("lo") / parts
+    by_width = F.least(F.floor(F.col("v") / width - F.col("lo") / width).cast("double"), parts - 1)
+    fine = F.col("lo") + width == F.col("lo")  # few doubles in between
+    group = [*keys, "total", "before"]
+    bins = held.groupBy(*group, F.when(fine, F.col("v")).otherwise(by_width).alias("bin")).agg(F.max("n").alias("was"), F.count("v").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
     sofar = F.sum("n").over(Window.partitionBy(*group).orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)) + F.col("before")
-    hit = bins.withColumn("sofar", sofar).where((F.col("rank") < F.col("sofar")) & (F.col("rank") >= F.col("sofar") - F.col("n")))
-    return hit.select(*names, (F.col("sofar") - F.col("n")).alias("before"), "n", "lo", "hi")
+    hit = bins.withColumn("before", sofar - F.col("n"))
+    crowded = F.col("n") > F.col("was") / 2  # then few bins hold values, so many of them cost little
+    parts = F.when(crowded, F.lit(float(BINS))).otherwise(_parts(F.col("n"))).alias("parts")
+    return hit.where(_wanted(shares)).select(*keys, "total", "before", "n", "lo", "hi", parts)
+
+
+def _interpolated(found: DataFrame, keys: list[str], shares: dict[str, float]) -> DataFrame:
+    """Percentiles from intervals of equal ends that hold the ranks of shares."""
+    sides, out = [], []
+    for i, (name, (low, high, part)) in enumerate(zip(shares, _ranks(shares), strict=True)):
+        sides += [F.max(F.when(_within(rank), F.col("lo"))).alias(f"v{i}_{side}") for side, rank in ((1, low), (2, high))]
+        sides.append(F.max(part).alias(f"f{i}"))
+        out.append((F.col(f"v{i}_1") + (F.col(f"v{i}_2") - F.col(f"v{i}_1")) * F.col(f"f{i}")).alias(name))
+    return found.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *sides).where("_n > 0").select(*keys, *out)
 
 
 def moments(fields: DataFrame, names: list[str]) -> DataFrame:
