@@ -44,6 +44,38 @@ def test_bad_tiles_are_not_committed(spark, points, tmp_path, wrong):
     assert not list(tmp_path.rglob("*.parquet"))
 
 
+def test_a_task_of_many_tiles_holds_a_file_of_them(spark, points, tmp_path, monkeypatch):
+    """Files have a bounded number of tiles, each is verified when it is full, and what a task tells the driver does not grow with its tiles."""
+    many = points.crossJoin(spark.range(40).select(F.col("id").cast("int").alias("t"))).withColumn("time_index", F.col("t")).drop("t")
+    rows = tiles.dealt(many, 4, 16, 1).coalesce(1).sortWithinPartitions("time_index", "stretch", "curve", "z", "y", "x").toArrow()
+    writer = tiles.TileWriter(many.schema, {"path": str(tmp_path / "tiles"), "digests": str(tmp_path / "digests"), "block": "4"})
+    monkeypatch.setattr(tiles, "MOST", 100, raising=False)
+    seen = []
+    real = tiles.everything
+    monkeypatch.setattr(tiles, "everything", lambda t: seen.append(t.num_rows) or real(t))
+    done = writer.write(iter(rows.to_batches(max_chunksize=5000)))
+    assert not list(tmp_path.rglob("[!.]*.parquet")) and len(seen) == 2 * 40 * 64
+    assert sum(len(x) for x in vars(done).values()) < 100
+    writer.commit([done])
+    assert tiles.layout(str(tmp_path / "tiles"), "x", 5) == {"files": 26, "row_groups": 2560, "files_read": 26, "row_groups_read": 640}
+    found = tiles.verified(spark, str(tmp_path / "digests"))
+    want = {(r.time_index, r.tile_key): r.sha256 for r in bricks.checksums(many, 4).collect()}
+    assert {(r.time_index, r.tile_key): r.sha256 for r in found.collect()} == want and found.count() == 2560
+    back = bricks.read(spark, str(tmp_path / "tiles"))
+    assert back.count() == many.count() and back.exceptAll(many.select(back.columns)).isEmpty()
+
+
+@pytest.mark.parametrize("tasks", ["one", "two"])
+def test_a_tile_in_two_places_is_not_committed(spark, points, tmp_path, tasks):
+    one = tiles.dealt(points, 8, 16, 4)
+    both = one.unionByName(one.where("x < 8"))  # two tasks that are whole by themselves
+    spark.dataSource.register(tiles.Tiles)
+    write = (both.coalesce(1) if tasks == "one" else both).write.format("tiles").mode("append").option("path", f"{tmp_path}/tiles").option("digests", f"{tmp_path}/digests").option("block", 8)
+    with pytest.raises(Exception, match="in two places"):
+        write.save()
+    assert not list(tmp_path.rglob("*.parquet"))
+
+
 def test_nothing_is_written_for_nothing(spark, points, tmp_path):
     assert bricks.write_verified(points.where("x < 0"), str(tmp_path), 8, 16).count() == 0
 

@@ -5,13 +5,18 @@
 
 Tiles arrive whole and in the order of a Morton curve. A task writes a Parquet file for each stretch of the curve, with one
 row group a tile, so statistics prune files and row groups on all three axes alike: a plane of any axis reads about n**(2/3)
-of n tiles. Each tile is hashed as it is sent (float32, little-endian, field by field, in z, y, x order); then the file is
-read back, tile by tile, and compared in all its columns. Files stand under hidden names until the commit, which runs only if all tasks
-agree; an abort removes them. What was verified stands in the table of digests: time_index, tile_key, n_points, byte_count,
-sha256, file.
+of n tiles. Each tile is hashed as it is sent (float32, little-endian, field by field, in z, y, x order); when a file is full it
+is read back, tile by tile, and compared in all its columns, and the digests of its tiles are written. A file has at most MOST
+tiles, so a task holds what its present file says of them, however many tiles it has. Files stand under hidden names until the
+commit, which runs only if all tasks agree; an abort removes them. What was verified stands in the table of digests: time_index,
+tile_key, n_points, byte_count, sha256, file.
+
+Tiles of a task ascend on the curve, and tasks share no stretch: a task tells the driver the numbers of its deals, DEALS over all
+tasks, and the commit compares those.
 
 Defined cases: a tile in two places of the input, with points missing or twice, or with values that are not finite or null
-is an error; an empty input writes nothing; a task that runs twice leaves the files of one run.
+is an error, and so is an input that dealt() has not dealt; an empty input writes nothing; a task that runs twice leaves the
+files of one run.
 """
 
 from __future__ import annotations
@@ -34,6 +39,10 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterComm
 PLACE = ["time_index", "z", "y", "x"]
 #: Points of a file at least, if its task has more: small snapshots share files.
 LEAST = 1 << 20
+#: Tiles of a file at most: a Parquet footer holds some 14 kB in memory for each tile of three fields.
+MOST = 2048
+#: Stretches are dealt to tasks by so many numbers.
+DEALS = 1 << 16
 DIGEST = pa.schema([("time_index", pa.int32()), ("tile_key", pa.string()), ("n_points", pa.int64()), ("byte_count", pa.int64()), ("sha256", pa.string()), ("file", pa.string())])
 
 
@@ -46,6 +55,11 @@ def morton(z: Column, y: Column, x: Column, bits: int) -> Column:
     return out
 
 
+def deal(time_index, stretch):
+    """The number by which a stretch is dealt, of columns or arrays alike."""
+    return (time_index * 64 + stretch) % DEALS
+
+
 def dealt(points: DataFrame, block: int, n: int, files: int = 64) -> DataFrame:
     """points in the order that the sink asks for: one exchange by stretches of the curve, at most `files` of a snapshot.
 
@@ -55,7 +69,7 @@ def dealt(points: DataFrame, block: int, n: int, files: int = 64) -> DataFrame:
     code = morton(*(F.floor(F.col(a) / block) for a in "zyx"), bits)
     stretch = F.floor(code * files / (1 << 3 * bits)).cast("int")
     rows = points.withColumn("curve", code).withColumn("stretch", stretch)
-    return rows.repartition("time_index", "stretch").sortWithinPartitions("time_index", "stretch", "curve", "z", "y", "x")
+    return rows.repartition(F.pmod(deal(F.col("time_index").cast("long"), F.col("stretch")), F.lit(DEALS))).sortWithinPartitions("time_index", "stretch", "curve", "z", "y", "x")
 
 
 def files_of(uri: str) -> tuple[pafs.FileSystem, str]:
@@ -80,7 +94,7 @@ def everything(table: pa.Table) -> str:
 @dataclass
 class Written(WriterCommitMessage):
     files: list[tuple[str, str]]  # hidden and final names
-    tiles: list[tuple[int, str]]
+    deals: list[int]
 
 
 class TileWriter(DataSourceArrowWriter):
@@ -119,7 +133,7 @@ class TileWriter(DataSourceArrowWriter):
             yield last()
 
     def _checked(self, tile: pa.Table) -> tuple[str, int]:
-        """Key and number of points of a tile whose places are those of a box and whose values are finite."""
+        """Key and number of points of a tile whose places are those of a box, at its place on the curve, and whose values are finite."""
         place = np.stack([tile.column(c).to_numpy() for c in ("z", "y", "x")]).astype(np.int64)
         low = place[:, 0] // self.block * self.block
         key = "x{2:04d}_y{1:04d}_z{0:04d}".format(*low)
@@ -132,67 +146,82 @@ class TileWriter(DataSourceArrowWriter):
             values = tile.column(c)
             if values.null_count or not np.isfinite(values.to_numpy()).all():
                 raise ValueError(f"tile {key} holds values of {c} that are not finite")
+        if tile.column("curve")[0].as_py() != sum((int(a) // self.block >> bit & 1) << 3 * bit + k for k, a in enumerate(low[::-1]) for bit in range(21)):
+            raise ValueError(f"tile {key} is not at its place on the curve")
         return key, tile.num_rows
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         fs, root = files_of(self.path)
+        own, under = files_of(self.digests)
         token = uuid.uuid4().hex
-        sent: dict[str, list] = {}
+        sent: list[tuple] = []  # tiles of the file that is being written
         files: list[tuple[str, str]] = []
-        writer, current, stream, held = None, None, None, 0
+        table = (f"{under}/.part-{token}.parquet", f"{under}/part-{token}.parquet")
+        deals: set[int] = set()
+        writer, stream, told, out, last, held = None, None, None, None, None, 0
+
+        def full() -> None:
+            """The file is closed and verified, and its digests are written."""
+            nonlocal told, out
+            writer.close()
+            stream.close()
+            self._verify(fs, files[-1][0], sent)
+            if told is None:
+                own.create_dir(under, recursive=True)
+                out = own.open_output_stream(table[0])
+                told = pq.ParquetWriter(out, DIGEST)
+            told.write_table(pa.table({f.name: pa.array(c, f.type) for f, c in zip(DIGEST, zip(*(r[:-1] for r in sent), strict=True), strict=True)}, DIGEST))
+
         try:
             for stretch, tile in self._tiles(iterator):
                 key, n = self._checked(tile)
+                place = (*stretch, tile.column("curve")[0].as_py())
+                if last is not None and place <= last:
+                    raise ValueError(f"tile {key} lies in two places of the input, or the input is not dealt()")
                 slim = tile.select([*PLACE, *self.fields])
-                if writer is None or (stretch != current and held >= self.least):
+                if writer is None or (stretch != last[:2] and held >= self.least) or len(sent) == MOST:
                     if writer:
-                        writer.close()
-                        stream.close()
-                    name = f"t{stretch[0]:06d}-{stretch[1]:05d}-{token}.parquet"
+                        full()
+                    name = f"t{stretch[0]:06d}-{stretch[1]:05d}-{token}-{len(files)}.parquet"
                     files.append((f"{root}/.{name}", f"{root}/{name}"))
                     fs.create_dir(root, recursive=True)
                     stream = fs.open_output_stream(files[-1][0])
-                    writer, held = pq.ParquetWriter(stream, slim.schema, compression=self.codec), 0
-                    sent[files[-1][0]] = []
+                    writer, held, sent = pq.ParquetWriter(stream, slim.schema, compression=self.codec), 0, []
                 writer.write_table(slim, row_group_size=max(1, n))
-                current, held = stretch, held + n
-                sent[files[-1][0]].append((stretch[0], key, n, n * 4 * len(self.fields), digest(slim, self.fields), files[-1][1], everything(slim)))
+                last, held = place, held + n
+                deals.add(deal(*stretch))
+                sent.append((stretch[0], key, n, n * 4 * len(self.fields), digest(slim, self.fields), files[-1][1], everything(slim)))
             if writer:
-                writer.close()
-                stream.close()
-            for hidden, _ in files:
-                if self.probe:
-                    module, name = self.probe.split(":")
-                    getattr(importlib.import_module(module), name)(hidden)
-                with fs.open_input_file(hidden) as content:
-                    back = pq.ParquetFile(content)
-                    if back.num_row_groups != len(sent[hidden]):
-                        raise OSError(f"{hidden} holds {back.num_row_groups} tiles, {len(sent[hidden])} were sent")
-                    for i, (_, key, _, _, _, _, whole) in enumerate(sent[hidden]):
-                        if everything(back.read_row_group(i)) != whole:
-                            raise OSError(f"tile {key} in {hidden} differs from what was sent")
-            rows = [r[:-1] for part in sent.values() for r in part]
-            if rows:
-                own, under = files_of(self.digests)
-                own.create_dir(under, recursive=True)
-                name = f"part-{token}.parquet"
-                with own.open_output_stream(f"{under}/.{name}") as out:
-                    pq.write_table(pa.table({f.name: pa.array(c, f.type) for f, c in zip(DIGEST, zip(*rows, strict=True), strict=True)}), out)
-                files.append((f"{under}/.{name}", f"{under}/{name}"))
+                full()
+                told.close()
+                out.close()
+                files.append(table)
         except BaseException:
-            for hidden, _ in files:
-                if fs.get_file_info(hidden).type != pafs.FileType.NotFound:
-                    fs.delete_file(hidden)
+            for at, hidden in [*((fs, hidden) for hidden, _ in files), (own, table[0])]:
+                if at.get_file_info(hidden).type != pafs.FileType.NotFound:
+                    at.delete_file(hidden)
             raise
-        return Written(files, [(r[0], r[1]) for r in rows])
+        return Written(files, sorted(deals))
+
+    def _verify(self, fs: pafs.FileSystem, hidden: str, sent: list[tuple]) -> None:
+        if self.probe:
+            module, name = self.probe.split(":")
+            getattr(importlib.import_module(module), name)(hidden)
+        with fs.open_input_file(hidden) as content:
+            back = pq.ParquetFile(content)
+            if back.num_row_groups != len(sent):
+                raise OSError(f"{hidden} holds {back.num_row_groups} tiles, {len(sent)} were sent")
+            for i, (_, key, *_, whole) in enumerate(sent):
+                if everything(back.read_row_group(i)) != whole:
+                    raise OSError(f"tile {key} in {hidden} differs from what was sent")
 
     def commit(self, messages: list[Written | None]) -> None:
         """All tasks agree: files get their names, those of digests last, so digests never tell of a file that is not there."""
         found = [m for m in messages if m]
-        tiles = [t for m in found for t in m.tiles]
-        if len(tiles) != len(set(tiles)):
+        deals = [d for m in found for d in m.deals]
+        if len(deals) != len(set(deals)):
             self.abort(messages)
-            raise ValueError("a tile lies in two places of the input")
+            raise ValueError("a tile lies in two places of the input, or the input is not dealt()")
         fs, _ = files_of(self.path)
         for hidden, final in sorted((f for m in found for f in m.files), key=lambda f: "/part-" in f[1]):
             fs.move(hidden, final)
