@@ -246,6 +246,27 @@ def test_encoder_equals_library():
         assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:], strict=True)] == plain_ids(texts)
 
 
+def test_library_gets_new_pieces_in_few_strings_and_common_ones_once():
+    class Counting:
+        def __init__(self, own):
+            self.own, self.strings, self.text = own, 0, Counter()
+
+        def encode_batch_fast(self, batch, **how):
+            self.strings += len(batch)
+            self.text.update(w for t in batch for w in t.split(" "))
+            return self.own.encode_batch_fast(batch, **how)
+
+    rng = random.Random(9)
+    common = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(200)]
+    own = tokenfile.Encoder(queries.tokenizer(), memory=3_000)
+    own.tokenizer = seen = Counting(own.tokenizer)
+    for i in range(12):  # each slice has 1,000 words that never come again, and the common ones
+        texts = [" ".join([f"x{i}y{j}z{k}" for k in range(10)] + common) + "." for j in range(100)]
+        ids, at = own.encode(pa.array(texts, pa.string()))
+        assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:], strict=True)] == plain_ids(texts)
+    assert seen.strings < 12 * 150 and max(seen.text[w] for w in common[:-1]) == 1
+
+
 def test_token_files(spark, documents, nothing, tmp_path):
     uri = f"file://{tmp_path}/t"
     shards = tokenfile.write(documents, uri, queries.tokenizer(), shard_bytes=20_000)

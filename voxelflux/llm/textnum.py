@@ -101,6 +101,12 @@ def runs(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return starts, np.flatnonzero(stop) + 1, np.searchsorted(offsets, starts, side="right") - 1
 
 
+def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers from each start on, as many as its size says."""
+    upto = np.cumsum(sizes)
+    return np.arange(upto[-1] if len(upto) else 0) + np.repeat(starts - upto + sizes, sizes)
+
+
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts, ends and rows of the words [^\\x20\\x09-\\x0D]+ of every row."""
     return runs(~IS_SPACE[data], offsets)

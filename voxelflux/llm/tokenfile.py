@@ -43,8 +43,8 @@ from voxelflux.llm.store import prepare
 MAGIC = b"VXT1"
 HEAD = "<4sIQQ"
 NULL_ID = -(2**63)
-#: Word pieces that a Python worker remembers; it starts anew beyond that.
-MEMORY = 600_000
+#: Word pieces that a Python worker remembers, and new ones that the library gets in one string.
+MEMORY, JOINED = 600_000, 500
 SHARD_BYTES, MOST_SHARDS = 16 << 20, 1 << 16
 
 #: Lengths of the four ids that a control byte tells of.
@@ -75,20 +75,24 @@ def unpack(control: np.ndarray, data: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
+def _solid(data: np.ndarray) -> np.ndarray:
+    """Ends of characters that are no white space: ASCII ones, and letters or signs in two bytes that begin with C3."""
+    solid = (data < 0x80) & (data > 0x20) & (data != 0x7F)
+    solid[1:] |= (data[:-1] == 0xC3) & (data[1:] >= 0x80)
+    return solid
+
+
 def pieces(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Places, row starts included, where a text may be cut without changing its byte-level BPE ids.
 
     The pre-tokenizer never joins a character that is no white space to white space after it. So a text may be
-    cut before ASCII white space that follows such a character: another ASCII one, or a letter in two bytes that
+    cut before ASCII white space that follows such a character: another ASCII one, or one in two bytes that
     begins with C3.
     """
     n = len(data)
     cut = np.zeros(n + 1, bool)
     if n > 1:
-        space = tn.IS_SPACE[data]
-        solid = ~space & (data < 0x80) & (data > 0x20) & (data != 0x7F)
-        solid[1:] |= (data[:-1] == 0xC3) & (data[1:] >= 0x80)
-        cut[1:n] = space[1:] & solid[:-1]
+        cut[1:n] = tn.IS_SPACE[data[1:]] & _solid(data)[:-1]
     cut[offsets[:-1]] = True
     cut[n] = False
     return np.flatnonzero(cut)
@@ -106,17 +110,55 @@ def highest_id(path: str) -> int:
 
 
 class Encoder:
-    """Ids of whole texts by the tokenizers library, each different piece of a text encoded once and remembered."""
+    """Ids of whole texts by the tokenizers library, each different piece of a text encoded once and remembered.
+
+    New pieces that begin with white space and end in a character that is none are handed to the library in strings of
+    JOINED pieces, as texts may be cut between any two of them; the bytes of the ids tell where each piece ends. When
+    the memory is full, pieces that were met again since it was last full are kept, up to half of it.
+    """
 
     def __init__(self, path: str, memory: int = MEMORY):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer, self.memory = Tokenizer.from_file(path), memory
-        self._forget()
+        names = self.tokenizer.get_vocab()
+        self.lengths = np.zeros(max(names.values()) + 1, np.int64)  # a character of a name is a byte of text
+        for name, i in names.items():
+            self.lengths[i] = len(name)
+        for i, token in self.tokenizer.get_added_tokens_decoder().items():
+            self.lengths[i] = len(token.content.encode())
+        self.keys, self.places, self.sizes, self.ids, self.again = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.uint32), np.zeros(0, bool)
 
     def _forget(self) -> None:
-        self.keys, self.places, self.sizes, self.ids = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.uint32)
+        kept = np.flatnonzero(self.again)
+        kept = kept if 2 * len(kept) <= self.memory else kept[:0]
+        sizes = self.sizes[kept].astype(np.int64)
+        self.ids = self.ids[tn.ranges(self.places[kept], sizes)]
+        self.keys, self.places, self.sizes, self.again = self.keys[kept], np.cumsum(sizes) - sizes, self.sizes[kept], np.zeros(len(kept), bool)
+
+    def _new(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of pieces by the library: the place of each piece's first id, the number of its ids, all ids."""
+        joins = tn.IS_SPACE[data[starts]] & _solid(data)[ends - 1]
+        size = (ends - starts)[joins]
+        upto = np.cumsum(size)
+        text = data[tn.ranges(starts[joins], size)].tobytes()
+        bounds = [0, *upto[JOINED - 1 : -1 : JOINED].tolist(), len(text)] if len(text) else [0]
+        alone = [data[s:e].tobytes().decode() for s, e in zip(starts[~joins].tolist(), ends[~joins].tolist(), strict=True)]
+        found = self.tokenizer.encode_batch_fast([*(text[s:e].decode() for s, e in zip(bounds, bounds[1:], strict=False)), *alone], add_special_tokens=False)
+        parts = [np.array(e.ids, np.uint32) for e in found]
+        ids = np.concatenate(parts)
+        sizes = np.zeros(len(starts), np.int64)
+        told = np.cumsum(self.lengths[np.concatenate([ids[:0], *parts[: len(bounds) - 1]])])
+        last = np.searchsorted(told, upto)
+        if len(text) and not (len(told) and told[-1] == len(text) and (told[last] == upto).all()):
+            raise ValueError("ids do not tell the bytes of their text: not a byte-level BPE of all bytes")
+        sizes[joins] = np.diff(last + 1, prepend=0)
+        sizes[~joins] = [len(p) for p in parts[len(bounds) - 1 :]]
+        order = np.concatenate([np.flatnonzero(joins), np.flatnonzero(~joins)])
+        places = np.zeros(len(starts), np.int64)
+        places[order] = np.cumsum(sizes[order]) - sizes[order]
+        return places, sizes, ids
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and the n + 1 offsets of the rows into them."""
@@ -135,22 +177,17 @@ class Encoder:
         if len(self.keys):
             at = np.minimum(np.searchsorted(self.keys, unique), len(self.keys) - 1)
             known = self.keys[at] == unique
+            self.again[at[known]] = True
         new = np.flatnonzero(~known)
         if len(new):
-            buffer = data.tobytes()
-            encoded = self.tokenizer.encode_batch_fast([buffer[s:e].decode() for s, e in zip(starts[first[new]].tolist(), ends[first[new]].tolist(), strict=True)], add_special_tokens=False)
-            found = [e.ids for e in encoded]
-            sizes = np.fromiter(map(len, found), np.int32, len(found))
-            flat = np.fromiter((i for ids in found for i in ids), np.uint32, int(sizes.sum()))
-            places = len(self.ids) + np.cumsum(sizes, dtype=np.int64) - sizes
-            self.ids = np.concatenate([self.ids, flat])
+            places, sizes, ids = self._new(data, starts[first[new]], ends[first[new]])
             spot = np.searchsorted(self.keys, unique[new])
-            self.keys, self.places, self.sizes = np.insert(self.keys, spot, unique[new]), np.insert(self.places, spot, places), np.insert(self.sizes, spot, sizes)
+            self.keys, self.places = np.insert(self.keys, spot, unique[new]), np.insert(self.places, spot, places + len(self.ids))
+            self.sizes, self.again = np.insert(self.sizes, spot, sizes), np.insert(self.again, spot, False)
+            self.ids = np.concatenate([self.ids, ids])
         at = np.searchsorted(self.keys, unique)[inverse]
-        sizes, places = self.sizes[at].astype(np.int64), self.places[at]
-        upto = np.cumsum(sizes)
-        out = self.ids[np.arange(upto[-1]) + np.repeat(places - upto + sizes, sizes)]
-        return out, np.concatenate([[0], np.cumsum(np.bincount(rows, weights=sizes, minlength=n).astype(np.int64))])
+        sizes = self.sizes[at].astype(np.int64)
+        return self.ids[tn.ranges(self.places[at], sizes)], np.concatenate([[0], np.cumsum(np.bincount(rows, weights=sizes, minlength=n).astype(np.int64))])
 
 
 _encoders: dict[str, Encoder] = {}
