@@ -565,3 +565,22 @@ def test_components_never_stop_half_way(spark):
     with pytest.raises(RuntimeError, match="still change"):
         components.components(chain, rounds=1)
     assert {r.root for r in components.components(chain).collect()} == {0}
+
+
+def test_stars_are_components_at_once(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(components, "settle", lambda df, name, own=components.settle: written.append(name) or own(df, name))
+    stars = spark.createDataFrame([(i % 7, 10 + i) for i in range(90)], "a long, b long")
+    got = {r.node: r.root for r in components.components(stars).collect()}
+    assert got == {n: n if n < 7 else (n - 10) % 7 for n in [*range(7), *range(10, 100)]} and written == ["edges"]
+
+
+def test_near_duplicates_take_few_jobs(spark, documents):
+    """What the driver keeps of plans, stages and threads follows the number of jobs, whatever the size of the input."""
+    spark.sparkContext.setJobGroup("near-duplicates", "near-duplicates")
+    try:
+        assert minmax.near_duplicates(documents).count() == documents.count()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("near-duplicates"))
+    assert jobs <= 55, jobs

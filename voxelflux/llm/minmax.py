@@ -39,6 +39,8 @@ from voxelflux.llm.store import prepare, settle
 
 PERMS, BAND = 32, 2
 NAMES = ["doc_id", "key", "key2"]
+#: Two classes and the sizes of their sets.
+PAIR = ["a", "b", "n_a", "n_b"]
 
 
 def shingle_sets(texts: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -102,18 +104,23 @@ def _sets(k: int):
     return run
 
 
-def _common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Shared shingles of left and right, and those in one of them only."""
-    for batch in batches:
-        left, right = batch.column("left"), batch.column("right")
-        found, apart = np.zeros(batch.num_rows, np.int64), []
-        for i in range(batch.num_rows):
-            a, b = (np.frombuffer(x[i].as_buffer(), np.uint64) for x in (left, right))
-            in_b = b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a if len(b) else np.zeros(len(a), bool)
-            in_a = a[np.minimum(np.searchsorted(a, b), len(a) - 1)] == b if len(a) else np.zeros(len(b), bool)
-            found[i] = np.count_nonzero(in_b)
-            apart.append(np.concatenate([a[~in_b], b[~in_a]]).tobytes())
-        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(found), pa.array(apart, pa.binary())], names=["a", "b", "common", "apart"])
+def _common(whole: bool):
+    """Shared shingles of left and right and, if whole is set, those in one of them only."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            left, right = batch.column("left"), batch.column("right")
+            found, apart = np.zeros(batch.num_rows, np.int64), [b""] * batch.num_rows
+            for i in range(batch.num_rows):
+                a, b = (np.frombuffer(x[i].as_buffer(), np.uint64) for x in (left, right))
+                in_b = b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a if len(b) else np.zeros(len(a), bool)
+                found[i] = np.count_nonzero(in_b)
+                if whole:
+                    in_a = a[np.minimum(np.searchsorted(a, b), len(a) - 1)] == b if len(a) else np.zeros(len(b), bool)
+                    apart[i] = np.concatenate([a[~in_b], b[~in_a]]).tobytes()
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in PAIR), pa.array(found), pa.array(apart, pa.binary())], names=[*PAIR, "common", "apart"])
+
+    return run
 
 
 def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,21 +130,17 @@ def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("hub"), batch.column("c"), batch.column("root"), lists], names=["hub", "c", "root", "apart"])
 
 
-def _compared(pairs: DataFrame, sets: DataFrame, sizes: DataFrame, percent: int, whole: bool = False) -> DataFrame:
-    """(a, b, n_a, n_b, linked, apart) for pairs (a, b) of classes.
+def _compared(pairs: DataFrame, sets: DataFrame, percent: int, whole: bool = False) -> DataFrame:
+    """(a, b, n_a, n_b, linked, apart) for pairs (a, b, n_a, n_b) of classes and the sizes of their sets.
 
     Unless whole is set, pairs whose sizes rule a link out are left out and apart (shingles of one side only) is empty.
     """
-    na, nb = sizes.select(F.col("c").alias("a"), F.col("n").alias("n_a")), sizes.select(F.col("c").alias("b"), F.col("n").alias("n_b"))
-    near = pairs.join(na, "a").join(nb, "b")
-    if not whole:
-        near = near.where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
+    near = pairs if whole else pairs.where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
     held = near.join(sets.select(F.col("c").alias("b"), F.col("shingles").alias("right")), "b")
     held = held.join(sets.select(F.col("c").alias("a"), F.col("shingles").alias("left")), "a")
-    common = held.select("a", "b", "left", "right").mapInArrow(_common, "a long, b long, common long, apart binary")
+    common = held.select(*PAIR, "left", "right").mapInArrow(_common(whole), "a long, b long, n_a long, n_b long, common long, apart binary")
     total = F.col("n_a") + F.col("n_b") - F.col("common")
-    out = near.join(common, ["a", "b"]).withColumn("linked", F.col("common") * 100 >= total * percent)
-    return settle(out.select("a", "b", "n_a", "n_b", "linked", (F.col("apart") if whole else F.lit(b"")).alias("apart")), "compared")
+    return settle(common.select(*PAIR, (F.col("common") * 100 >= total * percent).alias("linked"), "apart"), "compared")
 
 
 def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 85, perms: int = PERMS, hub_rounds: int = 2) -> DataFrame:
@@ -154,36 +157,38 @@ def _judged(docs: DataFrame, k: int, percent: int, perms: int, hub_rounds: int =
     firsts = features.where("n > 0").groupBy("set_key").agg(F.min("row").alias("row"), F.min("doc_id").alias("lowest"))
     classes = settle(features.join(firsts.select("row", "lowest"), "row").select(F.col("row").alias("c"), "set_key", "key", "lowest", "n", "bands"), "classes")
 
-    banded = classes.select("c", F.posexplode("bands").alias("band", "h"))
+    banded = classes.select("c", "n", F.posexplode("bands").alias("band", "h"))
     crowds = banded.groupBy("band", "h").agg(F.count(F.lit(1)).alias("crowd")).where("crowd > 1")
     crowded = settle(banded.join(crowds, ["band", "h"]), "crowded")
     weight = crowded.groupBy("c").agg(F.sum("crowd").alias("weight"))
-    members = settle(crowded.join(weight, "c").select("band", "h", "c", "weight"), "members")
+    members = settle(crowded.join(weight, "c").select("band", "h", "c", "n", "weight"), "members")
+    members = settle(_with_hubs(members), "hubs")
 
-    wanted = weight.join(classes, "c").select("c", "key", "set_key", "n")
-    texts = slim.select("key", "text").join(wanted.select("c", "key", "set_key"), "key").select("c", "set_key", "text")
-    sizes = settle(wanted.select("c", "n"), "sizes")
+    wanted = weight.select("c").join(classes, "c").select("c", "key", "set_key")
+    texts = slim.select("key", "text").join(wanted, "key").select("c", "set_key", "text")
     sets = settle(texts.mapInArrow(_sets(k), "c long, shingles binary"), "sets")
-    if sets.count() > sizes.count():  # repeated rows
+    held, different = sets.agg(F.count(F.lit(1)), F.count_distinct("c")).first()
+    if held > different:  # repeated rows
         sets = settle(sets.dropDuplicates(["c"]), "sets")
 
-    links, roots, left = None, None, members
+    first, roots, left = None, None, members
     for turn in range(hub_rounds):
         if turn and left.isEmpty():
             break
-        hubs = left.groupBy("band", "h").agg(F.max(F.struct("weight", (-F.col("c")).alias("c"))).alias("top")).select("band", "h", (-F.col("top.c")).alias("hub"))
-        pairs = left.join(hubs, ["band", "h"]).where("c <> hub").select(F.col("hub").alias("a"), F.col("c").alias("b")).distinct()
-        compared = _compared(pairs, sets, sizes, percent, whole=turn == 0)
-        if turn == 0:
-            first_hubs, first = settle(hubs, "hubs"), compared
+        pairs = (_with_hubs(left) if turn else left).where("c <> hub")
+        pairs = pairs.select(F.col("hub").alias("a"), F.col("c").alias("b"), F.col("n_hub").alias("n_a"), F.col("n").alias("n_b")).distinct()
+        compared = _compared(pairs, sets, percent, whole=turn == 0)
+        first = first or compared
         linked = compared.where("linked").select("a", "b")
-        links = linked if links is None else links.unionByName(linked)
-        roots = settle(components(links), "roots")
-        left = settle(_strays(members, first_hubs, roots), "strays")
+        if turn and linked.isEmpty():  # components and strays stay as they are
+            break
+        roots = settle(components(_with_links(roots, linked)), "roots")
+        left = settle(_strays(members, roots), "strays")
     if not left.isEmpty():
         rest = settle(_across(first, roots, percent), "across")
-        links = links.unionByName(_compared(rest, sets, sizes, percent).where("linked").select("a", "b"))
-        roots = settle(components(links), "roots")
+        linked = _compared(rest, sets, percent).where("linked").select("a", "b")
+        if not linked.isEmpty():
+            roots = settle(components(_with_links(roots, linked)), "roots")
 
     if roots is None:
         ids = classes.select("set_key", "c", "lowest", F.col("c").alias("root"))
@@ -196,16 +201,28 @@ def _judged(docs: DataFrame, k: int, percent: int, perms: int, hub_rounds: int =
     return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id", kept.alias("kept"), "key", "key2", "row", "first")
 
 
-def _strays(members: DataFrame, hubs: DataFrame, roots: DataFrame) -> DataFrame:
+def _with_hubs(members: DataFrame) -> DataFrame:
+    """members (band, h, c, n, weight) with the hub of their bucket and the size of its set."""
+    top = F.max(F.struct("weight", (-F.col("c")).alias("c"), "n")).alias("top")
+    hubs = members.groupBy("band", "h").agg(top).select("band", "h", (-F.col("top.c")).alias("hub"), F.col("top.n").alias("n_hub"))
+    return members.join(hubs, ["band", "h"])
+
+
+def _with_links(roots: DataFrame | None, linked: DataFrame) -> DataFrame:
+    """Edges of the components so far, which are stars, and further ones."""
+    return linked if roots is None else roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(linked)
+
+
+def _strays(members: DataFrame, roots: DataFrame) -> DataFrame:
     """Members of buckets that are not in the component of the bucket's hub."""
     own = roots.select(F.col("node").alias("c"), F.col("root").alias("root_c"))
     hub = roots.select(F.col("node").alias("hub"), F.col("root").alias("root_h"))
-    joined = members.join(hubs, ["band", "h"]).join(own, "c", "left").join(hub, "hub", "left")
-    return joined.where(F.coalesce("root_c", "c") != F.coalesce("root_h", "hub")).select("band", "h", "c", "weight")
+    joined = members.join(own, "c", "left").join(hub, "hub", "left")
+    return joined.where(F.coalesce("root_c", "c") != F.coalesce("root_h", "hub")).select("band", "h", "c", "n", "weight")
 
 
 def _across(first: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of a stray and another class of the same hub, in different components, that may be linked.
+    """Pairs (a, b, n_a, n_b) of a stray and another class of the same hub, in different components, that may be linked.
 
     Let D be the shingles that tell a set from its hub, n its size, and r = (100 - percent) / (100 + percent). Linked
     sets u and m differ in at most r * (n_u + n_m) shingles, and in |D_u| + |D_m| - 2 * |common part of D_u and D_m|,
@@ -232,7 +249,9 @@ def _across(first: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
     pair = F.greatest(F.ceil((F.col("size") + F.col("size2") - r * (F.col("n") + F.col("n2"))) / 2 - 1e-9), F.lit(1))
     able = (F.col("c") != F.col("c2")) & (F.col("root") != F.col("root2")) & (F.least("n", "n2") * 100 >= F.greatest("n", "n2") * percent)
     able &= (F.col("rank") + pair <= F.col("size") + 1) & (F.col("rank2") + pair <= F.col("size2") + 1)
-    return kept.where("stray").join(other, ["hub", "e"]).where(able).select(F.least("c", "c2").alias("a"), F.greatest("c", "c2").alias("b")).distinct()
+    low, high = (F.when(F.col("c") < F.col("c2"), F.struct(F.col(x).alias("c"), F.col(y).alias("n"))).otherwise(F.struct(F.col(z).alias("c"), F.col(w).alias("n"))) for x, y, z, w in (("c", "n", "c2", "n2"), ("c2", "n2", "c", "n")))
+    found = kept.where("stray").join(other, ["hub", "e"]).where(able).select(low.alias("low"), high.alias("high"))
+    return found.select(F.col("low.c").alias("a"), F.col("high.c").alias("b"), F.col("low.n").alias("n_a"), F.col("high.n").alias("n_b")).distinct()
 
 
 def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80, perms: int = 48) -> DataFrame:
